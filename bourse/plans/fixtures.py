@@ -124,7 +124,8 @@ def v_figi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value mapping derived from the data: brands with an even number and
-    nations with an even key are mapped, the rest are not."""
+    nations with an even key are mapped, the rest are not. Brands map by
+    their last digit, so one composite value stands for several brands."""
     p = table(spark, sf_dir, "part")
     n = table(spark, sf_dir, "nation")
     brand_no = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
@@ -133,7 +134,7 @@ def v_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("vendor").alias("source"),
         F.lit("exchange_code").alias("field"),
         "source_value",
-        F.when(F.col("no") % 2 == 0, F.concat(F.lit("X"), F.col("no").cast("string"))).alias("mapping_value"),
+        F.when(F.col("no") % 2 == 0, F.concat(F.lit("X"), (F.col("no") % 10).cast("string"))).alias("mapping_value"),
         (F.col("no") % 4 != 3).alias("is_active"),
     )
     nations = n.select(
@@ -208,7 +209,7 @@ SQL_VIEWS: dict[str, str] = {
     "v_mapping": """
         SELECT 'security' AS product, 'vendor' AS source, 'exchange_code' AS field,
                source_value,
-               CASE WHEN no % 2 = 0 THEN 'X' || CAST(no AS VARCHAR) END AS mapping_value,
+               CASE WHEN no % 2 = 0 THEN 'X' || CAST(no % 10 AS VARCHAR) END AS mapping_value,
                (no % 4 <> 3) AS is_active
         FROM (SELECT DISTINCT p_brand AS source_value,
                      CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) AS no FROM part)

@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that it registers itself."""
-    from . import q_relational, q_timeseries  # noqa: F401
+    from . import q_joins, q_relational, q_timeseries  # noqa: F401
