@@ -30,7 +30,8 @@ def normalize_quote_history(raw: DataFrame, as_of, loaded_at=None) -> DataFrame:
     Volume) -> snake case, typed, ``year`` partition column, load stamp; rows
     dated on or after ``as_of`` (today) are dropped."""
     a = as_date_col(as_of)
-    stamp = F.lit(loaded_at) if loaded_at is not None else F.current_timestamp()
+    # UTC wall-clock stamp without time zone
+    stamp = (F.lit(loaded_at) if loaded_at is not None else F.current_timestamp()).cast("timestamp_ntz")
     d = F.col("Date").cast("date")
     return raw.where(d < a).select(
         d.alias("date"),
@@ -109,4 +110,4 @@ def derive_with_aliases(df: DataFrame) -> DataFrame:
 
 
 def add_load_stamp(df: DataFrame, at: _dt.datetime | None = None) -> DataFrame:
-    return df.withColumn("loaded_at", F.lit(at) if at else F.current_timestamp())
+    return df.withColumn("loaded_at", (F.lit(at) if at else F.current_timestamp()).cast("timestamp_ntz"))

@@ -153,7 +153,7 @@ def _raw_quote(spark, sf_dir):
 
 @register("normalize_quote_history", with_views(f"""
 SELECT date, security_code, exchange_code, open, high, low, close, adjusted_close,
-       CAST(volume AS BIGINT) AS volume, year(date) AS year, TIMESTAMP '2001-06-30 06:00:00' AS loaded_at
+       CAST(volume AS BIGINT) AS volume, CAST(year(date) AS INTEGER) AS year, TIMESTAMP '2001-06-30 06:00:00' AS loaded_at
 FROM v_quote WHERE date < {lit(QUOTE_AS_OF)}""", "v_quote"))
 def q_normalize_quote_history(spark, sf_dir):
     return PR.normalize_quote_history(_raw_quote(spark, sf_dir), QUOTE_AS_OF,
@@ -162,7 +162,7 @@ def q_normalize_quote_history(spark, sf_dir):
 
 @register("normalize_quote_update", with_views("""
 SELECT date, security_code, exchange_code, open, high, low, close, adjusted_close,
-       CAST(volume AS BIGINT) AS volume, year(date) AS year
+       CAST(volume AS BIGINT) AS volume, CAST(year(date) AS INTEGER) AS year
 FROM v_quote""", "v_quote"))
 def q_normalize_quote_update(spark, sf_dir):
     raw = _raw_quote(spark, sf_dir).withColumnRenamed("security", "Code")
