@@ -16,14 +16,11 @@ from ..streaming import streams as ST
 from .fixtures import table, v_quote, v_security, with_views
 from .registry import register
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _raw_logs(spark, sf_dir):
     """Log records as a producer sends them: epoch seconds, lower-case
     service / level; every third record lacks ``event``."""
     e = table(spark, sf_dir, "events")
-    secs = F.floor(F.timestamp_diff("MICROSECOND", _EPOCH, F.col("ts")) / 1_000_000).cast("bigint")
+    secs = F.floor(F.timestamp_diff("MICROSECOND", ST.epoch_col(), F.col("ts")) / 1_000_000).cast("bigint")
     return e.select(
         F.col("event_id").alias("id"), secs.alias("created"),
         F.concat(F.lit("s"), (F.col("user_id") % 4).cast("string")).alias("service"),

@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that it registers itself."""
-    from . import q_joins, q_nested, q_relational, q_search, q_stream, q_tables, q_timeseries  # noqa: F401
+    from . import q_jobs, q_joins, q_nested, q_relational, q_search, q_stream, q_tables, q_timeseries  # noqa: F401

@@ -135,10 +135,15 @@ def read_zip_csv(spark: SparkSession, path: str, columns: Sequence[str], member_
     """First member of each zip archive under ``path``, read as header CSV
     into the given (text) columns."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("content")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = raw.mapInPandas(lambda it: _unzip_rows(it, member_index, columns), schema)
+    safe = [f"c{i}" for i in range(len(columns))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in safe])
+
+    def unzip(it):
+        for pdf in _unzip_rows(it, member_index, columns):
+            yield pdf.set_axis(safe, axis=1)
+    rows = raw.mapInPandas(unzip, schema)
     n = num_partitions or spark.sparkContext.defaultParallelism
-    return rows.repartition(n)
+    return rows.repartition(n).select(*[F.col(s).alias(c) for s, c in zip(safe, columns)])
 
 
 def _zip_group(pdf, folder: str, columns: Sequence[str]):
@@ -168,6 +173,11 @@ def write_zip_csv(df: DataFrame, folder: str, columns: Sequence[str], rows_per_a
     from ..session import as_local_path
     n = max(1, -(-df.count() // rows_per_archive))
     local = as_local_path(folder)
-    b = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).withColumn(
-        "_b", F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(n)))
-    return b.groupBy("_b").applyInPandas(lambda pdf: _zip_group(pdf, local, columns), "archive string, rows long")
+    # positional column names inside the task (vendor names may contain dots)
+    safe = [f"c{i}" for i in range(len(columns))]
+    b = df.select(*[F.col(f"`{c}`").cast("string").alias(s) for c, s in zip(columns, safe)]).withColumn(
+        "_b", F.pmod(F.xxhash64(*[F.col(s) for s in safe]), F.lit(n)))
+
+    def one(pdf):
+        return _zip_group(pdf[safe].set_axis(list(columns), axis=1), local, columns)
+    return b.groupBy("_b").applyInPandas(one, "archive string, rows long")

@@ -23,13 +23,14 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
     ``merge_insert_new``; appended, not rewritten)."""
     return batch.join(target.select(*keys), list(keys), "left_anti")
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def epoch_col() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_to_utc(c: Column) -> Column:
     """Epoch seconds (possibly fractional) -> UTC wall-clock timestamp, by
     arithmetic (independent of the session time zone)."""
-    return F.timestamp_add("MICROSECOND", F.round(c.cast("double") * 1_000_000).cast("bigint"), _EPOCH)
+    return F.timestamp_add("MICROSECOND", F.round(c.cast("double") * 1_000_000).cast("bigint"), epoch_col())
 
 
 def normalize_logs(df: DataFrame, required: Sequence[str] = ("event", "message"),
