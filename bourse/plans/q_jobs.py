@@ -424,3 +424,39 @@ def q_view_logs_count(spark, sf_dir):
 
 
 _ = P  # predicates module is part of the view surface (filter sets)
+
+
+# ------------------------------------------------------------ late oracles
+# fund_all is registered with the nested queries; its oracle is the union of
+# the sixteen category oracles.
+ORACLE["fund_all"] = _fund_union_sql()
+
+_MASTER_CTE = {
+    "found": """
+SELECT s.code AS ticker, s.isin, s.name, s.type, s.exchange_code, s.currency, f.figi, f.composite_figi
+FROM v_security s JOIN v_figi f ON s.isin = f.isin_source
+UNION ALL
+SELECT s.code, s.isin, s.name, s.type, s.exchange_code, s.currency, f.figi, f.composite_figi
+FROM v_security s JOIN v_figi f ON s.code = f.ticker_source
+WHERE NOT EXISTS (SELECT 1 FROM v_figi g WHERE g.isin_source = s.isin)""",
+    "known": "SELECT composite_figi AS uid, CAST(ticker_source AS BIGINT) AS k FROM v_figi "
+             "WHERE ticker_source IS NOT NULL",
+    "keys": "SELECT uid, k FROM known UNION ALL SELECT uid, (SELECT max(k) FROM known) + row_number() OVER "
+            "(ORDER BY uid) FROM (SELECT DISTINCT composite_figi AS uid FROM found WHERE composite_figi NOT IN "
+            "(SELECT uid FROM known))",
+    "keyed": "SELECT f.*, k.k AS security_id FROM found f JOIN keys k ON f.composite_figi = k.uid",
+}
+
+ORACLE["job_security_master_ticker"] = with_views("""
+SELECT DISTINCT security_id, ticker, composite_figi || '_' || ticker AS security_ticker_uid FROM keyed""",
+                                                  "v_security", "v_figi", extra=_MASTER_CTE)
+ORACLE["job_security_master_listing"] = with_views("""
+SELECT security_id, exchange_code, max(figi) AS figi, max(currency) AS currency FROM keyed GROUP BY ALL""",
+                                                   "v_security", "v_figi", extra=_MASTER_CTE)
+ORACLE["job_security_master_security"] = with_views("""
+SELECT security_id, security_uid, type, name, array_to_string(list_filter(names, lambda x: x <> name), '|') AS aliases,
+       isins[1] AS isin
+FROM (SELECT security_id, composite_figi AS security_uid, min(type) AS type, min(name) AS name,
+             list_sort(list_distinct(list(name))) AS names,
+             list_sort(list_distinct(list(isin) FILTER (WHERE isin IS NOT NULL))) AS isins
+      FROM keyed GROUP BY ALL)""", "v_security", "v_figi", extra=_MASTER_CTE)

@@ -83,10 +83,11 @@ def q_fts_match_documents(spark, sf_dir):
     return SE.fts_match(idx, _DOC_Q)
 
 
-@register("fts_rank")
+@register("fts_rank", _match_sql(
+    _DOC_T, "s LIKE '% the %' AND s LIKE '% of %' AND s LIKE '% and %'", ["the", "of", "and"]))
 def q_fts_rank(spark, sf_dir):
-    """Rank of the documents matching the query (an approximation of cover
-    density; rows-only check)."""
+    """Rank of the documents matching the query (matched query-word
+    occurrences per token: a documented approximation of cover density)."""
     idx = SE.fts_index(table(spark, sf_dir, "documents"), "doc_id", ["text"])
     return SE.fts_match(idx, "the of and").orderBy(F.col("rank").desc(), "id")
 
