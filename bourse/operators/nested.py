@@ -28,7 +28,8 @@ def parse_documents(df: DataFrame, text_col: str, schema, out_col: str = "doc",
     (parsed, rejects): malformed text (``from_json`` yields a struct of
     NULLs in PERMISSIVE mode) or a document without the ``required``
     top-level field goes to the reject frame instead of vanishing."""
-    parsed = df.withColumn(out_col, F.from_json(F.col(text_col), schema))
+    from .partitioning import spread
+    parsed = spread(df).withColumn(out_col, F.from_json(F.col(text_col), schema))
     probe = F.col(f"{out_col}.{required or schema.fields[0].name}")
     ok = F.col(out_col).isNotNull() & probe.isNotNull()
     return parsed.where(ok), parsed.where(~ok).drop(out_col)

@@ -40,8 +40,9 @@ def tokens_col(text: Column) -> Column:
 def fts_index(df: DataFrame, id_col: str, text_cols: Sequence[str]) -> DataFrame:
     """Inverted index rows (id, token, pos) with 1-based word positions and
     the row's token count ``n_tokens`` (for ranking)."""
+    from .partitioning import spread
     text = F.concat_ws(" ", *[F.col(c) for c in text_cols])
-    t = df.select(F.col(id_col).alias("id"), tokens_col(text).alias("_t"))
+    t = spread(df).select(F.col(id_col).alias("id"), tokens_col(text).alias("_t"))
     return t.select("id", F.posexplode("_t").alias("_p", "token"), F.size("_t").alias("n_tokens")) \
         .select("id", "token", (F.col("_p") + 1).cast("bigint").alias("pos"),
                 F.col("n_tokens").cast("bigint").alias("n_tokens"))
@@ -140,14 +141,22 @@ def fts_match(index: DataFrame, query: str | WebQuery, universe: DataFrame | Non
 
 # ------------------------------------------------------------------ trigrams
 
+# A 3-gram of a padded word "  w " never has a space in both its 2nd and 3rd
+# position; every substring of the padded text that spans two words does.
+_GRAM_PATTERN = r"(?=(..[^ ]|.[^ ] ))"
+
+
 def trigrams_col(text: Column) -> Column:
     """Distinct trigram set: each lower-cased word padded with two spaces in
-    front and one behind, all 3-character substrings."""
+    front and one behind, all 3-character substrings.
+
+    Built without nested lambdas: the words are joined into one padded text
+    ("  w1   w2 ... wn ") and all overlapping 3-grams are read in one regex
+    pass; the pattern skips the substrings that straddle two words."""
     words = tokens_col(text)
-    padded = F.transform(words, lambda w: F.concat(F.lit("  "), w, F.lit(" ")))
-    grams = F.transform(padded, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - 2),
-                                                       lambda i: F.substring(p, i, 3)))
-    return F.array_distinct(F.flatten(grams))
+    padded = F.concat(F.lit("  "), F.array_join(words, "   "), F.lit(" "))
+    grams = F.regexp_extract_all(padded, F.lit(_GRAM_PATTERN), F.lit(1))
+    return F.when(F.size(words) > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
 def query_trigrams(q: str) -> list[str]:
@@ -167,13 +176,14 @@ def similarity_col(text: Column, query: str) -> Column:
     qa = F.array(*[F.lit(g) for g in q]) if q else F.array().cast("array<string>")
     g = trigrams_col(text)
     inter = F.size(F.array_intersect(g, qa))
-    union = F.size(F.array_union(g, qa))
+    union = F.size(g) + F.lit(len(q)) - inter          # both sets are distinct
     return F.when(union > 0, inter / union).otherwise(F.lit(0.0))
 
 
 def trigram_similarity(df: DataFrame, id_col: str, text_col: str, query: str,
                        threshold: float = DEFAULT_SIMILARITY_THRESHOLD) -> DataFrame:
-    s = df.select(F.col(id_col).alias("id"), similarity_col(F.col(text_col), query).alias("similarity"))
+    from .partitioning import spread
+    s = spread(df).select(F.col(id_col).alias("id"), similarity_col(F.col(text_col), query).alias("similarity"))
     return s.where(F.col("similarity") >= F.lit(threshold))
 
 

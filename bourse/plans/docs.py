@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread
 from .fixtures import table
 
 
@@ -30,44 +31,47 @@ def _as_map(entries: str) -> Column:
 
 def v_doc(spark, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
-    ship = F.to_date("l_shipdate")
-    ship_s = F.date_format(ship, "yyyy-MM-dd")
+    # per-line values computed once (one projection), then aggregated
+    li = spread(table(spark, sf_dir, "lineitem")).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_shipdate",
+        F.col("l_quantity").cast("bigint").alias("qty"),
+        _cents(F.col("l_extendedprice")).alias("ext_c"), _cents(F.col("l_discount")).alias("disc_c"),
+        _cents(F.col("l_tax")).alias("tax_c"),
+        F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd").alias("ship_s"),
+        F.date_format(F.date_add(F.to_date("l_shipdate"), 30), "yyyy-MM-dd").alias("filing_s"),
+        F.date_format(F.date_add(F.to_date("l_shipdate"), 45), "yyyy-MM-dd").alias("report_s"),
+        F.year("l_shipdate").cast("string").alias("year_s"),
+        F.col("l_partkey").cast("string").alias("part_s"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("rkey"))
+    ship_s = F.col("ship_s")
     # line order inside an order: (linenumber, partkey, suppkey, shipdate) is unique
-    rkey = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    base = {"date": ship_s, "filing_date": F.date_format(F.date_add(ship, 30), "yyyy-MM-dd"),
-            "currency_symbol": F.lit("USD")}
+    rkey = F.col("rkey")
+    base = {"date": ship_s, "filing_date": F.col("filing_s"), "currency_symbol": F.lit("USD")}
 
     def rec(**fields):
         return F.struct(*[v.alias(k) for k, v in {**base, **fields}.items()])
 
     lines = li.groupBy("l_orderkey").agg(
         F.collect_list(_keyed(rkey, F.struct(
-            F.col("l_partkey").cast("string").alias("Code"),
-            F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("Name"),
+            F.col("part_s").alias("Code"),
+            F.concat(F.lit("Part "), F.col("part_s")).alias("Name"),
             F.col("l_linestatus").alias("Exchange"),
             F.col("l_returnflag").alias("Sector")))).alias("components"),
         F.collect_list(_keyed(rkey, F.struct(
             F.concat(F.lit("Clerk "), F.col("l_suppkey").cast("string")).alias("Name"),
             F.concat(F.lit("T"), F.col("l_linenumber").cast("string")).alias("Title"),
             (F.lit(1950) + F.col("l_linenumber")).alias("YearBorn")))).alias("officers"),
-        F.collect_list(_keyed(rkey, rec(totalAssets=_cents(F.col("l_extendedprice")),
-                                        totalLiab=F.col("l_quantity").cast("bigint")))).alias("bs"),
-        F.collect_list(_keyed(rkey, rec(totalRevenue=_cents(F.col("l_extendedprice")),
-                                        netIncome=_cents(F.col("l_discount"))))).alias("inc"),
-        F.collect_list(_keyed(rkey, rec(freeCashFlow=_cents(F.col("l_tax"))))).alias("cf"),
-        F.collect_list(_keyed(rkey, F.struct(F.year(ship).cast("string").alias("date"),
-                                             ship_s.alias("dateFormatted"),
-                                             (F.col("l_quantity").cast("bigint") * 1000).alias("shares"))))
-        .alias("os"),
-        F.collect_list(_keyed(rkey, F.struct(F.date_format(F.date_add(ship, 45), "yyyy-MM-dd").alias("reportDate"),
-                                             ship_s.alias("date"),
-                                             F.col("l_quantity").cast("bigint").alias("epsActual"),
+        F.collect_list(_keyed(rkey, rec(totalAssets=F.col("ext_c"), totalLiab=F.col("qty")))).alias("bs"),
+        F.collect_list(_keyed(rkey, rec(totalRevenue=F.col("ext_c"), netIncome=F.col("disc_c")))).alias("inc"),
+        F.collect_list(_keyed(rkey, rec(freeCashFlow=F.col("tax_c")))).alias("cf"),
+        F.collect_list(_keyed(rkey, F.struct(F.col("year_s").alias("date"), ship_s.alias("dateFormatted"),
+                                             (F.col("qty") * 1000).alias("shares")))).alias("os"),
+        F.collect_list(_keyed(rkey, F.struct(F.col("report_s").alias("reportDate"), ship_s.alias("date"),
+                                             F.col("qty").alias("epsActual"),
                                              F.lit("USD").alias("currency")))).alias("eh"),
         F.collect_list(_keyed(rkey, F.struct(ship_s.alias("date"), F.lit("0q").alias("period"),
                                              F.col("l_linenumber").alias("growth")))).alias("et"),
-        F.collect_list(_keyed(rkey, F.struct(ship_s.alias("date"),
-                                             _cents(F.col("l_extendedprice")).alias("epsActual")))).alias("ea"),
+        F.collect_list(_keyed(rkey, F.struct(ship_s.alias("date"), F.col("ext_c").alias("epsActual")))).alias("ea"),
     )
     # The per-order side grows with the data: a shuffle join, never a broadcast.
     j = o.join(lines.hint("shuffle_hash"), o.o_orderkey == lines.l_orderkey, "left")
