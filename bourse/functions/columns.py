@@ -78,3 +78,13 @@ def safe_ratio_minus_one(a: Column, b: Column) -> Column:
 
 def int_flag_to_bool(c: Column) -> Column:
     return F.try_cast(c, "int") != F.lit(0)
+
+
+def reference_quote_source(ticker: Column, ticker_ref: Column, mic: Column, mic_ref: Column,
+                           operating_mic: Column, source: Column, currency: Column) -> tuple[Column, Column]:
+    """``quote_source`` = source when the ticker matches and the venue matches
+    either directly or through its operating venue; the currency is kept only
+    for such rows. Returns (quote_source, currency)."""
+    ok = (ticker == ticker_ref) & ((mic == mic_ref) | (operating_mic == mic_ref))
+    qs = F.when(ok, source)
+    return qs, F.when(qs.isNotNull(), currency)

@@ -460,3 +460,10 @@ FROM (SELECT security_id, composite_figi AS security_uid, min(type) AS type, min
              list_sort(list_distinct(list(name))) AS names,
              list_sort(list_distinct(list(isin) FILTER (WHERE isin IS NOT NULL))) AS isins
       FROM keyed GROUP BY ALL)""", "v_security", "v_figi", extra=_MASTER_CTE)
+
+
+@register("job_security_master", ORACLE["job_security_master_security"])
+def q_job_security_master(spark, sf_dir):
+    """The security table of the master job (its ticker and listing tables
+    are the two ``job_security_master_*`` keys)."""
+    return q_job_security_master_security(spark, sf_dir)
