@@ -21,12 +21,9 @@ def _keyed(key: Column, value: Column) -> Column:
     return F.struct(key.alias("k"), value.alias("v"))
 
 
-def _as_map(entries: str) -> Column:
-    """collect_list of (sort key, value) -> map keyed by position "0", "1",
-    ... in sort-key order (deterministic, unique keys)."""
-    arr = F.array_sort(F.col(entries))
-    return F.map_from_entries(F.transform(arr, lambda x, i: F.struct(i.cast("string").alias("k"),
-                                                                     x["v"].alias("v"))))
+def _as_map(name: str) -> Column:
+    """A section map built per order (see ``v_doc``)."""
+    return F.col(name)
 
 
 def v_doc(spark, sf_dir: str) -> DataFrame:
@@ -43,36 +40,39 @@ def v_doc(spark, sf_dir: str) -> DataFrame:
         F.year("l_shipdate").cast("string").alias("year_s"),
         F.col("l_partkey").cast("string").alias("part_s"),
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("rkey"))
-    ship_s = F.col("ship_s")
-    # line order inside an order: (linenumber, partkey, suppkey, shipdate) is unique
-    rkey = F.col("rkey")
-    base = {"date": ship_s, "filing_date": F.col("filing_s"), "currency_symbol": F.lit("USD")}
-
-    def rec(**fields):
-        return F.struct(*[v.alias(k) for k, v in {**base, **fields}.items()])
-
+    # ONE sorted list of line records per order; every section of the document
+    # is a positional map ("0", "1", ...) derived from it
+    fields = ["l_partkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag", "qty", "ext_c",
+              "disc_c", "tax_c", "ship_s", "filing_s", "report_s", "year_s", "part_s"]
     lines = li.groupBy("l_orderkey").agg(
-        F.collect_list(_keyed(rkey, F.struct(
-            F.col("part_s").alias("Code"),
-            F.concat(F.lit("Part "), F.col("part_s")).alias("Name"),
-            F.col("l_linestatus").alias("Exchange"),
-            F.col("l_returnflag").alias("Sector")))).alias("components"),
-        F.collect_list(_keyed(rkey, F.struct(
-            F.concat(F.lit("Clerk "), F.col("l_suppkey").cast("string")).alias("Name"),
-            F.concat(F.lit("T"), F.col("l_linenumber").cast("string")).alias("Title"),
-            (F.lit(1950) + F.col("l_linenumber")).alias("YearBorn")))).alias("officers"),
-        F.collect_list(_keyed(rkey, rec(totalAssets=F.col("ext_c"), totalLiab=F.col("qty")))).alias("bs"),
-        F.collect_list(_keyed(rkey, rec(totalRevenue=F.col("ext_c"), netIncome=F.col("disc_c")))).alias("inc"),
-        F.collect_list(_keyed(rkey, rec(freeCashFlow=F.col("tax_c")))).alias("cf"),
-        F.collect_list(_keyed(rkey, F.struct(F.col("year_s").alias("date"), ship_s.alias("dateFormatted"),
-                                             (F.col("qty") * 1000).alias("shares")))).alias("os"),
-        F.collect_list(_keyed(rkey, F.struct(F.col("report_s").alias("reportDate"), ship_s.alias("date"),
-                                             F.col("qty").alias("epsActual"),
-                                             F.lit("USD").alias("currency")))).alias("eh"),
-        F.collect_list(_keyed(rkey, F.struct(ship_s.alias("date"), F.lit("0q").alias("period"),
-                                             F.col("l_linenumber").alias("growth")))).alias("et"),
-        F.collect_list(_keyed(rkey, F.struct(ship_s.alias("date"), F.col("ext_c").alias("epsActual")))).alias("ea"),
-    )
+        F.array_sort(F.collect_list(F.struct("rkey", *fields))).alias("ls"))
+
+    def section(build):
+        return F.map_from_entries(F.transform("ls", lambda x, i: F.struct(i.cast("string").alias("k"),
+                                                                         build(x).alias("v"))))
+
+    def rec(x, **extra):
+        return F.struct(x["ship_s"].alias("date"), x["filing_s"].alias("filing_date"),
+                        F.lit("USD").alias("currency_symbol"), *[v.alias(k) for k, v in extra.items()])
+
+    sections = {
+        "components": lambda x: F.struct(x["part_s"].alias("Code"), F.concat(F.lit("Part "), x["part_s"]).alias("Name"),
+                                         x["l_linestatus"].alias("Exchange"), x["l_returnflag"].alias("Sector")),
+        "officers": lambda x: F.struct(F.concat(F.lit("Clerk "), x["l_suppkey"].cast("string")).alias("Name"),
+                                       F.concat(F.lit("T"), x["l_linenumber"].cast("string")).alias("Title"),
+                                       (F.lit(1950) + x["l_linenumber"]).alias("YearBorn")),
+        "bs": lambda x: rec(x, totalAssets=x["ext_c"], totalLiab=x["qty"]),
+        "inc": lambda x: rec(x, totalRevenue=x["ext_c"], netIncome=x["disc_c"]),
+        "cf": lambda x: rec(x, freeCashFlow=x["tax_c"]),
+        "os": lambda x: F.struct(x["year_s"].alias("date"), x["ship_s"].alias("dateFormatted"),
+                                 (x["qty"] * 1000).alias("shares")),
+        "eh": lambda x: F.struct(x["report_s"].alias("reportDate"), x["ship_s"].alias("date"),
+                                 x["qty"].alias("epsActual"), F.lit("USD").alias("currency")),
+        "et": lambda x: F.struct(x["ship_s"].alias("date"), F.lit("0q").alias("period"),
+                                 x["l_linenumber"].alias("growth")),
+        "ea": lambda x: F.struct(x["ship_s"].alias("date"), x["ext_c"].alias("epsActual")),
+    }
+    lines = lines.select("l_orderkey", *[section(b).alias(n) for n, b in sections.items()])
     # The per-order side grows with the data: a shuffle join, never a broadcast.
     j = o.join(lines.hint("shuffle_hash"), o.o_orderkey == lines.l_orderkey, "left")
     k = F.col("o_orderkey")
