@@ -1,7 +1,7 @@
 """Fundamental documents -> long-form metric rows.
 
-One parse of the documents feeds every category; each category is a small
-projection + explode over the parsed column, and ``fund_all`` unions them.
+One parse of the documents feeds every category; each category is an array
+of metric rows per document, and ``fund_all`` explodes all of them at once.
 """
 
 from __future__ import annotations
@@ -130,75 +130,69 @@ def parsed_common_stock(docs: DataFrame, text_col: str = "doc_text", columns=Non
     return base.select(*out)
 
 
-def fund_general(p: DataFrame) -> DataFrame:
-    return N.struct_to_metrics(p, "General", "general", GENERAL_FIELDS, ID_COLS, nested={"AddressData": ADDRESS_FIELDS})
-
-
-def fund_listing(p: DataFrame, legacy_metric_name: bool = False) -> DataFrame:
-    # The reference labels this metric "people" (defect D3); "listing" here.
-    return N.nested_to_json_value(p, "Listings", "people" if legacy_metric_name else "listing", "general",
-                                  LISTING_FIELDS, ID_COLS)
-
-
-def fund_people(p: DataFrame) -> DataFrame:
-    return N.nested_to_json_value(p, "Officers", "people", "general", PEOPLE_FIELDS, ID_COLS)
-
-
-def _both(p, y, q, category, **kw):
-    return N.records_to_metrics(p, [(y, "yearly"), (q, "quarterly")], category, id_cols=ID_COLS, **kw)
-
-
-def fund_balance_sheet(p):
-    return _both(p, "bs_y", "bs_q", "balance_sheet")
-
-
-def fund_income_statement(p):
-    return _both(p, "is_y", "is_q", "income_statement")
-
-
-def fund_cash_flow(p):
-    return _both(p, "cf_y", "cf_q", "cash_flow_statement")
-
-
-def fund_outstanding_shares(p):
-    return _both(p, "os_y", "os_q", "outstanding_shares", date_key="dateFormatted",
-                 fields=SHARE_OUTSTANDING_FIELDS)
-
-
-def fund_earning_history(p):
-    return N.records_to_metrics(p, "eh", "earning_history", "quarterly", published_key="reportDate", id_cols=ID_COLS)
-
-
-def fund_earning_trend(p):
-    return N.records_to_metrics(p, "et", "earning_trend", "quarterly", id_cols=ID_COLS)
-
-
-def fund_earning_per_share(p):
-    return N.records_to_metrics(p, "ea", "earning_per_share", "yearly", id_cols=ID_COLS)
-
-
-def fund_highlight(p):
-    return N.struct_to_metrics(p, "Highlights", "highlight", HIGHLIGHT_FIELDS, ID_COLS)
-
-
-def fund_valuation(p):
-    return N.struct_to_metrics(p, "Valuation", "valuation", VALUATION_FIELDS, ID_COLS)
-
-
-def fund_share_stat(p):
-    return N.struct_to_metrics(p, "SharesStats", "share_stat", SHARE_STAT_FIELDS, ID_COLS)
+# Each category is an array column of metric rows per document; a category
+# frame is that array exploded, and ``fund_all`` explodes the concatenation
+# of all sixteen in ONE pass (no union of separate scans, no shuffle).
+
+def _c(name):
+    return F.col(name)
+
+
+ARRAYS = {
+    "fund_general": lambda: N.struct_metric_array(_c("General"), "general", GENERAL_FIELDS,
+                                                  {"AddressData": ADDRESS_FIELDS}),
+    "fund_listing": lambda: N.json_value_metric_array(_c("Listings"), "listing", "general", LISTING_FIELDS),
+    "fund_people": lambda: N.json_value_metric_array(_c("Officers"), "people", "general", PEOPLE_FIELDS),
+    "fund_balance_sheet": lambda: N.records_metric_array([(_c("bs_y"), "yearly"), (_c("bs_q"), "quarterly")],
+                                                         "balance_sheet"),
+    "fund_income_statement": lambda: N.records_metric_array([(_c("is_y"), "yearly"), (_c("is_q"), "quarterly")],
+                                                            "income_statement"),
+    "fund_cash_flow": lambda: N.records_metric_array([(_c("cf_y"), "yearly"), (_c("cf_q"), "quarterly")],
+                                                     "cash_flow_statement"),
+    "fund_outstanding_shares": lambda: N.records_metric_array(
+        [(_c("os_y"), "yearly"), (_c("os_q"), "quarterly")], "outstanding_shares", date_key="dateFormatted",
+        fields=SHARE_OUTSTANDING_FIELDS),
+    "fund_earning_history": lambda: N.records_metric_array([(_c("eh"), "quarterly")], "earning_history",
+                                                           published_key="reportDate"),
+    "fund_earning_trend": lambda: N.records_metric_array([(_c("et"), "quarterly")], "earning_trend"),
+    "fund_earning_per_share": lambda: N.records_metric_array([(_c("ea"), "yearly")], "earning_per_share"),
+    "fund_highlight": lambda: N.struct_metric_array(_c("Highlights"), "highlight", HIGHLIGHT_FIELDS),
+    "fund_valuation": lambda: N.struct_metric_array(_c("Valuation"), "valuation", VALUATION_FIELDS),
+    "fund_share_stat": lambda: N.struct_metric_array(_c("SharesStats"), "share_stat", SHARE_STAT_FIELDS),
+    "fund_technical": lambda: N.struct_metric_array(_c("Technicals"), "technical", TECHNICAL_FIELDS),
+    "fund_dividend": lambda: N.struct_metric_array(_c("SplitsDividends"), "dividend", DIVIDEND_FIELDS),
+    "fund_share_split": lambda: N.struct_metric_array(_c("SplitsDividends"), "share_split", SHARE_SPLIT_FIELDS),
+}
 
 
-def fund_technical(p):
-    return N.struct_to_metrics(p, "Technicals", "technical", TECHNICAL_FIELDS, ID_COLS)
+def _category(name):
+    def fn(p: DataFrame) -> DataFrame:
+        return N.explode_metrics(p, ARRAYS[name](), ID_COLS)
+    fn.__name__ = name
+    return fn
 
 
-def fund_dividend(p):
-    return N.struct_to_metrics(p, "SplitsDividends", "dividend", DIVIDEND_FIELDS, ID_COLS)
+fund_general = _category("fund_general")
+fund_people = _category("fund_people")
+fund_balance_sheet = _category("fund_balance_sheet")
+fund_income_statement = _category("fund_income_statement")
+fund_cash_flow = _category("fund_cash_flow")
+fund_outstanding_shares = _category("fund_outstanding_shares")
+fund_earning_history = _category("fund_earning_history")
+fund_earning_trend = _category("fund_earning_trend")
+fund_earning_per_share = _category("fund_earning_per_share")
+fund_highlight = _category("fund_highlight")
+fund_valuation = _category("fund_valuation")
+fund_share_stat = _category("fund_share_stat")
+fund_technical = _category("fund_technical")
+fund_dividend = _category("fund_dividend")
+fund_share_split = _category("fund_share_split")
 
 
-def fund_share_split(p):
-    return N.struct_to_metrics(p, "SplitsDividends", "share_split", SHARE_SPLIT_FIELDS, ID_COLS)
+def fund_listing(p: DataFrame, legacy_metric_name: bool = False) -> DataFrame:
+    # The reference labels this metric "people" (defect D3); "listing" here.
+    name = "people" if legacy_metric_name else "listing"
+    return N.explode_metrics(p, N.json_value_metric_array(_c("Listings"), name, "general", LISTING_FIELDS), ID_COLS)
 
 
 # Parsed columns each category reads.
@@ -236,17 +230,10 @@ def fund_category(docs: DataFrame, name: str, text_col: str = "doc_text") -> Dat
     return CATEGORIES[name](parsed_common_stock(docs, text_col, SECTIONS[name]))
 
 
-def fund_all(docs: DataFrame, text_col: str = "doc_text", stage_path: str | None = None) -> DataFrame:
-    """All categories of all common-stock documents, one frame.
-
-    The documents are parsed ONCE: the parsed frame is written to a table in
-    the shared checkpoint folder (``stage_path``, derived from the session
-    when not given) and the sixteen reshapes read it back, instead of sixteen
-    parses of the same text. The written table also cuts the lineage, so a
-    lost executor does not re-run the parse."""
-    from ..session import scratch_path
-    spark = docs.sparkSession
-    path = stage_path or scratch_path(spark, "fund-parsed")
-    parsed_common_stock(docs, text_col).write.mode("overwrite").parquet(path)
-    p = spark.read.parquet(path)
-    return reduce(lambda a, b: a.unionByName(b), [f(p) for f in CATEGORIES.values()])
+def fund_all(docs: DataFrame, text_col: str = "doc_text") -> DataFrame:
+    """All categories of all common-stock documents, one frame: the
+    documents are parsed once and every category's metric rows are
+    concatenated per document and exploded in one pass."""
+    p = parsed_common_stock(docs, text_col)
+    everything = F.concat(*[ARRAYS[k]() for k in CATEGORIES])
+    return N.explode_metrics(p, everything, ID_COLS)

@@ -46,13 +46,77 @@ def map_get(m: Column, key: str) -> Column:
     return F.try_element_at(m, F.lit(key))
 
 
-def _null_metric_cols(category: str) -> list[Column]:
-    return [
-        F.lit(None).cast("string").alias("currency"),
-        F.lit(None).cast("date").alias("period"),
-        F.lit(None).cast("string").alias("period_type"),
-        F.lit(None).cast("date").alias("published_at"),
-    ]
+METRIC_TYPE = ("array<struct<category:string,metric:string,value:string,currency:string,period:date,"
+               "period_type:string,published_at:date>>")
+
+
+def _metric(category, metric, value, currency=None, period=None, period_type=None, published=None) -> Column:
+    def lit_or(c, t):
+        return c.cast(t) if c is not None else F.lit(None).cast(t)
+    return F.struct(F.lit(category).alias("category"), (F.lit(metric) if isinstance(metric, str) else metric)
+                    .alias("metric"), lit_or(value, "string").alias("value"),
+                    lit_or(currency, "string").alias("currency"), lit_or(period, "date").alias("period"),
+                    lit_or(period_type, "string").alias("period_type"),
+                    lit_or(published, "date").alias("published_at"))
+
+
+def _or_empty(arr: Column) -> Column:
+    return F.coalesce(arr, F.array().cast(METRIC_TYPE))
+
+
+def struct_metric_array(m: Column, category: str, fields: Sequence[str] | None = None,
+                        nested: dict[str, Sequence[str]] | None = None) -> Column:
+    """Metric rows of one object as an array column (empty when the object
+    is missing or empty). See ``struct_to_metrics``."""
+    nested = nested or {}
+    if fields is None:
+        arr = F.transform(F.map_entries(m), lambda e: _metric(category, e["key"], e["value"]))
+    else:
+        items = []
+        for f in fields:
+            if f in nested:
+                sub = F.from_json(map_get(m, f), "map<string,string>")
+                items += [_metric(category, s, map_get(sub, s)) for s in nested[f]]
+            else:
+                items.append(_metric(category, f, map_get(m, f)))
+        arr = F.array(*items)
+    return _or_empty(F.when(m.isNotNull() & (F.size(m) > 0), arr))
+
+
+def records_metric_array(parts: Sequence[tuple[Column, str]], category: str, date_key: str = "date",
+                         published_key: str = "filing_date", id_keys: Sequence[str] = ("currency_symbol",),
+                         fields: Sequence[str] | None = None) -> Column:
+    """Metric rows of maps of dated records, as one array column."""
+    skip = list({date_key, published_key, *id_keys})
+
+    def rows_of(rec: Column, pt: str) -> Column:
+        d = try_parse_date(map_get(rec, date_key), "yyyy-MM-dd")
+        period = F.trunc(d, GRAIN.get(pt, "year"))
+        pub = try_parse_date(map_get(rec, published_key), "yyyy-MM-dd")
+        cur = map_get(rec, "currency_symbol")
+        if fields is None:
+            entries = F.map_entries(F.map_filter(rec, lambda k, v: ~k.isin(skip)))
+            return F.transform(entries, lambda e: _metric(category, e["key"], e["value"], cur, period, F.lit(pt), pub))
+        return F.array(*[_metric(category, f, map_get(rec, f), cur, period, F.lit(pt), pub)
+                         for f in fields if f not in skip])
+
+    def per_record(pt: str):
+        return lambda r: rows_of(r, pt)      # one-argument lambda (transform counts parameters)
+
+    arrays = [_or_empty(F.flatten(F.transform(F.map_values(m), per_record(pt)))) for m, pt in parts]
+    return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+
+
+def json_value_metric_array(m: Column, metric: str, category: str, fields: Sequence[str]) -> Column:
+    """One metric whose value is the JSON array of the map's records."""
+    arr = F.transform(F.map_values(m), lambda x: F.struct(*[map_get(x, f).alias(f) for f in fields]))
+    return _or_empty(F.when(m.isNotNull() & (F.size(m) > 0),
+                            F.array(_metric(category, metric, F.to_json(arr, {"ignoreNullFields": "false"})))))
+
+
+def explode_metrics(df: DataFrame, arr: Column, id_cols: Sequence[str] = ()) -> DataFrame:
+    """Array of metric rows -> long form (one ``inline``; no shuffle)."""
+    return df.select(F.inline(arr), *id_cols)
 
 
 def struct_to_metrics(df: DataFrame, map_col: str, category: str, fields: Sequence[str] | None = None,
@@ -65,22 +129,7 @@ def struct_to_metrics(df: DataFrame, map_col: str, category: str, fields: Sequen
     place (``AddressData`` -> Street, City, ...). Rows are emitted even when
     the value is NULL. Documents lacking the object emit nothing.
     """
-    m = F.col(map_col)
-    nested = nested or {}
-    if fields is None:
-        pairs = F.map_entries(m)
-        body = df.where(m.isNotNull()).select(*id_cols, F.inline(pairs).alias("metric", "value"))
-    else:
-        items = []
-        for f in fields:
-            if f in nested:
-                sub = F.from_json(map_get(m, f), "map<string,string>")
-                items += [F.struct(F.lit(s).alias("metric"), map_get(sub, s).alias("value")) for s in nested[f]]
-            else:
-                items.append(F.struct(F.lit(f).alias("metric"), map_get(m, f).alias("value")))
-        body = df.where(m.isNotNull() & (F.size(m) > 0)).select(*id_cols, F.inline(F.array(*items)))
-    return body.select(F.lit(category).alias("category"), "metric", F.col("value").cast("string").alias("value"),
-                       *_null_metric_cols(category), *id_cols)
+    return explode_metrics(df, struct_metric_array(F.col(map_col), category, fields, nested), id_cols)
 
 
 def records_to_metrics(df: DataFrame, map_col, category: str, period_type: str | None = None,
@@ -92,42 +141,18 @@ def records_to_metrics(df: DataFrame, map_col, category: str, period_type: str |
     and publication date. The record's id keys are not metrics.
 
     ``map_col`` may be one column (with ``period_type``) or a list of
-    (column, period_type) pairs, which are reshaped in ONE pass over ``df``
-    (no union of separate scans)."""
+    (column, period_type) pairs; all are reshaped in ONE pass over ``df``."""
     parts = [(map_col, period_type)] if isinstance(map_col, str) else list(map_col)
-    skip = {date_key, published_key, *id_keys}
-    rec = F.col("_rec")
-    tagged = F.array(*[F.struct(F.lit(pt).alias("pt"), F.col(c).alias("m")) for c, pt in parts])
-    ex = (df.select(*id_cols, F.explode(tagged).alias("_p"))
-          .where(F.col("_p.m").isNotNull())
-          .select(*id_cols, F.col("_p.pt").alias("period_type"), F.explode(F.map_values("_p.m")).alias("_rec")))
-    if fields is None:
-        metrics = F.map_entries(F.map_filter(rec, lambda k, v: ~k.isin(list(skip))))
-    else:
-        metrics = F.array(*[F.struct(F.lit(f).alias("key"), map_get(rec, f).alias("value"))
-                            for f in fields if f not in skip])
-    d = try_parse_date(map_get(rec, date_key), "yyyy-MM-dd")
-    period = F.when(F.col("period_type") == "quarterly", F.trunc(d, "quarter")).otherwise(F.trunc(d, "year"))
-    return ex.select(
-        *id_cols, "period_type",
-        map_get(rec, "currency_symbol").alias("currency"),
-        period.alias("period"),
-        try_parse_date(map_get(rec, published_key), "yyyy-MM-dd").alias("published_at"),
-        F.inline(metrics).alias("metric", "value"),
-    ).select(F.lit(category).alias("category"), "metric", F.col("value").cast("string").alias("value"),
-             "currency", "period", "period_type", "published_at", *id_cols)
+    arr = records_metric_array([(F.col(c), pt) for c, pt in parts], category, date_key, published_key, id_keys,
+                               fields)
+    return explode_metrics(df, arr, id_cols)
 
 
 def nested_to_json_value(df: DataFrame, map_col: str, metric: str, category: str, fields: Sequence[str],
                          id_cols: Sequence[str] = ()) -> DataFrame:
     """A map of records kept as ONE metric whose value is a JSON array of
     the records, each projected to ``fields`` (NULL fields kept)."""
-    m = F.col(map_col)
-    arr = F.transform(F.map_values(m), lambda x: F.struct(*[map_get(x, f).alias(f) for f in fields]))
-    return df.where(m.isNotNull() & (F.size(m) > 0)).select(
-        F.lit(category).alias("category"), F.lit(metric).alias("metric"),
-        F.to_json(arr, {"ignoreNullFields": "false"}).alias("value"),
-        *_null_metric_cols(category), *id_cols)
+    return explode_metrics(df, json_value_metric_array(F.col(map_col), metric, category, fields), id_cols)
 
 
 def map_values_explode(df: DataFrame, map_col: str, keep: Sequence[Column | str] = ()) -> DataFrame:

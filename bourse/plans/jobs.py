@@ -83,13 +83,13 @@ def job_quote_performance(quotes: DataFrame, as_of) -> DataFrame:
     return TS.performance_asof(quotes, as_of)
 
 
-def job_fundamental(docs: DataFrame, text_col: str = "doc_text", exchanges: Sequence[str] | None = None,
-                    stage_path: str | None = None) -> DataFrame:
+def job_fundamental(docs: DataFrame, text_col: str = "doc_text", exchanges: Sequence[str] | None = None
+                    ) -> DataFrame:
     """Documents -> common stock only -> all metric frames -> one table;
     optionally restricted to preset exchanges (the grouped variants); the
     write is a dynamic overwrite by exchange so groups do not erase each
     other."""
-    out = FU.fund_all(docs, text_col, stage_path)
+    out = FU.fund_all(docs, text_col)
     if exchanges is not None:
         out = out.where(F.col("exchange_code").isin(list(exchanges)))
     return out
