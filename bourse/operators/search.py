@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.predicates import filter_set_predicate
@@ -102,41 +103,45 @@ def parse_websearch(q: str) -> WebQuery:
     return WebQuery([g for g in groups if g])
 
 
-def _term_hits(index: DataFrame, term: Term, idx: int) -> DataFrame:
-    """(id, term_idx) for rows containing the word / phrase."""
-    first = index.where(F.col("token") == F.lit(term.words[0])).select("id", F.col("pos").alias("_p0"))
-    cur = first
-    for k, w in enumerate(term.words[1:], start=1):
-        nxt = index.where(F.col("token") == F.lit(w)).select(F.col("id").alias("_id"), F.col("pos").alias("_pk"))
-        cur = cur.join(nxt, (cur.id == nxt._id) & (nxt._pk == cur._p0 + F.lit(k)), "inner").select("id", "_p0")
-    return cur.select("id").distinct().withColumn("term_idx", F.lit(idx))
+def _term_at(term: Term) -> Column:
+    """True on the index row where ``term`` starts: the word itself, or for a
+    phrase the first word followed by the next ones at consecutive positions
+    (``lead`` over the query-word rows of the same id, ordered by position;
+    every phrase word is a query word, so it is among those rows)."""
+    w = W.partitionBy("id").orderBy("pos")
+    cond = F.col("token") == F.lit(term.words[0])
+    for k, word in enumerate(term.words[1:], start=1):
+        cond = cond & (F.lead("token", k).over(w) == F.lit(word)) & (F.lead("pos", k).over(w) == F.col("pos") + k)
+    return cond
 
 
 def fts_match(index: DataFrame, query: str | WebQuery, universe: DataFrame | None = None) -> DataFrame:
     """Ids whose text satisfies the web-search query; with ``rank`` (number
     of positive query-word occurrences per token of the row, a documented
-    approximation of cover density)."""
+    approximation of cover density).
+
+    One filter of the index to the query words, one window per id over those
+    rows (phrases), one aggregation per id: no join per term."""
     wq = parse_websearch(query) if isinstance(query, str) else query
     terms = wq.terms()
     if not terms:
         return index.sparkSession.createDataFrame([], "id bigint, rank double")
     hits = index.where(F.col("token").isin(wq.all_words()))
-    per_term = reduce(lambda a, b: a.unionByName(b), [_term_hits(hits, t, i) for i, t in enumerate(terms)])
-    have = per_term.groupBy("id").agg(F.collect_set("term_idx").alias("_have"))
+    flagged = hits.select("id", "token", "n_tokens", *[_term_at(t).alias(f"_t{i}") for i, t in enumerate(terms)])
+    pos_words = wq.positive_words()
+    have = flagged.groupBy("id").agg(
+        *[F.max(F.col(f"_t{i}").cast("int")).alias(f"_t{i}") for i in range(len(terms))],
+        (F.count_if(F.col("token").isin(pos_words)) / F.max("n_tokens")).alias("rank"))
     needs_universe = any(all(t.negated for t in g) for g in wq.groups)
     if needs_universe and universe is not None:
-        have = universe.select("id").distinct().join(have, "id", "left").withColumn(
-            "_have", F.coalesce(F.col("_have"), F.array().cast("array<int>")))
+        have = universe.select("id").distinct().join(have, "id", "left")
 
     def present(t: Term) -> Column:
-        return F.array_contains(F.col("_have"), F.lit(terms.index(next(o for o in terms if o.words == t.words))))
+        i = next(j for j, o in enumerate(terms) if o.words == t.words)
+        return F.coalesce(F.col(f"_t{i}"), F.lit(0)) == 1
 
     groups = [reduce(lambda a, b: a & b, [(~present(t) if t.negated else present(t)) for t in g]) for g in wq.groups]
-    matched = have.where(reduce(lambda a, b: a | b, groups)).select("id")
-    pos_words = wq.positive_words()
-    score = (hits.where(F.col("token").isin(pos_words)) if pos_words else hits.limit(0)).groupBy("id").agg(
-        (F.count(F.lit(1)) / F.max("n_tokens")).alias("rank"))
-    return matched.join(score, "id", "left").select("id", F.coalesce("rank", F.lit(0.0)).alias("rank"))
+    return have.where(reduce(lambda a, b: a | b, groups)).select("id", F.coalesce("rank", F.lit(0.0)).alias("rank"))
 
 
 # ------------------------------------------------------------------ trigrams
