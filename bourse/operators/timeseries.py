@@ -74,25 +74,28 @@ def performance_asof(q: DataFrame, as_of, keys: Sequence[str] = KEYS, date_col:
     before each period's date; performance = base / reference - 1.
 
     Keys without a reference quote for a period get no row for it (inner-join
-    semantics). One shuffle, no join.
-    """
+    semantics). One shuffle, no join. Every aggregate has a fixed-width
+    buffer (``max`` of a date, ``max_by`` of a double by a date), so Spark
+    plans a hash aggregation with map-side partial results."""
     asof = as_date_col(as_of)
     periods = periods or _asof_periods(asof)
     d, v = F.col(date_col), F.col(value_col)
     src = q.select(*keys, date_col, value_col).where(d <= asof)
-    aggs = [F.max_by(F.struct(d.alias("d"), v.alias("v")), d).alias("_base")]
-    aggs += [_last_on_or_before(d, v, ref).alias(f"_r{i}") for i, (_, ref) in enumerate(periods)]
+    aggs = [F.max(d).alias("_bd"), F.max_by(v, d).alias("_bv")]
+    for i, (_, ref) in enumerate(periods):
+        cond = d <= ref
+        aggs += [F.max(F.when(cond, d)).alias(f"_rd{i}"), F.max_by(F.when(cond, v), F.when(cond, d)).alias(f"_rv{i}")]
     g = src.groupBy(*keys).agg(*aggs)
-    per = F.array(*[F.struct(F.lit(name).alias("period"), F.col(f"_r{i}").alias("ref"))
+    per = F.array(*[F.struct(F.lit(name).alias("period"), F.col(f"_rd{i}").alias("rd"), F.col(f"_rv{i}").alias("rv"))
                     for i, (name, _) in enumerate(periods)])
-    long = g.select(*keys, "_base", F.inline(per)).where(F.col("ref").isNotNull())
+    long = g.select(*keys, "_bd", "_bv", F.inline(per)).where(F.col("rd").isNotNull())
     return long.select(
         *keys,
-        F.col("_base.d").alias("base_date"),
-        F.col("_base.v").alias("base_close"),
-        F.col("ref.d").alias("reference_date"),
-        F.col("ref.v").alias("reference_close"),
-        (F.try_divide(F.col("_base.v"), F.col("ref.v")) - F.lit(1.0)).alias("performance"),
+        F.col("_bd").alias("base_date"),
+        F.col("_bv").alias("base_close"),
+        F.col("rd").alias("reference_date"),
+        F.col("rv").alias("reference_close"),
+        (F.try_divide(F.col("_bv"), F.col("rv")) - F.lit(1.0)).alias("performance"),
         "period",
     )
 
