@@ -275,3 +275,27 @@ def asof_join_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], l
                .where(F.col("_side") == 1))
     return scanned.select("_left.*", *[F.col("_hit")[c].alias(c) for c in right_cols],
                           F.col("_hit._t").alias(f"{right_on}_matched"))
+
+
+def performance_exact_plain(q: DataFrame, base_date, as_of=None, keys: Sequence[str] = KEYS,
+                            date_col: str = "date", value_col: str = "adjusted_close", years: int = 10,
+                            days: int = 10) -> DataFrame:
+    """The reference's plain form, kept as a baseline for measurements only:
+    densify every key over the whole calendar, fill each day from the last
+    earlier value, then look up each period's reference day with an equi
+    join. ``performance_exact`` gives the same rows without the calendar."""
+    b = as_date_col(base_date)
+    end = as_date_col(as_of) if as_of is not None else F.date_add(b, 1)
+    start, _ = calendar_bounds(end, years, days)
+    dense = calendar_densify(q, start, end, keys, date_col, [value_col])
+    w = W.partitionBy(*keys).orderBy(date_col).rowsBetween(W.unboundedPreceding, 0)
+    filled = dense.select(*keys, date_col, F.last(value_col, ignorenulls=True).over(w).alias("close"))
+    base = filled.where(F.col(date_col) == b).select(*keys, F.col("close").alias("base_close"))
+    per = base.select(*keys, "base_close", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("period"), r.alias("_ref")) for n, r in _exact_periods(b)])))
+    ref = filled.select(*keys, F.col(date_col).alias("_ref"), F.col("close").alias("reference_close"))
+    j = per.join(ref.hint("merge"), [*keys, "_ref"], "left")     # the dense side grows with the data
+    return j.select(*keys, b.alias("base_date"),
+                    F.when(F.col("reference_close").isNotNull() | (F.col("_ref") >= start), F.col("_ref"))
+                    .alias("reference_date"), "base_close", "reference_close", "period",
+                    (F.try_divide(F.col("base_close"), F.col("reference_close")) - F.lit(1.0)).alias("performance"))
