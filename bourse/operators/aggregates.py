@@ -80,11 +80,15 @@ def collect_aliases(df: DataFrame, key: str, name_col: str = "name", isin_col: s
     )
 
 
-def group_to_batches(df: DataFrame, group_cols: Sequence[str], item_cols: Sequence[str]) -> DataFrame:
-    """One row per group with its items as a sorted list of structs; groups
-    without items do not appear. Used for request fan-out lists (small)."""
+def group_to_batches(df: DataFrame, group_cols: Sequence[str], item_cols: Sequence[str],
+                     max_items: int = 10_000) -> DataFrame:
+    """Request fan-out lists: per group, its items as sorted lists of at most
+    ``max_items`` structs (``batch`` = 0, 1, ... in item order). A group that
+    holds a third of all rows becomes many bounded rows instead of one
+    unbounded list; groups without items do not appear."""
     item = F.struct(*[F.col(c) for c in item_cols])
-    return df.groupBy(*group_cols).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    numbered = slice_batches(df, max_items, list(item_cols), partition_by=list(group_cols), batch_col="batch")
+    return numbered.groupBy(*group_cols, "batch").agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
 def slice_batches(df: DataFrame, n: int, order: Sequence[str], partition_by: Sequence[str] = (),
@@ -99,8 +103,14 @@ def slice_batches(df: DataFrame, n: int, order: Sequence[str], partition_by: Seq
     """
     from .keys import global_row_index
     if partition_by:
-        w = W.partitionBy(*partition_by).orderBy(*order)
-        return df.withColumn(batch_col, F.floor((F.row_number().over(w) - 1) / n).cast("bigint"))
+        # index within the group = global index over (group, order) minus the
+        # group's first index: range partitioning splits a hot group across
+        # tasks, where a window per group would put it in one task
+        idx = global_row_index(df, [*partition_by, *order], "_rn")
+        starts = idx.groupBy(*partition_by).agg(F.min("_rn").alias("_start"))
+        j = idx.join(starts, [*partition_by], "inner")
+        return j.withColumn(batch_col, F.floor((F.col("_rn") - F.col("_start")) / n).cast("bigint")) \
+            .drop("_rn", "_start").select(*df.columns, batch_col)
     idx = global_row_index(df, order, "_rn")
     return idx.withColumn(batch_col, F.floor(F.col("_rn") / n).cast("bigint")).drop("_rn")
 

@@ -280,9 +280,10 @@ def q_row_to_json(spark, sf_dir):
                                       {"ignoreNullFields": "false"}).alias("row_json"))
 
 
-@register("json_array_agg", with_views("""
-SELECT exchange_code, CAST(to_json(list(code ORDER BY code)) AS VARCHAR) AS codes
-FROM v_security GROUP BY exchange_code""", "v_security"))
+@register("json_array_agg", """
+SELECT l_orderkey, CAST(to_json(list(l_partkey ORDER BY l_partkey)) AS VARCHAR) AS parts
+FROM lineitem GROUP BY l_orderkey""")
 def q_json_array_agg(spark, sf_dir):
-    s = v_security(spark, sf_dir)
-    return s.groupBy("exchange_code").agg(F.to_json(F.array_sort(F.collect_list("code"))).alias("codes"))
+    # one JSON array per order (an order has a bounded number of lines)
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_orderkey").agg(F.to_json(F.array_sort(F.collect_list("l_partkey"))).alias("parts"))

@@ -350,12 +350,14 @@ def q_collect_aliases(spark, sf_dir):
 
 
 @register("group_to_batches", with_views("""
-SELECT exchange_code, type, count(*) AS n_items,
-       array_to_string(list_sort(list(code)), ',') AS codes
-FROM v_security GROUP BY exchange_code, type""", "v_security"))
+SELECT exchange_code, type, batch, count(*) AS n_items, array_to_string(list_sort(list(code)), ',') AS codes
+FROM (SELECT exchange_code, type, code,
+             CAST((row_number() OVER (PARTITION BY exchange_code, type ORDER BY code) - 1) // 5 AS BIGINT) AS batch
+      FROM v_security)
+GROUP BY exchange_code, type, batch""", "v_security"))
 def q_group_to_batches(spark, sf_dir):
-    b = A.group_to_batches(_sec(spark, sf_dir), ["exchange_code", "type"], ["code"])
-    return b.select("exchange_code", "type", F.size("items").cast("bigint").alias("n_items"),
+    b = A.group_to_batches(_sec(spark, sf_dir), ["exchange_code", "type"], ["code"], max_items=5)
+    return b.select("exchange_code", "type", "batch", F.size("items").cast("bigint").alias("n_items"),
                     F.array_join(F.transform("items", lambda x: x["code"]), ",").alias("codes"))
 
 
