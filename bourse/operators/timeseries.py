@@ -147,17 +147,13 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
     o, v = F.col(order_col), F.col(value_col)
     seg = F.year(o).alias("_seg")
     base = df.withColumn("_seg", seg)
-    summary = (
-        base.where(v.isNotNull())
-        .groupBy(*keys, "_seg")
-        .agg(F.max_by(v, o).alias("_seg_last"))
-    )
-    # One row per (key, year) that has rows; the carry is the last non-null
-    # value of the key's earlier years (a window over years, not over rows).
-    segs = base.select(*keys, "_seg").distinct()
+    # One row per (key, year) that has rows, with the year's last non-null
+    # value (NULL when it has none); the carry is the last such value of the
+    # key's earlier years (a window over years, not over rows).
+    summary = base.groupBy(*keys, "_seg").agg(
+        F.max_by(v, F.when(v.isNotNull(), o)).alias("_seg_last"))
     carry_w = W.partitionBy(*keys).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
-    grid = segs.join(summary, [*keys, "_seg"], "left").select(
-        *keys, "_seg", F.last("_seg_last", ignorenulls=True).over(carry_w).alias("_carry"))
+    grid = summary.select(*keys, "_seg", F.last("_seg_last", ignorenulls=True).over(carry_w).alias("_carry"))
     in_w = W.partitionBy(*keys, "_seg").orderBy(o).rowsBetween(W.unboundedPreceding, 0)
     filled = base.join(grid, [*keys, "_seg"], "left").withColumn(
         out_col, F.coalesce(v, F.last(v, ignorenulls=True).over(in_w), F.col("_carry"))
