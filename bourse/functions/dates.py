@@ -46,3 +46,25 @@ def try_parse_date(c: Column, fmt: str) -> Column:
 
 def try_parse_time(c: Column, fmt: str = "HH:mm:ss") -> Column:
     return F.try_to_timestamp(c, F.lit(fmt))
+
+
+def ntz_lit(x) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ) built from text, so no
+    time zone (Python's or the session's) shifts it."""
+    if isinstance(x, _dt.datetime):
+        x = x.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(x)).cast("timestamp_ntz")
+
+
+def utc_now() -> Column:
+    """Current UTC wall-clock time as TIMESTAMP_NTZ, whatever the session
+    time zone."""
+    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+
+
+def value_lit(v) -> Column:
+    """Literal for a filter value: naive datetimes become wall-clock
+    (TIMESTAMP_NTZ) literals, everything else ``F.lit``."""
+    if isinstance(v, _dt.datetime) and v.tzinfo is None:
+        return ntz_lit(v)
+    return F.lit(v)

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .dates import value_lit
+
 # Fixed operator names of the request filter API.
 NULL = "NULL"
 NOT_NULL = "NOT_NULL"
@@ -74,27 +76,27 @@ def pred_includes_null(col, value) -> Column | None:
 
 
 def pred_equal(col, value) -> Column:
-    return _c(col) == F.lit(value)
+    return _c(col) == value_lit(value)
 
 
 def pred_not_equal(col, value) -> Column:
-    return _c(col) != F.lit(value)
+    return _c(col) != value_lit(value)
 
 
 def pred_greater_equal(col, value) -> Column:
-    return _c(col) >= F.lit(value)
+    return _c(col) >= value_lit(value)
 
 
 def pred_greater(col, value) -> Column:
-    return _c(col) > F.lit(value)
+    return _c(col) > value_lit(value)
 
 
 def pred_less_equal(col, value) -> Column:
-    return _c(col) <= F.lit(value)
+    return _c(col) <= value_lit(value)
 
 
 def pred_less(col, value) -> Column:
-    return _c(col) < F.lit(value)
+    return _c(col) < value_lit(value)
 
 
 def pred_like(col, value) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import value_lit
 from ..functions.predicates import filter_objects_predicate, filter_set_predicate
 
 DEFAULT_PAGE_SIZE = 25  # fixed default page size of the read API
@@ -44,13 +45,13 @@ def log_filter(logs: DataFrame, filters: Mapping[str, object] | None, field: str
         if k in ("page", "pageSize") or k == field or v is None:
             continue
         if k == "fromTs":
-            preds.append(F.col(time_col) >= F.lit(v))
+            preds.append(F.col(time_col) >= value_lit(v))
         elif k == "untilTs":
-            preds.append(F.col(time_col) <= F.lit(v))
+            preds.append(F.col(time_col) <= value_lit(v))
         elif isinstance(v, (list, tuple, set)):
             preds.append(F.col(k).isin(list(v)) if v else F.lit(False))
         else:
-            preds.append(F.col(k) == F.lit(v))
+            preds.append(F.col(k) == value_lit(v))
     out = logs
     for p in preds:
         out = out.where(p)

@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date_col
+from ..functions.dates import as_date_col, ntz_lit, utc_now
 
 
 def _q(name: str):
@@ -31,7 +31,7 @@ def normalize_quote_history(raw: DataFrame, as_of, loaded_at=None) -> DataFrame:
     dated on or after ``as_of`` (today) are dropped."""
     a = as_date_col(as_of)
     # UTC wall-clock stamp without time zone
-    stamp = (F.lit(loaded_at) if loaded_at is not None else F.current_timestamp()).cast("timestamp_ntz")
+    stamp = ntz_lit(loaded_at) if loaded_at is not None else utc_now()
     d = F.col("Date").cast("date")
     return raw.where(d < a).select(
         d.alias("date"),
@@ -110,4 +110,4 @@ def derive_with_aliases(df: DataFrame) -> DataFrame:
 
 
 def add_load_stamp(df: DataFrame, at: _dt.datetime | None = None) -> DataFrame:
-    return df.withColumn("loaded_at", (F.lit(at) if at else F.current_timestamp()).cast("timestamp_ntz"))
+    return df.withColumn("loaded_at", ntz_lit(at) if at else utc_now())

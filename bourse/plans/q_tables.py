@@ -10,6 +10,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import ntz_lit
 from ..operators import aggregates as A
 from ..operators import keys as K
 from ..operators import lookup as L
@@ -212,7 +213,7 @@ _T0 = _dt.datetime(2020, 1, 1)
 
 def _entity_current(spark, d):
     e = v_entity(spark, d)
-    t0 = F.lit(_T0).cast("timestamp_ntz")
+    t0 = ntz_lit(_T0)
     return e.where(F.col("id") % 3 != 0).select(
         "id", "name", "legal_address_country", "status", F.lit(True).alias("is_active"), t0.alias("active_from"),
         F.lit(None).cast("timestamp_ntz").alias("active_until"), t0.alias("created_at"),
@@ -421,7 +422,7 @@ SELECT l_orderkey, l_extendedprice, l_shipdate FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '2001-01-01 00:00:00' AND l_returnflag = 'R'""")
 def q_scan_table(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    pred = (F.col("l_shipdate") >= F.lit(_dt.datetime(2001, 1, 1)).cast("timestamp_ntz")) & (F.col("l_returnflag") == "R")
+    pred = (F.col("l_shipdate") >= ntz_lit(_dt.datetime(2001, 1, 1))) & (F.col("l_returnflag") == "R")
     return R.scan_table(li, pred, ["l_orderkey", "l_extendedprice", "l_shipdate"])
 
 

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import ntz_lit
+
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
     """One row per key: the first by ``order`` (deterministic), else any.
@@ -117,7 +119,7 @@ def snapshot_refresh(current: DataFrame, snapshot: DataFrame, keys: Sequence[str
     ``current`` has keys, value_cols, is_active, active_from, active_until,
     created_at, updated_at; ``snapshot`` has keys and value_cols.
     """
-    ts = F.lit(as_of).cast("timestamp_ntz")
+    ts = ntz_lit(as_of)
     c = current.select(*[F.col(x).alias(f"c__{x}") for x in current.columns]).withColumn("_c", F.lit(True))
     s = snapshot.select(*[F.col(x).alias(f"s__{x}") for x in snapshot.columns]).withColumn("_s", F.lit(True))
     j = c.join(s, [c[f"c__{k}"] == s[f"s__{k}"] for k in keys], "full")

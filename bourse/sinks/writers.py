@@ -10,12 +10,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ntz_lit, utc_now
 from ..session import scratch_path
 
 
 def stamp_overwrite(df: DataFrame, at: _dt.datetime | None = None) -> DataFrame:
     """Rows of a full replace: ``created_at`` = now (UTC), ``updated_at`` NULL."""
-    now = (F.lit(at) if at else F.current_timestamp()).cast("timestamp_ntz")
+    now = ntz_lit(at) if at else utc_now()
     return df.withColumn("created_at", now).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
 
 
