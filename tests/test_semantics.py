@@ -231,3 +231,18 @@ def test_no_cartesian_or_row_python(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
+
+
+@pytest.mark.parametrize("name", ["normalize_quote_history", "snapshot_refresh", "log_filter", "scan_table",
+                                  "normalize_logs"])
+def test_session_time_zone_does_not_shift_results(spark, name):
+    import __spark_entry__ as E
+    from tools.oracle_check import compare, duck
+    sf = "/root/testdata/sf0.001"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, sf, name, E.queries()[name], E.oracle_sql()[name], duck(sf))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["status"] == "ok", r
