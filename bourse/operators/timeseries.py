@@ -259,12 +259,13 @@ def asof_join_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], l
                     F.struct(*[F.col(c) for c in lcols]).alias("_left"))
     r = r.withColumn("_left", F.lit(None).cast(l.schema["_left"].dataType))
     u = r.unionByName(l).withColumn("_seg", F.year("_at"))
-    # carry into each year: last right record of earlier years
-    summ = u.where(F.col("_side") == 0).groupBy(*keys, "_seg").agg(F.max_by("_rec", F.col("_at")).alias("_last"))
-    segs = u.where(F.col("_side") == 1).select(*keys, "_seg").distinct()
-    grid = segs.join(summ, [*keys, "_seg"], "full")
+    # carry into each year: last right record of the key's earlier years; one
+    # aggregation gives every (key, year) of either side with its last right
+    # record (NULL when the year has none), a window over years carries it
+    right_at = F.when(F.col("_side") == 0, F.col("_at"))
+    summ = u.groupBy(*keys, "_seg").agg(F.max_by("_rec", right_at).alias("_last"))
     cw = W.partitionBy(*keys).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
-    grid = grid.select(*keys, "_seg", F.last("_last", ignorenulls=True).over(cw).alias("_carry"))
+    grid = summ.select(*keys, "_seg", F.last("_last", ignorenulls=True).over(cw).alias("_carry"))
     w = W.partitionBy(*keys, "_seg").orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
     scanned = (u.join(grid, [*keys, "_seg"], "left")
                .withColumn("_hit", F.coalesce(F.last("_rec", ignorenulls=True).over(w), F.col("_carry")))
