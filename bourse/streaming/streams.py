@@ -58,7 +58,7 @@ def stream_log_ingest(spark: SparkSession, source_dir: str, schema: T.StructType
 
 def stream_quote_increment(spark: SparkSession, source_dir: str, schema: T.StructType, target: str,
                            checkpoint: str, keys: Sequence[str] = ("date", "security_code", "exchange_code"),
-                           watermark: str = "400 days") -> None:
+                           watermark: str = "400 days", state_partitions: int | None = None) -> None:
     """Daily bulk quote files -> normalize -> insert rows whose key is new.
 
     Duplicate keys across files are dropped within the watermark (state is
@@ -74,6 +74,15 @@ def stream_quote_increment(spark: SparkSession, source_dir: str, schema: T.Struc
         fresh = new_rows(cur, batch, keys)
         fresh.select(*cur.columns).write.mode("append").parquet(target)
 
-    q = (dedup.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    # The de-duplication state is split into ``state_partitions`` (fixed for
+    # the life of the checkpoint); the session default is kept when not given.
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = (dedup.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
