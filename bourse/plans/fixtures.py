@@ -93,7 +93,8 @@ def v_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+    # plain join: AQE broadcasts the (tiny) nation side from its runtime size
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("lei"),
         F.col("c_name").alias("name"),

@@ -130,7 +130,7 @@ def q_project_rename(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     # vendor-style frame with dotted column names
-    raw = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+    raw = c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_name").alias("LEI"),
         F.col("c_name").alias("Entity.LegalName"),
         F.col("n_name").alias("Entity.LegalAddress.Country"),
