@@ -6,8 +6,6 @@ of metric rows per document, and ``fund_all`` explodes all of them at once.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

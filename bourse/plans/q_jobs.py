@@ -7,7 +7,6 @@ import datetime as _dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import predicates as P
 from ..operators import filters as FL
 from ..session import scratch_path
 from ..sinks import writers as WR
@@ -423,8 +422,6 @@ def q_view_logs_count(spark, sf_dir):
     return FL.log_filter(v_log(spark, sf_dir), {"service": "S3"}).agg(F.count(F.lit(1)).alias("count"))
 
 
-_ = P  # predicates module is part of the view surface (filter sets)
-
 
 # ------------------------------------------------------------ late oracles
 # fund_all is registered with the nested queries; its oracle is the union of
