@@ -97,8 +97,11 @@ def job_fundamental(docs: DataFrame, text_col: str = "doc_text", exchanges: Sequ
 
 _MEMBER = T.StructType([T.StructField("Code", T.StringType()), T.StructField("Name", T.StringType()),
                         T.StructField("Exchange", T.StringType()), T.StructField("Sector", T.StringType())])
+# Only the header fields the job reads: nested objects elsewhere in the
+# document are skipped by the parser instead of being re-serialized as text.
 INDEX_DOC_SCHEMA = T.StructType([
-    T.StructField("General", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("General", T.StructType([T.StructField(f, T.StringType()) for f in
+                                           ["Code", "Type", "Name", "CurrencyCode", "CountryISO"]])),
     T.StructField("Components", T.MapType(T.StringType(), _MEMBER))])
 
 
@@ -107,9 +110,9 @@ def job_index_member(docs: DataFrame, text_col: str = "doc_text", index_type: st
     (an index without components yields nothing)."""
     parsed, _rej = N.parse_documents(docs, text_col, INDEX_DOC_SCHEMA, required="General")
     g = F.col("doc.General")
-    idx = parsed.where(N.map_get(g, "Type") == F.lit(index_type)).select(
-        N.map_get(g, "Code").alias("index_code"), N.map_get(g, "Name").alias("index_name"),
-        N.map_get(g, "CurrencyCode").alias("currency"), N.map_get(g, "CountryISO").alias("country"),
+    idx = parsed.where(g["Type"] == F.lit(index_type)).select(
+        g["Code"].alias("index_code"), g["Name"].alias("index_name"),
+        g["CurrencyCode"].alias("currency"), g["CountryISO"].alias("country"),
         F.col("doc.Components").alias("Components"))
     m = N.map_values_explode(idx, "Components", ["index_code", "index_name", "currency", "country"])
     return m.select(F.col("Code").alias("security_code"), F.col("Name").alias("security_name"),
