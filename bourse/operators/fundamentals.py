@@ -107,13 +107,35 @@ def _pruned_schema(columns) -> T.StructType:
     return prune(DOC_SCHEMA, ())
 
 
-def parsed_common_stock(docs: DataFrame, text_col: str = "doc_text", columns=None) -> DataFrame:
+_HEADER = T.StructType([T.StructField(f, T.StringType()) for f in ["Code", "Type", "Exchange"]])
+
+
+def parsed_common_stock(docs: DataFrame, text_col: str = "doc_text", columns=None,
+                        full_general: bool = True) -> DataFrame:
     """Parse once (only the sections behind ``columns``; all when None), keep
-    common-stock documents, expose id columns and the sections as columns."""
+    common-stock documents, expose id columns and the sections as columns.
+
+    With ``full_general=False`` only the three header fields of ``General``
+    are parsed (its nested objects are skipped, not re-serialized as text);
+    the general / listing / people categories need the full object."""
     columns = list(_COLUMNS) if columns is None else list(columns)
-    parsed, _rejects = N.parse_documents(docs, text_col, _pruned_schema(columns), required="General")
+    schema = _pruned_schema(columns)
+    if not full_general:
+        schema = T.StructType([T.StructField("General", _HEADER) if f.name == "General" else f
+                               for f in schema.fields])
+    parsed, _rejects = N.parse_documents(docs, text_col, schema, required="General")
     d = F.col("doc")
     g = d["General"]
+    if not full_general:
+        base = parsed.where(g["Type"] == F.lit(COMMON_STOCK))
+        out = [g["Exchange"].alias("exchange_code"), g["Code"].alias("security_code")]
+        for c in columns:
+            if c in _COLUMNS:
+                e = d
+                for part in _COLUMNS[c]:
+                    e = e[part]
+                out.append(e.alias(c))
+        return base.select(*out)
     base = parsed.where(N.map_get(g, "Type") == F.lit(COMMON_STOCK))
     out = [N.map_get(g, "Exchange").alias("exchange_code"), N.map_get(g, "Code").alias("security_code"),
            g.alias("General"),
@@ -223,9 +245,13 @@ CATEGORIES = {
 }
 
 
+_NEEDS_GENERAL = {"fund_general", "fund_listing", "fund_people"}
+
+
 def fund_category(docs: DataFrame, name: str, text_col: str = "doc_text") -> DataFrame:
     """One category: parse only the sections it reads, then reshape."""
-    return CATEGORIES[name](parsed_common_stock(docs, text_col, SECTIONS[name]))
+    return CATEGORIES[name](parsed_common_stock(docs, text_col, SECTIONS[name],
+                                                full_general=name in _NEEDS_GENERAL))
 
 
 def fund_all(docs: DataFrame, text_col: str = "doc_text") -> DataFrame:
