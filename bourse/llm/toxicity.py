@@ -17,8 +17,8 @@ logistic regression of a document's best margins, on the same labelled
 documents, gives the score.
 
 Scoring runs over whole texts in Arrow batches. A unit whose longest common
-subsequence with every core is below REACH has no common kernel mass to speak
-of and counts as clean; this is part of the model at every size. Units are
+subsequence with every core is below REACH and six tenths of the core has no
+common kernel mass to speak of and counts as clean; this is part of the model at every size. Units are
 judged once per task, by value.
 
 Results for odd rows: a null or empty text has no units and gets the score of
@@ -30,7 +30,9 @@ an empty table gives an empty table. Language, source and id are no inputs.
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -44,6 +46,8 @@ ORDER, DECAY, REACH = 3, 0.6, 4
 #: Labelled rows that training looks at, at most, of either class.
 MAX_TOXIC, MAX_CLEAN = 600, 1500
 MAX_CORES, CLEAN_LANDMARKS, THRESHOLD = 40, 12, 0.7
+#: A core grows by a character that this share of its units has, to at most so many.
+SHARED, MAX_CORE = 0.7, 12
 #: A longer unit is cut into pieces of this length, half overlapping.
 PIECE = 32
 #: Share of clean documents in which a core may occur, over that of toxic ones.
@@ -122,7 +126,7 @@ class Cores:
             for i, c in enumerate(core):
                 self.masks[self.alphabet[c], j] |= 1 << i
         self.full = np.array([(1 << len(c)) - 1 for c in cores], np.uint16)
-        self.need = np.array([min(REACH, len(c)) for c in cores])
+        self.need = np.array([max(min(REACH, len(c)), math.ceil(0.6 * len(c))) for c in cores])
 
     def reached(self, units: list[str]) -> np.ndarray:
         order = np.argsort([-len(u) for u in units], kind="stable")
@@ -204,6 +208,39 @@ class Judge:
         return 1 / (1 + np.exp(-(self.evidence(texts) @ w + b)))
 
 
+def without_copies(docs: list[set[str]]) -> list[int]:
+    """Positions of documents that look like no earlier one: none of the least
+    hashes of their long units was met before. Copies would make their rare
+    words look common."""
+    met: set[tuple[int, int]] = set()
+    out = []
+    for i, d in enumerate(docs):
+        long = [u.encode() for u in d if len(u) >= 8]
+        marks = {(k, min(zlib.crc32(u, k) for u in long)) for k in range(4)} if long else set()
+        if not marks & met:
+            out.append(i)
+        met |= marks
+    return out
+
+
+def extended(core: str, docs: list[set[str]]) -> str:
+    """The core with the characters that most documents' units have beside it."""
+    words = Counter(u for d in docs for u in d if core in u)
+    while len(core) < MAX_CORE:
+        grown: Counter = Counter()
+        for u, n in words.items():
+            if (i := u.find(core)) >= 0:
+                if i:
+                    grown[u[i - 1:i + len(core)]] += n
+                if i + len(core) < len(u):
+                    grown[u[i:i + len(core) + 1]] += n
+        longer, n = max(grown.items(), key=lambda x: (x[1], x[0]), default=("", 0))
+        if n < SHARED * sum(k for u, k in words.items() if core in u):
+            break
+        core = longer
+    return core
+
+
 def choose_cores(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str], list[set[str]]]:
     """Cores in the order chosen, and each toxic document's units with a core."""
     grams = lambda units: {u[i:i + n] for u in units for n in (4, 5) for i in range(len(u) - n + 1)}
@@ -215,7 +252,16 @@ def choose_cores(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str
     cold: Counter = Counter()
     for d in clean:
         cold.update(g for g in grams(d) if g in hot)
-    marks = {g for g, n in hot.items() if cold[g] / max(len(clean), 1) <= RARE * n / len(toxic)}
+    share = len(toxic) / (len(toxic) + len(clean))
+
+    def surprise(n: int, other: int) -> float:
+        """Bound of -ln of the chance that so many of n + other are toxic."""
+        r = n / (n + other)
+        return (n + other) * (r * np.log(r / share) + ((1 - r) * np.log((1 - r) / (1 - share)) if r < 1 else 0.0))
+
+    # no more than a thousandth of a core is expected to pass by chance
+    limit = np.log(1000.0 * max(len(hot), 1))
+    marks = {g for g, n in hot.items() if cold[g] / max(len(clean), 1) <= RARE * n / len(toxic) and surprise(n, cold[g]) >= limit}
     open_units = [{u for u in d if any(u[i:i + n] in marks for n in (4, 5) for i in range(len(u) - n + 1))} for d in toxic]
     suspects, cores = [set(d) for d in open_units], []
     while len(cores) < MAX_CORES:
@@ -227,6 +273,7 @@ def choose_cores(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str
         core, n = max(count.items(), key=lambda x: (x[1], len(x[0]), x[0]))
         if n < least:
             break
+        core = extended(core, open_units)
         cores.append(core)
         open_units = [{u for u in d if core not in u} for d in open_units]
     return cores, [{u for u in d if any(c in u for c in cores)} for d in suspects]
@@ -270,6 +317,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, reg: float = 1e-3) -> tuple[np.ndarr
 def fit(texts: list[str | None], labels: list[int]) -> Model | None:
     """A model from texts and their labels; None without both classes."""
     docs, y = [units_of(t) for t in texts], np.array(labels)
+    if not (y > 0).any() or not (y <= 0).any():
+        return None
+    kept = without_copies(docs)
+    docs, y, texts = [docs[i] for i in kept], y[kept], [texts[i] for i in kept]
     toxic, clean = [d for d, k in zip(docs, y) if k], [d for d, k in zip(docs, y) if not k]
     if not toxic or not clean:
         return None
