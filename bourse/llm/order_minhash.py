@@ -14,12 +14,17 @@ alignment of 0.8 allows are left out. Similarity is ``m / (n1 + n2 - m)`` for
 ``m`` aligned shingles, and 0.8 or more is a link.
 
 Exact copies are grouped first by their text's digest (a partial aggregation)
-and only one of each class is compared. Of the classes in a band, each is
-first compared with the least one; after those links are joined into
-components, every pair in a band that still lies in different components is
-compared too. So each candidate pair is either verified or already connected,
-nothing is capped, and a group of thousands of near copies costs thousands of
-comparisons, not millions.
+and only one of each class is compared. The classes in a band are first
+compared with one leader of the band, in LEADER_ROUNDS rounds with other
+leaders; the links are joined into components. Then every pair in a band that
+still lies in different components is compared too, so nothing is capped, and
+a group of thousands of near copies costs thousands of comparisons, not
+millions.
+
+A pair in a band is aligned only where its signatures agree: 512 minima of the
+labelled shingles, four bits of each, compared inside the join. Documents of
+similarity 0.8 agree in so many with probability above 0.998; most that share
+a passage do not, and are never emitted as a pair.
 
 Results for odd rows: a null text is never a copy of another; texts without a
 word link with nothing; fewer than five words are one shingle; rows that
@@ -29,20 +34,29 @@ only the id and text columns are read.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, unstage
 from .components import connected_components
 
 WORDS, SIMILARITY = 5, 0.8
 #: Least shingles in a sketch, sketches in a band, bands.
 LEAST, ROWS, BANDS = 2, 3, 20
+#: Rounds in which a band's classes meet one leader each.
+LEADER_ROUNDS = 2
+#: Minima in a signature, and how many must agree: three standard deviations
+#: below what a pair of similarity 0.8 is expected to agree in by its minima or
+#: by chance (one in sixteen).
+MINIMA = 512
+_AGREE = SIMILARITY + (1 - SIMILARITY) / 16
+LEAST_AGREEING = math.floor(MINIMA * _AGREE - 3.0 * math.sqrt(MINIMA * _AGREE * (1 - _AGREE)))
 #: Columns of a text hashed at once.
 _BLOCK = 4096
 
@@ -50,6 +64,8 @@ _rng = np.random.default_rng(20240229)
 _SALT = _rng.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64)
 _ODD = _rng.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(0, 2**63, WORDS + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SIGN = _rng.integers(0, 2**63, MINIMA, dtype=np.uint64)
+_SIGN_ODD = _rng.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MAX = np.uint64(2**64 - 1)
 
 
@@ -114,6 +130,27 @@ def bands(labelled: np.ndarray) -> np.ndarray:
     return _mixed(parts.sum(axis=1, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _PLACE[-1])
 
 
+def signature(labelled: np.ndarray) -> np.ndarray:
+    """Four planes of MINIMA bits, as 64-bit words: the low bits of the least
+    labels under MINIMA hash functions."""
+    least = np.full(MINIMA, _MAX)
+    for b in range(0, len(labelled), 1024):
+        least = np.minimum(least, ((labelled[None, b:b + 1024] ^ _SIGN[:, None]) * _SIGN_ODD[:, None]).min(axis=1))
+    bits = (_mixed(least)[None, :] >> np.arange(4, dtype=np.uint64)[:, None]) & np.uint64(1)
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64).ravel()
+
+
+def agreeing(a: Column, b: Column) -> Column:
+    """How many minima of two signatures agree."""
+    words = MINIMA // 64
+
+    def differ(w: int) -> Column:
+        planes = [a[p * words + w].bitwiseXOR(b[p * words + w]) for p in range(4)]
+        return F.bit_count(planes[0].bitwiseOR(planes[1]).bitwiseOR(planes[2]).bitwiseOR(planes[3]))
+
+    return F.lit(MINIMA) - sum((differ(w) for w in range(1, words)), differ(0))
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Similarity of two labelled sequences by banded alignment; 0.0 as soon as
     it must stay below ``least``."""
@@ -166,11 +203,19 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(yes)), batch.column(1).filter(pa.array(yes))], ["a", "b"])
 
 
+def _signed(batches):
+    hashes = WordHashes()
+    for batch in batches:
+        signs = [signature(labelled_shingles(t, hashes)) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signs, pa.list_(pa.int64()))], ["rep", "text", "sign"])
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a b`` whose texts are similar."""
     ta = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
-    joined = pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
+    # merge joins at every size, so that the work follows the input
+    joined = pairs.hint("merge").join(ta, "a").hint("merge").join(tb, "b").select("a", "b", "ta", "tb")
     kinds = dict(pairs.dtypes)
     return joined.mapInArrow(_verify, f"a {kinds['a']}, b {kinds['b']}")
 
@@ -185,25 +230,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage(rows.where("digest is not null and doc_id is not null").groupBy("digest")
                     .agg(F.min(F.struct("doc_id", "bands")).alias("r")).select("digest", F.col("r.doc_id").alias("rep"), "r.bands"), "omh-classes")
     exploded = classes.where("bands is not null").select("rep", F.explode("bands").alias("band"))
-    crowded = stage(exploded.groupBy("band").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1"), "omh-bands")
-    members = stage(exploded.join(crowded.select("band", "least"), "band").distinct(), "omh-members")
-
-    wanted = members.select("rep").distinct()
-    texts = stage(docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-                  .select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep").dropDuplicates(["rep"]), "omh-texts")
-
-    star = stage(members.where("least < rep").groupBy("rep").agg(F.min("least").alias("least")).select(F.col("least").alias("a"), F.col("rep").alias("b")), "omh-star")
-    links = stage(_links(star, texts), "omh-links")
-    comp = stage(connected_components(links, "a", "b"), "omh-components")
-    # what shares a band but no component yet
-    m = stage(members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("c")), "omh-apart")
-    split = stage(m.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band"), "omh-split")
-    m = stage(m.join(split, "band"), "omh-rest")
-    left, right = m.select("band", F.col("rep").alias("a"), F.col("c").alias("ca")), m.select("band", F.col("rep").alias("b"), F.col("c").alias("cb"))
-    rest = left.join(right, "band").where("a < b and ca <> cb").select("a", "b").distinct()
-    rest = stage(rest.join(star, ["a", "b"], "left_anti"), "omh-pairs")
-    more = stage(_links(rest, texts), "omh-links")
-    comp = stage(connected_components(links.union(more), "a", "b"), "omh-components")
+    crowded = stage(exploded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "omh-bands")
+    members = stage(exploded.join(crowded.select("band"), "band"), "omh-members")
+
+    # by a sort-merge join at every size: the documents are shuffled once
+    wanted = members.select("rep").distinct().hint("merge")
+    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
+    texts = texts.join(wanted, "rep").dropDuplicates(["rep"])
+    texts = stage(texts.mapInArrow(_signed, f"rep {kind}, text string, sign array<bigint>"), "omh-texts")
+    signed = stage(members.join(texts.select("rep", "sign"), "rep"), "omh-signed")
+    unstage(members)
+
+    comp, tested = None, None
+    for k in range(LEADER_ROUNDS + 1):
+        now = signed.withColumn("c", F.col("rep"))
+        if comp is not None:
+            now = signed.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+        # only bands with members of different components stay, each with a leader
+        lead = F.min(F.struct(F.xxhash64("rep", F.lit(k)).alias("h"), F.col("rep").alias("lead"), F.col("c").alias("lead_c"), F.col("sign").alias("lead_sign"))).alias("l")
+        led = now.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).where("lo < hi").select("band", "l.lead", "l.lead_c", "l.lead_sign")
+        led = stage(led, "omh-leaders")
+        still = stage(now.join(led, "band"), "omh-open")
+        unstage(signed)
+        unstage(led)
+        if k < LEADER_ROUNDS:
+            met = still.where((F.col("c") != F.col("lead_c")) & (agreeing(F.col("sign"), F.col("lead_sign")) >= LEAST_AGREEING))
+            met = met.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
+        else:
+            # a pair is met in the least of the bands it shares, all of which are open
+            full = stage(still.join(classes.select("rep", "bands"), "rep"), "omh-full")
+            left = full.select(F.col("band").alias("band_a"), F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("sign").alias("sa"), F.col("bands").alias("ba"))
+            right = full.select("band", F.col("rep").alias("b"), F.col("c").alias("cb"), F.col("sign").alias("sb"), F.col("bands").alias("bb"))
+            near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (agreeing(F.col("sa"), F.col("sb")) >= LEAST_AGREEING)
+            near = near & (F.array_min(F.array_intersect("ba", "bb")) == F.col("band"))
+            met = left.join(right, (F.col("band_a") == F.col("band")) & near).select("a", "b")
+        signed = still.select("band", "rep", "sign")
+        signed._staged_path = still._staged_path
+        met = met.distinct()
+        met = stage(met if tested is None else met.join(tested, ["a", "b"], "left_anti"), "omh-pairs")
+        tested = met if tested is None else tested.union(met)
+        links = stage(_links(met, texts), "omh-links")
+        edges = links if comp is None else links.union(comp.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        comp = stage(connected_components(edges, "a", "b"), "omh-components")
 
     named = stage(classes.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                   .select("digest", F.coalesce("component", "rep").alias("class")), "omh-named")
