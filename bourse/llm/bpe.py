@@ -42,7 +42,9 @@ _SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x
 #: The byte-level pre-tokenizer's pattern, a fixed value.
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}++| ?\p{{N}}++| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 #: Bytes of split words in a chunk: what one task holds at a time.
-CHUNK_BYTES = 64_000_000
+CHUNK_BYTES = 12_000_000
+#: Rows decoded, and words encoded, at a time.
+DECODED_ROWS, ENCODED_WORDS = 256, 4096
 
 
 def tokenizer_json(path: str) -> dict:
@@ -99,24 +101,17 @@ def _chunks(batches, buckets: int):
     """Runs of a task's rows: chunk id, doc ids, words as lists, and what
     ``_dictionary`` says of them. The id is a digest of the words and the place
     of the run, so that a run that is read with other words has another id."""
-    part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-    def joined():
-        ids, words = (pa.concat_arrays([b.column(i) for b in held]) for i in (0, 1))
-        found, of, at = _dictionary(words, buckets)
-        h = xxhash.xxh64(f"{part}:{n}")
-        for x in _strings(found):
-            h.update(x.tobytes())
-        return h.intdigest() >> 1, ids, words, found, of, at
-
+    part, n = TaskContext.get().partitionId(), 0
     for batch in batches:
-        held.append(batch)
-        size += batch.column(1).nbytes
-        if size >= CHUNK_BYTES:
-            yield joined()
-            n, held, size = n + 1, [], 0
-    if held:
-        yield joined()
+        step = max(1, int(len(batch) * CHUNK_BYTES / max(batch.column(1).nbytes, 1)))
+        for start in range(0, len(batch), step):
+            ids, words = (c.slice(start, step) for c in batch.columns)
+            found, of, at = _dictionary(words, buckets)
+            h = xxhash.xxh64(f"{part}:{n}")
+            for x in _strings(found):
+                h.update(x.tobytes())
+            yield h.intdigest() >> 1, ids, words, found, of, at
+            n += 1
 
 
 def _distinct(buckets: int):
@@ -162,7 +157,8 @@ def _encoder(path: str):
                 ends = np.concatenate(([0], np.cumsum(raw[:4 * n].view(np.uint32)))).astype(np.int32)
                 lists.append(pa.StringArray.from_buffers(n, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw[4 * n:].tobytes())))
             d = pa.concat_arrays(lists).dictionary_encode()
-            coded = [np.asarray(e.ids, np.uint32) for e in tok.encode_batch(d.dictionary.to_pylist(), add_special_tokens=False)]
+            known = d.dictionary.to_pylist()
+            coded = [np.asarray(e.ids, np.uint32) for b in range(0, len(known), ENCODED_WORDS) for e in tok.encode_batch(known[b:b + ENCODED_WORDS], add_special_tokens=False)]
             place, out = 0, []
             for chunk, n, _ in held:
                 ids = [coded[i] for i in d.indices.slice(place, n).to_pylist()]
@@ -244,10 +240,12 @@ def _decoder(path: str):
     def decode(batches):
         table = pa.array(pieces(path), pa.binary())
         for batch in batches:
-            ids = batch.column(1)
-            joined = pc.binary_join(pa.ListArray.from_arrays(_offsets(ids), table.take(ids.flatten())), b"")
-            texts = [b.decode("utf-8", "replace") for b in joined.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            for start in range(0, len(batch), DECODED_ROWS):
+                part = batch.slice(start, DECODED_ROWS)
+                ids = part.column(1)
+                joined = pc.binary_join(pa.ListArray.from_arrays(_offsets(ids), table.take(ids.flatten())), b"")
+                texts = [b.decode("utf-8", "replace") for b in joined.to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
     return decode
 
 
