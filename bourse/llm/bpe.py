@@ -97,21 +97,34 @@ def _dictionary(words: pa.ListArray, buckets: int) -> tuple[pa.Array, np.ndarray
     return d.dictionary.take(pa.array(order)), of[order], rank[d.indices.to_numpy()]
 
 
+def _slices(batches, rows):
+    """Slices of ``rows(batch)`` rows. A batch is let go before the next one is
+    read, and at the end the pool's memory goes back, so that a task holds one
+    batch and an idle worker none."""
+    batches = iter(batches)
+    while (batch := next(batches, None)) is not None:
+        step = max(1, rows(batch))
+        for start in range(0, len(batch), step):
+            yield batch.slice(start, step)
+        batch = None
+    pa.default_memory_pool().release_unused()
+
+
 def _chunks(batches, buckets: int):
-    """Runs of a task's rows: chunk id, doc ids, words as lists, and what
+    """Runs of a task's rows: chunk id, doc ids, their words' numbers, and what
     ``_dictionary`` says of them. The id is a digest of the words and the place
     of the run, so that a run that is read with other words has another id."""
     part, n = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        step = max(1, int(len(batch) * CHUNK_BYTES / max(batch.column(1).nbytes, 1)))
-        for start in range(0, len(batch), step):
-            ids, words = (c.slice(start, step) for c in batch.columns)
-            found, of, at = _dictionary(words, buckets)
-            h = xxhash.xxh64(f"{part}:{n}")
-            for x in _strings(found):
-                h.update(x.tobytes())
-            yield h.intdigest() >> 1, ids, words, found, of, at
-            n += 1
+    for some in _slices(batches, lambda b: int(len(b) * CHUNK_BYTES / max(b.column(1).nbytes, 1))):
+        lengths = pc.list_value_length(some.column(1)).to_numpy()
+        found, of, at = _dictionary(some.column(1), buckets)
+        ids = pa.concat_arrays([some.column(0)])
+        some = None
+        h = xxhash.xxh64(f"{part}:{n}")
+        for x in _strings(found):
+            h.update(x.tobytes())
+        yield h.intdigest() >> 1, ids, lengths, found, of, at
+        n += 1
 
 
 def _distinct(buckets: int):
@@ -133,9 +146,8 @@ def _distinct(buckets: int):
 def _positions(buckets: int):
     """One row for each document: its chunk and its words' positions, packed."""
     def positions(batches):
-        for chunk, ids, words, found, _, at in _chunks(batches, buckets):
-            ends = np.cumsum(pc.list_value_length(words).fill_null(0).to_numpy())
-            packed = [_pack(at[e - k:e].view(np.uint8).reshape(-1, 4).T) for e, k in zip(ends, np.diff(ends, prepend=0))]
+        for chunk, ids, lengths, found, _, at in _chunks(batches, buckets):
+            packed = [_pack(at[e - k:e].view(np.uint8).reshape(-1, 4).T) for e, k in zip(np.cumsum(lengths), lengths)]
             yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(ids), pa.int64()), pa.array(np.full(len(ids), len(found), np.int32)), ids, pa.array(packed, pa.binary())],
                                              ["chunk", "size", "doc_id", "at"])
     return positions
@@ -239,13 +251,12 @@ def pieces(path: str) -> list[bytes]:
 def _decoder(path: str):
     def decode(batches):
         table = pa.array(pieces(path), pa.binary())
-        for batch in batches:
-            for start in range(0, len(batch), DECODED_ROWS):
-                part = batch.slice(start, DECODED_ROWS)
-                ids = part.column(1)
-                joined = pc.binary_join(pa.ListArray.from_arrays(_offsets(ids), table.take(ids.flatten())), b"")
-                texts = [b.decode("utf-8", "replace") for b in joined.to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+        for part in _slices(batches, lambda _: DECODED_ROWS):
+            ids = part.column(1)
+            joined = pc.binary_join(pa.ListArray.from_arrays(_offsets(ids), table.take(ids.flatten())), b"")
+            texts = [b.decode("utf-8", "replace") for b in joined.to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            part = ids = joined = texts = None
     return decode
 
 
