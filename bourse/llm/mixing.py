@@ -12,7 +12,7 @@ exchange gives a global shuffle, and no source, however large, stays together.
 Results for odd rows: a null source counts as the source ``''``; a null or
 empty text has size 0; a source without any text keeps rate ``epochs``; rows
 that repeat an id get the same number of copies; an empty table gives an empty
-table. Columns of the input stay as they are.
+table. Columns may have any names.
 """
 
 from __future__ import annotations
@@ -71,13 +71,13 @@ def source_rates(docs: DataFrame, weights: dict[str, float], alpha: float, epoch
 
 def mix(docs: DataFrame, weights: dict[str, float], alpha: float = 0.7, epochs: float = 1.0, seed: int = 17,
         id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``docs`` replicated and shuffled: its columns plus ``_copy`` (1, 2, ...),
-    ``_copies`` and ``_order`` (the hash it is shuffled by)."""
+    """``docs`` replicated and shuffled: each row as the struct ``row`` with
+    ``copy`` (1, 2, ...), ``copies`` and ``shuffle_key``, the hash it is
+    shuffled by."""
     rates = source_rates(docs, weights, alpha, epochs, source_col, text_col)
-    u = uniform(seed, F.col(id_col))
-    joined = docs.withColumn("_source", F.coalesce(F.col(source_col), F.lit(""))).join(rates.select("_source", "cdf"), "_source")
-    counted = joined.withColumn("_u", u).withColumn("_copies", F.size(F.filter("cdf", lambda c: c < F.col("_u"))))
-    copies = (counted.where(F.col("_copies") > 0)
-              .select(*docs.columns, "_copies", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")))
-    keyed = copies.withColumn("_order", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("_copy"))))
-    return keyed.repartition("_order").sortWithinPartitions("_order")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("string").alias("id"),
+                       F.coalesce(F.col(source_col), F.lit("")).alias("_source"), uniform(seed, F.col(id_col)).alias("u"))
+    counted = rows.join(rates.select("_source", "cdf"), "_source").withColumn("copies", F.size(F.filter("cdf", lambda c: c < F.col("u"))))
+    copies = counted.where(F.col("copies") > 0).select("row", "id", "copies", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.coalesce("id", F.lit("")), F.col("copy")))
+    return copies.select("row", "copy", "copies", key.alias("shuffle_key")).repartition("shuffle_key").sortWithinPartitions("shuffle_key")

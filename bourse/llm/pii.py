@@ -18,7 +18,7 @@ time in proportion to its length; they match what the plain patterns match.
 
 Results for odd rows: a null or empty text has no spans; a null id stays
 null; repeated rows are judged one by one; an empty table gives an empty
-table; only the id and text columns are read by ``find_pii``.
+table; columns may have any names.
 """
 
 from __future__ import annotations
@@ -106,11 +106,11 @@ def _spans(kind: str) -> Column:
     return F.aggregate(F.arrays_zip(*names), zero, step, lambda a: a["spans"])
 
 
-def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: ``id_col``, the ``keep`` columns, ``_text`` and
+def find_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row per input row: the row itself as struct ``_row``, ``_text`` and
     one array of spans per kind, each in text order."""
     none = F.array().cast("array<string>")
-    out = df.select(F.col(id_col), *[F.col(c) for c in keep if c != id_col], F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    out = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     must = {"email": F.instr("_text", "@") > 0, "phone": F.instr("_text", "+") > 0}
     out = out.withColumns({f"_{k}_m": F.when(must.get(k, F.lit(True)), F.regexp_extract_all("_text", F.lit(p), F.lit(0))).otherwise(none)
                            for k, p in PATTERNS.items()})
@@ -126,21 +126,20 @@ def _joined(spans: Column) -> Column:
 
 def pii_digest(df: DataFrame) -> DataFrame:
     """Counts, the digest of the base spans and all spans of every text."""
-    found = find_pii(df)
+    found = find_pii(df.select("doc_id", "text"))
     base, added = F.concat(*BASE_KINDS), F.concat(*KINDS)
     return found.select(
-        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
+        F.col("_row.doc_id").alias("doc_id"), *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(added).alias("spans"),
         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS if k not in BASE_KINDS],
         F.round(F.array_max(F.transform(added, lambda s: s["score"])), 3).alias("top_score"))
 
 
-def mask_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mask_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` with every span of ``text_col`` replaced by its kind
     in brackets; spans that overlap go as one, under the first one's kind. A
     null text stays null. All columns of ``df`` stay, in order."""
-    kept = tuple(c for c in df.columns if c not in (id_col, text_col))
-    found = find_pii(df.withColumn("_null", F.col(text_col).isNull()), id_col, text_col, kept + ("_null",))
+    found = find_pii(df, text_col)
     found = found.withColumn("_all", F.array_sort(F.transform(
         F.concat(*KINDS), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("pos"))
@@ -151,5 +150,5 @@ def mask_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return F.struct(F.when(new, piece).otherwise(a["out"]).alias("out"), F.greatest(a["pos"], s["end"]).alias("pos"))
 
     masked = F.aggregate("_all", zero, step, lambda a: F.concat(a["out"], F.substring(F.col("_text"), a["pos"] + 1, F.length("_text"))))
-    text = F.when(F.col("_null"), None).when(F.size("_all") == 0, F.col("_text")).otherwise(masked)
-    return found.withColumn(text_col, text).select(*df.columns)
+    text = F.when(F.col("_row")[text_col].isNull(), None).when(F.size("_all") == 0, F.col("_text")).otherwise(masked)
+    return found.select(*[(text if c == text_col else F.col("_row")[c]).alias(c) for c in df.columns])

@@ -36,7 +36,7 @@ BITS = 18
 BUCKETS = 1 << BITS
 CHARS = (2, 3, 4)
 #: Labelled rows that training looks at, at most, of either class.
-MAX_ROWS = 1200
+MAX_ROWS = 800
 #: Least calibrated probability of good quality.
 THRESHOLD = 0.2
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8

@@ -23,7 +23,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_ALPHA, 1.0, MIX_SEED)
-    return mixed.select("doc_id", F.col("_copy").alias("copy"), F.col("_copies").alias("copies"), F.col("_order").alias("shuffle_key"), "source", "lang", "text")
+    return mixed.select("row.doc_id", "copy", "copies", "shuffle_key", "row.source", "row.lang", "row.text")
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated to the sources' target shares, shuffled."""
-    return mixing.mix(docs, MIX_WEIGHTS, MIX_ALPHA, 1.0, MIX_SEED).select(*docs.columns)
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_ALPHA, 1.0, MIX_SEED).select("row.*")
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
