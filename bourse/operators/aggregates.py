@@ -81,7 +81,7 @@ def collect_aliases(df: DataFrame, key: str, name_col: str = "name", isin_col: s
 
 
 def group_to_batches(df: DataFrame, group_cols: Sequence[str], item_cols: Sequence[str],
-                     max_items: int = 10_000) -> DataFrame:
+                     max_items: int) -> DataFrame:
     """Request fan-out lists: per group, its items as sorted lists of at most
     ``max_items`` structs (``batch`` = 0, 1, ... in item order). A group that
     holds a third of all rows becomes many bounded rows instead of one

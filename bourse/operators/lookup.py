@@ -1,9 +1,7 @@
 """Lookup joins, multi-source merges and identifier matching.
 
-Broadcast policy: a side is broadcast only after a bounded check of its row
-count (``limit(n + 1).count()`` reads at most n + 1 rows); beyond the bound
-the join stays a shuffle join and AQE may still switch it to a broadcast
-with runtime statistics.
+No join carries a broadcast hint: Spark broadcasts a side whose size in bytes
+is below the session's threshold and shuffles both otherwise.
 """
 
 from __future__ import annotations
@@ -13,15 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def mapping_slice(m: DataFrame, product: str | None = None, source: str | None = None,
                   field: str | None = None, active_only: bool = True) -> DataFrame:
     """Rows of the value-mapping table for (product, source, field); each
@@ -38,10 +27,10 @@ def mapping_slice(m: DataFrame, product: str | None = None, source: str | None =
 def lookup_join(df: DataFrame, m: DataFrame, col: str, out_col: str | None = None,
                 keep_unmapped: bool = True) -> DataFrame:
     """Left join ``df[col]`` to ``m.source_value``; ``out_col`` =
-    ``coalesce(mapping_value, original)``."""
+    ``coalesce(mapping_value, original)``. A value that is mapped to several
+    others fans out to all of them, as in the LEFT JOIN it stands for."""
     out_col = out_col or col
-    mm = bounded_broadcast(m.select(F.col("source_value").alias("_sv"), F.col("mapping_value").alias("_mv"))
-                           .dropDuplicates(["_sv"]))
+    mm = m.select(F.col("source_value").alias("_sv"), F.col("mapping_value").alias("_mv")).distinct()
     j = df.join(mm, df[col] == mm["_sv"], "left")
     val = F.coalesce(F.col("_mv"), F.col(col)) if keep_unmapped else F.col("_mv")
     return j.withColumn(out_col, val).drop("_sv", "_mv")
@@ -51,8 +40,8 @@ def reverse_lookup_join(df: DataFrame, m: DataFrame, col: str, out_col: str) ->
     """Join through ``mapping_value`` back to ``source_value``: one composite
     value fans out to every source value mapped to it; unmapped values keep
     themselves."""
-    mm = bounded_broadcast(m.select(F.col("source_value").alias("_sv"), F.col("mapping_value").alias("_mv"))
-                           .where(F.col("_mv").isNotNull()).distinct())
+    mm = (m.select(F.col("source_value").alias("_sv"), F.col("mapping_value").alias("_mv"))
+          .where(F.col("_mv").isNotNull()).distinct())
     j = df.join(mm, df[col] == mm["_mv"], "left")
     return j.withColumn(out_col, F.coalesce(F.col("_sv"), F.col(col))).drop("_sv", "_mv")
 

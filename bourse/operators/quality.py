@@ -33,12 +33,19 @@ def check_unique(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFra
     Counts per key by aggregation (partial, map-side) joined back, rather than
     a window over the key: a duplicated hot key does not gather its rows in
     one task for the count; the join side is split by AQE skew handling."""
-    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    j = df.join(counts, [*cols], "left")
-    valid, viol = _split(j, F.col("_n") > 1, "unique")
+    valid, viol = _split(_with_count(df, cols), F.col("_n") > 1, "unique")
     return valid.drop("_n"), viol.drop("_n")
 
 
+def _with_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with ``_n``, the number of rows with the same key; NULLs are
+    equal to one another, as in a grouping."""
+    keys = {c: f"_k{i}" for i, c in enumerate(cols)}
+    counts = df.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(F.count(F.lit(1)).alias("_n"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+    return df.join(counts, same, "left").drop(*keys.values())
+
+
 def violation_report(df: DataFrame, violations: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """length, violation count and distinct violating ids (as a count)."""
     return violations.groupBy("violation").agg(
@@ -62,5 +69,5 @@ def check_result_size(requests: DataFrame, responses: DataFrame, batch_col: str
 
 
 def unique_flag(df: DataFrame, col: str, out: str = "is_unique") -> DataFrame:
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    return df.join(counts, col, "left").withColumn(out, F.col("_n") == 1).drop("_n")
+    """Whether a row's value occurs once; several NULLs are not unique."""
+    return _with_count(df, [col]).withColumn(out, F.col("_n") == 1).drop("_n")

@@ -133,7 +133,9 @@ def fts_match(index: DataFrame, query: str | WebQuery, universe: DataFrame | Non
         *[F.max(F.col(f"_t{i}").cast("int")).alias(f"_t{i}") for i in range(len(terms))],
         (F.count_if(F.col("token").isin(pos_words)) / F.max("n_tokens")).alias("rank"))
     needs_universe = any(all(t.negated for t in g) for g in wq.groups)
-    if needs_universe and universe is not None:
+    if needs_universe:
+        if universe is None:
+            raise ValueError("a query group of negated words only needs the universe of ids")
         have = universe.select("id").distinct().join(have, "id", "left")
 
     def present(t: Term) -> Column:

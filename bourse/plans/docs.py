@@ -74,7 +74,7 @@ def v_doc(spark, sf_dir: str) -> DataFrame:
     }
     lines = lines.select("l_orderkey", *[section(b).alias(n) for n, b in sections.items()])
     # The per-order side grows with the data: a shuffle join, never a broadcast.
-    j = o.join(lines.hint("shuffle_hash"), o.o_orderkey == lines.l_orderkey, "left")
+    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
     general = F.struct(

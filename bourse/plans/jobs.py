@@ -105,18 +105,20 @@ INDEX_DOC_SCHEMA = T.StructType([
     T.StructField("Components", T.MapType(T.StringType(), _MEMBER))])
 
 
-def job_index_member(docs: DataFrame, text_col: str = "doc_text", index_type: str = "ETF") -> DataFrame:
-    """Index documents -> one row per member with the index code and name
-    (an index without components yields nothing)."""
-    parsed, _rej = N.parse_documents(docs, text_col, INDEX_DOC_SCHEMA, required="General")
+def job_index_member(docs: DataFrame, indices: DataFrame, text_col: str = "doc_text") -> tuple[DataFrame, DataFrame]:
+    """Documents of the listed indices (``indices.code``) -> (one row per
+    member with the index code and name, documents that do not parse). An
+    index without components yields nothing."""
+    parsed, rejects = N.parse_documents(docs, text_col, INDEX_DOC_SCHEMA, required="General")
     g = F.col("doc.General")
-    idx = parsed.where(g["Type"] == F.lit(index_type)).select(
+    listed = indices.select(F.col("code").alias("index_code")).distinct()
+    idx = parsed.select(
         g["Code"].alias("index_code"), g["Name"].alias("index_name"),
         g["CurrencyCode"].alias("currency"), g["CountryISO"].alias("country"),
-        F.col("doc.Components").alias("Components"))
+        F.col("doc.Components").alias("Components")).join(listed, "index_code", "left_semi")
     m = N.map_values_explode(idx, "Components", ["index_code", "index_name", "currency", "country"])
     return m.select(F.col("Code").alias("security_code"), F.col("Name").alias("security_name"),
-                    F.col("Exchange").alias("exchange_code"), "country", "currency", "index_code", "index_name")
+                    F.col("Exchange").alias("exchange_code"), "country", "currency", "index_code", "index_name"), rejects
 
 
 def job_index(securities: DataFrame, index_exchange: str = "INDX") -> DataFrame:

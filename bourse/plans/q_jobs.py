@@ -161,7 +161,10 @@ SELECT CAST(l_partkey AS VARCHAR) AS security_code, 'Part ' || CAST(l_partkey AS
        CAST(o_orderkey AS VARCHAR) AS index_code, 'Order ' || CAST(o_orderkey AS VARCHAR) AS index_name
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O'""")
 def q_job_index_member(spark, sf_dir):
-    return J.job_index_member(v_doc(spark, sf_dir))
+    # the index list: the orders whose documents are index documents
+    indices = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").cast("string").alias("code"))
+    members, _rejects = J.job_index_member(v_doc(spark, sf_dir), indices)
+    return members
 
 
 @register("job_index", with_views("""

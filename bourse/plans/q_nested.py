@@ -268,7 +268,7 @@ SELECT id, CAST(json_object('id', id, 'mic', mic, 'name', name) AS VARCHAR) AS e
                                     "v_exchange"))
 def q_json_object(spark, sf_dir):
     e = v_exchange(spark, sf_dir)
-    return e.select("id", F.to_json(F.struct("id", "mic", "name")).alias("exchange"))
+    return e.select("id", F.to_json(F.struct("id", "mic", "name"), {"ignoreNullFields": "false"}).alias("exchange"))
 
 
 @register("row_to_json", with_views("""

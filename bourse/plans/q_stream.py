@@ -82,8 +82,8 @@ def q_stream_quote_increment(spark, sf_dir):
     start.write.mode("overwrite").parquet(target)
     files = raw.where(F.col("Date") >= F.lit(_dt.date(1997, 7, 1)))
     files.repartition(6, "Date").write.mode("overwrite").option("header", True).csv(src)
-    ST.stream_quote_increment(spark, src, _RAW_Q_SCHEMA, target, ckpt,
-                              state_partitions=spark.sparkContext.defaultParallelism)
+    # several micro-batches, so that later ones meet what earlier ones wrote
+    ST.stream_quote_increment(spark, src, _RAW_Q_SCHEMA, target, ckpt, max_files_per_trigger=2)
     return spark.read.parquet(target).select(*_QCOLS.split(", "))
 
 

@@ -70,31 +70,29 @@ def q_performance_asof(spark, sf_dir):
 
 
 # ------------------------------------------------------------ performance_exact
-# Oracle = the plain form of the reference job: a dense ten-year calendar per
-# key, IFNULL(close, LEAD(close) IGNORE NULLS ... DESC), and a LEFT self join
-# per period. The Spark side computes the same rows without the calendar.
+# Oracle: a day's close is the latest known close up to that day within the ten
+# years and ten days of the calendar, taken per key and reference date by
+# arg_max; this is IFNULL(close, LEAD(close) IGNORE NULLS ... DESC) over the dense
+# calendar of the reference job without building keys x 3,660 days.
 
 _EX_START = add_months(AS_OF, -120) - _dt.timedelta(days=10)
 
 PERFORMANCE_EXACT_SQL = with_views(
     f"""
-SELECT b.security_code, b.exchange_code, b.date AS base_date, r.date AS reference_date,
+SELECT k.security_code, k.exchange_code, {lit(BASE)} AS base_date, p.ref AS reference_date,
        b.close AS base_close, r.close AS reference_close, p.period,
        b.close / NULLIF(r.close, 0) - 1 AS performance
-FROM qb b CROSS JOIN p
-LEFT JOIN qb r ON r.security_code = b.security_code AND r.exchange_code = b.exchange_code AND r.date = p.ref
-WHERE b.date = {lit(BASE)}""",
+FROM keys k CROSS JOIN p
+LEFT JOIN closes b ON b.security_code = k.security_code AND b.exchange_code = k.exchange_code AND b.ref = {lit(BASE)}
+LEFT JOIN closes r ON r.security_code = k.security_code AND r.exchange_code = k.exchange_code AND r.ref = p.ref""",
     "v_quote_null",
     extra={
         "keys": "SELECT DISTINCT security_code, exchange_code FROM v_quote_null",
-        "cal": f"SELECT CAST(range AS DATE) AS date FROM range({lit(_EX_START)}, {lit(AS_OF)}, INTERVAL 1 DAY)",
-        "dense": "SELECT k.security_code, k.exchange_code, c.date, q.adjusted_close FROM keys k CROSS JOIN cal c "
-                 "LEFT JOIN v_quote_null q ON q.security_code = k.security_code AND "
-                 "q.exchange_code = k.exchange_code AND q.date = c.date",
-        "qb": "SELECT security_code, exchange_code, date, IFNULL(adjusted_close, "
-              "LEAD(adjusted_close, 1 IGNORE NULLS) OVER (PARTITION BY security_code, exchange_code "
-              "ORDER BY date DESC)) AS close FROM dense",
         "p": _values(_exact_refs(BASE)),
+        "days": f"SELECT DISTINCT ref FROM (SELECT ref FROM p UNION ALL SELECT {lit(BASE)})",
+        "closes": "SELECT q.security_code, q.exchange_code, d.ref, arg_max(q.adjusted_close, q.date) AS close "
+                  "FROM v_quote_null q JOIN days d ON q.date <= d.ref WHERE q.adjusted_close IS NOT NULL AND "
+                  f"q.date >= {lit(_EX_START)} GROUP BY q.security_code, q.exchange_code, d.ref",
     },
 )
 
@@ -110,10 +108,11 @@ _CAL_FROM = _dt.date(AS_OF.year, 1, 1)
 
 @register("calendar", f"""
 SELECT CAST(range AS DATE) AS date FROM range(
-  (SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem), {lit(AS_OF)}, INTERVAL 1 DAY)""")
+  LEAST({lit(_EX_START)}, (SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem)), {lit(AS_OF)}, INTERVAL 1 DAY)""")
 def q_calendar(spark, sf_dir):
-    # one row per day from the first ship date up to (excluding) as_of
-    first = table(spark, sf_dir, "lineitem").agg(F.min(F.to_date("l_shipdate")).alias("s"))
+    # one row per day of the ten years and ten days before as_of, or from the
+    # first ship date where that is earlier
+    first = table(spark, sf_dir, "lineitem").agg(F.least(F.lit(_EX_START), F.min(F.to_date("l_shipdate"))).alias("s"))
     return first.select(F.explode(ts._day_seq(F.col("s"), F.lit(AS_OF))).alias("date"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,12 +49,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
     (local runs, tests) a private folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="bourse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -73,20 +74,3 @@ def as_local_path(uri: str) -> str:
         while uri.startswith("//"):
             uri = uri[1:]
     return uri
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """Byte bound under which a side may be broadcast (the session's
-    ``autoBroadcastJoinThreshold``; -1 disables)."""
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(str(v).lower().replace("b", ""))
-    except ValueError:
-        return 10 * 1024 * 1024
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

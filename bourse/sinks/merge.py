@@ -10,6 +10,7 @@ keys), never a row-by-row loop.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +19,22 @@ from ..functions.dates import ntz_lit
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key: the first by ``order`` (deterministic), else any.
+    """One row per key: the first by ``order``, without one the least by its
+    other columns. Rows with a NULL in the key are no duplicates (SQL) and stay.
 
     ``min_by(row, order)`` is aggregated map-side, so a key holding a third
     of the rows is reduced per map task before the shuffle (a window over the
     key would pull all its rows into one task)."""
-    if not order:
-        return df.dropDuplicates(list(keys))
     others = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    g = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_r"))
-    return g.select(*keys, *[F.col("_r")[c].alias(c) for c in others]).select(*df.columns)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    if others:
+        row = F.struct(*[F.col(c) for c in others])
+        rank = list(order) if order else [F.col(c) for c, t in df.dtypes if c in others and "map<" not in t]
+        g = df.where(known).groupBy(*keys).agg((F.min_by(row, F.struct(*rank)) if rank else F.any_value(row)).alias("_r"))
+        one = g.select(*keys, *[F.col("_r")[c].alias(c) for c in others]).select(*df.columns)
+    else:
+        one = df.where(known).distinct()
+    return one.unionByName(df.where(~known))
 
 
 def merge_insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -37,7 +43,7 @@ def merge_insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str],
     (MERGE ... WHEN NOT MATCHED THEN INSERT). Duplicate source keys are all
     inserted unless ``dedupe_source``. Idempotent: applying the same source
     twice gives the same table."""
-    src = source.dropDuplicates(list(keys)) if dedupe_source else source
+    src = dedupe_by_key(source, keys) if dedupe_source else source
     new = src.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(new.select(*target.columns))
 
@@ -56,7 +62,9 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str],
                    insert_missing: bool = True) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE SET c = EXCLUDED.c`` /
     ``SET c = const``. A NULL in the source is a value (it is applied).
-    One full outer join on the key."""
+    Of source rows with one key the least by its other columns counts. One
+    full outer join on the key."""
+    source = dedupe_by_key(source, keys)
     set_const = dict(set_const or {})
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns]).withColumn("_t", F.lit(True))
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in source.columns]).withColumn("_s", F.lit(True))
@@ -96,8 +104,8 @@ def bulk_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 def bulk_update_by_key(target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """``UPDATE t SET c = v.c FROM updates v WHERE v.key = t.key``: matched
     rows take the update's value even when it is NULL; unmatched keep theirs;
-    no insert."""
-    u = updates.select(F.col(key).alias("_k"), *[F.col(c).alias(f"u__{c}") for c in columns]) \
+    no insert. Of updates with one key the least by its other columns counts."""
+    u = dedupe_by_key(updates, [key]).select(F.col(key).alias("_k"), *[F.col(c).alias(f"u__{c}") for c in columns]) \
         .withColumn("_m", F.lit(True))
     j = target.join(u, target[key] == u["_k"], "left")
     return j.select(*[F.when(F.col("_m").isNotNull(), F.col(f"u__{c}")).otherwise(F.col(c))
@@ -117,8 +125,10 @@ def snapshot_refresh(current: DataFrame, snapshot: DataFrame, keys: Sequence[str
     * only snapshot: inserted active, ``created_at`` = ``active_from`` = as_of.
 
     ``current`` has keys, value_cols, is_active, active_from, active_until,
-    created_at, updated_at; ``snapshot`` has keys and value_cols.
+    created_at, updated_at; ``snapshot`` has keys and value_cols; of its rows
+    with one key the least by its other columns counts.
     """
+    snapshot = dedupe_by_key(snapshot, keys)
     ts = ntz_lit(as_of)
     c = current.select(*[F.col(x).alias(f"c__{x}") for x in current.columns]).withColumn("_c", F.lit(True))
     s = snapshot.select(*[F.col(x).alias(f"s__{x}") for x in snapshot.columns]).withColumn("_s", F.lit(True))

@@ -47,8 +47,9 @@ def commit(df: DataFrame, spark: SparkSession, name: str, partition_by: Sequence
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], fmt: str = "parquet") -> None:
     """One folder per value combination (``k=v/...``) in ONE pass; rows are
-    clustered by the partition columns first so each task writes few files."""
-    df.repartition(*cols).write.mode("overwrite").format(fmt).partitionBy(*cols).save(path)
+    clustered by the partition columns first so each task writes few files, and
+    a value that holds many rows is split over tasks (``rebalance``)."""
+    df.hint("rebalance", *cols).write.mode("overwrite").format(fmt).partitionBy(*cols).save(path)
 
 
 def write_sized_files(df: DataFrame, path: str, max_rows_per_file: int = 10 * 1024 * 1024,
@@ -81,7 +82,7 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000, ke
 def write_documents(df: DataFrame, path: str, name_col: str, text_col: str) -> None:
     """One document per folder ``name=<value>`` (a text file holding the
     JSON), as document stores deliver them."""
-    df.select(name_col, text_col).repartition(name_col).write.mode("overwrite").partitionBy(name_col).text(path)
+    df.select(name_col, text_col).hint("rebalance", name_col).write.mode("overwrite").partitionBy(name_col).text(path)
 
 
 def insert_by_name(df: DataFrame, table_name: str, overwrite: bool = False) -> None:

@@ -21,7 +21,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", ckpt)
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(ckpt)
     s.sparkContext.setLogLevel("ERROR")
     yield s

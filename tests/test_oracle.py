@@ -8,9 +8,10 @@ import pytest
 from tools.oracle_check import compare, duck
 
 import __spark_entry__ as E
+from bourse.plans import registry
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+registry.load_all()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 SF = os.environ.get("BOURSE_TEST_SF", "/root/testdata/sf0.001")
 
 
