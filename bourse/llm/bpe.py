@@ -192,33 +192,45 @@ def _encoder(path: str):
     return encode
 
 
-def _join(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One chunk: the documents' positions with the ids of the chunk's words."""
-    counts, flat = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)]
-    for _, n, blob in sorted(zip(*(right.column(c).to_pylist() for c in ("bucket", "n", "ids")))):
-        raw = _unpack(blob, np.uint32)
-        counts.append(raw[:n])
-        flat.append(raw[n:])
-    counts, flat = np.concatenate(counts).astype(np.int64), np.concatenate(flat).astype(np.int32)
-    if set(left.column("size").to_pylist()) - {len(counts)}:
-        raise RuntimeError("a chunk was read twice with different words; stage the input")
-    offsets = np.cumsum(counts) - counts
-    out = []
-    for packed in left.column("at").to_pylist():
-        at = np.ascontiguousarray(_unpack(packed, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
-        k = counts[at]
-        ends = np.cumsum(k)
-        out.append(flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(offsets[at] - ends + k, k)])
-    return pa.table({"doc_id": left.column("doc_id"), "ids": pa.array(out, pa.list_(pa.int32()))})
+def _joiner(path: str | None):
+    """Joins one chunk: the documents' positions with the ids of the chunk's
+    words; with a tokenizer's path the ids are decoded in the same pass."""
+    table: list[pa.Array] = []
+
+    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+        counts, flat = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)]
+        for _, n, blob in sorted(zip(*(right.column(c).to_pylist() for c in ("bucket", "n", "ids")))):
+            raw = _unpack(blob, np.uint32)
+            counts.append(raw[:n])
+            flat.append(raw[n:])
+        counts, flat = np.concatenate(counts).astype(np.int64), np.concatenate(flat).astype(np.int32)
+        if set(left.column("size").to_pylist()) - {len(counts)}:
+            raise RuntimeError("a chunk was read twice with different words; stage the input")
+        offsets = np.cumsum(counts) - counts
+        out = []
+        for packed in left.column("at").to_pylist():
+            at = np.ascontiguousarray(_unpack(packed, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+            k = counts[at]
+            ends = np.cumsum(k)
+            out.append(flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(offsets[at] - ends + k, k)])
+        cols = {"doc_id": left.column("doc_id"), "ids": pa.array(out, pa.list_(pa.int32()))}
+        if path:
+            if not table:
+                table.append(pa.array(pieces(path), pa.binary()))
+            cols["text"] = pa.chunked_array([_text(cols["ids"].slice(b, DECODED_ROWS), table[0]) for b in range(0, len(out), DECODED_ROWS)], pa.string())
+        pa.default_memory_pool().release_unused()
+        return pa.table(cols)
+    return join
 
 
 def _plain_files(df: DataFrame) -> bool:
     return bool(df.inputFiles()) and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``doc_id ids`` per row, as the tokenizer file at ``path`` (a place that
-    every executor has) encodes the text without adding special tokens."""
+    every executor has) encodes the text without adding special tokens. With
+    ``decoded`` also ``text``: what ``decode`` makes of the ids."""
     special = [t["content"] for t in tokenizer_json(path).get("added_tokens", [])]
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     if not _plain_files(rows):
@@ -229,7 +241,8 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     distinct = words.mapInArrow(_distinct(buckets), "bucket int, chunk bigint, n int, words binary")
     ids = distinct.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encoder(path), "chunk bigint, bucket int, n int, ids binary")
     docs = words.mapInArrow(_positions(buckets), f"chunk bigint, size int, doc_id {kind}, at binary")
-    return docs.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(_join, f"doc_id {kind}, ids array<int>")
+    return docs.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(
+        _joiner(path if decoded else None), f"doc_id {kind}, ids array<int>" + ", text string" * decoded)
 
 
 def _byte_of() -> dict[str, int]:
@@ -248,15 +261,18 @@ def pieces(path: str) -> list[bytes]:
     return [vocab.get(i, b"") for i in range(max(vocab) + 1)]
 
 
+def _text(ids: pa.ListArray, table: pa.Array) -> pa.Array:
+    """The join of ids with their pieces, each row's bytes read as UTF-8."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(_offsets(ids), table.take(ids.flatten())), b"")
+    return pa.array([b.decode("utf-8", "replace") for b in joined.to_pylist()], pa.string())
+
+
 def _decoder(path: str):
     def decode(batches):
         table = pa.array(pieces(path), pa.binary())
         for part in _slices(batches, lambda _: DECODED_ROWS):
-            ids = part.column(1)
-            joined = pc.binary_join(pa.ListArray.from_arrays(_offsets(ids), table.take(ids.flatten())), b"")
-            texts = [b.decode("utf-8", "replace") for b in joined.to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
-            part = ids = joined = texts = None
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _text(part.column(1), table)], ["doc_id", "ids", "text"])
+            part = None
     return decode
 
 
@@ -271,6 +287,6 @@ def decode(df: DataFrame, path: str) -> DataFrame:
 
 
 def bpe_digest(df: DataFrame, path: str) -> DataFrame:
-    back = decode(encode(df, path), path)
+    back = encode(df, path, decoded=True)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))
