@@ -163,13 +163,22 @@ class Model:
 
 
 FLOOR = -1.0
+#: Characters of texts judged at a time, and bytes of tokens known at a time.
+SLICE_CHARS, KNOWN_BYTES = 1_000_000, 96_000_000
+
+
+def slices_of(texts: pa.Array):
+    """Lists of texts of about SLICE_CHARS bytes, one text at least."""
+    step = max(1, int(len(texts) * SLICE_CHARS / max(texts.nbytes, 1)))
+    for start in range(0, len(texts), step):
+        yield texts.slice(start, step).to_pylist()
 
 
 class Judge:
     """Scores texts with a model, knowing the tokens it has met."""
 
     def __init__(self, model: Model | None):
-        self.model, self.known = model, {}
+        self.model, self.known, self.held = model, {}, 0
         self.cores = Cores(model.cores) if model else None
 
     def learn(self, tokens: set[str]) -> None:
@@ -186,13 +195,15 @@ class Judge:
                     part = at[c:c + 2_048]
                     np.maximum.at(best, which[part], self.model.margins([strings[i] for i in part]))
         self.known.update(zip(new, best.tolist()))
+        # a string, a float and their entry take about 200 bytes besides the characters
+        self.held += sum(map(len, new)) + 200 * len(new)
 
     def evidence(self, texts: list[str | None]) -> np.ndarray:
         """Per text: best and second best margin of its tokens, and the
         logarithm of how many are positive."""
         sets = [tokens_of(t or "") for t in texts]
-        if len(self.known) > 1_500_000:
-            self.known = {}
+        if self.held > KNOWN_BYTES:
+            self.known, self.held = {}, 0
         self.learn(set().union(*sets))
         out = np.empty((len(texts), 3))
         known = self.known
@@ -207,6 +218,10 @@ class Judge:
         w, b = self.model.final
         return 1 / (1 + np.exp(-(self.evidence(texts) @ w + b)))
 
+    def scores_of(self, texts: pa.Array) -> np.ndarray:
+        """Scores of an Arrow batch's texts, a slice at a time."""
+        return np.concatenate([np.empty(0), *map(self.scores, slices_of(texts))])
+
 
 def without_copies(docs: list[set[str]]) -> list[int]:
     """Positions of documents that look like no earlier one: none of the least
@@ -397,7 +412,7 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
     def score(batches):
         judge = Judge(model)
         for batch in batches:
-            s = judge.scores(batch.column(1).to_pylist())
+            s = judge.scores_of(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
     out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(score, f"doc_id {kind}, score double")
@@ -411,6 +426,6 @@ def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text") ->
     def keep(batches):
         judge = Judge(model)
         for batch in batches:
-            yield batch.filter(pa.array(judge.scores(batch.column(at).to_pylist()) < THRESHOLD))
+            yield batch.filter(pa.array(judge.scores_of(batch.column(at)) < THRESHOLD))
 
     return docs.mapInArrow(keep, docs.schema)
