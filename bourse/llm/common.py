@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes that a task looks at at a time.
+SLICE_BYTES = 2_000_000
+
+
+def slices(batches, size: int = SLICE_BYTES):
+    """Slices of a task's Arrow batches of about ``size`` bytes, one row at
+    least. A batch is let go before the next one is read, and at the end free
+    memory goes back to the system, so that an idle worker holds little."""
+    batches = iter(batches)
+    while (batch := next(batches, None)) is not None:
+        step = max(1, int(len(batch) * size / max(batch.nbytes, 1)))
+        for start in range(0, len(batch), step):
+            yield batch.slice(start, step)
+        batch = None
+    release_memory()
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, unstage
+from .common import slices, stage, unstage
 from .components import connected_components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -78,7 +78,7 @@ class WordHashes(dict):
     """Word to 64-bit hash, kept while it stays small."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -180,7 +180,7 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 def _sketches(batches):
     hashes = WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         ids, texts = batch.column(0), batch.column(1)
         digests, found = [], []
         for text in texts.to_pylist():
@@ -193,7 +193,7 @@ def _sketches(batches):
 def _verify(batches):
     hashes = WordHashes()
     last: tuple = (None, None)
-    for batch in batches:
+    for batch in slices(batches):
         a, b, ta, tb = (c.to_pylist() for c in batch.columns)
         yes = []
         for x, tx, ty in zip(a, ta, tb):
@@ -205,7 +205,7 @@ def _verify(batches):
 
 def _signed(batches):
     hashes = WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         signs = [signature(labelled_shingles(t, hashes)) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signs, pa.list_(pa.int64()))], ["rep", "text", "sign"])
 

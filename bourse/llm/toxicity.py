@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import slices, stage
 
 ORDER, DECAY, REACH = 3, 0.6, 4
 #: Labelled rows that training looks at, at most, of either class.
@@ -163,15 +163,8 @@ class Model:
 
 
 FLOOR = -1.0
-#: Characters of texts judged at a time, and bytes of tokens known at a time.
-SLICE_CHARS, KNOWN_BYTES = 1_000_000, 96_000_000
-
-
-def slices_of(texts: pa.Array):
-    """Lists of texts of about SLICE_CHARS bytes, one text at least."""
-    step = max(1, int(len(texts) * SLICE_CHARS / max(texts.nbytes, 1)))
-    for start in range(0, len(texts), step):
-        yield texts.slice(start, step).to_pylist()
+#: Bytes of tokens that a task remembers.
+KNOWN_BYTES = 64_000_000
 
 
 class Judge:
@@ -218,11 +211,6 @@ class Judge:
         w, b = self.model.final
         return 1 / (1 + np.exp(-(self.evidence(texts) @ w + b)))
 
-    def scores_of(self, texts: pa.Array) -> np.ndarray:
-        """Scores of an Arrow batch's texts, a slice at a time."""
-        return np.concatenate([np.empty(0), *map(self.scores, slices_of(texts))])
-
-
 def without_copies(docs: list[set[str]]) -> list[int]:
     """Positions of documents that look like no earlier one: none of the least
     hashes of their long units was met before. Copies would make their rare
@@ -411,8 +399,8 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
 
     def score(batches):
         judge = Judge(model)
-        for batch in batches:
-            s = judge.scores_of(batch.column(1))
+        for batch in slices(batches):
+            s = judge.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
     out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(score, f"doc_id {kind}, score double")
@@ -425,7 +413,7 @@ def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text") ->
 
     def keep(batches):
         judge = Judge(model)
-        for batch in batches:
-            yield batch.filter(pa.array(judge.scores_of(batch.column(at)) < THRESHOLD))
+        for batch in slices(batches):
+            yield batch.filter(pa.array(judge.scores(batch.column(at).to_pylist()) < THRESHOLD))
 
     return docs.mapInArrow(keep, docs.schema)
