@@ -29,6 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software "
     "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
@@ -143,7 +145,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
 
     def scan(batches):
         scanner = Scanner(templates)
-        for batch in batches:
+        for batch in slices(batches):
             at, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 for start, end in blocks(text):
