@@ -72,4 +72,49 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_mixing, op3_embedding_dedup, op4_bpe, op5_licenses, op6_toxicity, op7_url_filter, op8_order_minhash, op9_quality, op10_chat, pipeline)}
 
-ORACLE: dict[str, str] = {}
+#: Sizes over all documents, shares, rates and the Poisson distribution by its
+#: closed form; Spark sums the same terms one by one.
+OP2_SQL = f"""
+WITH sizes AS (SELECT coalesce(source, '') AS s, sum(coalesce(length(text), 0))::DOUBLE AS chars FROM documents GROUP BY 1),
+shares AS (SELECT s, chars, CASE WHEN chars > 0 THEN map_extract(MAP {MIX_WEIGHTS}, s)[1] END AS fixed FROM sizes),
+free AS (SELECT *, CASE WHEN chars > 0 AND fixed IS NULL THEN pow(chars, {MIX_ALPHA}) ELSE 0 END AS w FROM shares),
+total AS (SELECT sum(chars) AS chars, coalesce(sum(fixed), 0) AS fixed, sum(w) AS w, CASE WHEN sum(w) > 0 THEN 1 - {sum(MIX_WEIGHTS.values())} ELSE 0 END AS rest FROM free),
+rates AS (SELECT s, CASE WHEN f.chars > 0 THEN coalesce(f.fixed, CASE WHEN t.w > 0 THEN f.w * t.rest / t.w ELSE 0 END)
+                 / CASE WHEN t.fixed + t.rest > 0 THEN t.fixed + t.rest ELSE 1 END * t.chars / f.chars ELSE 1.0 END AS rate FROM free f, total t),
+terms AS (SELECT s, k, CASE WHEN rate > 0 THEN exp(k * ln(rate) - rate - lgamma(k + 1)) ELSE CASE WHEN k = 0 THEN 1 ELSE 0 END END AS p
+          FROM rates, LATERAL (SELECT unnest(range(0, (rate + 12 * sqrt(rate) + 31)::BIGINT)) AS k)),
+cdf AS (SELECT s, list(c ORDER BY k) AS cdf FROM (SELECT s, k, sum(p) OVER (PARTITION BY s ORDER BY k) AS c FROM terms) GROUP BY s),
+drawn AS (SELECT d.*, coalesce(doc_id::VARCHAR, '') AS id, ('0x' || substr(md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / {2**52}.0::DOUBLE AS u,
+                 cdf FROM documents d JOIN cdf ON coalesce(d.source, '') = cdf.s),
+counted AS (SELECT *, len(list_filter(cdf, lambda c: c < u))::INTEGER AS copies FROM drawn)
+SELECT doc_id, copy, copies, md5('{MIX_SEED}:order:' || id || ':' || copy) AS shuffle_key, source, lang, text
+FROM (SELECT *, unnest(range(1, copies + 1))::INTEGER AS copy FROM counted)
+"""
+
+#: Rules by the longest fit, then components over canonical links and refresh
+#: redirects by recursion, allow before block.
+OP7_SQL = r"""
+WITH RECURSIVE rules AS (SELECT action, rule, split_part(rule, '/', 1) AS rh, substr(rule, instr(rule, '/')) AS rp FROM (VALUES RULES) v(action, rule)),
+found AS (SELECT url AS f, unnest([
+    regexp_extract(list_filter(regexp_extract_all(html, '(?i)<link\b[^>]*'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b'))[1], '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+    regexp_extract(list_filter(regexp_extract_all(html, '(?i)<meta\b[^>]*'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b'))[1], '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS t
+  FROM pages WHERE instr(url, '://') > 0),
+whole AS (SELECT f, CASE WHEN instr(t, '://') > 0 THEN t WHEN starts_with(t, '//') THEN regexp_extract(f, '^[^:/?#]+') || ':' || t
+                         WHEN starts_with(t, '/') THEN regexp_extract(f, '^[^:/?#]+') || '://' || regexp_extract(f, '(?s)^.*?://([^/?#]*)', 1) || t END AS t FROM found WHERE t <> ''),
+urls AS (SELECT url FROM pages UNION SELECT f FROM whole WHERE t IS NOT NULL UNION SELECT t FROM whole WHERE t IS NOT NULL),
+parts AS (SELECT url, CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+                 CASE WHEN instr(url, '://') > 0 THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM urls),
+address AS (SELECT DISTINCT host, path, host || path AS node FROM parts),
+judged AS (SELECT a.*, r.rule, r.action FROM address a LEFT JOIN
+  (SELECT host, path, rule, action FROM address JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+   QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, rule) = 1) r USING (host, path)),
+ends AS (SELECT DISTINCT a.host || a.path AS x, b.host || b.path AS y FROM whole w JOIN parts a ON a.url = w.f JOIN parts b ON b.url = w.t),
+edges AS (SELECT x, y FROM ends UNION SELECT y, x FROM ends),
+reach(x, y) AS (SELECT x, x FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+says AS (SELECT r.x AS node, bool_or(j.action = 'allow') AS allowed, bool_or(j.action = 'block') AS blocked FROM reach r JOIN judged j ON j.node = r.y WHERE j.action IS NOT NULL GROUP BY 1)
+SELECT page_id, j.host, j.path, j.rule, coalesce(j.action, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN j.action IS NOT NULL THEN 'rule' WHEN allowed OR blocked THEN 'alias' ELSE 'default' END AS reason
+FROM pages p JOIN parts a ON a.url IS NOT DISTINCT FROM p.url JOIN judged j ON j.host = a.host AND j.path = a.path LEFT JOIN says s ON s.node = j.node
+""".replace("RULES", ", ".join(f"('{a}', '{r}')" for a, r in URL_RULES))
+
+ORACLE: dict[str, str] = {"op2_mixing": OP2_SQL, "op7_url_filter": OP7_SQL}

@@ -3,7 +3,9 @@
 import math
 
 import corpus_pipeline
+import duckdb
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from bourse.llm import pii, queries, toxicity
@@ -21,6 +23,36 @@ def test_every_query_is_registered():
     assert [n for n in queries.QUERIES if n.startswith("op")] == [n for k in range(1, 11) for n in queries.QUERIES if n.startswith(f"op{k}_")]
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_sql_gives_the_same_rows(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    got = queries.QUERIES[name](spark, SF)
+    want = con.sql(queries.ORACLE[name])
+    cols = sorted(got.columns)
+    assert cols == sorted(want.columns)
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(map(tuple, got.select(cols).collect()), key=key) == sorted(want.project(", ".join(cols)).fetchall(), key=key)
+
+
+def test_url_sql_follows_links_as_the_query_does(spark, tmp_path):
+    """Chains of canonical links and refreshes, allow before block."""
+    link = '<head><link rel="canonical" href="{}"><title>x</title>'
+    refresh = "<meta http-equiv=refresh content='0; url={}'>"
+    rows = [(1, "http://a.org/x", link.format("http://b.net/y")), (2, "http://c.com/z", refresh.format("http://A.org/x?q#f")), (3, "http://d.com/", link.format("/other")),
+            (4, "http://d.com/other", None), (5, "http://e.com/1", link.format("//www.example.net/en/2")), (6, "http://e.com/2", link.format("http://e.com/1") + refresh.format("http://b.net/q")),
+            (7, None, link.format("http://b.net/y")), (8, "no url", link.format("http://b.net/y")), (9, "http://e.com/2", ""), (None, "http://f.com", '<link rel=stylesheet href="http://b.net/">')]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    cols = ["page_id", "host", "path", "rule", "verdict", "reason"]
+    key = lambda r: tuple((v is None, v) for v in r)
+    got = sorted(map(tuple, queries.op7_url_filter(spark, str(tmp_path)).select(cols).collect()), key=key)
+    assert got == sorted(con.sql(queries.ORACLE["op7_url_filter"]).project(", ".join(cols)).fetchall(), key=key)
+    assert {r[0]: r[4:] for r in got if r[0] in (1, 2, 5, 6)} == {1: ("block", "alias"), 2: ("block", "alias"), 5: ("allow", "alias"), 6: ("allow", "alias")}
+
+
 def test_stages(spark):
     docs = table(spark, SF, "documents")
     text = {r.doc_id: r.text for r in docs.collect()}
