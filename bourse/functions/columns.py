@@ -71,15 +71,6 @@ def hive_path(parts: Sequence[tuple[str, Column]]) -> Column:
     return F.concat_ws("/", *[F.concat(F.lit(f"{k}="), v) for k, v in parts])
 
 
-def safe_ratio_minus_one(a: Column, b: Column) -> Column:
-    """``a / b - 1``; NULL instead of an ANSI divide-by-zero error."""
-    return F.try_divide(a, b) - F.lit(1.0)
-
-
-def int_flag_to_bool(c: Column) -> Column:
-    return F.try_cast(c, "int") != F.lit(0)
-
-
 def reference_quote_source(ticker: Column, ticker_ref: Column, mic: Column, mic_ref: Column,
                            operating_mic: Column, source: Column, currency: Column) -> tuple[Column, Column]:
     """``quote_source`` = source when the ticker matches and the venue matches

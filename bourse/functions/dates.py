@@ -35,10 +35,6 @@ def trunc_date(d: Column, grain: str) -> Column:
     return F.trunc(d, grain)
 
 
-def epoch_seconds_to_ts(c: Column) -> Column:
-    return F.timestamp_seconds(c)
-
-
 def try_parse_date(c: Column, fmt: str) -> Column:
     """``strptime`` that yields NULL on bad text (ANSI would raise)."""
     return F.to_date(F.try_to_timestamp(c, F.lit(fmt)))

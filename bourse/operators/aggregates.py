@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions.predicates import filter_set_predicate
 
@@ -121,10 +120,5 @@ def row_number_key(df: DataFrame, order: Sequence[str], col: str = "row_id") ->
     return global_row_index(df, order, col)
 
 
-def is_unique_flag(col: str) -> Column:
-    """Value occurs exactly once in the frame."""
-    return F.count(F.lit(1)).over(W.partitionBy(col)) == 1
-
-
 def map_lookup_rate(df: DataFrame, matched: Column) -> DataFrame:
     return df.agg(F.count_if(matched).alias("matched"), F.count_if(~matched).alias("missing"))

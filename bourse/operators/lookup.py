@@ -126,22 +126,38 @@ def dual_key_union_join(df: DataFrame, ref: DataFrame, isin_col: str, ticker_col
     return u
 
 
+def dual_key_matches(df: DataFrame, ref: DataFrame, isin_col: str, ticker_col: str,
+                     ref_isin: str, ref_ticker: str, ref_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(distinct rows that match by ISIN or by ticker, rows that match by
+    neither). Both keys go through one join, as (kind, key) pairs."""
+    def pairs(d: DataFrame, isin: str, ticker: str, *cols) -> DataFrame:
+        key = F.array(F.struct(F.lit("isin").alias("kind"), F.col(isin).alias("key")),
+                      F.struct(F.lit("ticker").alias("kind"), F.col(ticker).alias("key")))
+        return d.select(*cols, F.inline(key).alias("_kind", "_key")).where(F.col("_key").isNotNull())
+
+    refs = pairs(ref, ref_isin, ref_ticker, F.struct(*[F.col(c) for c in ref_cols]).alias("_ref"))
+    mine = pairs(df, isin_col, ticker_col, F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
+    matched = mine.join(refs, ["_kind", "_key"]).select("_row.*", "_ref.*").distinct()
+    known = refs.select("_kind", "_key").distinct()
+    by = {k: known.where(F.col("_kind") == k).select(F.col("_key").alias(f"_{k}")) for k in ("isin", "ticker")}
+    missing = df.join(by["isin"], F.col(isin_col) == F.col("_isin"), "left_anti") \
+        .join(by["ticker"], F.col(ticker_col) == F.col("_ticker"), "left_anti")
+    return matched, missing
+
+
 def fallback_match(df: DataFrame, ref: DataFrame, isin_col: str, ticker_col: str,
                    ref_isin: str, ref_ticker: str, ref_cols: Sequence[str]) -> DataFrame:
     """Match on ISIN; the unmatched rest on ticker; the rest is missing
     (``matched_by`` NULL). One row per input row when the reference keys are
-    unique."""
-    r1 = ref.where(F.col(ref_isin).isNotNull()).select(F.col(ref_isin).alias("_k"), *ref_cols)
-    r2 = ref.where(F.col(ref_ticker).isNotNull()).select(F.col(ref_ticker).alias("_k"), *ref_cols)
-    by_isin = df.join(r1, df[isin_col] == r1["_k"], "inner").drop("_k").withColumn("matched_by", F.lit("isin"))
-    rest = df.join(r1, df[isin_col] == r1["_k"], "left_anti")
-    by_ticker = rest.join(r2, rest[ticker_col] == r2["_k"], "inner").drop("_k").withColumn("matched_by",
-                                                                                           F.lit("ticker"))
-    missing = rest.join(r2, rest[ticker_col] == r2["_k"], "left_anti")
-    for c in ref_cols:
-        missing = missing.withColumn(c, F.lit(None).cast(ref.schema[c].dataType))
-    missing = missing.withColumn("matched_by", F.lit(None).cast("string"))
-    return by_isin.unionByName(by_ticker).unionByName(missing)
+    unique. Two joins: the second one only takes rows the first left open."""
+    found = F.struct(*[F.col(c) for c in ref_cols])
+    r1 = ref.where(F.col(ref_isin).isNotNull()).select(F.col(ref_isin).alias("_ik"), found.alias("_i"))
+    r2 = ref.where(F.col(ref_ticker).isNotNull()).select(F.col(ref_ticker).alias("_tk"), found.alias("_t"))
+    j = df.join(r1, F.col(isin_col) == F.col("_ik"), "left")
+    j = j.join(r2, (F.col(ticker_col) == F.col("_tk")) & F.col("_ik").isNull(), "left")
+    hit = F.coalesce("_i", "_t")
+    by = F.when(F.col("_ik").isNotNull(), "isin").when(F.col("_tk").isNotNull(), "ticker")
+    return j.select(*df.columns, *[hit[c].alias(c) for c in ref_cols], by.alias("matched_by"))
 
 
 def positional_join(requests: DataFrame, responses: DataFrame, keys: Sequence[str] = ("batch_id", "seq")) -> DataFrame:

@@ -28,7 +28,9 @@ def parse_documents(df: DataFrame, text_col: str, schema, out_col: str = "doc",
     (parsed, rejects): malformed text (``from_json`` yields a struct of
     NULLs in PERMISSIVE mode) or a document without the ``required``
     top-level field goes to the reject frame instead of vanishing."""
-    parsed = df.withColumn(out_col, F.from_json(F.col(text_col), schema))
+    # a generator of one row: later projections and filters cannot be merged
+    # into it, which would repeat the parse for every field they read
+    parsed = df.select("*", F.explode(F.array(F.from_json(F.col(text_col), schema))).alias(out_col))
     probe = F.col(f"{out_col}.{required or schema.fields[0].name}")
     ok = F.col(out_col).isNotNull() & probe.isNotNull()
     return parsed.where(ok), parsed.where(~ok).drop(out_col)
@@ -88,10 +90,13 @@ def records_metric_array(parts: Sequence[tuple[Column, str]], category: str, dat
     """Metric rows of maps of dated records, as one array column."""
     skip = list({date_key, published_key, *id_keys})
 
-    def rows_of(rec: Column, pt: str) -> Column:
-        d = try_parse_date(map_get(rec, date_key), "yyyy-MM-dd")
-        period = F.trunc(d, GRAIN.get(pt, "year"))
-        pub = try_parse_date(map_get(rec, published_key), "yyyy-MM-dd")
+    def dated(rec: Column, pt: str) -> Column:
+        """The record with its dates, parsed once for all its metrics."""
+        return F.struct(rec.alias("rec"), F.trunc(try_parse_date(map_get(rec, date_key), "yyyy-MM-dd"), GRAIN.get(pt, "year")).alias("period"),
+                        try_parse_date(map_get(rec, published_key), "yyyy-MM-dd").alias("pub"))
+
+    def rows_of(x: Column, pt: str) -> Column:
+        rec, period, pub = x["rec"], x["period"], x["pub"]
         cur = map_get(rec, "currency_symbol")
         if fields is None:
             entries = F.map_entries(F.map_filter(rec, lambda k, v: ~k.isin(skip)))
@@ -99,10 +104,11 @@ def records_metric_array(parts: Sequence[tuple[Column, str]], category: str, dat
         return F.array(*[_metric(category, f, map_get(rec, f), cur, period, F.lit(pt), pub)
                          for f in fields if f not in skip])
 
-    def per_record(pt: str):
-        return lambda r: rows_of(r, pt)      # one-argument lambda (transform counts parameters)
+    def per_record(step, pt: str):
+        return lambda r: step(r, pt)      # one-argument lambda (transform counts parameters)
 
-    arrays = [_or_empty(F.flatten(F.transform(F.map_values(m), per_record(pt)))) for m, pt in parts]
+    arrays = [_or_empty(F.flatten(F.transform(F.transform(F.map_values(m), per_record(dated, pt)), per_record(rows_of, pt))))
+              for m, pt in parts]
     return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
 
 

@@ -78,13 +78,6 @@ def force_schema(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.select(*[_q(c).try_cast(types[c]).alias(c) if c in types else _q(c) for c in df.columns])
 
 
-def force_schema_rejects(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Rows where some listed non-null value fails its cast."""
-    from functools import reduce
-    bad = [(_q(c).isNotNull() & _q(c).try_cast(t).isNull()) for c, t in types.items()]
-    return df.where(reduce(lambda a, b: a | b, bad)) if bad else df.limit(0)
-
-
 def case_id_type(df: DataFrame, isin: str = "isin", ticker: str = "ticker") -> DataFrame:
     """Request id: ISIN first, else ticker, else NULL (value and type)."""
     i, t = F.col(isin), F.col(ticker)
@@ -107,7 +100,3 @@ def derive_with_aliases(df: DataFrame) -> DataFrame:
                   IF(currency = 'USD', 'vendor', NULL) AS quote_source,
                   IF(quote_source IS NOT NULL, currency, NULL) AS currency
            FROM {src}""", src=df)
-
-
-def add_load_stamp(df: DataFrame, at: _dt.datetime | None = None) -> DataFrame:
-    return df.withColumn("loaded_at", ntz_lit(at) if at else utc_now())

@@ -146,6 +146,33 @@ def fts_match(index: DataFrame, query: str | WebQuery, universe: DataFrame | Non
     return have.where(reduce(lambda a, b: a | b, groups)).select("id", F.coalesce("rank", F.lit(0.0)).alias("rank"))
 
 
+def match_row(text: Column, query: str | WebQuery) -> Column:
+    """Rank of one text (as ``fts_match``), NULL where it does not satisfy the
+    query; no index, no shuffle. Words and phrases are looked up in the
+    text's tokens joined by single spaces."""
+    wq = parse_websearch(query) if isinstance(query, str) else query
+    if not wq.groups:
+        return F.lit(None).cast("double")
+    tokens = tokens_col(text)
+    joined = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+
+    def present(t: Term) -> Column:
+        has = joined.contains(" " + " ".join(t.words) + " ")
+        return ~has if t.negated else has
+
+    groups = [reduce(lambda a, b: a & b, [present(t) for t in g]) for g in wq.groups]
+    words = wq.positive_words()
+    hits = F.size(F.filter(tokens, lambda x: x.isin(words))) if words else F.lit(0)
+    rank = F.when(F.size(tokens) > 0, hits / F.size(tokens)).otherwise(F.lit(0.0))
+    return F.when(reduce(lambda a, b: a | b, groups), rank)
+
+
+def once(*values: Column, names: Sequence[str]) -> Column:
+    """Columns computed once per row: filters on them are not merged into
+    their expressions, as they would be below a plain projection."""
+    return F.inline(F.array(F.struct(*[v.alias(n) for v, n in zip(values, names)]))).alias(*names)
+
+
 # ------------------------------------------------------------------ trigrams
 
 # A 3-gram of a padded word "  w " never has a space in both its 2nd and 3rd
@@ -160,7 +187,7 @@ def trigrams_col(text: Column) -> Column:
     Built without nested lambdas: the words are joined into one padded text
     ("  w1   w2 ... wn ") and all overlapping 3-grams are read in one regex
     pass; the pattern skips the substrings that straddle two words."""
-    words = tokens_col(text)
+    words = F.array_distinct(tokens_col(text))
     padded = F.concat(F.lit("  "), F.array_join(words, "   "), F.lit(" "))
     grams = F.regexp_extract_all(padded, F.lit(_GRAM_PATTERN), F.lit(1))
     return F.when(F.size(words) > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
@@ -190,7 +217,7 @@ def similarity_col(text: Column, query: str) -> Column:
 def trigram_similarity(df: DataFrame, id_col: str, text_col: str, query: str,
                        threshold: float = DEFAULT_SIMILARITY_THRESHOLD) -> DataFrame:
     from .partitioning import spread
-    s = spread(df).select(F.col(id_col).alias("id"), similarity_col(F.col(text_col), query).alias("similarity"))
+    s = spread(df).select(F.col(id_col).alias("id"), once(similarity_col(F.col(text_col), query), names=("similarity",)))
     return s.where(F.col("similarity") >= F.lit(threshold))
 
 
@@ -201,26 +228,24 @@ def fts_search(df: DataFrame, id_col: str, text_cols: Sequence[str], query: str,
                threshold: float = DEFAULT_SIMILARITY_THRESHOLD, page: int | None = 1,
                page_size: int | None = 25, rank_ascending: bool = False,
                index: DataFrame | None = None) -> DataFrame:
-    """(filters AND match) OR similarity >= threshold, joined back to the
-    filtered rows, ordered by rank then similarity (both descending; the
+    """Filtered rows that match the query or reach the similarity threshold
+    (by an inverted ``index`` where one is given), ordered by rank then similarity (both descending; the
     reference sorts rank ascending, ``rank_ascending=True`` reproduces it),
     then paged."""
     fset = fset or {}
     pred = filter_set_predicate(filters, fset)
-    idx = index if index is not None else fts_index(df, id_col, text_cols)
-    m = fts_match(idx, query, universe=df.select(F.col(id_col).alias("id")))
     text = F.concat_ws(" ", *[F.col(c) for c in text_cols])
-    cand = df.select(F.col(id_col).alias("_id"), pred.alias("_pass"), similarity_col(text, query).alias("similarity"))
-    cand = cand.join(m, cand._id == m.id, "left").select(
-        "_id", "_pass", "similarity", F.col("rank"), F.col("id").isNotNull().alias("_match"))
-    fts = cand.where((F.col("_pass") & F.col("_match")) | (F.col("similarity") >= F.lit(threshold))).select(
-        "_id", F.coalesce("rank", F.lit(0.0)).alias("rank"), "similarity")
     base = df.where(pred)
-    out = base.join(fts, base[id_col] == fts["_id"], "inner").drop("_id")
+    if index is None:
+        # one scan: every row is matched against the query by itself
+        out = base.select("*", once(match_row(text, query), similarity_col(text, query), names=("rank", "similarity")))
+        out = out.where(F.col("rank").isNotNull() | (F.col("similarity") >= F.lit(threshold)))
+        out = out.withColumn("rank", F.coalesce("rank", F.lit(0.0)))
+    else:
+        m = fts_match(index, query, universe=df.select(F.col(id_col).alias("id"))).select(F.col("id").alias("_id"), "rank")
+        out = base.select("*", once(similarity_col(text, query), names=("similarity",)))
+        out = out.join(m, out[id_col] == m["_id"], "left")
+        out = out.where(F.col("_id").isNotNull() | (F.col("similarity") >= F.lit(threshold))).drop("_id")
+        out = out.withColumn("rank", F.coalesce("rank", F.lit(0.0)))
     order = [("rank", "ASC" if rank_ascending else "DESC"), ("similarity", "DESC")]
     return paginate(out, page, page_size, order=order, unique_key=[id_col])
-
-
-def rank_from_counts(matches: int, n_tokens: int) -> float:
-    """Python twin of the rank formula (for tests)."""
-    return matches / n_tokens if n_tokens else 0.0

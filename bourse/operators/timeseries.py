@@ -133,39 +133,43 @@ def calendar_densify(q: DataFrame, start, end, keys: Sequence[str] = KEYS, date_
     return dense.join(qq, [*keys, date_col], "left")
 
 
-def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
-                 out_col: str | None = None) -> DataFrame:
-    """``value = coalesce(value, last earlier non-null value)`` per key, ordered
-    by ``order_col`` (a date).
+def _segmented_last(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, out_col: str,
+                    last_row: int) -> DataFrame:
+    """``out_col`` = last non-null value of the key's rows up to ``last_row``
+    (0: this row, -1: the row before), by ``order_col`` (a date).
 
     Segmented scan so that a hot key does not land in one task: the window
-    runs per (key, year); the value carried into a year is the last non-null
-    value of the key's earlier years, taken from a per-(key, year) summary
-    (one row per key and year) with a small window of its own.
+    runs per (key, month); the value carried into a month is the last non-null
+    value of the key's earlier months, taken from a per-(key, month) summary
+    (one row per key and month) with a small window of its own.
     """
-    out_col = out_col or value_col
     o, v = F.col(order_col), F.col(value_col)
-    seg = F.year(o).alias("_seg")
-    base = df.withColumn("_seg", seg)
-    # One row per (key, year) that has rows, with the year's last non-null
-    # value (NULL when it has none); the carry is the last such value of the
-    # key's earlier years (a window over years, not over rows).
+    base = df.withColumn("_seg", F.trunc(o, "month"))
+    # One row per (key, month) that has rows, with the month's last non-null
+    # value (NULL when it has none).
     summary = base.groupBy(*keys, "_seg").agg(
         F.max_by(v, F.when(v.isNotNull(), o)).alias("_seg_last"))
     carry_w = W.partitionBy(*keys).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
     grid = summary.select(*keys, "_seg", F.last("_seg_last", ignorenulls=True).over(carry_w).alias("_carry"))
-    in_w = W.partitionBy(*keys, "_seg").orderBy(o).rowsBetween(W.unboundedPreceding, 0)
-    filled = base.join(grid, [*keys, "_seg"], "left").withColumn(
-        out_col, F.coalesce(v, F.last(v, ignorenulls=True).over(in_w), F.col("_carry"))
-    )
-    return filled.drop("_seg", "_carry")
+    in_w = W.partitionBy(*keys, "_seg").orderBy(o).rowsBetween(W.unboundedPreceding, last_row)
+    return base.join(grid, [*keys, "_seg"], "left").withColumn(
+        out_col, F.coalesce(F.last(v, ignorenulls=True).over(in_w), F.col("_carry"))).drop("_seg", "_carry")
+
+
+def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
+                 out_col: str | None = None) -> DataFrame:
+    """``value = coalesce(value, last earlier non-null value)`` per key, ordered
+    by ``order_col`` (a date); a segmented scan."""
+    out_col = out_col or value_col
+    filled = _segmented_last(df, keys, order_col, value_col, "_filled", 0)
+    return filled.withColumn(out_col, F.col("_filled")).drop("_filled")
 
 
-def lead_ignore_nulls(value_col: str, keys: Sequence[str], order_col: str) -> Column:
+def lead_ignore_nulls(df: DataFrame, value_col: str, keys: Sequence[str], order_col: str, out_col: str) -> DataFrame:
     """``LEAD(value, 1) IGNORE NULLS OVER (PARTITION BY keys ORDER BY order DESC)``,
-    as written in the reference: the next non-null value going back in time."""
-    w = W.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    return F.expr(f"lead(`{value_col}`, 1) IGNORE NULLS").over(w)
+    as written in the reference: the next non-null value going back in time,
+    which is the last non-null value of the rows before; a segmented scan."""
+    return _segmented_last(df, keys, order_col, value_col, out_col, -1)
 
 
 def performance_exact(q: DataFrame, base_date, as_of=None, keys: Sequence[str] = KEYS,
@@ -244,34 +248,26 @@ def truncate_period(df: DataFrame, col: str, grain: str, out_col: str | None = N
 def asof_join_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_on: str,
                        right_on: str, right_cols: Sequence[str]) -> DataFrame:
     """For each left row, the right row of the same key with the latest
-    ``right_on <= left_on``.
-
-    Union-and-scan form: tag the two sides, union them, and carry the last
-    right-side record forward over (key, time) order. Segmented by year like
-    ``forward_fill`` so a hot key spreads over tasks. Right rows win ties
-    (a right row on the same date is visible to the left row).
+    ``right_on <= left_on`` (dates); of several right rows of one key and day
+    the greatest by its other columns. A NULL key or date finds nothing.
+
+    Works on days, not rows: both sides are reduced to one row per (key, day)
+    map-side, a window over the days of a key carries the last right row
+    forward, and the left rows join the day they fall on. The window sees as
+    many rows as a key has days, however many trades it has, and the join can
+    be split where a (key, day) is hot.
     """
     payload = F.struct(F.col(right_on).alias("_t"), *[F.col(c).alias(c) for c in right_cols])
-    r = right.select(*keys, F.col(right_on).alias("_at"), F.lit(0).alias("_side"), payload.alias("_rec"))
-    lcols = [c for c in left.columns]
-    l = left.select(*keys, F.col(left_on).alias("_at"), F.lit(1).alias("_side"),
-                    F.lit(None).cast(r.schema["_rec"].dataType).alias("_rec"),
-                    F.struct(*[F.col(c) for c in lcols]).alias("_left"))
-    r = r.withColumn("_left", F.lit(None).cast(l.schema["_left"].dataType))
-    u = r.unionByName(l).withColumn("_seg", F.year("_at"))
-    # carry into each year: last right record of the key's earlier years; one
-    # aggregation gives every (key, year) of either side with its last right
-    # record (NULL when the year has none), a window over years carries it
-    right_at = F.when(F.col("_side") == 0, F.col("_at"))
-    summ = u.groupBy(*keys, "_seg").agg(F.max_by("_rec", right_at).alias("_last"))
-    cw = W.partitionBy(*keys).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
-    grid = summ.select(*keys, "_seg", F.last("_last", ignorenulls=True).over(cw).alias("_carry"))
-    w = W.partitionBy(*keys, "_seg").orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
-    scanned = (u.join(grid, [*keys, "_seg"], "left")
-               .withColumn("_hit", F.coalesce(F.last("_rec", ignorenulls=True).over(w), F.col("_carry")))
-               .where(F.col("_side") == 1))
-    return scanned.select("_left.*", *[F.col("_hit")[c].alias(c) for c in right_cols],
-                          F.col("_hit._t").alias(f"{right_on}_matched"))
+    r = right.where(F.col(right_on).isNotNull()).select(*keys, F.col(right_on).alias("_at"), payload.alias("_rec"))
+    asked = left.where(F.col(left_on).isNotNull()).select(
+        *keys, F.col(left_on).alias("_at"), F.lit(None).cast(r.schema["_rec"].dataType).alias("_rec"))
+    days = r.unionByName(asked).groupBy(*keys, "_at").agg(F.max("_rec").alias("_rec"))
+    w = W.partitionBy(*keys).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    carried = days.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_at",
+                          F.last("_rec", ignorenulls=True).over(w).alias("_hit"))
+    on = [F.col(k) == F.col(f"_k_{k}") for k in keys] + [F.col(left_on) == F.col("_at")]
+    return left.join(carried, on, "left").select(
+        *left.columns, *[F.col("_hit")[c].alias(c) for c in right_cols], F.col("_hit._t").alias(f"{right_on}_matched"))
 
 
 def performance_exact_plain(q: DataFrame, base_date, as_of=None, keys: Sequence[str] = KEYS,

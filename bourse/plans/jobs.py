@@ -1,12 +1,13 @@
 """End-to-end jobs: compositions of the operators, from landed
 files or curated tables to curated tables and read views. Each job returns
-the frame it would persist; ``persist`` writes it (the caller chooses the
-table folder)."""
+the frames to write (whole tables, or the rows to append); rejected rows are
+returned beside them."""
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from ..operators import nested as N
 from ..operators import projections as PR
 from ..operators import search as SE
 from ..operators import timeseries as TS
+from ..session import ensure_checkpoint_dir
 from ..sinks import merge as M
 from ..sinks import writers as WR
 from ..sources import readers as R
@@ -58,40 +60,67 @@ def job_security(spark: SparkSession, csv_paths: Sequence[str], exchange_codes:
     return out.join(codes.withColumnRenamed("code", "exchange_code"), "exchange_code", "left_semi")
 
 
-def job_quote_historical(spark: SparkSession, csv_dir: str, schema: T.StructType, target: DataFrame,
-                         as_of) -> DataFrame:
-    """Landed per-exchange quote history CSV -> normalize (drop today and
-    later) -> insert rows whose (date, security, exchange) is new."""
-    raw = spark.read.schema(schema).option("header", True).csv(csv_dir)
+QUOTE_KEYS = ["date", "security_code", "exchange_code"]
+QUOTE_PARTITIONS = ["exchange_code", "year"]
+
+
+def quote_requests(securities: DataFrame, composite: DataFrame, exchanges: Sequence[str], types: Sequence[str]
+                   ) -> DataFrame:
+    """Securities of the listed exchanges and types with the exchange code the
+    vendor is asked for (the composite code where one is mapped) and the
+    request key ``code.exchange``."""
+    s = securities.where(F.col("exchange_code").isin(list(exchanges)) & F.col("type").isin(list(types)))
+    s = L.lookup_join(s.select("exchange_code", "code", "type"), composite, "exchange_code", "api_exchange_code")
+    return s.withColumn("request", C.request_key(F.col("code"), F.col("api_exchange_code")))
+
+
+def job_quote_historical(spark: SparkSession, csv_dir: str, schema: T.StructType, target: DataFrame, as_of,
+                         securities: DataFrame, composite: DataFrame, exchanges: Sequence[str],
+                         types: Sequence[str]) -> DataFrame:
+    """Quote history of the requested securities (landed CSV, one folder per
+    exchange) -> normalize (drop today and later) -> the rows whose (date,
+    security, exchange) is new, to be appended."""
+    wanted = quote_requests(securities, composite, exchanges, types).select(
+        "exchange_code", F.col("code").alias("security_code")).distinct()
+    raw = spark.read.schema(schema).option("header", True).csv(csv_dir).where(F.col("exchange").isin(list(exchanges)))
     norm = PR.normalize_quote_history(raw, as_of, loaded_at=_dt.datetime(2000, 1, 1))
-    norm = norm.drop("loaded_at")
-    return M.merge_insert_new(target, norm.select(*target.columns), ["date", "security_code", "exchange_code"])
+    norm = norm.join(wanted, ["exchange_code", "security_code"], "left_semi")
+    return M.rows_to_insert(target, norm.select(*target.columns), QUOTE_KEYS, QUOTE_PARTITIONS)
 
 
-def job_quote_update(spark: SparkSession, quotes: DataFrame, bulk: DataFrame, as_of) -> DataFrame:
-    """Missing days per exchange (strictly between its last quote and
-    ``as_of``) -> rows of the bulk-day files for those days -> normalize ->
-    insert new keys (an update never appends a key twice)."""
+def bulk_requests(quotes: DataFrame, composite: DataFrame, as_of) -> DataFrame:
+    """(exchange file, day) of the bulk files to fetch: the days strictly
+    between an exchange's last quote and ``as_of``, for every exchange that
+    is mapped to its code (its own code where none is)."""
     missing = TS.missing_date_ranges(quotes, as_of, keys=("exchange_code",))
-    norm = PR.normalize_quote_update(bulk)
-    wanted = norm.join(missing.select("exchange_code", F.col("missing_date").alias("date")),
-                       ["exchange_code", "date"], "left_semi")
-    return M.merge_insert_new(quotes, wanted.select(*quotes.columns), ["date", "security_code", "exchange_code"])
+    files = L.reverse_lookup_join(missing, composite, "exchange_code", "file_code")
+    return files.select(F.col("file_code").alias("exchange_code"), F.col("missing_date").alias("date"))
+
+
+def job_quote_update(spark: SparkSession, csv_dir: str, schema: T.StructType, quotes: DataFrame,
+                     composite: DataFrame, as_of) -> DataFrame:
+    """Bulk-day CSV files (one folder per exchange) -> normalize -> the rows
+    of the requested files and days whose key is new, to be appended (an
+    update never appends a key twice)."""
+    wanted = bulk_requests(quotes, composite, as_of).distinct()
+    raw = spark.read.schema(schema).option("header", True).csv(csv_dir)
+    norm = PR.normalize_quote_update(raw).join(wanted, ["exchange_code", "date"], "left_semi")
+    return M.rows_to_insert(quotes, norm.select(*quotes.columns), QUOTE_KEYS, QUOTE_PARTITIONS)
 
 
 def job_quote_performance(quotes: DataFrame, as_of) -> DataFrame:
     return TS.performance_asof(quotes, as_of)
 
 
-def job_fundamental(docs: DataFrame, text_col: str = "doc_text", exchanges: Sequence[str] | None = None
-                    ) -> DataFrame:
-    """Documents -> common stock only -> all metric frames -> one table;
-    optionally restricted to preset exchanges (the grouped variants); the
-    write is a dynamic overwrite by exchange so groups do not erase each
-    other."""
+def job_fundamental(docs: DataFrame, text_col: str = "doc_text", requested: DataFrame | None = None) -> DataFrame:
+    """Documents -> common stock only -> all metric frames -> one table. The
+    grouped variants take the securities of preset exchange and type lists
+    (``requested``, see ``quote_requests``); their write is a dynamic overwrite
+    by exchange, so that groups do not erase each other."""
     out = FU.fund_all(docs, text_col)
-    if exchanges is not None:
-        out = out.where(F.col("exchange_code").isin(list(exchanges)))
+    if requested is not None:
+        keys = requested.select("exchange_code", F.col("code").alias("security_code")).distinct()
+        out = out.join(keys, ["exchange_code", "security_code"], "left_semi").select(*out.columns)
     return out
 
 
@@ -127,43 +156,69 @@ def job_index(securities: DataFrame, index_exchange: str = "INDX") -> DataFrame:
     return s.select("code", "name", "currency", "isin")
 
 
-ENTITY_COLUMNS = {"LEI": "lei", "Entity.LegalName": "name", "Entity.LegalAddress.Country": "legal_address_country",
-                  "Entity.EntityStatus": "status"}
+# The columns of the legal-entity file and of the entity table.
+ENTITY_COLUMNS = {
+    "LEI": "lei", "Entity.LegalName": "name", "Entity.LegalForm.EntityLegalFormCode": "legal_form_id",
+    "Entity.LegalJurisdiction": "jurisdiction",
+    "Entity.LegalAddress.FirstAddressLine": "legal_address_street",
+    "Entity.LegalAddress.AddressNumber": "legal_address_street_number",
+    "Entity.LegalAddress.PostalCode": "legal_address_zip_code",
+    "Entity.LegalAddress.City": "legal_address_city",
+    "Entity.LegalAddress.Country": "legal_address_country",
+    "Entity.HeadquartersAddress.FirstAddressLine": "headquarter_address_street",
+    "Entity.HeadquartersAddress.AddressNumber": "headquarter_address_street_number",
+    "Entity.HeadquartersAddress.City": "headquarter_address_city",
+    "Entity.HeadquartersAddress.PostalCode": "headquarter_address_zip_code",
+    "Entity.HeadquartersAddress.Country": "headquarter_address_country",
+    "Entity.EntityStatus": "status", "Entity.EntityCreationDate": "creation_date",
+    "Entity.EntityExpirationDate": "expiration_date", "Entity.EntityExpirationReason": "expiration_reason",
+    "Registration.InitialRegistrationDate": "registration_date",
+    "Registration.RegistrationStatus": "registration_status"}
 
 
 def job_entity(spark: SparkSession, zip_dir: str) -> DataFrame:
+    """Legal-entity archives -> the entity table's columns; empty text is NULL."""
     raw = R.read_zip_csv(spark, zip_dir, list(ENTITY_COLUMNS))
-    return PR.project_rename(raw, ENTITY_COLUMNS)
+    return PR.project_rename(C.sentinel_to_null(raw, ("",)), ENTITY_COLUMNS)
 
 
-def job_entity_isin(spark: SparkSession, zip_dir: str) -> DataFrame:
+def job_entity_isin(spark: SparkSession, zip_dir: str, isin_keys: DataFrame, entity_keys: DataFrame,
+                    at: _dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """(LEI, ISIN) archives -> surrogate id of the ISIN (new ones are assigned)
+    and of the entity (rows of unknown entities go), overwrite stamps.
+    Returns (table, new ISIN keys)."""
     raw = R.read_zip_csv(spark, zip_dir, ["LEI", "ISIN"])
-    return PR.project_rename(raw, {"LEI": "lei", "ISIN": "isin"}).dropDuplicates(["lei", "isin"])
+    pairs = PR.project_rename(C.sentinel_to_null(raw, ("",)), {"LEI": "lei", "ISIN": "isin"}).distinct()
+    keyed, new = K.assign_surrogate_keys(pairs, isin_keys, "isin", "id")
+    keyed, _ = K.assign_surrogate_keys(keyed, entity_keys, "lei", "entity_id", add_missing=False)
+    return WR.stamp_overwrite(keyed, at), new
 
 
 def job_exchange_merge(sources: Mapping[str, DataFrame], precedence: Mapping[str, Sequence[str]],
                        known_keys: DataFrame, current: DataFrame | None, as_of,
                        value_cols: Sequence[str]) -> DataFrame:
     """Three exchange sources -> sentinels -> precedence merge on uid ->
-    surrogate ids for mic and operating mic -> own id as operating id
-    becomes NULL -> snapshot refresh against the current table."""
+    surrogate ids for mic and operating mic (new ones are assigned to either)
+    -> own id as operating id becomes NULL -> snapshot refresh against the
+    current table (``current=None``: the snapshot itself)."""
     clean = {k: C.sentinel_to_null(v) for k, v in sources.items()}
     base = next(iter(clean))
     merged = L.precedence_merge(clean[base], clean, "uid", precedence)
-    with_id, _new = K.assign_surrogate_keys(merged, known_keys, "mic", "id")
-    op_keys = known_keys.unionByName(_new)
-    ops = with_id.join(op_keys.select(F.col("uid").alias("operating_mic"),
-                                      F.col("surrogate_key").alias("operating_exchange_id")),
-                       "operating_mic", "left")
-    snap = ops.withColumn("operating_exchange_id",
-                          C.null_self_reference(F.col("operating_exchange_id"), F.col("id")))
+    uids = merged.select(F.explode(F.array("mic", "operating_mic")).alias("code")).distinct()
+    codes, _new = K.assign_surrogate_keys(uids, known_keys, "code", "key")
+    ids = lambda code, key: codes.select(F.col("code").alias(code), F.col("key").alias(key))
+    with_id = merged.join(ids("mic", "id"), "mic").join(ids("operating_mic", "operating_exchange_id"), "operating_mic", "left")
+    snap = with_id.withColumn("operating_exchange_id",
+                              C.null_self_reference(F.col("operating_exchange_id"), F.col("id")))
     if current is None:
         return snap
     return M.snapshot_refresh(current, snap.select("id", *value_cols), ["id"], as_of, list(value_cols))
 
 
+# Fields of the exchange detail documents.
 _DETAIL_SCHEMA = T.StructType([
-    T.StructField("Code", T.StringType()), T.StructField("Name", T.StringType()),
+    *[T.StructField(f, T.StringType()) for f in ["Code", "Name", "Country", "Currency", "Timezone"]],
+    *[T.StructField(f, T.LongType()) for f in ["ActiveTickers", "UpdatedTickers", "PreviousDayUpdatedTickers"]],
     T.StructField("TradingHours", T.StructType([T.StructField(f, T.StringType()) for f in
                                                 ["Open", "Close", "OpenUTC", "CloseUTC", "WorkingDays"]])),
     T.StructField("ExchangeHolidays", T.MapType(T.StringType(), T.StructType([
@@ -171,60 +226,158 @@ _DETAIL_SCHEMA = T.StructType([
         T.StructField("Date", T.StringType())])))])
 
 
-def job_exchange_detail(docs: DataFrame, text_col: str, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exchange detail documents -> (details, holidays); the exchange code is
-    mapped through the value mapping."""
+def job_exchange_detail(docs: DataFrame, text_col: str, exchange_map: DataFrame, country_map: DataFrame,
+                        holiday_map: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Exchange detail documents -> (details, holidays, documents that do not
+    parse). Exchange, country and holiday type are mapped to their uid (NULL
+    where there is none)."""
     from ..functions.dates import try_parse_date, try_parse_time
-    parsed, _rej = N.parse_documents(docs, text_col, _DETAIL_SCHEMA, required="Code")
-    d = parsed.select("doc.*")
-    d = L.lookup_join(d, mapping, "Code", "code")
+    parsed, rejects = N.parse_documents(docs, text_col, _DETAIL_SCHEMA, required="Code")
+    d = L.lookup_join(parsed.select("doc.*"), exchange_map, "Code", "exchange_uid", keep_unmapped=False)
     th = F.col("TradingHours")
-    details = d.select("code", F.col("Name").alias("name"),
-                       F.struct(*[try_parse_time(th[f]).alias(f.lower()) for f in
-                                  ["Open", "Close", "OpenUTC", "CloseUTC"]]).alias("trading_hours"),
-                       N.split_list(th["WorkingDays"]).alias("working_days"))
-    hol = N.map_values_explode(d, "ExchangeHolidays", ["code"]).select(
-        "code", F.col("Holiday").alias("holiday"), F.col("Type").alias("type"),
+    details = L.lookup_join(d, country_map, "Country", "country_uid", keep_unmapped=False).select(
+        "exchange_uid", F.col("Code").alias("exchange_source_code"), F.col("Name").alias("exchange_name"),
+        F.col("country_uid").alias("country"), F.col("Currency").alias("currency"), F.col("Timezone").alias("timezone"),
+        F.struct(*[try_parse_time(th[f]).alias(n) for f, n in
+                   [("CloseUTC", "close_utc"), ("OpenUTC", "open_utc"), ("Open", "open"), ("Close", "close")]])
+        .alias("trading_hours"),
+        N.split_list(th["WorkingDays"]).alias("working_days"), F.col("ActiveTickers").alias("active_tickers"),
+        F.col("UpdatedTickers").alias("updated_tickers"),
+        F.col("PreviousDayUpdatedTickers").alias("previous_day_updated_tickers"))
+    hol = N.map_values_explode(d, "ExchangeHolidays", ["Code", "exchange_uid"])
+    hol = L.lookup_join(hol, holiday_map, "Type", "holiday_type_id", keep_unmapped=False).select(
+        F.col("Code").alias("exchange_source_code"), "exchange_uid", F.col("Holiday").alias("holiday_name"),
+        F.col("Type").alias("holiday_type"), "holiday_type_id",
         try_parse_date(F.col("Date"), "yyyy-MM-dd").alias("date"))
-    return details, hol
-
-
-def job_figi_match(securities: DataFrame, figi: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Known mappings first (by ISIN, then by ticker); the rest are the
-    request rows still to send, each with its id value and type."""
-    matched = L.fallback_match(securities, figi, "isin", "ticker", "isin_source", "ticker_source",
-                               ["figi", "composite_figi"])
-    found = matched.where(F.col("matched_by").isNotNull())
-    missing = PR.case_id_type(matched.where(F.col("matched_by").isNull()).select(*securities.columns))
-    return found, missing
-
-
-def job_security_master(securities: DataFrame, figi: DataFrame, known_keys: DataFrame
-                        ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Raw securities -> FIGI match -> uid and quote source -> surrogate
-    ids -> (security, ticker, listing) tables."""
-    found, _missing = job_figi_match(securities, figi)
-    post = found.select("*", F.col("composite_figi").alias("security_uid"),
-                        F.concat_ws("_", F.col("composite_figi"), F.col("ticker")).alias("security_ticker_uid"))
-    keyed, _new = K.assign_surrogate_keys(post, known_keys, "security_uid", "security_id")
-    security = A.collect_aliases(keyed, "security_id", extra_keys=["security_uid"])
-    ticker = keyed.select("security_id", "ticker", "security_ticker_uid").distinct()
-    listing = A.max_per_group(keyed, ["security_id", "exchange_code"], ["figi", "currency"])
-    return security, ticker, listing
-
-
-def job_quote_legacy(listings: DataFrame, quotes: DataFrame, target: DataFrame, listing_id_col: str = "listing_id"
-                     ) -> DataFrame:
-    """Listings that have a quote source -> their quotes in the legacy layout
-    -> insert-ignore into the quote table."""
-    src = listings.where(F.col("quote_source").isNotNull())
-    q = quotes.join(src.select("security_code", "exchange_code", listing_id_col),
+    return details, hol, rejects
+
+
+FIGI_COLUMNS = ["figi", "share_class_figi", "ticker_figi", "exchange_code_figi", "name_figi"]
+
+
+def _answered(requests: DataFrame, responses: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Requests joined to the answers to their (idType, idValue): one row per
+    match, and the requests without one."""
+    r = responses.select(F.col("idType").alias("_t"), F.col("idValue").alias("_v"), "data")
+    j = requests.join(r, (F.col("idType") == F.col("_t")) & (F.col("idValue") == F.col("_v")), "left")
+    return L.explode_response(j, "data", keep)
+
+
+def job_figi_match(securities: DataFrame, figi: DataFrame, responses: DataFrame
+                   ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Known mappings by ISIN or ticker; a request for each security without
+    one (its ISIN, else its ticker); those with an ISIN and no answer are
+    asked again by ticker; what is found joins the mappings, and all
+    securities are matched once more.
+
+    Returns (matched, still missing, new mappings, first requests)."""
+    cols = securities.columns
+    match = lambda known: L.dual_key_matches(securities, known, "isin", "ticker", "isin_source", "ticker_source", FIGI_COLUMNS)
+    _matched, missing = match(figi)
+    requests = PR.case_id_type(missing)
+    first, unanswered = _answered(requests, responses, cols)
+    second, _none = _answered(PR.case_id_type_second_attempt(unanswered), responses, cols)
+    found = first.unionByName(second).where(F.col("figi").isNotNull()).select(
+        F.col("isin").alias("isin_source"), F.col("ticker").alias("ticker_source"), *FIGI_COLUMNS).distinct()
+    matched, missing = match(figi.select("isin_source", "ticker_source", *FIGI_COLUMNS).unionByName(found))
+    return matched, missing, found, requests
+
+
+class SecurityMaster(NamedTuple):
+    security: DataFrame
+    ticker: DataFrame
+    listing: DataFrame
+    #: securities without a type, listings without an exchange
+    no_type: DataFrame
+    no_exchange: DataFrame
+
+
+def security_pre_figi(raw: DataFrame, type_map: DataFrame, country_map: DataFrame, exchange_map: DataFrame,
+                      source: str) -> tuple[DataFrame, DataFrame]:
+    """Vendor securities -> type, country and exchange mapped to their uid;
+    (rows with a type, rows without)."""
+    s = L.lookup_join(raw, type_map, "Type", "security_type_id", keep_unmapped=False)
+    s = L.lookup_join(s, country_map, "Country", "country_uid", keep_unmapped=False)
+    s = L.lookup_join(s, exchange_map, "Exchange", "exchange_uid", keep_unmapped=False)
+    s = s.select(F.col("Code").alias("ticker"), F.col("Isin").alias("isin"), F.col("Name").alias("name"),
+                 F.col("Type").alias("security_type"), F.col("security_type_id").cast("int").alias("security_type_id"),
+                 F.col("country_uid").alias("country"), F.col("Currency").alias("currency"),
+                 F.col("Exchange").alias("exchange_source_code"), "exchange_uid", F.lit(source).alias("source"))
+    typed = F.col("security_type_id").isNotNull()
+    return s.where(typed), s.where(~typed)
+
+
+def security_post_figi(matched: DataFrame, figi_exchange_map: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Matches with a share class -> uid of the security and of its ticker,
+    exchange, quote source and currency; (rows with an exchange, rows without)."""
+    m = L.lookup_join(matched.where(F.col("share_class_figi").isNotNull()), figi_exchange_map, "exchange_code_figi",
+                      "listed_on", keep_unmapped=False)
+    quote_source, currency = C.reference_quote_source(
+        F.col("ticker"), F.col("ticker_figi"), F.col("exchange_uid"), F.col("listed_on"),
+        F.lit(None).cast("string"), F.col("source"), F.col("currency"))
+    p = m.select(F.col("ticker_figi").alias("ticker"), "isin", "security_type_id", "name_figi", "figi",
+                 "exchange_code_figi", F.col("share_class_figi").alias("security_uid"),
+                 F.concat_ws("_", F.col("share_class_figi"), F.col("ticker_figi")).alias("security_ticker_uid"),
+                 F.col("listed_on").alias("exchange_uid"), quote_source.alias("quote_source"), currency.alias("currency"))
+    placed = F.col("exchange_uid").isNotNull()
+    return p.where(placed), p.where(~placed)
+
+
+def job_security_master(raw: DataFrame, maps: Mapping[str, DataFrame], figi: DataFrame, responses: DataFrame,
+                        keys: Mapping[str, DataFrame], source: str) -> SecurityMaster:
+    """Vendor securities -> mapped types, countries, exchanges -> FIGI match ->
+    uids and quote source -> surrogate ids -> security, ticker and listing
+    tables.
+
+    ``maps``: ``type``, ``country``, ``exchange``, ``figi_exchange`` (source_value,
+    mapping_value); ``keys``: ``security``, ``security_ticker``,
+    ``security_listing``, ``exchange``, ``entity_isin`` (uid, surrogate_key), the
+    last two of which are only looked up."""
+    pre, no_type = security_pre_figi(raw, maps["type"], maps["country"], maps["exchange"], source)
+    matched = job_figi_match(pre, figi, responses)[0]
+    post, no_exchange = security_post_figi(matched, maps["figi_exchange"])
+    keyed, _ = K.assign_surrogate_keys(post, keys["security"], "security_uid", "security_id")
+    # the three tables start from one stored frame, not from three runs of the match
+    ensure_checkpoint_dir(raw.sparkSession)
+    keyed = keyed.checkpoint()
+
+    security = A.collect_aliases(keyed, "security_id", name_col="name_figi", type_col="security_type_id",
+                                 extra_keys=["security_uid"])
+    security, _ = K.assign_surrogate_keys(security, keys["entity_isin"], "isin", "entity_isin_id",
+                                          add_missing=False, optional=True)
+    security = security.select(F.col("security_id").alias("id"), F.col("security_uid").alias("figi"),
+                               F.col("type").alias("security_type_id"), "name", F.col("aliases").alias("name_figi_alias"),
+                               "isin", "entity_isin_id")
+
+    ticker = keyed.select("security_ticker_uid", "security_id", "ticker").distinct()
+    ticker, new = K.assign_surrogate_keys(ticker, keys["security_ticker"], "security_ticker_uid", "id")
+
+    listing = A.max_per_group(keyed, ["security_ticker_uid", "figi", "exchange_uid"], ["quote_source", "currency"])
+    listing, _ = K.assign_surrogate_keys(listing, keys["security_ticker"].unionByName(new), "security_ticker_uid",
+                                         "security_ticker_id", add_missing=False)
+    listing, _ = K.assign_surrogate_keys(listing, keys["security_listing"], "figi", "id")
+    listing, _ = K.assign_surrogate_keys(listing, keys["exchange"], "exchange_uid", "exchange_id", add_missing=False)
+    return SecurityMaster(security, ticker.select("id", "security_id", "ticker", "security_ticker_uid"),
+                          listing.select("id", "figi", "security_ticker_id", "exchange_id", "quote_source", "currency"),
+                          no_type, no_exchange)
+
+
+def job_quote_legacy(listings: DataFrame, exchange_map: DataFrame, quotes: DataFrame, target: DataFrame,
+                     source: str) -> tuple[DataFrame, DataFrame]:
+    """Listings quoted by ``source`` -> vendor exchange code of their mic ->
+    their quotes in the legacy layout -> insert-ignore into the quote table.
+    Returns (table, listings without an exchange code or a ticker)."""
+    src = listings.where(F.col("quote_source") == F.lit(source))
+    m = exchange_map.select(F.col("source_value").alias("exchange_code"), F.col("mapping_value").alias("mic")).distinct()
+    src = src.join(m, "mic", "left")
+    ok = F.col("exchange_code").isNotNull() & F.col("ticker").isNotNull()
+    q = quotes.join(src.where(ok).select(F.col("ticker").alias("security_code"), "exchange_code", "id"),
                     ["security_code", "exchange_code"], "inner")
-    rows = q.select(F.col(listing_id_col).alias("security_listing_id"),
+    rows = q.select(F.col("id").alias("security_listing_id"),
                     F.date_format(F.col("date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("date"),
                     "open", "high", "low", "close", F.col("adjusted_close").alias("adj_close"), "volume",
                     F.lit(1).cast("bigint").alias("interval_id"))
-    return M.insert_ignore(target, rows, ["security_listing_id", "date", "interval_id"], order=[F.col("close")])
+    return M.insert_ignore(target, rows, ["security_listing_id", "date", "interval_id"], order=[F.col("close")]), src.where(~ok)
 
 
 # ------------------------------------------------------------------ views
@@ -242,16 +395,41 @@ def view_list(df: DataFrame, filters: Mapping[str, object] | None, fset: Mapping
 
 
 def view_one(df: DataFrame, key: str, value) -> DataFrame:
+    """The row with this id, or none."""
     return FL.check_cardinality(df.where(F.col(key) == F.lit(value)), 0, 1)
 
 
+def view_children(df: DataFrame, key: str, value, parents: Sequence[tuple[DataFrame, str]], columns: Sequence[str]
+                  ) -> DataFrame:
+    """Rows of ``df`` that belong to one id, with columns of the tables they
+    refer to (left joins, after the filter)."""
+    out = df.where(F.col(key) == F.lit(value))
+    for table, on in parents:
+        out = out.join(table, on, "left")
+    return out.select(*columns)
+
+
+def view_listing(listings: DataFrame, tickers: DataFrame, exchanges: DataFrame) -> DataFrame:
+    """Listings with their ticker and their exchange as JSON."""
+    e = exchanges.select(F.col("id").alias("exchange_id"),
+                         F.to_json(F.struct("id", "name", "mic"), {"ignoreNullFields": "false"}).alias("exchange"))
+    t = tickers.select(F.col("id").alias("security_ticker_id"), "ticker", "security_id")
+    return listings.join(t, "security_ticker_id", "left").join(e, "exchange_id", "left")
+
+
+def view_one_listing(listings: DataFrame, tickers: DataFrame, exchanges: DataFrame, quotes: DataFrame, id_) -> DataFrame:
+    """One listing with the JSON array of its daily quotes by date (``[]``
+    without any); only its own quotes are read and gathered."""
+    one = view_one(view_listing(listings, tickers, exchanges), "id", id_)
+    own = quotes.where((F.col("security_listing_id") == F.lit(id_)) & (F.col("interval_id") == 1))
+    own = own.select(F.col("security_listing_id").alias("id"), "close", "date", "high", "low", "adj_close")
+    out = L.scalar_subquery_agg(one, own, ["id"], ["close", "date", "high", "low", "adj_close"], "date", "quotes")
+    return out.select("id", "figi", "ticker", "quote_source", "currency", "exchange", "quotes")
+
+
 def view_count(df: DataFrame, filters, fset) -> DataFrame:
     return A.count_rows(df, filters, fset)
 
 
 def view_choices(df: DataFrame, field: str, allowed, filters, fset) -> DataFrame:
     return A.filter_choices(df, field, allowed, filters, fset)
-
-
-def persist(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "static") -> None:
-    WR.overwrite_table(df, path, partition_by, mode)

@@ -7,13 +7,15 @@ import datetime as _dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import ntz_lit
 from ..operators import filters as FL
 from ..session import scratch_path
 from ..sinks import writers as WR
 from ..sources import readers as R
 from . import jobs as J
+from .both import ctes, frame, key_cte
 from .docs import v_doc
-from .fixtures import (QUOTE_AS_OF, table, v_entity, v_figi, v_log, v_mapping, v_quote, v_security, with_views)
+from .fixtures import QUOTE_AS_OF, table, v_log, v_mapping, v_quote, v_security, with_views
 from .q_relational import SECURITY_FILTERS, _CHOICES
 from .q_timeseries import PERFORMANCE_ASOF_SQL
 from .registry import ORACLE, register
@@ -90,9 +92,40 @@ def _norm_quotes(spark, d):
                     "volume", F.year("date").alias("year"))
 
 
+# Curated securities of the quoted keys, and the composite codes: the vendor is
+# asked for exchange O as US, and lists its bulk quotes as two files.
+_SECURITIES = """
+SELECT DISTINCT l_linestatus AS exchange_code, CAST(l_partkey AS STRING) AS code, lower(p_type) AS type
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey"""
+_COMPOSITE = "SELECT DISTINCT l_linestatus AS source_value, 'US' AS mapping_value FROM {lineitem} WHERE l_linestatus = 'O'"
+_FILES = """
+SELECT DISTINCT 'OA' AS source_value, l_linestatus AS mapping_value FROM {lineitem} WHERE l_linestatus = 'O'
+UNION ALL SELECT DISTINCT 'OB', l_linestatus FROM {lineitem} WHERE l_linestatus = 'O'"""
+_EXCHANGES, _TYPES = ["O", "F"], ["small", "large", "promo"]
+_YEAR = _NQ.replace("year", "CAST(year(date) AS INTEGER) AS year")
+
+
+def _append(spark, target, rows_of):
+    """The curated table as a partitioned folder, before and after the job's
+    new rows are appended."""
+    path = scratch_path(spark, "quote-table")
+    WR.write_partitioned(target, path, J.QUOTE_PARTITIONS)
+    WR.append_table(rows_of(spark.read.parquet(path).select(*target.columns)), path, J.QUOTE_PARTITIONS)
+    return spark.read.parquet(path).select(*target.columns)
+
+
+@register("job_quote_requests", with_views("""
+SELECT s.exchange_code, s.code, s.type, COALESCE(c.mapping_value, s.exchange_code) AS api_exchange_code,
+       s.code || '.' || COALESCE(c.mapping_value, s.exchange_code) AS request
+FROM s LEFT JOIN c ON c.source_value = s.exchange_code WHERE s.type IN ('small', 'large', 'promo')""",
+                                           extra=ctes(s=_SECURITIES, c=_COMPOSITE)))
+def q_job_quote_requests(spark, sf_dir):
+    return J.quote_requests(frame(spark, sf_dir, _SECURITIES), frame(spark, sf_dir, _COMPOSITE), _EXCHANGES, _TYPES)
+
+
 @register("job_quote_historical", with_views(f"""
-SELECT {_NQ.replace('year', 'CAST(year(date) AS INTEGER) AS year')} FROM v_quote WHERE date < DATE '2001-06-30'""",
-                                             "v_quote"))
+SELECT {_YEAR} FROM v_quote WHERE date < DATE '1998-01-01' OR (date < DATE '2001-06-30' AND security_code IN
+  (SELECT code FROM s WHERE type IN ('small', 'large', 'promo')))""", "v_quote", extra=ctes(s=_SECURITIES)))
 def q_job_quote_historical(spark, sf_dir):
     q = v_quote(spark, sf_dir)
     raw = q.select(F.col("date").alias("Date"), F.col("security_code").alias("security"),
@@ -102,21 +135,37 @@ def q_job_quote_historical(spark, sf_dir):
     path = scratch_path(spark, "quote-history")
     raw.write.mode("overwrite").partitionBy("exchange").option("header", True).csv(path)   # exchange=X/ folders
     target = _norm_quotes(spark, sf_dir).where(F.col("date") < F.lit(_dt.date(1998, 1, 1)))
-    return J.job_quote_historical(spark, path, _RAW_HIST, target, QUOTE_AS_OF)
+    return _append(spark, target, lambda cur: J.job_quote_historical(
+        spark, path, _RAW_HIST, cur, QUOTE_AS_OF, frame(spark, sf_dir, _SECURITIES), frame(spark, sf_dir, _COMPOSITE),
+        _EXCHANGES, _TYPES))
+
+
+_RAW_BULK = T.StructType([
+    T.StructField("Date", T.DateType()), T.StructField("Code", T.StringType()),
+    *[T.StructField(c, T.DoubleType()) for c in ["Open", "High", "Low", "Close", "Adjusted_close", "Volume"]],
+    T.StructField("exchange", T.StringType())])
 
 
 @register("job_quote_update", with_views(f"""
-SELECT {_NQ.replace('year', 'CAST(year(date) AS INTEGER) AS year')} FROM v_quote WHERE date < DATE '2001-07-01'""",
-                                         "v_quote"))
+SELECT {_YEAR} FROM v_quote WHERE date < DATE '2001-06-01'
+UNION ALL
+SELECT {_YEAR.replace("exchange_code", "CASE WHEN exchange_code <> 'O' THEN exchange_code WHEN CAST(security_code AS BIGINT) % 2 = 0 THEN 'OA' ELSE 'OB' END AS exchange_code")}
+FROM v_quote JOIN (SELECT exchange_code AS x, max(date) AS last FROM v_quote WHERE date < DATE '2001-06-01' GROUP BY 1) l ON x = exchange_code
+WHERE date > last AND date < DATE '2001-07-01'""", "v_quote"))
 def q_job_quote_update(spark, sf_dir):
     q = v_quote(spark, sf_dir)
     quotes = _norm_quotes(spark, sf_dir).where(F.col("date") < F.lit(_dt.date(2001, 6, 1)))
+    file = F.when(F.col("exchange_code") != "O", F.col("exchange_code")) \
+        .when(F.col("security_code").cast("bigint") % 2 == 0, "OA").otherwise("OB")
     bulk = q.where(F.col("date") >= F.lit(_dt.date(2001, 5, 15))).select(
-        F.col("date").alias("Date"), F.col("security_code").alias("Code"), F.col("exchange_code").alias("exchange"),
+        F.col("date").alias("Date"), F.col("security_code").alias("Code"), file.alias("exchange"),
         F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
         F.col("close").alias("Close"), F.col("adjusted_close").alias("Adjusted_close"),
         F.col("volume").cast("double").alias("Volume"))
-    return J.job_quote_update(spark, quotes, bulk, _dt.date(2001, 7, 1))
+    path = scratch_path(spark, "quote-bulk")
+    bulk.write.mode("overwrite").partitionBy("exchange").option("header", True).csv(path)
+    return _append(spark, quotes, lambda cur: J.job_quote_update(
+        spark, path, _RAW_BULK, cur, frame(spark, sf_dir, _FILES), _dt.date(2001, 7, 1)))
 
 
 @register("job_quote_performance", PERFORMANCE_ASOF_SQL)
@@ -142,17 +191,28 @@ def _fund_union_sql(where: str = "") -> str:
     return f"SELECT * FROM ({body}) {where}"
 
 
-_GROUP = ["1-URGENT", "3-MEDIUM"]
-
-
 @register("job_fundamental", _fund_union_sql())
 def q_job_fundamental(spark, sf_dir):
     return J.job_fundamental(v_doc(spark, sf_dir))
 
 
-@register("job_fundamental_groups", _fund_union_sql("WHERE exchange_code IN ('1-URGENT', '3-MEDIUM')"))
+_LISTED = """
+SELECT o_orderpriority AS exchange_code, CAST(o_orderkey AS STRING) AS code,
+       CASE WHEN o_orderstatus = 'F' THEN 'common_stock' ELSE 'other' END AS type FROM {orders}"""
+_NO_COMPOSITE = "SELECT o_orderpriority AS source_value, o_orderpriority AS mapping_value FROM {orders} WHERE o_orderkey < 0"
+
+
+@register("job_fundamental_groups", _fund_union_sql(
+    "WHERE exchange_code IN ('1-URGENT', '3-MEDIUM') AND security_code IN "
+    "(SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')"))
 def q_job_fundamental_groups(spark, sf_dir):
-    return J.job_fundamental(v_doc(spark, sf_dir), exchanges=_GROUP)
+    """Two groups, written one after the other into one partitioned table."""
+    path = scratch_path(spark, "fundamental")
+    listed, composite = frame(spark, sf_dir, _LISTED), frame(spark, sf_dir, _NO_COMPOSITE)
+    for group in (["1-URGENT"], ["3-MEDIUM"]):
+        rows = J.job_fundamental(v_doc(spark, sf_dir), requested=J.quote_requests(listed, composite, group, ["common_stock"]))
+        WR.overwrite_table(rows, path, ["exchange_code"], "dynamic")
+    return spark.read.parquet(path).select(*rows.columns)
 
 
 @register("job_index_member", """
@@ -176,28 +236,50 @@ def q_job_index(spark, sf_dir):
 
 # ------------------------------------------------------------ entities
 
-@register("job_entity", with_views("""
-SELECT lei, name, legal_address_country, status FROM v_entity""", "v_entity"))
+_C = "CAST(c_custkey AS STRING)"
+_DAY = "lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0')"
+_ENTITY_VALUES = {
+    "lei": "c_name", "name": "c_name || ' \"A, B\"'", "legal_form_id": "'LF' || CAST(c_custkey % 5 AS STRING)",
+    "jurisdiction": "CASE WHEN c_custkey % 6 = 0 THEN '' ELSE n_name END", "legal_address_street": f"'Street ' || {_C}",
+    "legal_address_street_number": "CAST(c_custkey % 90 AS STRING)", "legal_address_zip_code": f"lpad({_C}, 8, '0')",
+    "legal_address_city": "'City ' || CAST(c_custkey % 40 AS STRING)", "legal_address_country": "n_name",
+    "headquarter_address_street": f"'Road ' || {_C}", "headquarter_address_street_number": "CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '1' END",
+    "headquarter_address_city": "'Town ' || CAST(c_custkey % 30 AS STRING)", "headquarter_address_zip_code": f"lpad({_C}, 6, '9')",
+    "headquarter_address_country": "n_name", "status": "c_mktsegment", "creation_date": f"'2001-01-' || {_DAY}",
+    "expiration_date": f"CASE WHEN c_custkey % 4 = 0 THEN '2020-02-' || {_DAY} ELSE '' END",
+    "expiration_reason": "CASE WHEN c_custkey % 4 = 0 THEN 'MERGED' ELSE '' END",
+    "registration_date": f"'2002-03-' || {_DAY}", "registration_status": "CASE WHEN c_custkey % 2 = 0 THEN 'ISSUED' ELSE 'LAPSED' END"}
+_ENTITY = ("SELECT " + ", ".join(f"{v} AS {k}" for k, v in _ENTITY_VALUES.items())
+           + " FROM {customer} LEFT JOIN {nation} ON c_nationkey = n_nationkey")
+
+
+@register("job_entity", with_views("SELECT " + ", ".join(f"nullif({k}, '') AS {k}" for k in _ENTITY_VALUES) + " FROM e",
+                                   extra=ctes(e=_ENTITY)))
 def q_job_entity(spark, sf_dir):
-    e = v_entity(spark, sf_dir).select(F.col("lei").alias("LEI"), F.col("name").alias("Entity.LegalName"),
-                                        F.col("legal_address_country").alias("Entity.LegalAddress.Country"),
-                                        F.col("status").alias("Entity.EntityStatus"))
+    e = frame(spark, sf_dir, _ENTITY)
+    e = e.select(*[F.col(dst).alias(src) for src, dst in J.ENTITY_COLUMNS.items()])
     folder = scratch_path(spark, "lei-zip")
     R.write_zip_csv(e, folder, list(J.ENTITY_COLUMNS), rows_per_archive=400).collect()
     return J.job_entity(spark, folder)
 
 
-@register("job_entity_isin", """
-SELECT DISTINCT c_name AS lei, 'IS' || CAST(o_custkey AS VARCHAR) AS isin
-FROM orders JOIN customer ON o_custkey = c_custkey""")
+_ISIN_KEYS = "SELECT DISTINCT 'IS' || CAST(o_custkey AS STRING) AS uid, o_custkey AS surrogate_key FROM {orders} WHERE o_custkey % 2 = 0"
+_ENTITY_KEYS = "SELECT c_name AS uid, c_custkey AS surrogate_key FROM {customer} WHERE c_custkey % 10 <> 3"
+_PAIRS = """
+SELECT c_name AS lei, 'IS' || CAST(o_custkey AS STRING) AS isin FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
+
+
+@register("job_entity_isin", with_views(f"""
+SELECT DISTINCT p.lei, p.isin, k.surrogate_key AS id, e.surrogate_key AS entity_id, {_AT_SQL} AS created_at,
+       CAST(NULL AS TIMESTAMP) AS updated_at
+FROM p JOIN keys k ON k.uid = p.isin JOIN e ON e.uid = p.lei""", extra=ctes(p=_PAIRS, known=_ISIN_KEYS, e=_ENTITY_KEYS)
+    | {"keys": key_cte("known", "p", "isin")}))
 def q_job_entity_isin(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
-    pairs = o.join(c, o.o_custkey == c.c_custkey).select(
-        F.col("c_name").alias("LEI"), F.concat(F.lit("IS"), F.col("o_custkey").cast("string")).alias("ISIN"))
+    pairs = frame(spark, sf_dir, _PAIRS).select(F.col("lei").alias("LEI"), F.col("isin").alias("ISIN"))
     folder = scratch_path(spark, "lei-isin-zip")
     R.write_zip_csv(pairs, folder, ["LEI", "ISIN"], rows_per_archive=5000).collect()
-    return J.job_entity_isin(spark, folder)
+    out, _new = J.job_entity_isin(spark, folder, frame(spark, sf_dir, _ISIN_KEYS), frame(spark, sf_dir, _ENTITY_KEYS), _AT)
+    return out
 
 
 # ------------------------------------------------------------ exchange merge
@@ -206,7 +288,8 @@ def _merge_sources(spark, d):
     n = table(spark, d, "nation")
     k = F.col("n_nationkey")
     iso = n.select(F.col("n_name").alias("uid"), F.col("n_name").alias("mic"), F.col("n_name").alias("name"),
-                   F.concat(F.lit("NATION_"), F.col("n_regionkey").cast("string")).alias("operating_mic"),
+                   F.concat(F.when(k % 6 == 5, "OP_").otherwise("NATION_"), F.col("n_regionkey").cast("string"))
+                   .alias("operating_mic"),
                    F.when(k % 7 == 0, F.lit("Unknown")).otherwise(F.concat(F.lit("C"), F.col("n_regionkey")
                                                                             .cast("string"))).alias("country"))
     eod = n.where(k % 2 == 0).select(F.col("n_name").alias("uid"), F.lower("n_name").alias("name"),
@@ -215,12 +298,9 @@ def _merge_sources(spark, d):
     return {"iso": iso, "eod": eod, "msk": msk}
 
 
-_MERGE_SQL = with_views("""
-SELECT m.uid, m.mic, m.name, m.operating_mic, m.country, k.k AS id,
-       CASE WHEN ok.k = k.k THEN NULL ELSE ok.k END AS operating_exchange_id
-FROM m JOIN keys k ON m.mic = k.uid LEFT JOIN keys ok ON m.operating_mic = ok.uid""", extra={
-    "iso": "SELECT n_name AS uid, n_name AS mic, n_name AS name, 'NATION_' || CAST(n_regionkey AS VARCHAR) AS "
-           "operating_mic, CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE 'C' || CAST(n_regionkey AS VARCHAR) END "
+_MERGE_CTE = {
+    "iso": "SELECT n_name AS uid, n_name AS mic, n_name AS name, CASE WHEN n_nationkey % 6 = 5 THEN 'OP_' ELSE 'NATION_' END "
+           "|| CAST(n_regionkey AS VARCHAR) AS operating_mic, CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE 'C' || CAST(n_regionkey AS VARCHAR) END "
            "AS country FROM nation",
     "eod": "SELECT n_name AS uid, lower(n_name) AS name, CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'E' END "
            "AS country FROM nation WHERE n_nationkey % 2 = 0",
@@ -228,24 +308,53 @@ FROM m JOIN keys k ON m.mic = k.uid LEFT JOIN keys ok ON m.operating_mic = ok.ui
     "m": "SELECT iso.uid, iso.mic, COALESCE(msk.name, eod.name, iso.name) AS name, iso.operating_mic, "
          "COALESCE(eod.country, iso.country) AS country FROM iso LEFT JOIN eod ON iso.uid = eod.uid "
          "LEFT JOIN msk ON iso.uid = msk.uid",
-    "known": "SELECT n_name AS uid, CAST(n_nationkey AS BIGINT) AS k FROM nation WHERE n_nationkey % 2 = 0",
-    "keys": "SELECT uid, k FROM known UNION ALL SELECT uid, (SELECT max(k) FROM known) + "
-            "row_number() OVER (ORDER BY uid) FROM (SELECT DISTINCT mic AS uid FROM m WHERE mic NOT IN "
-            "(SELECT uid FROM known))",
-})
+    "known": "SELECT n_name AS uid, CAST(n_nationkey AS BIGINT) AS surrogate_key FROM nation WHERE n_nationkey % 2 = 0",
+    "codes": "SELECT mic AS code FROM m UNION ALL SELECT operating_mic FROM m",
+    "keys": key_cte("known", "codes", "code"),
+    "merged": "SELECT m.uid, m.mic, m.name, m.operating_mic, m.country, k.surrogate_key AS id, CASE WHEN ok.surrogate_key = "
+              "k.surrogate_key THEN NULL ELSE ok.surrogate_key END AS operating_exchange_id FROM m JOIN keys k ON m.mic = k.uid "
+              "LEFT JOIN keys ok ON m.operating_mic = ok.uid",
+}
+_MERGE_SQL = with_views("SELECT * FROM merged", extra=_MERGE_CTE)
+_PRECEDENCE = {"mic": ["iso"], "name": ["msk", "eod", "iso"], "operating_mic": ["iso"], "country": ["eod", "iso"]}
+
+
+def _exchange_keys(spark, d):
+    return table(spark, d, "nation").where(F.col("n_nationkey") % 2 == 0).select(
+        F.col("n_name").alias("uid"), F.col("n_nationkey").cast("bigint").alias("surrogate_key"))
 
 
 @register("job_exchange_merge", _MERGE_SQL)
 def q_job_exchange_merge(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    known = n.where(F.col("n_nationkey") % 2 == 0).select(F.col("n_name").alias("uid"),
-                                                           F.col("n_nationkey").cast("bigint").alias("surrogate_key"))
-    out = J.job_exchange_merge(_merge_sources(spark, sf_dir), {
-        "mic": ["iso"], "name": ["msk", "eod", "iso"], "operating_mic": ["iso"], "country": ["eod", "iso"]},
-        known, None, _AT, ["mic", "name"])
+    out = J.job_exchange_merge(_merge_sources(spark, sf_dir), _PRECEDENCE, _exchange_keys(spark, sf_dir), None, _AT,
+                               ["mic", "name"])
     return out.select("uid", "mic", "name", "operating_mic", "country", "id", "operating_exchange_id")
 
 
+# The current table: the known exchanges under an older name, and some that are gone.
+_CURRENT = """
+SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS mic, 'old ' || n_name AS name FROM {nation} WHERE n_nationkey % 2 = 0
+UNION ALL SELECT CAST(r_regionkey AS BIGINT) + 1000, 'GONE', r_name FROM {region}"""
+_OLD = _dt.datetime(2020, 1, 1)
+
+
+@register("job_exchange_snapshot", with_views(f"""
+SELECT COALESCE(s.id, c.id) AS id, CASE WHEN s.id IS NULL THEN c.mic ELSE s.mic END AS mic,
+       CASE WHEN s.id IS NULL THEN c.name ELSE s.name END AS name, s.operating_exchange_id, s.id IS NOT NULL AS is_active,
+       CASE WHEN c.id IS NULL THEN {_AT_SQL} ELSE TIMESTAMP '2020-01-01 00:00:00' END AS active_from,
+       CASE WHEN s.id IS NULL THEN {_AT_SQL} END AS active_until,
+       CASE WHEN c.id IS NULL THEN {_AT_SQL} ELSE TIMESTAMP '2020-01-01 00:00:00' END AS created_at,
+       CASE WHEN c.id IS NOT NULL THEN {_AT_SQL} END AS updated_at
+FROM merged s FULL JOIN c ON c.id = s.id""", extra=_MERGE_CTE | ctes(c=_CURRENT)))
+def q_job_exchange_snapshot(spark, sf_dir):
+    old, none = ntz_lit(_OLD), F.lit(None).cast("timestamp_ntz")
+    cur = frame(spark, sf_dir, _CURRENT).select(
+        "id", "mic", "name", F.lit(None).cast("bigint").alias("operating_exchange_id"), F.lit(True).alias("is_active"),
+        old.alias("active_from"), none.alias("active_until"), old.alias("created_at"), none.alias("updated_at"))
+    return J.job_exchange_merge(_merge_sources(spark, sf_dir), _PRECEDENCE, _exchange_keys(spark, sf_dir), cur, _AT,
+                                ["mic", "name", "operating_exchange_id"])
+
+
 # ------------------------------------------------------------ exchange detail
 
 def _detail_docs(spark, d):
@@ -253,6 +362,9 @@ def _detail_docs(spark, d):
     k = F.col("n_nationkey")
     doc = F.struct(
         F.col("n_name").alias("Code"), F.lower("n_name").alias("Name"),
+        F.concat(F.lit("NATION_"), ((k + 1) % 25).cast("string")).alias("Country"), F.lit("USD").alias("Currency"),
+        F.concat(F.lit("Zone/"), F.col("n_regionkey").cast("string")).alias("Timezone"), (k * 10).alias("ActiveTickers"),
+        (k * 9).alias("UpdatedTickers"), (k * 8).alias("PreviousDayUpdatedTickers"),
         F.struct(F.format_string("%02d:30:00", F.lit(8) + k % 3).alias("Open"),
                  F.format_string("%02d:00:00", F.lit(16) + k % 2).alias("Close"),
                  F.format_string("%02d:30:00", F.lit(13) + k % 3).alias("OpenUTC"),
@@ -272,113 +384,80 @@ _EXM = ("SELECT source_value, mapping_value FROM v_mapping WHERE product = 'exch
         "AND field = 'mic' AND is_active")
 
 
+_HOLIDAY_MAP = "SELECT 'official' AS source_value, CAST(count(*) AS STRING) AS mapping_value FROM {region}"
+_DETAIL_CTE = {"m": _EXM} | ctes(h=_HOLIDAY_MAP)
+
+
+def _detail(spark, d):
+    from ..operators.lookup import mapping_slice
+    m = mapping_slice(v_mapping(spark, d), "exchange", "vendor", "mic")
+    return J.job_exchange_detail(_detail_docs(spark, d), "t", m, m, frame(spark, d, _HOLIDAY_MAP))
+
+
 @register("job_exchange_detail", with_views("""
-SELECT COALESCE(m.mapping_value, n_name) AS code, lower(n_name) AS name,
+SELECT m.mapping_value AS exchange_uid, n_name AS exchange_source_code, lower(n_name) AS exchange_name,
+       c.mapping_value AS country, 'USD' AS currency, 'Zone/' || n_regionkey AS timezone,
        printf('%02d:30:00', 8 + n_nationkey % 3) AS open, printf('%02d:00:00', 16 + n_nationkey % 2) AS close,
-       printf('%02d:00:00', 21 + n_nationkey % 2) AS close_utc,
-       CASE WHEN n_nationkey % 2 = 0 THEN 'Mon|Tue|Wed|Thu|Fri' ELSE 'Sun|Mon|Tue|Wed|Thu' END AS working_days
-FROM nation LEFT JOIN m ON n_name = m.source_value""", "v_mapping", extra={"m": _EXM}))
+       printf('%02d:30:00', 13 + n_nationkey % 3) AS open_utc, printf('%02d:00:00', 21 + n_nationkey % 2) AS close_utc,
+       CASE WHEN n_nationkey % 2 = 0 THEN 'Mon|Tue|Wed|Thu|Fri' ELSE 'Sun|Mon|Tue|Wed|Thu' END AS working_days,
+       CAST(n_nationkey * 10 AS BIGINT) AS active_tickers, CAST(n_nationkey * 9 AS BIGINT) AS updated_tickers,
+       CAST(n_nationkey * 8 AS BIGINT) AS previous_day_updated_tickers
+FROM nation LEFT JOIN m ON n_name = m.source_value
+LEFT JOIN m c ON c.source_value = 'NATION_' || CAST((n_nationkey + 1) % 25 AS VARCHAR)""", "v_mapping", extra=_DETAIL_CTE))
 def q_job_exchange_detail(spark, sf_dir):
-    from ..operators.lookup import mapping_slice
-    m = mapping_slice(v_mapping(spark, sf_dir), "exchange", "vendor", "mic")
-    det, _hol = J.job_exchange_detail(_detail_docs(spark, sf_dir), "t", m)
+    det = _detail(spark, sf_dir)[0]
     th = F.col("trading_hours")
-    return det.select("code", "name", F.date_format(th["open"], "HH:mm:ss").alias("open"),
-                      F.date_format(th["close"], "HH:mm:ss").alias("close"),
-                      F.date_format(th["closeutc"], "HH:mm:ss").alias("close_utc"),
+    times = [F.date_format(th[c], "HH:mm:ss").alias(c) for c in ("open", "close", "open_utc", "close_utc")]
+    return det.select(*[c for c in det.columns if c not in ("trading_hours", "working_days")], *times,
                       F.array_join("working_days", "|").alias("working_days"))
 
 
 @register("job_exchange_holiday", with_views("""
-SELECT COALESCE(m.mapping_value, n_name) AS code, 'New Year' AS holiday, 'official' AS type,
-       DATE '2024-01-01' AS date FROM nation LEFT JOIN m ON n_name = m.source_value
-UNION ALL
-SELECT COALESCE(m.mapping_value, n_name), 'Day ' || CAST(n_nationkey AS VARCHAR), 'bank',
-       CAST(DATE '2024-02-01' + n_nationkey AS DATE) FROM nation LEFT JOIN m ON n_name = m.source_value""",
-                                             "v_mapping", extra={"m": _EXM}))
+SELECT n_name AS exchange_source_code, m.mapping_value AS exchange_uid, d.name AS holiday_name, d.type AS holiday_type,
+       h.mapping_value AS holiday_type_id, d.date
+FROM nation, LATERAL (SELECT 'New Year' AS name, 'official' AS type, DATE '2024-01-01' AS date UNION ALL
+  SELECT 'Day ' || CAST(n_nationkey AS VARCHAR), 'bank', CAST(DATE '2024-02-01' + n_nationkey AS DATE)) d
+LEFT JOIN m ON n_name = m.source_value LEFT JOIN h ON h.source_value = d.type""", "v_mapping", extra=_DETAIL_CTE))
 def q_job_exchange_holiday(spark, sf_dir):
-    from ..operators.lookup import mapping_slice
-    m = mapping_slice(v_mapping(spark, sf_dir), "exchange", "vendor", "mic")
-    _det, hol = J.job_exchange_detail(_detail_docs(spark, sf_dir), "t", m)
-    return hol
-
-
-# ------------------------------------------------------------ security master
-
-def _raw_securities(spark, d):
-    return v_security(spark, d).select(F.col("code").alias("ticker"), "isin", "name", "type", "exchange_code",
-                                       "currency")
-
-
-@register("job_figi_match", with_views("""
-SELECT s.code AS ticker, s.isin, s.name, s.type, s.exchange_code, s.currency, f.figi, f.composite_figi,
-       'isin' AS matched_by
-FROM v_security s JOIN v_figi f ON s.isin = f.isin_source
-UNION ALL
-SELECT s.code, s.isin, s.name, s.type, s.exchange_code, s.currency, f.figi, f.composite_figi, 'ticker'
-FROM v_security s JOIN v_figi f ON s.code = f.ticker_source
-WHERE NOT EXISTS (SELECT 1 FROM v_figi g WHERE g.isin_source = s.isin)""", "v_security", "v_figi"))
-def q_job_figi_match(spark, sf_dir):
-    found, _missing = J.job_figi_match(_raw_securities(spark, sf_dir), v_figi(spark, sf_dir))
-    return found
-
-
-@register("job_figi_requests", with_views("""
-SELECT s.code AS ticker, s.isin, s.name, s.type, s.exchange_code, s.currency,
-       COALESCE(s.isin, s.code) AS idValue, CASE WHEN s.isin IS NOT NULL THEN 'ID_ISIN' ELSE 'TICKER' END AS idType
-FROM v_security s
-WHERE NOT EXISTS (SELECT 1 FROM v_figi g WHERE g.isin_source = s.isin)
-  AND NOT EXISTS (SELECT 1 FROM v_figi g WHERE g.ticker_source = s.code)""", "v_security", "v_figi"))
-def q_job_figi_requests(spark, sf_dir):
-    _found, missing = J.job_figi_match(_raw_securities(spark, sf_dir), v_figi(spark, sf_dir))
-    return missing
-
-
-def _master(spark, d):
-    known = v_figi(spark, d).where(F.col("ticker_source").isNotNull()).select(
-        F.col("composite_figi").alias("uid"), F.col("ticker_source").cast("bigint").alias("surrogate_key"))
-    return J.job_security_master(_raw_securities(spark, d), v_figi(spark, d), known)
-
-
-@register("job_security_master_security")
-def q_job_security_master_security(spark, sf_dir):
-    sec, _t, _l = _master(spark, sf_dir)
-    return sec.select("security_id", "security_uid", "type", "name", F.array_join("aliases", "|").alias("aliases"),
-                      "isin")
-
-
-@register("job_security_master_ticker")
-def q_job_security_master_ticker(spark, sf_dir):
-    return _master(spark, sf_dir)[1]
-
-
-@register("job_security_master_listing")
-def q_job_security_master_listing(spark, sf_dir):
-    return _master(spark, sf_dir)[2]
+    """Written by exchange and read again."""
+    hol = _detail(spark, sf_dir)[1]
+    path = scratch_path(spark, "holiday")
+    WR.write_partitioned(hol, path, ["exchange_uid"])
+    return spark.read.parquet(path).select(*hol.columns)
 
 
 # ------------------------------------------------------------ legacy quotes
 
-_LEG = ("security_listing_id, date, open, high, low, close, adj_close, volume, interval_id")
+_LISTINGS = """
+SELECT DISTINCT l_partkey * 2 + CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS id, 'M' || l_linestatus AS mic,
+       CASE WHEN l_partkey % 11 <> 0 THEN CAST(l_partkey AS STRING) END AS ticker,
+       CASE WHEN l_partkey % 3 <> 0 THEN 'vendor' END AS quote_source FROM {lineitem}"""
+_MIC_MAP = "SELECT DISTINCT l_linestatus AS source_value, 'M' || l_linestatus AS mapping_value FROM {lineitem} WHERE l_linestatus = 'O'"
+_LEG_CTE = ctes(l=_LISTINGS, m=_MIC_MAP)
 
 
-@register("job_quote_legacy", with_views(f"""
-SELECT s.id * 2 + CASE WHEN q.exchange_code = 'O' THEN 1 ELSE 0 END AS security_listing_id, strftime(CAST(q.date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS date,
+@register("job_quote_legacy", with_views("""
+SELECT l.id AS security_listing_id, strftime(CAST(q.date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS date,
        q.open, q.high, q.low, q.close, q.adjusted_close AS adj_close, q.volume, CAST(1 AS BIGINT) AS interval_id
-FROM v_quote q JOIN v_security s ON q.security_code = s.code AND s.currency = 'USD'""", "v_quote", "v_security"))
+FROM l JOIN m ON m.mapping_value = l.mic JOIN v_quote q ON q.security_code = l.ticker AND q.exchange_code = m.source_value
+WHERE l.quote_source = 'vendor'""", "v_quote", extra=_LEG_CTE))
 def q_job_quote_legacy(spark, sf_dir):
-    s = v_security(spark, sf_dir)
-    listings = s.select(F.col("code").alias("security_code"), F.col("id").alias("listing_id"),
-                        F.when(F.col("currency") == "USD", F.lit("vendor")).alias("quote_source"))
+    listings, mics, q = frame(spark, sf_dir, _LISTINGS), frame(spark, sf_dir, _MIC_MAP), v_quote(spark, sf_dir)
+    empty = spark.createDataFrame([], "security_listing_id bigint, date string, open double, high double, low double, "
+                                      "close double, adj_close double, volume bigint, interval_id bigint")
+    early, _ = J.job_quote_legacy(listings, mics, q.where(F.col("date") < F.lit(_dt.date(1998, 1, 1))), empty, "vendor")
+    return J.job_quote_legacy(listings, mics, q, early, "vendor")[0]
+
+
+@register("job_quote_legacy_rejects", with_views("""
+SELECT l.id, l.mic, l.ticker FROM l LEFT JOIN m ON m.mapping_value = l.mic
+WHERE l.quote_source = 'vendor' AND (m.source_value IS NULL OR l.ticker IS NULL)""", extra=_LEG_CTE))
+def q_job_quote_legacy_rejects(spark, sf_dir):
     q = v_quote(spark, sf_dir)
-    # listings are per security on every exchange of the quote table
-    listings = listings.join(q.select("security_code", "exchange_code").distinct(), "security_code") \
-        .withColumn("listing_id", F.col("listing_id") * 2 + (F.col("exchange_code") == "O").cast("bigint"))
-    early = J.job_quote_legacy(listings, q.where(F.col("date") < F.lit(_dt.date(1998, 1, 1))),
-                               spark.createDataFrame([], "security_listing_id bigint, date string, open double, "
-                                                     "high double, low double, close double, adj_close double, "
-                                                     "volume bigint, interval_id bigint"))
-    return J.job_quote_legacy(listings, q, early)
+    target = q.select(F.lit(0).cast("bigint").alias("security_listing_id"), F.lit("").alias("date"), "open", "high", "low", "close",
+                      F.col("close").alias("adj_close"), "volume", F.lit(1).cast("bigint").alias("interval_id"))
+    _table, rejects = J.job_quote_legacy(frame(spark, sf_dir, _LISTINGS), frame(spark, sf_dir, _MIC_MAP), q, target, "vendor")
+    return rejects.select("id", "mic", "ticker")
 
 
 # ------------------------------------------------------------ read views
@@ -425,45 +504,7 @@ def q_view_logs_count(spark, sf_dir):
     return FL.log_filter(v_log(spark, sf_dir), {"service": "S3"}).agg(F.count(F.lit(1)).alias("count"))
 
 
-
 # ------------------------------------------------------------ late oracles
 # fund_all is registered with the nested queries; its oracle is the union of
 # the sixteen category oracles.
 ORACLE["fund_all"] = _fund_union_sql()
-
-_MASTER_CTE = {
-    "found": """
-SELECT s.code AS ticker, s.isin, s.name, s.type, s.exchange_code, s.currency, f.figi, f.composite_figi
-FROM v_security s JOIN v_figi f ON s.isin = f.isin_source
-UNION ALL
-SELECT s.code, s.isin, s.name, s.type, s.exchange_code, s.currency, f.figi, f.composite_figi
-FROM v_security s JOIN v_figi f ON s.code = f.ticker_source
-WHERE NOT EXISTS (SELECT 1 FROM v_figi g WHERE g.isin_source = s.isin)""",
-    "known": "SELECT composite_figi AS uid, CAST(ticker_source AS BIGINT) AS k FROM v_figi "
-             "WHERE ticker_source IS NOT NULL",
-    "keys": "SELECT uid, k FROM known UNION ALL SELECT uid, (SELECT max(k) FROM known) + row_number() OVER "
-            "(ORDER BY uid) FROM (SELECT DISTINCT composite_figi AS uid FROM found WHERE composite_figi NOT IN "
-            "(SELECT uid FROM known))",
-    "keyed": "SELECT f.*, k.k AS security_id FROM found f JOIN keys k ON f.composite_figi = k.uid",
-}
-
-ORACLE["job_security_master_ticker"] = with_views("""
-SELECT DISTINCT security_id, ticker, composite_figi || '_' || ticker AS security_ticker_uid FROM keyed""",
-                                                  "v_security", "v_figi", extra=_MASTER_CTE)
-ORACLE["job_security_master_listing"] = with_views("""
-SELECT security_id, exchange_code, max(figi) AS figi, max(currency) AS currency FROM keyed GROUP BY ALL""",
-                                                   "v_security", "v_figi", extra=_MASTER_CTE)
-ORACLE["job_security_master_security"] = with_views("""
-SELECT security_id, security_uid, type, name, array_to_string(list_filter(names, lambda x: x <> name), '|') AS aliases,
-       isins[1] AS isin
-FROM (SELECT security_id, composite_figi AS security_uid, min(type) AS type, min(name) AS name,
-             list_sort(list_distinct(list(name))) AS names,
-             list_sort(list_distinct(list(isin) FILTER (WHERE isin IS NOT NULL))) AS isins
-      FROM keyed GROUP BY ALL)""", "v_security", "v_figi", extra=_MASTER_CTE)
-
-
-@register("job_security_master", ORACLE["job_security_master_security"])
-def q_job_security_master(spark, sf_dir):
-    """The security table of the master job (its ticker and listing tables
-    are the two ``job_security_master_*`` keys)."""
-    return q_job_security_master_security(spark, sf_dir)

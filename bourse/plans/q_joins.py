@@ -209,14 +209,13 @@ SELECT k.security_code, k.exchange_code,
 FROM (SELECT DISTINCT security_code, exchange_code FROM v_quote) k
 LEFT JOIN (SELECT security_code, exchange_code,
                   to_json(list({{'close': CAST(close AS VARCHAR), 'date': date}} ORDER BY date)) AS quotes
-           FROM v_quote WHERE date >= {lit(_MTD)} AND date <= {lit(QUOTE_AS_OF)} GROUP BY ALL) a
+           FROM v_quote GROUP BY ALL) a
   ON k.security_code = a.security_code AND k.exchange_code = a.exchange_code""", "v_quote"))
 def q_scalar_subquery_agg(spark, sf_dir):
     q = v_quote(spark, sf_dir)
     keys = q.select(*ts.KEYS).distinct()
-    recent = q.where((F.col("date") >= F.lit(_MTD)) & (F.col("date") <= F.lit(QUOTE_AS_OF))).select(
-        *ts.KEYS, F.col("close").cast("string").alias("close"), "date")
-    return L.scalar_subquery_agg(keys, recent, list(ts.KEYS), ["close", "date"], "date", "quotes")
+    quotes = q.select(*ts.KEYS, F.col("close").cast("string").alias("close"), "date")
+    return L.scalar_subquery_agg(keys, quotes, list(ts.KEYS), ["close", "date"], "date", "quotes")
 
 
 @register("anti_join_missing", with_views("""

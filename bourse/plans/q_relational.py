@@ -450,19 +450,19 @@ def q_check_cardinality(spark, sf_dir):
 
 # ------------------------------------------------------------------ 2.8
 
-@register("union_all_periods", with_views(f"""
-SELECT security_code, exchange_code, 'YEAR_TO_DATE' AS period, count(*) AS n_quotes FROM v_quote
-  WHERE date >= DATE '2001-01-01' AND date <= {lit(QUOTE_AS_OF)} GROUP BY ALL
-UNION ALL
-SELECT security_code, exchange_code, 'LAST_12_MONTH', count(*) FROM v_quote
-  WHERE date >= DATE '2000-06-30' AND date <= {lit(QUOTE_AS_OF)} GROUP BY ALL
-UNION ALL
-SELECT security_code, exchange_code, 'MONTH_TO_DATE', count(*) FROM v_quote
-  WHERE date >= DATE '2001-06-01' AND date <= {lit(QUOTE_AS_OF)} GROUP BY ALL""", "v_quote"))
+#: The nine windows of the performance job, by their first day.
+_PERIODS = [("YEAR_TO_DATE", _dt.date(2001, 1, 1)), ("MONTH_TO_DATE", _dt.date(2001, 6, 1)),
+            ("LAST_3_MONTH", _dt.date(2001, 3, 30)), ("LAST_12_MONTH", _dt.date(2000, 6, 30)),
+            ("LAST_6_MONTH", _dt.date(2000, 12, 30)), ("LAST_1_MONTH", _dt.date(2001, 5, 30)),
+            ("LAST_2_YEAR", _dt.date(1999, 6, 30)), ("LAST_5_YEAR", _dt.date(1996, 6, 30)),
+            ("LAST_10_YEAR", _dt.date(1991, 6, 30))]
+
+
+@register("union_all_periods", with_views("\nUNION ALL\n".join(
+    f"SELECT security_code, exchange_code, '{name}' AS period, count(*) AS n_quotes FROM v_quote "
+    f"WHERE date >= {lit(start)} AND date <= {lit(QUOTE_AS_OF)} GROUP BY ALL" for name, start in _PERIODS), "v_quote"))
 def q_union_all_periods(spark, sf_dir):
-    periods = [("YEAR_TO_DATE", _dt.date(2001, 1, 1)), ("LAST_12_MONTH", _dt.date(2000, 6, 30)),
-               ("MONTH_TO_DATE", _dt.date(2001, 6, 1))]
-    return S.union_all_periods(v_quote(spark, sf_dir), periods, QUOTE_AS_OF)
+    return S.union_all_periods(v_quote(spark, sf_dir), _PERIODS, QUOTE_AS_OF)
 
 
 @register("union_distinct", """

@@ -130,6 +130,22 @@ def q_calendar_densify(spark, sf_dir):
     return ts.calendar_densify(v_quote_null(spark, sf_dir), _CAL_FROM, AS_OF)
 
 
+# Over the ten years and ten days of the exact job the rows are summed up per key
+# and year, so that the result stays small.
+@register("calendar_densify_ten_years", with_views(f"""
+SELECT k.security_code, k.exchange_code, CAST(year(c.date) AS INTEGER) AS year, count(*) AS n_days,
+       count(q.adjusted_close) AS n_quotes, max(q.adjusted_close) AS top_close, min(c.date) AS first_day, max(c.date) AS last_day
+FROM (SELECT DISTINCT security_code, exchange_code FROM v_quote_null) k
+CROSS JOIN (SELECT CAST(range AS DATE) AS date FROM range({lit(_EX_START)}, {lit(AS_OF)}, INTERVAL 1 DAY)) c
+LEFT JOIN v_quote_null q ON q.security_code = k.security_code AND q.exchange_code = k.exchange_code
+ AND q.date = c.date GROUP BY ALL""", "v_quote_null"))
+def q_calendar_densify_ten_years(spark, sf_dir):
+    dense = ts.calendar_densify(v_quote_null(spark, sf_dir), *ts.calendar_bounds(AS_OF))
+    return dense.groupBy("security_code", "exchange_code", F.year("date").alias("year")).agg(
+        F.count("*").alias("n_days"), F.count("adjusted_close").alias("n_quotes"), F.max("adjusted_close").alias("top_close"),
+        F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
 # ------------------------------------------------------------ forward_fill
 
 @register("forward_fill", with_views("""
@@ -148,10 +164,9 @@ SELECT security_code, exchange_code, date,
            PARTITION BY security_code, exchange_code ORDER BY date DESC)) AS close
 FROM v_quote_null""", "v_quote_null"))
 def q_lead_ignore_nulls(spark, sf_dir):
-    q = v_quote_null(spark, sf_dir)
-    return q.select("security_code", "exchange_code", "date",
-                    F.coalesce(F.col("adjusted_close"),
-                               ts.lead_ignore_nulls("adjusted_close", ts.KEYS, "date")).alias("close"))
+    q = v_quote_null(spark, sf_dir).select("security_code", "exchange_code", "date", "adjusted_close")
+    led = ts.lead_ignore_nulls(q, "adjusted_close", ts.KEYS, "date", "earlier")
+    return led.select("security_code", "exchange_code", "date", F.coalesce("adjusted_close", "earlier").alias("close"))
 
 
 # ------------------------------------------------------------ missing_date_ranges

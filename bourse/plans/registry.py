@@ -30,5 +30,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that it registers itself."""
-    from . import (q_extra, q_jobs, q_joins, q_nested, q_relational, q_search, q_stream, q_tables,  # noqa: F401
-                   q_timeseries)
+    from . import (q_extra, q_jobs, q_joins, q_master, q_nested, q_relational, q_search, q_stream, q_tables,  # noqa: F401
+                   q_timeseries, q_views)

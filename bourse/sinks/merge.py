@@ -1,7 +1,7 @@
 """Table maintenance as pure DataFrame functions: insert-new,
 insert-ignore, upsert, keyed update and snapshot refresh. Each returns the
-new content of the target; ``writers.commit`` persists it (new folder, then
-swap), so a target is never read and overwritten in one plan.
+new content of the target, to be written to a new folder, so a target is never
+read and overwritten in one plan; ``rows_to_insert`` returns only what to append.
 
 All of them are joins on the key (shuffle on the key; AQE splits skewed
 keys), never a row-by-row loop.
@@ -48,6 +48,20 @@ def merge_insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return target.unionByName(new.select(*target.columns))
 
 
+def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                   partition_cols: Sequence[str] = ()) -> DataFrame:
+    """The source rows that an insert-new adds: one row per key, of keys that
+    the target lacks. The caller appends them, so a daily update writes what
+    is new and not the whole table. With ``partition_cols`` (columns of both
+    that the key determines) the target is read only in the source's
+    partitions."""
+    src = dedupe_by_key(source, keys)
+    seen = target
+    if partition_cols:
+        seen = seen.join(src.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
+    return src.join(seen.select(*keys), list(keys), "left_anti").select(*target.columns)
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   order: Sequence[Column] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: source deduplicated by key, then

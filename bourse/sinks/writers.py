@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_lit, utc_now
-from ..session import scratch_path
 
 
 def stamp_overwrite(df: DataFrame, at: _dt.datetime | None = None) -> DataFrame:
@@ -37,14 +36,6 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt
     w.save(path)
 
 
-def commit(df: DataFrame, spark: SparkSession, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write the new content of a table to a fresh folder and return the
-    frame read back from it (the caller swaps its pointer to the folder)."""
-    path = scratch_path(spark, name)
-    overwrite_table(df, path, partition_by)
-    return spark.read.parquet(path)
-
-
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], fmt: str = "parquet") -> None:
     """One folder per value combination (``k=v/...``) in ONE pass; rows are
     clustered by the partition columns first so each task writes few files, and

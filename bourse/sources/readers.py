@@ -146,7 +146,7 @@ def read_zip_csv(spark: SparkSession, path: str, columns: Sequence[str], member_
     return rows.repartition(n).select(*[F.col(s).alias(c) for s, c in zip(safe, columns)])
 
 
-def _zip_group(pdf, folder: str, columns: Sequence[str]):
+def _zip_group(pdf, folder: str, columns: Sequence[str], bucket: int):
     import csv
     import io
     import os
@@ -160,9 +160,11 @@ def _zip_group(pdf, folder: str, columns: Sequence[str]):
     for row in pdf[list(columns)].itertuples(index=False):
         w.writerow(["" if v is None else v for v in row])
     os.makedirs(folder, exist_ok=True)
-    target = os.path.join(folder, f"part-{uuid.uuid4().hex}.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    # one name per bucket, so that a task that runs twice leaves one archive
+    target, part = os.path.join(folder, f"part-{bucket}.zip"), os.path.join(folder, f".{uuid.uuid4().hex}")
+    with zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("data.csv", buf.getvalue())
+    os.replace(part, target)
     return pd.DataFrame({"archive": [target], "rows": [len(pdf)]})
 
 
@@ -178,6 +180,6 @@ def write_zip_csv(df: DataFrame, folder: str, columns: Sequence[str], rows_per_a
     b = df.select(*[F.col(f"`{c}`").cast("string").alias(s) for c, s in zip(columns, safe)]).withColumn(
         "_b", F.pmod(F.xxhash64(*[F.col(s) for s in safe]), F.lit(n)))
 
-    def one(pdf):
-        return _zip_group(pdf[safe].set_axis(list(columns), axis=1), local, columns)
+    def one(key, pdf):
+        return _zip_group(pdf[safe].set_axis(list(columns), axis=1), local, columns, key[0])
     return b.groupBy("_b").applyInPandas(one, "archive string, rows long")
