@@ -344,3 +344,25 @@ def test_chat_windows_keep_budget_system_and_history(spark):
         assert r.text.startswith("<|im_start|>system\nbe kind<|im_end|>") and r.n_system == (k > 0) and (k == 0 or 1 <= r.n_history <= 3) and r.n_new <= 7
         assert all(r.text[s.start:s.end] == "w " * 90 for s in r.loss)
     assert chat.windows(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_chat_windows_of_a_long_conversation(spark):
+    """Conversations over many segments, against windows cut one by one."""
+    rng = random.Random(3)
+    turns = [(c, i, "system" if i == 0 and c % 2 else ("user", "assistant")[i % 2], "w " * rng.choice((0, 3, 40, 90, 700))) for c in range(3) for i in range(1200)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.window): (r.text, r.n_system, r.n_history, r.n_new) for r in chat.windows(df, 300, 80).collect()}
+    want = {}
+    for c in range(3):
+        first, rows = 0, []
+        for _, i, role, text in turns[c * 1200:(c + 1) * 1200]:
+            rows.append((first, first // 300, role, f"<|im_start|>{role}\n{text}<|im_end|>\n"))
+            first += len(text.split()) + 4
+        for w in sorted({r[1] for r in rows}):
+            new = [r for r in rows if r[1] == w]
+            system = [r for r in rows[:1] if r[2] == "system" and w > 0]
+            history = [r for r in rows[len(rows[:1] if rows[0][2] == "system" else []):] if r[1] < w and r[0] >= new[0][0] - 80]
+            want[c, w] = ("".join(r[3] for r in system + history + new), len(system), len(history), len(new))
+    assert got == want
+    digests = {r.conv_id: (r.n_turns, r.turns_sha256) for r in chat.chat_digest(df).collect()}
+    assert digests == {c: (1200, brute.sha("".join(f"{r}\n{t}\n" for k, _, r, t in turns if k == c))) for c in range(3)}
