@@ -183,7 +183,8 @@ def _digests(batches):
 def chat_digest(turns: DataFrame) -> DataFrame:
     """Digests of every conversation, read back from its windows. A digest of
     a whole text is computed in one task, which streams the windows."""
-    w = _window_texts(windows(turns))
+    # the windows are shuffled as formatted, and parsed where they arrive
+    w = windows(turns).repartition("conv_id").sortWithinPartitions("conv_id", "window")
     kind = dict(w.dtypes)["conv_id"]
-    return w.repartition("conv_id").sortWithinPartitions("conv_id", "window").mapInArrow(
+    return _window_texts(w).mapInArrow(
         _digests, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
