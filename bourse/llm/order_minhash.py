@@ -7,11 +7,13 @@ their text order; three sketches make a band. Equal bands propose candidates:
 two documents whose shingles agree by 0.8 share one of the 20 bands with
 probability above 0.997, and only where the order agrees too.
 
-Candidates are verified by a banded alignment of the labelled shingles. As no
-label repeats, the best alignment is the longest chain of shared labels that
-rises in both documents; shared labels further from the diagonal than any
-alignment of 0.8 allows are left out. Similarity is ``m / (n1 + n2 - m)`` for
-``m`` aligned shingles, and 0.8 or more is a link.
+Candidates are verified by a banded alignment of the shingles themselves, not of
+their labels, as one changed occurrence gives all later ones another label. The
+alignment is the longest common subsequence, computed with one bit per column;
+columns further from the diagonal than any alignment of 0.8 allows are left
+out. Where no shingle repeats, it is the longest chain of shared shingles that
+rises in both documents. Similarity is ``m / (n1 + n2 - m)`` for ``m`` aligned
+shingles, and 0.8 or more is a link.
 
 Exact copies are grouped first by their text's digest (a partial aggregation)
 and only one of each class is compared. The classes in a band are first
@@ -59,6 +61,9 @@ _AGREE = SIMILARITY + (1 - SIMILARITY) / 16
 LEAST_AGREEING = math.floor(MINIMA * _AGREE - 3.0 * math.sqrt(MINIMA * _AGREE * (1 - _AGREE)))
 #: Columns of a text hashed at once.
 _BLOCK = 4096
+#: Occurrences of a shingle whose bits are set one by one, bytes of the masks
+#: kept for the others, rows between two looks at what can still be reached.
+_FEW, _MASK_BYTES, _LOOK = 16, 32_000_000, 512
 
 _rng = np.random.default_rng(20240229)
 _SALT = _rng.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64)
@@ -84,8 +89,8 @@ class WordHashes(dict):
         return h
 
 
-def labelled_shingles(text: str, hashes: WordHashes) -> np.ndarray:
-    """Hashes of the occurrence-labelled shingles in text order, all distinct."""
+def shingles(text: str, hashes: WordHashes) -> np.ndarray:
+    """Hashes of the shingles in text order."""
     words = text.split()
     if not words:
         return np.empty(0, np.uint64)
@@ -95,7 +100,13 @@ def labelled_shingles(text: str, hashes: WordHashes) -> np.ndarray:
     s = np.zeros(n, np.uint64)
     for j in range(k):
         s += w[j:j + n] * _PLACE[j]
-    s = _mixed(s)
+    return _mixed(s)
+
+
+def labelled_shingles(text: str, hashes: WordHashes) -> np.ndarray:
+    """Hashes of the occurrence-labelled shingles in text order, all distinct."""
+    s = shingles(text, hashes)
+    n = len(s)
     order = np.argsort(s, kind="stable")
     ranked = s[order]
     new = np.ones(n, bool)
@@ -151,30 +162,98 @@ def agreeing(a: Column, b: Column) -> Column:
     return F.lit(MINIMA) - sum((differ(w) for w in range(1, words)), differ(0))
 
 
+def _risen(ia: np.ndarray, ib: np.ndarray) -> int:
+    """Length of the longest chain that rises in both, for distinct positions."""
+    path = ib[np.argsort(ia)]
+    if np.all(path[1:] > path[:-1]):
+        return len(path)
+    tails: list[int] = []
+    for x in path.tolist():
+        k = bisect_left(tails, x)
+        if k == len(tails):
+            tails.append(x)
+        else:
+            tails[k] = x
+    return len(tails)
+
+
+def _common(a: np.ndarray, b: np.ndarray, band: int, least: float) -> int:
+    """Length of the longest common subsequence of two sequences of small
+    numbers with no match further than ``band`` off the diagonal; 0 as soon as
+    it must stay below ``least``. Bit ``j`` of ``free`` is 0 where column
+    ``lo + j`` holds one aligned shingle more than the column before."""
+    order = np.argsort(b, kind="stable")
+    first = np.searchsorted(b[order], np.arange(int(max(a.max(), b.max())) + 2)).tolist()
+    at = order.tolist()
+    masks: dict[int, int] = {}
+    lo, hi, done, free = 0, 0, 0, 0
+    for i, x in enumerate(a.tolist()):
+        if i % _LOOK == 0 and done + (hi - lo - free.bit_count()) + len(a) - i < least:
+            return 0
+        start, end = first[x], first[x + 1]
+        if start == end:
+            continue
+        now = max(i - band, 0)
+        if now > lo:
+            # columns that no later row may match: what they hold stays
+            out = min(now, hi) - lo
+            done += out - (free & ((1 << out) - 1)).bit_count()
+            free >>= out
+            lo, hi = now, max(hi, now)
+        reach = min(i + band + 1, len(b))
+        if reach > hi:
+            free |= ((1 << (reach - hi)) - 1) << (hi - lo)
+            hi = reach
+        if end - start <= _FEW:
+            match = 0
+            for j in at[start:end]:
+                if lo <= j < hi:
+                    match |= 1 << (j - lo)
+        else:
+            if x not in masks:
+                if len(masks) * len(b) > 8 * _MASK_BYTES:
+                    masks.clear()
+                bits = np.zeros(len(b), np.uint8)
+                bits[order[start:end]] = 1
+                masks[x] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            match = (masks[x] >> lo) & ((1 << (hi - lo)) - 1)
+        if match:
+            both = free & match
+            free = ((free + both) | (free ^ both)) & ((1 << (hi - lo)) - 1)
+    return done + hi - lo - free.bit_count()
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Similarity of two labelled sequences by banded alignment; 0.0 as soon as
+    """Similarity of two shingle sequences by banded alignment; 0.0 as soon as
     it must stay below ``least``."""
     total = len(a) + len(b)
     need = least / (1 + least) * total
     if not len(a) or not len(b) or min(len(a), len(b)) < need - 1e-9:
         return 0.0
-    _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     # an alignment of m leaves total - 2 m unmatched, and no match lies further off the diagonal
-    near = np.abs(ia - ib) <= total - 2 * need + 1e-9
-    ia, ib = ia[near], ib[near]
-    if len(ia) < need - 1e-9:
+    band = total - 2 * need + 1e-9
+    known, na = np.unique(a, return_counts=True)
+    other, nb = np.unique(b, return_counts=True)
+    shared, ka, kb = np.intersect1d(known, other, assume_unique=True, return_indices=True)
+    if np.minimum(na[ka], nb[kb]).sum() < need - 1e-9:
         return 0.0
-    path = ib[np.argsort(ia)]
-    m = len(path)
-    if not np.all(path[1:] > path[:-1]):
-        tails: list[int] = []
-        for x in path.tolist():
-            k = bisect_left(tails, x)
-            if k == len(tails):
-                tails.append(x)
-            else:
-                tails[k] = x
-        m = len(tails)
+    if (na[ka] == 1).all() and (nb[kb] == 1).all():
+        _, ia, ib = np.intersect1d(a, b, return_indices=True)
+        near = np.abs(ia - ib) <= band
+        if near.sum() < need - 1e-9:
+            return 0.0
+        m = _risen(ia[near], ib[near])
+    else:
+        # equal ends belong to a best alignment
+        short = min(len(a), len(b))
+        differ = np.flatnonzero(a[:short] != b[:short])
+        head = int(differ[0]) if len(differ) else short
+        differ = np.flatnonzero(a[::-1][:short - head] != b[::-1][:short - head])
+        tail = int(differ[0]) if len(differ) else short - head
+        m, a, b = head + tail, a[head:len(a) - tail], b[head:len(b) - tail]
+        if len(a) and len(b):
+            names = np.unique(np.concatenate([a, b]), return_inverse=True)[1].ravel()
+            m += _common(names[:len(a)], names[len(a):], int(band), need - m - 1e-9)
     return m / (total - m)
 
 
@@ -198,8 +277,8 @@ def _verify(batches):
         yes = []
         for x, tx, ty in zip(a, ta, tb):
             if last[0] != x:
-                last = (x, labelled_shingles(tx, hashes))
-            yes.append(aligned(last[1], labelled_shingles(ty, hashes)) >= SIMILARITY - 1e-9)
+                last = (x, shingles(tx, hashes))
+            yes.append(aligned(last[1], shingles(ty, hashes)) >= SIMILARITY - 1e-9)
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(yes)), batch.column(1).filter(pa.array(yes))], ["a", "b"])
 
 

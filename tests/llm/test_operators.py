@@ -287,6 +287,53 @@ def test_alignment_is_the_longest_common_subsequence():
         assert (order_minhash.aligned(a, b) >= 0.8 - 1e-9) == (want >= 0.8 - 1e-9)
 
 
+def repeated_lines(rng, n, own, lines, words):
+    """A text with own words and one line repeated, and copies of it with one
+    word of one line changed, a line dropped and a line put in."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    line = [word() for _ in range(words)]
+    rows = [[word() for _ in range(own)]] + [list(line) for _ in range(lines)]
+    if n % 2:
+        rows = [r for k in range(lines) for r in (list(line), [word() for _ in range(12)])]
+    at = 2 * rng.randrange(len(rows) // 4)
+    at += not n % 2
+    changed = [list(r) for r in rows]
+    changed[at][words // 2] = word()
+    return [rows, changed, rows[:at] + rows[at + 1:], rows[:at] + [line] + rows[at:]]
+
+
+def test_near_duplicates_with_repeated_lines(spark):
+    rng = random.Random(88)
+    texts = []
+    for n, size in enumerate([(150, 15, 12), (0, 12, 8), (150, 30, 12), (0, 20, 6), (100, 10, 10), (0, 30, 7)]):
+        texts += [(100 * n + k, "\n".join(map(" ".join, rows))) for k, rows in enumerate(repeated_lines(rng, n, *size))]
+    seqs = {i: [s for s, _ in brute.shingles(t)] for i, t in texts}
+    hashes = order_minhash.WordHashes()
+    pairs, lost = [], 0
+    for i, (a, ta) in enumerate(texts):
+        for b, tb in texts[i + 1:]:
+            want = brute.alignment(seqs[a], seqs[b])
+            got = order_minhash.aligned(order_minhash.shingles(ta, hashes), order_minhash.shingles(tb, hashes))
+            assert got == pytest.approx(want) if want >= 0.8 else got < 0.8
+            if want >= 0.8:
+                pairs.append((a, b))
+                lost += brute.alignment(brute.shingles(ta), brute.shingles(tb)) < 0.8
+    assert lost >= 6  # the labels in place of the shingles lose these
+    comp = brute.components([i for i, _ in texts], pairs)
+    assert {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs_frame(spark, texts)).collect()} == comp
+
+
+def test_alignment_of_repeated_shingles():
+    rng = np.random.default_rng(88)
+    for _ in range(300):
+        a = rng.integers(0, rng.integers(2, 40), rng.integers(1, 90)).astype(np.uint64)
+        b = np.delete(a, rng.integers(0, len(a), rng.integers(0, 6)))
+        b = np.insert(b, rng.integers(0, len(b) + 1, 3), rng.integers(0, 60, 3)).astype(np.uint64)
+        want = brute.alignment(a.tolist(), b.tolist())
+        got = order_minhash.aligned(a, b)
+        assert got == pytest.approx(want) if want >= 0.8 - 1e-9 else got < 0.8 - 1e-9
+
+
 # ---- 9
 
 def test_quality_counts_match(spark):
