@@ -5,7 +5,10 @@ Native Spark expressions only. Per kind one ``regexp_extract_all`` gives the
 matches and, where there are any, ``split`` by the same pattern gives the
 pieces between them; running sums of their lengths are the offsets (code
 points, end exclusive). Matches are leftmost and do not overlap within a kind;
-one that fails its validator is dropped and not tried again.
+one of a base kind that fails its validator is dropped and not tried again. An
+IBAN ends by its country's length, so what follows it is no part of it: its
+pattern looks at the whole candidate but takes its first four characters only,
+and a candidate that fails mod-97 hides no IBAN that begins inside it.
 
 The base kinds ``email ip card phone`` follow fixed patterns and their spans
 always stay; the context words only move their score. The added kinds ``iban
@@ -34,7 +37,16 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: The base pattern with its least number of digits; shorter runs fail anyway.
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?+[0-9]){12,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Whole lengths of IBANs and their countries: the registry of ISO 13616, and
+#: countries that use IBANs without an entry in it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_IBANS = "|".join(rf"(?:{'|'.join(cc.split())})[0-9]{{2}}(?: ?+[A-Z0-9]){{{n - 4}}}" for n, cc in IBAN_LENGTHS.items())
+#: Group 1 is the candidate; group 0, its first four characters, is consumed.
+IBAN = rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{_IBANS})(?![A-Za-z0-9])))[A-Z0-9]{{4}}"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])"
 
@@ -87,20 +99,26 @@ def _valid(kind: str, m: Column) -> Column:
 
 def _spans(kind: str) -> Column:
     """Spans of one kind from its matches ``_m``, the pieces between them
-    ``_p`` and each match's next piece ``_n``."""
-    names = [f"_{kind}_{x}" for x in "pmn"]
+    ``_p`` and each match's next piece ``_n``; of an IBAN, ``_w`` is all of it."""
+    names = [f"_{kind}_{x}" for x in ("pmnw" if kind == "iban" else "pmn")]
     zero = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{SPAN}>").alias("spans"))
 
     def step(a, x):
-        before, m, after = (x[n] for n in names)
-        start = a["pos"] + F.length(before)
+        before, m, after = (x[n] for n in names[:3])
+        start, taken = a["pos"] + F.length(before), m
+        if kind == "iban":
+            m = x[names[3]]
+            after = F.substring(after, F.length(m) - F.length(taken) + 1, F.lit(CONTEXT_CHARS))
         near = F.concat_ws(" ", F.right(before, F.lit(CONTEXT_CHARS)), F.left(after, F.lit(CONTEXT_CHARS)))
         score = F.lit(PRIOR[kind]) + F.when(F.lower(near).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
         keep = m.isNotNull() & _valid(kind, m)
         if kind not in BASE_KINDS:
             keep = keep & (score >= MIN_SCORE)
+        if kind == "iban":
+            # nothing begins inside a valid one
+            keep = keep & (start >= F.coalesce(F.get(a["spans"], F.size(a["spans"]) - 1)["end"], F.lit(0)))
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"), score.alias("score"))
-        return F.struct((start + F.coalesce(F.length(m), F.lit(0))).alias("pos"),
+        return F.struct((start + F.coalesce(F.length(taken), F.lit(0))).alias("pos"),
                         F.when(keep, F.array_append(a["spans"], span)).otherwise(a["spans"]).alias("spans"))
 
     return F.aggregate(F.arrays_zip(*names), zero, step, lambda a: a["spans"])
@@ -114,10 +132,11 @@ def find_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
     must = {"email": F.instr("_text", "@") > 0, "phone": F.instr("_text", "+") > 0}
     out = out.withColumns({f"_{k}_m": F.when(must.get(k, F.lit(True)), F.regexp_extract_all("_text", F.lit(p), F.lit(0))).otherwise(none)
                            for k, p in PATTERNS.items()})
+    out = out.withColumn("_iban_w", F.when(F.size("_iban_m") > 0, F.regexp_extract_all("_text", F.lit(IBAN), F.lit(1))).otherwise(none))
     out = out.withColumns({f"_{k}_p": F.when(F.size(f"_{k}_m") > 0, F.split("_text", p, -1)).otherwise(none) for k, p in PATTERNS.items()})
     out = out.withColumns({f"_{k}_n": F.when(F.size(f"_{k}_m") > 0, F.slice(f"_{k}_p", F.lit(2), F.size(f"_{k}_m"))).otherwise(none) for k in KINDS})
     out = out.withColumns({k: _spans(k) for k in KINDS})
-    return out.drop(*[f"_{k}_{x}" for k in KINDS for x in "pmn"])
+    return out.drop(*[f"_{k}_{x}" for k in KINDS for x in "pmn"], "_iban_w")
 
 
 def _joined(spans: Column) -> Column:

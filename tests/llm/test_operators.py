@@ -64,6 +64,18 @@ def test_pii_masks_every_span(spark):
     assert pii.pii_digest(df.limit(0)).count() == 0
 
 
+def test_pii_ibans_end_by_their_country(spark):
+    good = "DE89 3704 0044 0532 0130 00"
+    texts = [f"{good} Please pay", "DE89370400440532013000 The", f"{good} BIC COBADEFFXXX", "GB82 WEST 1234 5698 7654 32 USD", "DE89370400440532013000 5 euros", f"to IT99 {good} now", f"REF1 NO99 {good} AND GB82WEST12345698765432 X",
+             "DE89370400440532013000X", "DE88370400440532013000 The", "x" * 50 + " DE12" * 2000, "NO9386011117947 A", "account \U0001f600 " + good + " " + good]
+    got = {r.doc_id: r.spans for r in pii.pii_digest(docs_frame(spark, enumerate(texts))).collect()}
+    ibans = {i: [texts[i][int(s.split(":")[1]):int(s.split(":")[2])] for s in x.split(",") if s.startswith("iban:")] for i, x in got.items()}
+    assert ibans == {0: [good], 1: ["DE89370400440532013000"], 2: [good], 3: ["GB82 WEST 1234 5698 7654 32"], 4: ["DE89370400440532013000"], 5: [good], 6: [good, "GB82WEST12345698765432"], 7: [], 8: [], 9: [],
+                     10: ["NO9386011117947"], 11: [good, good]}
+    masked = {r.doc_id: r.text for r in pii.mask_pii(docs_frame(spark, enumerate(texts))).collect()}
+    assert masked[0] == "[IBAN] Please pay" and masked[3] == "[IBAN] USD" and masked[6] == "REF1 NO99 [IBAN] AND [IBAN] X"
+
+
 # ---- 2
 
 def test_mixing_inverts_poisson(spark):
