@@ -1,18 +1,24 @@
 """License scans by conditional compression.
 
 Sentences that speak of licences, and what stands between two of them that are
-close, make a candidate block. Each block is compressed alone and with each
-template as a raw zstandard dictionary; the templates that save most are
-compared word by word, and the best is reported with its exact differences:
-words of the template that the block lacks and words it has besides.
+close, make a candidate block. Windows of each block are compressed alone and
+with each template as a raw zstandard dictionary. Every template that saves
+MIN_SAVING of its own compressed size in some window is aligned word by word
+with the whole block, wherever it stands and however often, with its exact
+differences: words of the template that the block lacks and words it has
+besides. Spans that overlap compete; the one with most words found, less its
+differences, stays.
 
 Blocks are proposed by a Spark expression that sorts out texts without any
 licence word; the rest runs in Arrow batches over whole texts.
 
-One row per block that holds a licence: ``doc_id start end`` (code points, end
-exclusive) ``license status`` (``exact`` or ``modified``) ``size_alone
-size_with saving lacks besides`` (the differing words, space-joined). A block
-in which no template is found word by word (MATCH of its words) gives no row.
+One row per licence found: ``doc_id start end`` (code points, end exclusive, from
+the first to the last word found and the punctuation after it) ``license
+status`` (``exact`` or ``modified``) ``size_alone size_with saving lacks besides``
+(bytes of the window that saves most, what it saves of the template's own
+compressed size, and the differing words, space-joined). A template counts as found
+with MATCH of its words, where a word it lacks costs as much as LACK words
+besides and all differences at most HALF of lacking everything.
 
 Results for odd rows: a null or empty text has no blocks; a null id is kept;
 repeated rows are scanned each; of equal savings the template that sorts first
@@ -22,8 +28,8 @@ wins; an empty table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 import re
-from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -77,12 +83,17 @@ TEMPLATES = {
 #: Words that propose a sentence, and how many sentences may lie between two.
 TRIGGER = r"(?i)licen[sc]e|copyright|spdx|redistribut|permission|public domain|free software|warrant(?:y|ies)"
 GAP = 2
-#: Templates compared word by word, least saving, least share of words found.
-RANKED, MIN_SAVING, MATCH = 3, 0.15, 0.85
+#: Least share of a template's compressed size saved, least share of its words found.
+MIN_SAVING, MATCH = 0.2, 0.85
+#: Words besides that cost as much as one lacking, most cost as a share of lacking all.
+LACK, HALF = 4, 0.5
+#: Words in a window that is compressed; each window starts at half the one before.
+WINDOWS = (32, 256)
 
 _TRIGGER = re.compile(TRIGGER)
 _SENTENCE = re.compile(r"[^\n.]+(?:\.(?!\s|$)[^\n.]*)*\.?")
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
+_AFTER = re.compile(r"[^\w\s]*")
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
@@ -102,38 +113,107 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _costs(want: np.ndarray, got: np.ndarray, anywhere: bool) -> np.ndarray:
+    """Least cost of the wanted words against words that end at each place:
+    begun ``anywhere``, of all wanted words; begun at the first place, one row
+    for the first ``i`` of them each."""
+    at = np.arange(len(got) + 1, dtype=np.int32)
+    row = np.zeros_like(at) if anywhere else at.copy()
+    rows = [row]
+    for w in want:
+        new = row + LACK
+        hit = np.flatnonzero(got == w)
+        new[hit + 1] = np.minimum(new[hit + 1], row[hit])
+        row = np.minimum.accumulate(new - at) + at
+        if not anywhere:
+            rows.append(row)
+    return row if anywhere else np.stack(rows)
+
+
+def _pairs(want: np.ndarray, got: np.ndarray) -> list[tuple[int, int]]:
+    """The matched words (wanted, got) of a best alignment that ends with the
+    last word of ``got`` and begins at its cheapest place."""
+    back = _costs(want[::-1], got[::-1], False)
+    i, j, out = len(want), int(back[-1].argmin()), []
+    n, k = len(got), len(want)
+    while i and j:
+        if want[k - i] == got[n - j] and back[i, j] == back[i - 1, j - 1]:
+            out.append((k - i, n - j))
+            i, j = i - 1, j - 1
+        elif back[i, j] == back[i - 1, j] + LACK:
+            i -= 1
+        else:
+            j -= 1
+    return out
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
         self.words = {n: words(templates[n]) for n in self.names}
+        self.number = {w: i for i, w in enumerate(sorted({w for v in self.words.values() for w in v}))}
+        self.want = {n: np.array([self.number[w] for w in v], np.int32) for n, v in self.words.items()}
         self.alone = zstandard.ZstdCompressor(level=3, write_content_size=False)
+        self.own = {n: len(self.alone.compress(templates[n].lower().encode())) for n in self.names}
         self.given = {n: zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
             templates[n].lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n in self.names}
 
-    def scan(self, block: str):
-        data = block.lower().encode()
-        alone = len(self.alone.compress(data))
-        sizes = sorted((len(self.given[n].compress(data)), n) for n in self.names)
-        got, best = words(block), None
-        for size, name in sizes[:RANKED]:
-            saving = 1 - size / alone
-            if saving < MIN_SAVING:
+    def savings(self, block: str, at: list[tuple[int, int]]) -> dict[str, tuple]:
+        """``(saving, size_alone, size_with)`` of each template where it saves most."""
+        best: dict[str, tuple] = {}
+        for size in WINDOWS:
+            for i in range(0, max(1, len(at) - size // 2), size // 2):
+                data = block[at[i][0]:at[min(i + size, len(at)) - 1][1]].lower().encode()
+                alone = len(self.alone.compress(data))
+                for n in self.names:
+                    given = len(self.given[n].compress(data))
+                    best[n] = max(best.get(n, (-1.0, 0, 0)), ((alone - given) / self.own[n], alone, given))
+            if len(at) <= size:
                 break
-            want = self.words[name]
-            runs = [r for r in SequenceMatcher(None, want, got, autojunk=False).get_matching_blocks() if r.size]
-            found = sum(r.size for r in runs)
-            if not runs or found < MATCH * len(want):
+        return best
+
+    def spans(self, name: str, got: np.ndarray):
+        """``(first, last, matched)`` of every place where a template is found."""
+        want, taken = self.want[name], np.zeros(len(got), bool)
+        cost = _costs(want, got, True)[1:]
+        most = int(HALF * LACK * len(want))
+        ends = np.flatnonzero((cost <= most) & (cost < np.append(most + LACK + 1, cost[:-1])) & (cost <= np.append(cost[1:], most + LACK + 1)))
+        for end in ends[np.argsort(cost[ends], kind="stable")].tolist():
+            low = max(0, end + 1 - len(want) - most)
+            if taken[end]:
                 continue
-            inside = range(runs[0].b, runs[-1].b + runs[-1].size)
-            matched_w = {r.a + k for r in runs for k in range(r.size)}
-            matched_g = {r.b + k for r in runs for k in range(r.size)}
-            lacks = [w for k, w in enumerate(want) if k not in matched_w]
-            besides = [got[k] for k in inside if k not in matched_g]
-            # the fewest differences, then the longest text found, then the larger saving
-            rank = (len(lacks) + len(besides), -found, size, name)
-            if best is None or rank < best[0]:
-                best = rank, (name, "modified" if lacks or besides else "exact", alone, size, round(saving, 6), " ".join(lacks), " ".join(besides))
-        return best and best[1]
+            matched = [(a, b + low) for a, b in _pairs(want, got[low:end + 1])]
+            if len(matched) < MATCH * len(want) or taken[matched[0][1]:end + 1].any():
+                continue
+            taken[matched[0][1]:matched[-1][1] + 1] = True
+            yield matched[0][1], matched[-1][1], matched
+
+    def scan(self, block: str) -> list[tuple]:
+        """Rows of the licences in a block, in text order."""
+        at = [m.span() for m in _WORD.finditer(block)]
+        if not at:
+            return []
+        plain = [block[a:b].lower() for a, b in at]
+        got = np.array([self.number.get(w, -1) for w in plain], np.int32)
+        found = []
+        for name, (saving, alone, given) in self.savings(block, at).items():
+            if saving < MIN_SAVING:
+                continue
+            want = self.words[name]
+            for first, last, matched in self.spans(name, got):
+                in_want, in_got = {a for a, _ in matched}, {b for _, b in matched}
+                lacks = [w for k, w in enumerate(want) if k not in in_want]
+                besides = [plain[k] for k in range(first, last + 1) if k not in in_got]
+                # the most words found less the differences, then the larger saving
+                rank = (len(lacks) + len(besides) - len(matched), -saving, name, first)
+                end = _AFTER.match(block, at[last][1]).end()
+                found.append((rank, first, last, (at[first][0], end, name, "modified" if lacks or besides else "exact", alone, given, round(saving, 6), " ".join(lacks), " ".join(besides))))
+        taken, out = np.zeros(len(got), bool), []
+        for _, first, last, row in sorted(found):
+            if not taken[first:last + 1].any():
+                taken[first:last + 1] = True
+                out.append(row)
+        return sorted(out)
 
 
 FIELDS = [("start", pa.int32()), ("end", pa.int32()), ("license", pa.string()), ("status", pa.string()), ("size_alone", pa.int32()), ("size_with", pa.int32()),
@@ -149,9 +229,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
             at, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 for start, end in blocks(text):
-                    if found := scanner.scan(text[start:end]):
+                    for first, last, *found in scanner.scan(text[start:end]):
                         at.append(i)
-                        rows.append((start, end, *found))
+                        rows.append((start + first, start + last, *found))
             cols = list(zip(*rows)) or [()] * len(FIELDS)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, t) for c, (_, t) in zip(cols, FIELDS)]], ["doc_id", *[n for n, _ in FIELDS]])
 

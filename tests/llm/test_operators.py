@@ -167,6 +167,24 @@ def test_licenses_exact_and_modified(spark):
     assert text[5][got[5].start:got[5].end] == "Licensed under CC BY-NC 4.0."
 
 
+def test_licenses_in_long_blocks_and_side_by_side(spark):
+    rng = random.Random(5)
+    some = lambda n: " ".join("".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    mit, apache, full = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["Apache-2.0"], licenses.TEMPLATES["MIT-text"]
+    inside = "released under the mit license"
+    texts = [(n, f"{some(n // 2)} {inside} {some(n - n // 2)}.") for n in (10, 20, 30, 120, 1000)]
+    texts += [(1, f"{mit}\n{apache}\n"), (2, f"{full}\n{some(4)}\n{licenses.TEMPLATES['BSD-3-Clause']}\n{mit}\n{mit}"), (3, "\n".join(f"copyright license {some(20)}" for _ in range(200)) + f"\n{apache}\n" + "\n".join(f"permission {some(20)}" for _ in range(200))),
+              (4, licenses.TEMPLATES["BSD-3-Clause"].replace("endorse", "praise")), (5, "released the licence under which mit students work, a license")]
+    got = {}
+    for r in licenses.scan_licenses(docs_frame(spark, texts)).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.end, r.license, r.status))
+    text = dict(texts)
+    assert {i: [x[2:] for x in sorted(v)] for i, v in got.items()} == {
+        **{n: [("MIT", "exact")] for n in (10, 20, 30, 120, 1000)}, 1: [("MIT", "exact"), ("Apache-2.0", "exact")],
+        2: [("MIT-text", "exact"), ("BSD-3-Clause", "exact"), ("MIT", "exact"), ("MIT", "exact")], 3: [("Apache-2.0", "exact")], 4: [("BSD-3-Clause", "modified")]}
+    assert text[120][got[120][0][0]:got[120][0][1]] == inside and [text[1][a:b] for a, b, _, _ in sorted(got[1])] == [mit, apache]
+
+
 # ---- 6
 
 def insult_corpus(n=900):
