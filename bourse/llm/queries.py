@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_dedup, licenses, mixing, order_minhash, pii, quality, toxicity, url_filter
+from . import align, bpe, chat, embed_dedup, langid, licenses, merkle, mixing, order_minhash, pii, quality, toxicity, url_filter
 from .common import table
 
 #: Target shares: the hot source is held to a fifth, the others share the rest.
@@ -63,6 +63,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(turns.union(more))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(docs, observed={"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+
+
+def op12_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return align.align(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), digest=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,7 +86,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_mixing, op3_embedding_dedup, op4_bpe, op5_licenses, op6_toxicity, op7_url_filter, op8_order_minhash, op9_quality, op10_chat, pipeline)}
+    f.__name__: f for f in (op1_pii, op2_mixing, op3_embedding_dedup, op4_bpe, op5_licenses, op6_toxicity, op7_url_filter, op8_order_minhash, op9_quality, op10_chat, op11_merkle, op12_langid, op13_align, pipeline)}
 
 #: Sizes over all documents, shares, rates and the Poisson distribution by its
 #: closed form; Spark sums the same terms one by one.
@@ -117,4 +133,29 @@ SELECT page_id, j.host, j.path, j.rule, coalesce(j.action, CASE WHEN allowed THE
 FROM pages p JOIN parts a ON a.url IS NOT DISTINCT FROM p.url JOIN judged j ON j.host = a.host AND j.path = a.path LEFT JOIN says s ON s.node = j.node
 """.replace("RULES", ", ".join(f"('{a}', '{r}')" for a, r in URL_RULES))
 
-ORACLE: dict[str, str] = {"op2_mixing": OP2_SQL, "op7_url_filter": OP7_SQL}
+#: Leaves, the levels of every language's tree and of the tree above by
+#: recursion, then each leaf's way up with its siblings. CRC-32 (reflected
+#: polynomial 0xEDB88320) from a table of 256 entries.
+OP11_SQL = """
+WITH RECURSIVE crc(t) AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))),
+leaves AS (SELECT doc_id, lang, sha256(HEAD || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || TAIL) AS leaf,
+    CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 7 = 0
+         THEN sha256(HEAD || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || TAIL) END AS seen FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, leaf) AS row, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS size FROM leaves),
+inner_nodes(tree, lvl, pos, size, h) AS (SELECT tree, 0, pos, size, leaf FROM placed
+    UNION ALL SELECT tree, lvl + 1, pos // 2, (size + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM inner_nodes WHERE size > 1 GROUP BY tree, lvl, pos // 2, size),
+subroots AS (SELECT tree, h AS subroot, (SELECT max(tree) + 1 FROM placed) AS trees FROM inner_nodes WHERE size = 1),
+upper_nodes(lvl, pos, size, h) AS (SELECT 0, tree, trees, subroot FROM subroots
+    UNION ALL SELECT lvl + 1, pos // 2, (size + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM upper_nodes WHERE size > 1 GROUP BY lvl, pos // 2, size),
+inner_way(row, tree, lvl, pos, f, proof, size) AS (SELECT row, tree, 0, pos, coalesce(seen, leaf), '', size FROM placed
+    UNION ALL SELECT row, w.tree, w.lvl + 1, w.pos // 2, sha256(CASE WHEN n.h IS NULL THEN f WHEN w.pos % 2 = 1 THEN n.h || f ELSE f || n.h END), proof || coalesce(n.h, ''), (w.size + 1) // 2
+    FROM inner_way w LEFT JOIN inner_nodes n ON n.tree = w.tree AND n.lvl = w.lvl AND n.pos = xor(w.pos, 1) WHERE w.size > 1),
+upper_way(row, lvl, pos, f, proof, size) AS (SELECT row, 0, tree, f, proof, (SELECT max(trees) FROM subroots) FROM inner_way WHERE size = 1
+    UNION ALL SELECT row, w.lvl + 1, w.pos // 2, sha256(CASE WHEN n.h IS NULL THEN f WHEN w.pos % 2 = 1 THEN n.h || f ELSE f || n.h END), proof || coalesce(n.h, ''), (w.size + 1) // 2
+    FROM upper_way w LEFT JOIN upper_nodes n ON n.lvl = w.lvl AND n.pos = xor(w.pos, 1) WHERE w.size > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM placed JOIN subroots USING (tree) JOIN upper_way w ON w.row = placed.row AND w.size = 1, (SELECT h AS root FROM upper_nodes WHERE size = 1)
+""".replace("HEAD", " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang"))).replace("TAIL", "coalesce(strlen(text) || ':' || text, '-')")
+
+ORACLE: dict[str, str] = {"op2_mixing": OP2_SQL, "op7_url_filter": OP7_SQL, "op11_merkle": OP11_SQL}
