@@ -366,7 +366,8 @@ def job_quote_legacy(listings: DataFrame, exchange_map: DataFrame, quotes: DataF
                      source: str) -> tuple[DataFrame, DataFrame]:
     """Listings quoted by ``source`` -> vendor exchange code of their mic ->
     their quotes in the legacy layout -> insert-ignore into the quote table.
-    Returns (table, listings without an exchange code or a ticker)."""
+    Returns (the rows to append, listings without an exchange code or a
+    ticker)."""
     src = listings.where(F.col("quote_source") == F.lit(source))
     m = exchange_map.select(F.col("source_value").alias("exchange_code"), F.col("mapping_value").alias("mic")).distinct()
     src = src.join(m, "mic", "left")
@@ -377,7 +378,7 @@ def job_quote_legacy(listings: DataFrame, exchange_map: DataFrame, quotes: DataF
                     F.date_format(F.col("date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("date"),
                     "open", "high", "low", "close", F.col("adjusted_close").alias("adj_close"), "volume",
                     F.lit(1).cast("bigint").alias("interval_id"))
-    return M.insert_ignore(target, rows, ["security_listing_id", "date", "interval_id"], order=[F.col("close")]), src.where(~ok)
+    return M.rows_to_insert(target, rows, ["security_listing_id", "date", "interval_id"], order=[F.col("close")]), src.where(~ok)
 
 
 # ------------------------------------------------------------------ views

@@ -443,10 +443,13 @@ FROM l JOIN m ON m.mapping_value = l.mic JOIN v_quote q ON q.security_code = l.t
 WHERE l.quote_source = 'vendor'""", "v_quote", extra=_LEG_CTE))
 def q_job_quote_legacy(spark, sf_dir):
     listings, mics, q = frame(spark, sf_dir, _LISTINGS), frame(spark, sf_dir, _MIC_MAP), v_quote(spark, sf_dir)
-    empty = spark.createDataFrame([], "security_listing_id bigint, date string, open double, high double, low double, "
-                                      "close double, adj_close double, volume bigint, interval_id bigint")
-    early, _ = J.job_quote_legacy(listings, mics, q.where(F.col("date") < F.lit(_dt.date(1998, 1, 1))), empty, "vendor")
-    return J.job_quote_legacy(listings, mics, q, early, "vendor")[0]
+    path, columns = scratch_path(spark, "legacy-quotes"), ("security_listing_id bigint, date string, open double, high double, low double, "
+                                                           "close double, adj_close double, volume bigint, interval_id bigint")
+    # what the first run finds is the table that the second one appends to
+    early, _ = J.job_quote_legacy(listings, mics, q.where(F.col("date") < F.lit(_dt.date(1998, 1, 1))), spark.createDataFrame([], columns), "vendor")
+    WR.append_table(early, path)
+    WR.append_table(J.job_quote_legacy(listings, mics, q, spark.read.schema(columns).parquet(path), "vendor")[0], path)
+    return spark.read.schema(columns).parquet(path)
 
 
 @register("job_quote_legacy_rejects", with_views("""

@@ -12,6 +12,7 @@ from ..functions import columns as C
 from ..functions import udf_surface as U
 from ..operators.projections import normalize_quote_update
 from ..session import scratch_path
+from ..sinks import writers as WR
 from ..streaming import streams as ST
 from .fixtures import table, v_quote, v_security, with_views
 from .registry import register
@@ -79,7 +80,7 @@ def q_stream_quote_increment(spark, sf_dir):
     # the table holds quotes before 1998; daily files from mid-1997 on overlap it
     start = normalize_quote_update(raw.where(F.col("Date") < F.lit(_dt.date(1998, 1, 1)))) \
         .withColumn("close", F.col("close") / 2)
-    start.write.mode("overwrite").parquet(target)
+    WR.write_partitioned(start, target, ["exchange_code", "year"])
     files = raw.where(F.col("Date") >= F.lit(_dt.date(1997, 7, 1)))
     files.repartition(6, "Date").write.mode("overwrite").option("header", True).csv(src)
     # several micro-batches, so that later ones meet what earlier ones wrote

@@ -17,6 +17,7 @@ from ..operators import lookup as L
 from ..operators import quality as Q
 from ..session import scratch_path
 from ..sinks import merge as M
+from ..sinks import partitioned as P
 from ..sinks import writers as WR
 from ..sources import readers as R
 from .fixtures import table, v_entity, v_exchange, v_figi, v_mapping, v_quote, v_security, with_views
@@ -187,6 +188,83 @@ def q_upsert_columns(spark, sf_dir):
                             set_from_source=["name", "operating_exchange_id"], set_const={"mic": "UPDATED"})
 
 
+def _exchange_folders(spark, sf_dir):
+    """The exchanges in folders of their operator, which an upsert changes."""
+    path = scratch_path(spark, "exchange")
+    WR.write_partitioned(v_exchange(spark, sf_dir), path, ["operating_exchange_id"])
+    return path
+
+
+@register("upsert_partitions", with_views("""
+SELECT COALESCE(t.id, s.id) AS id, COALESCE(t.mic, s.mic) AS mic, CASE WHEN s.id IS NOT NULL THEN s.name ELSE t.name END AS name,
+       CASE WHEN s.id IS NOT NULL THEN s.operating_exchange_id ELSE t.operating_exchange_id END AS operating_exchange_id
+FROM v_exchange t FULL OUTER JOIN src s ON t.id = s.id""", "v_exchange", extra=_EX_UPD_SQL))
+def q_upsert_partitions(spark, sf_dir):
+    """Only folders that an updated exchange leaves or enters are written."""
+    path = _exchange_folders(spark, sf_dir)
+    P.change_partitions(path, _exchange_updates(spark, sf_dir), ["id"],
+                        lambda t, s: M.upsert_columns(t, s, ["id"], set_from_source=["name", "operating_exchange_id"]))
+    return spark.read.parquet(path).select("id", "mic", "name", F.col("operating_exchange_id").cast("bigint").alias("operating_exchange_id"))
+
+
+@register("bulk_upsert_table", with_views("""
+SELECT COALESCE(t.id, s.id) AS id, COALESCE(t.mic, s.mic) AS mic, CASE WHEN s.id IS NOT NULL THEN s.name ELSE t.name END AS name,
+       CASE WHEN s.id IS NOT NULL THEN s.operating_exchange_id ELSE t.operating_exchange_id END AS operating_exchange_id
+FROM v_exchange t FULL OUTER JOIN src s ON t.id = s.id""", "v_exchange", extra=_EX_UPD_SQL))
+def q_bulk_upsert_table(spark, sf_dir):
+    """The table that ``bulk_upsert`` returns beside its counts."""
+    return M.bulk_upsert(v_exchange(spark, sf_dir), _exchange_updates(spark, sf_dir), ["id"], ["name", "operating_exchange_id"])[0]
+
+
+def _quote_folders(spark, q):
+    path = scratch_path(spark, "quotes")
+    WR.write_partitioned(q.withColumn("year", F.year("date")), path, ["exchange_code", "year"])
+    return path
+
+
+_QUOTE_LAYOUT = ["exchange_code", "year"]
+
+
+@register("bulk_upsert_partitions", with_views(f"""
+SELECT security_code, exchange_code, date, open, high, low, CASE WHEN exchange_code = 'F' AND date >= DATE '1994-07-01' THEN close * 2 ELSE close END AS close,
+       adjusted_close, volume, CAST(year(date) AS INTEGER) AS year FROM v_quote
+WHERE date < DATE '1995-03-01' OR exchange_code = 'F'""", "v_quote"))
+def q_bulk_upsert_partitions(spark, sf_dir):
+    """Corrections from July 1994 on and new quotes of one exchange: its years
+    from 1994 on are written, all other folders keep their files."""
+    q = v_quote(spark, sf_dir)
+    path = _quote_folders(spark, q.where(F.col("date") < F.lit(_dt.date(1995, 3, 1))))
+    source = q.where((F.col("exchange_code") == "F") & (F.col("date") >= F.lit(_dt.date(1994, 7, 1)))).withColumn("close", F.col("close") * 2).withColumn("year", F.year("date"))
+    P.change_partitions(path, source, _KEYS, lambda t, s: M.upsert_columns(t, s, _KEYS, set_from_source=["close"]), _QUOTE_LAYOUT, key_fixes_partition=True)
+    return spark.read.parquet(path).select(*_QCOLS.split(", "), "year")
+
+
+@register("bulk_update_partitions", with_views(f"""
+SELECT {_SEC.replace("name,", "CASE WHEN id % 1000 = 7 THEN upper(name) ELSE name END AS name,")} FROM v_security""", "v_security"))
+def q_bulk_update_partitions(spark, sf_dir):
+    """The key does not say where a security lies: its folders are looked up."""
+    s = v_security(spark, sf_dir)
+    path = scratch_path(spark, "securities")
+    WR.write_partitioned(s, path, ["exchange_code"])
+    upd = s.where(F.col("id") % 1000 == 7).select("code", F.upper("name").alias("name"))
+    P.change_partitions(path, upd, ["code"], lambda t, u: M.bulk_update_by_key(t, u, "code", ["name"]))
+    return spark.read.parquet(path).select(*_SEC.split(", "))
+
+
+@register("insert_ignore_append", with_views(f"""
+SELECT {_QCOLS}, CAST(year(date) AS INTEGER) AS year FROM v_quote WHERE date < {_HALF}
+UNION ALL
+SELECT security_code, exchange_code, date, open, high, low, close * 2, adjusted_close, volume, CAST(year(date) AS INTEGER)
+FROM v_quote WHERE date >= {_HALF}""", "v_quote"))
+def q_insert_ignore_append(spark, sf_dir):
+    """New keys are appended in the table's layout; nothing is rewritten."""
+    target, source = _halves(spark, sf_dir)
+    path = _quote_folders(spark, target)
+    dup = source.withColumn("close", F.col("close") * 3)
+    P.append_new(path, source.unionByName(dup).withColumn("year", F.year("date")), _KEYS, _QUOTE_LAYOUT, key_fixes_partition=True)
+    return spark.read.parquet(path).select(*_QCOLS.split(", "), "year")
+
+
 @register("bulk_upsert", with_views("""
 SELECT count(*) AS affected, count(t.id) AS updated, count(*) - count(t.id) AS inserted
 FROM (SELECT DISTINCT id FROM src) s LEFT JOIN (SELECT DISTINCT id FROM v_exchange) t ON s.id = t.id""",
@@ -241,6 +319,29 @@ def q_snapshot_refresh(spark, sf_dir):
                               ["name", "legal_address_country", "status"])
 
 
+@register("snapshot_refresh_scope", with_views("""
+SELECT COALESCE(c.id, s.id) AS id, COALESCE(s.name, c.name) AS name, COALESCE(s.status, c.status) AS status,
+       c.id IS NULL OR s.id IS NOT NULL OR NOT c.scope AS is_active,
+       CASE WHEN c.id IS NULL THEN TIMESTAMP '2024-01-31 00:00:00' ELSE TIMESTAMP '2020-01-01 00:00:00' END AS active_from,
+       CASE WHEN c.scope AND s.id IS NULL THEN TIMESTAMP '2024-01-31 00:00:00' END AS active_until,
+       CASE WHEN c.id IS NULL THEN TIMESTAMP '2024-01-31 00:00:00' ELSE TIMESTAMP '2020-01-01 00:00:00' END AS created_at,
+       CASE WHEN c.scope THEN TIMESTAMP '2024-01-31 00:00:00' END AS updated_at,
+       COALESCE(c.legal_address_country, s.legal_address_country) AS legal_address_country
+FROM (SELECT *, legal_address_country IN ('FRANCE', 'JAPAN') AS scope FROM v_entity WHERE id % 3 <> 0) c
+FULL OUTER JOIN (SELECT id, name, legal_address_country, lower(status) AS status FROM v_entity
+                 WHERE id % 3 <> 1 AND legal_address_country IN ('FRANCE', 'JAPAN')) s ON c.id = s.id""", "v_entity"))
+def q_snapshot_refresh_scope(spark, sf_dir):
+    """A snapshot of two countries refreshes their folders only."""
+    path = scratch_path(spark, "entities")
+    WR.write_partitioned(_entity_current(spark, sf_dir), path, ["legal_address_country"])
+    e = v_entity(spark, sf_dir)
+    snap = e.where((F.col("id") % 3 != 1) & F.col("legal_address_country").isin("FRANCE", "JAPAN")).select(
+        "id", "name", "legal_address_country", F.lower("status").alias("status"))
+    P.change_partitions(path, snap, ["id"], lambda t, s: M.snapshot_refresh(t, s, ["id"], _SNAP_AS_OF, ["name", "legal_address_country", "status"]),
+                        key_fixes_partition=True)
+    return spark.read.parquet(path)
+
+
 _STAMP = _dt.datetime(2024, 1, 31, 6, 0)
 
 

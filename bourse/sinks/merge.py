@@ -49,13 +49,14 @@ def merge_insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                   partition_cols: Sequence[str] = ()) -> DataFrame:
-    """The source rows that an insert-new adds: one row per key, of keys that
+                   partition_cols: Sequence[str] = (), order: Sequence[Column] | None = None) -> DataFrame:
+    """The source rows that an insert-new adds: one row per key (the first by
+    ``order``, without one the least by its other columns), of keys that
     the target lacks. The caller appends them, so a daily update writes what
     is new and not the whole table. With ``partition_cols`` (columns of both
     that the key determines) the target is read only in the source's
     partitions."""
-    src = dedupe_by_key(source, keys)
+    src = dedupe_by_key(source, keys, order)
     seen = target
     if partition_cols:
         seen = seen.join(src.select(*partition_cols).distinct(), list(partition_cols), "left_semi")

@@ -16,14 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.projections import normalize_quote_update
-from ..sinks.merge import dedupe_by_key
+from ..sinks.partitioned import append_epoch, partition_columns
 
 
-def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key the target lacks (the insert half of
-    ``merge_insert_new``; appended, not rewritten)."""
-    return batch.join(target.select(*keys), list(keys), "left_anti")
-
 def epoch_col() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -64,18 +59,18 @@ def stream_quote_increment(spark: SparkSession, source_dir: str, schema: T.Struc
 
     No watermark: a late file is as good as any. Of rows with one key in a
     batch the least by its other columns is kept; keys of earlier batches are
-    found in the target by an anti join, read only for the years of the batch,
-    so replaying a batch after a failure inserts nothing twice."""
+    found in the target by an anti join. The rows are appended in the target's
+    own partition layout, and where its partition columns follow from the key
+    (the exchange is part of it, the year of its date) the target is read only
+    in the partitions of the batch. Every epoch is recorded with the table
+    (under the checkpoint's name), so replaying it inserts nothing twice."""
     src = (spark.readStream.schema(schema).option("header", True)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir))
+    layout = partition_columns(spark, target)
+    query = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
-    def merge_batch(batch: DataFrame, _epoch: int) -> None:
-        cur = spark.read.parquet(target)
-        fresh = dedupe_by_key(batch, keys)
-        seen = cur
-        if "year" in cur.columns:
-            seen = cur.where(F.col("year").isin([r[0] for r in batch.select("year").distinct().collect()]))
-        new_rows(seen, fresh, keys).select(*cur.columns).write.mode("append").parquet(target)
+    def merge_batch(batch: DataFrame, epoch: int) -> None:
+        append_epoch(target, batch, epoch, query, keys, layout, key_fixes_partition=set(layout) <= {*keys, "year"})
 
     q = (normalize_quote_update(src).writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
