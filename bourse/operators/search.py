@@ -146,6 +146,52 @@ def fts_match(index: DataFrame, query: str | WebQuery, universe: DataFrame | Non
     return have.where(reduce(lambda a, b: a | b, groups)).select("id", F.coalesce("rank", F.lit(0.0)).alias("rank"))
 
 
+def cover_rank(hits: Column, words: int) -> Column:
+    """Matched words over the length of the shortest extent that holds one
+    occurrence of each of them; 0 without any.
+
+    ``hits``: the occurrences ``(pos, word)`` of ``words`` numbered words in
+    order of position. One pass with each word's last position: the shortest
+    extent that ends at an occurrence starts at the least of these."""
+    matched = F.size(F.array_distinct(F.transform(hits, lambda h: h["word"])))
+    none = F.lit(2**31 - 1)
+
+    def step(state: Column, hit: Column) -> Column:
+        last = F.transform(state["last"], lambda x, i: F.when(i == hit["word"], hit["pos"]).otherwise(x))
+        seen = F.filter(last, lambda x: x > 0)
+        cover = F.when(F.size(seen) == matched, hit["pos"] - F.array_min(seen) + 1).otherwise(none)
+        return F.struct(last.alias("last"), F.least(state["best"], cover).alias("best"))
+
+    start = F.struct(F.array_repeat(F.lit(0), words).alias("last"), none.alias("best"))
+    return F.when(matched > 0, matched / F.aggregate(hits, start, step, lambda s: s["best"])).otherwise(F.lit(0.0))
+
+
+def _word_number(token: Column, words: Sequence[str]) -> Column:
+    return (F.array_position(F.array(*[F.lit(w) for w in words]), token) - 1).cast("int")
+
+
+def fts_rank(index: DataFrame, query: str | WebQuery, universe: DataFrame | None = None) -> DataFrame:
+    """Ids that satisfy the query with their cover rank over the query's
+    positive words. The occurrences of these words in one text are gathered."""
+    wq = parse_websearch(query) if isinstance(query, str) else query
+    found, words = fts_match(index, wq, universe).select("id"), wq.positive_words()
+    if not words:
+        return found.select("id", F.lit(0.0).alias("rank"))
+    hits = index.where(F.col("token").isin(words)).select("id", F.struct(F.col("pos").cast("int").alias("pos"), _word_number(F.col("token"), words).alias("word")).alias("_h"))
+    ranks = hits.groupBy("id").agg(F.array_sort(F.collect_list("_h")).alias("_h")).select("id", cover_rank(F.col("_h"), len(words)).alias("rank"))
+    return found.join(ranks, "id", "left").select("id", F.coalesce("rank", F.lit(0.0)).alias("rank"))
+
+
+def cover_row(text: Column, query: str | WebQuery) -> Column:
+    """Cover rank of one text, NULL where it does not satisfy the query."""
+    wq = parse_websearch(query) if isinstance(query, str) else query
+    words = wq.positive_words()
+    if not words:
+        return match_row(text, wq)
+    numbered = F.transform(tokens_col(text), lambda t, i: F.struct((i + 1).alias("pos"), _word_number(t, words).alias("word")))
+    return F.when(match_row(text, wq).isNotNull(), cover_rank(F.filter(numbered, lambda h: h["word"] >= 0), len(words)))
+
+
 def match_row(text: Column, query: str | WebQuery) -> Column:
     """Rank of one text (as ``fts_match``), NULL where it does not satisfy the
     query; no index, no shuffle. Words and phrases are looked up in the
@@ -227,9 +273,10 @@ def fts_search(df: DataFrame, id_col: str, text_cols: Sequence[str], query: str,
                filters: Mapping[str, object] | None = None, fset: Mapping[str, tuple[str, str]] | None = None,
                threshold: float = DEFAULT_SIMILARITY_THRESHOLD, page: int | None = 1,
                page_size: int | None = 25, rank_ascending: bool = False,
-               index: DataFrame | None = None) -> DataFrame:
+               index: DataFrame | None = None, by_cover: bool = True) -> DataFrame:
     """Filtered rows that match the query or reach the similarity threshold
-    (by an inverted ``index`` where one is given), ordered by rank then similarity (both descending; the
+    (by an inverted ``index`` where one is given), ordered by rank (the cover
+    rank, or with ``by_cover=False`` query-word occurrences per token) then similarity (both descending; the
     reference sorts rank ascending, ``rank_ascending=True`` reproduces it),
     then paged."""
     fset = fset or {}
@@ -238,11 +285,11 @@ def fts_search(df: DataFrame, id_col: str, text_cols: Sequence[str], query: str,
     base = df.where(pred)
     if index is None:
         # one scan: every row is matched against the query by itself
-        out = base.select("*", once(match_row(text, query), similarity_col(text, query), names=("rank", "similarity")))
+        out = base.select("*", once((cover_row if by_cover else match_row)(text, query), similarity_col(text, query), names=("rank", "similarity")))
         out = out.where(F.col("rank").isNotNull() | (F.col("similarity") >= F.lit(threshold)))
         out = out.withColumn("rank", F.coalesce("rank", F.lit(0.0)))
     else:
-        m = fts_match(index, query, universe=df.select(F.col(id_col).alias("id"))).select(F.col("id").alias("_id"), "rank")
+        m = (fts_rank if by_cover else fts_match)(index, query, universe=df.select(F.col(id_col).alias("id"))).select(F.col("id").alias("_id"), "rank")
         out = base.select("*", once(similarity_col(text, query), names=("similarity",)))
         out = out.join(m, out[id_col] == m["_id"], "left")
         out = out.where(F.col("_id").isNotNull() | (F.col("similarity") >= F.lit(threshold))).drop("_id")
