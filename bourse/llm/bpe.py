@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import release_memory, stage
 
 _SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: The byte-level pre-tokenizer's pattern, a fixed value.
@@ -107,7 +107,7 @@ def _slices(batches, rows):
         for start in range(0, len(batch), step):
             yield batch.slice(start, step)
         batch = None
-    pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 def _chunks(batches, buckets: int):
@@ -189,6 +189,8 @@ def _encoder(path: str):
                 held.append(row)
         if held:
             yield done(now, held)
+        held = tok = None
+        release_memory()
     return encode
 
 
@@ -218,7 +220,7 @@ def _joiner(path: str | None):
             if not table:
                 table.append(pa.array(pieces(path), pa.binary()))
             cols["text"] = pa.chunked_array([_text(cols["ids"].slice(b, DECODED_ROWS), table[0]) for b in range(0, len(out), DECODED_ROWS)], pa.string())
-        pa.default_memory_pool().release_unused()
+        release_memory()
         return pa.table(cols)
     return join
 

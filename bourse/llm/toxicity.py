@@ -10,7 +10,9 @@ close to the plain one.
 Training, on a bounded sample of the labelled rows (MAX_TOXIC, MAX_CLEAN,
 chosen by a hash of the id): short character cores that mark toxic documents
 and hardly occur in clean ones are chosen greedily, each time for the units
-that no earlier core explains. Cores and a few clean units that look like them
+that no earlier core explains, as many as are significant. Where none is (few
+labels), the best-ranked ones are taken, and scores stay below the threshold:
+documents are ranked, none is rejected. Cores and a few clean units that look like them
 are the Nystrom landmarks; a linear SVM in that space separates units with a
 core, plain and with inserted characters, from units of clean documents. A
 logistic regression of a document's best margins, on the same labelled
@@ -24,8 +26,9 @@ judged once per task, by value.
 Results for odd rows: a null or empty text has no units and gets the score of
 a text without any insult; a null id is kept and never held out; rows that
 repeat an id are scored each; labels that repeat an id count as toxic if any
-is; without labels of both classes nothing is learnt and every score is 0;
-an empty table gives an empty table. Language, source and id are no inputs.
+is; without labels of both classes, or where the toxic rows have no unit of
+four characters, nothing is learnt and every score is 0; an empty table gives
+an empty table. Language, source and id are no inputs.
 """
 
 from __future__ import annotations
@@ -45,7 +48,10 @@ from .common import slices, stage
 ORDER, DECAY, REACH = 3, 0.6, 4
 #: Labelled rows that training looks at, at most, of either class.
 MAX_TOXIC, MAX_CLEAN = 600, 1500
-MAX_CORES, CLEAN_LANDMARKS, THRESHOLD = 40, 12, 0.7
+CLEAN_LANDMARKS, THRESHOLD = 12, 0.7
+#: Cores that are chosen where none is significant, and the factor of their
+#: scores, below the threshold.
+BEST_RANKED, WEAK = 8, 0.69
 #: A core grows by a character that this share of its units has, to at most so many.
 SHARED, MAX_CORE = 0.7, 12
 #: A longer unit is cut into pieces of this length, half overlapping.
@@ -149,8 +155,8 @@ class Cores:
 class Model:
     """What training leaves: landmarks, the SVM and the score."""
 
-    def __init__(self, cores, landmarks, whiten, weights, bias, final):
-        self.cores, self.landmarks, self.whiten, self.weights, self.bias, self.final = cores, landmarks, whiten, weights, bias, final
+    def __init__(self, cores, landmarks, whiten, weights, bias, final, weak=False):
+        self.cores, self.landmarks, self.whiten, self.weights, self.bias, self.final, self.weak = cores, landmarks, whiten, weights, bias, final, weak
 
     def features(self, units: list[str]) -> np.ndarray:
         if not hasattr(self, "_own"):
@@ -163,8 +169,9 @@ class Model:
 
 
 FLOOR = -1.0
-#: Bytes of tokens that a task remembers.
-KNOWN_BYTES = 64_000_000
+#: Bytes of tokens that a task remembers, bytes of text that it looks at at a
+#: time, units compared with all cores and kernels computed together.
+KNOWN_BYTES, TEXT_BYTES, UNITS, KERNELS = 24_000_000, 500_000, 16_384, 16_384
 
 
 class Judge:
@@ -182,10 +189,11 @@ class Judge:
         best = np.full(len(new), FLOOR)
         if units:
             which, strings = np.array([i for i, _ in units]), [u for _, u in units]
-            for b in range(0, len(strings), 65_536):
-                at = b + np.flatnonzero(self.cores.reached(strings[b:b + 65_536]))
-                for c in range(0, len(at), 2_048):
-                    part = at[c:c + 2_048]
+            step = max(64, KERNELS // len(self.model.landmarks))
+            for b in range(0, len(strings), UNITS):
+                at = b + np.flatnonzero(self.cores.reached(strings[b:b + UNITS]))
+                for c in range(0, len(at), step):
+                    part = at[c:c + step]
                     np.maximum.at(best, which[part], self.model.margins([strings[i] for i in part]))
         self.known.update(zip(new, best.tolist()))
         # a string, a float and their entry take about 200 bytes besides the characters
@@ -209,7 +217,9 @@ class Judge:
         if self.model is None:
             return np.zeros(len(texts))
         w, b = self.model.final
-        return 1 / (1 + np.exp(-(self.evidence(texts) @ w + b)))
+        score = 1 / (1 + np.exp(-(self.evidence(texts) @ w + b)))
+        return score * WEAK if self.model.weak else score
+
 
 def without_copies(docs: list[set[str]]) -> list[int]:
     """Positions of documents that look like no earlier one: none of the least
@@ -244,13 +254,16 @@ def extended(core: str, docs: list[set[str]]) -> str:
     return core
 
 
-def choose_cores(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str], list[set[str]]]:
-    """Cores in the order chosen, and each toxic document's units with a core."""
+def choose_cores(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str], list[set[str]], bool]:
+    """Cores in the order chosen, each toxic document's units with a core, and
+    whether the cores are weak: none is significant, the best-ranked grams are
+    taken."""
     grams = lambda units: {u[i:i + n] for u in units for n in (4, 5) for i in range(len(u) - n + 1)}
     hot: Counter = Counter()
     for d in toxic:
         hot.update(grams(d))
-    least = max(2, round(0.005 * len(toxic)))
+    # a gram of one document only, where no two share one
+    least = min(max(2, round(0.005 * len(toxic))), max(hot.values(), default=1))
     hot = Counter({g: n for g, n in hot.items() if n >= least})
     cold: Counter = Counter()
     for d in clean:
@@ -264,10 +277,14 @@ def choose_cores(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str
 
     # no more than a thousandth of a core is expected to pass by chance
     limit = np.log(1000.0 * max(len(hot), 1))
-    marks = {g for g, n in hot.items() if cold[g] / max(len(clean), 1) <= RARE * n / len(toxic) and surprise(n, cold[g]) >= limit}
+    rare = {g: surprise(n, cold[g]) for g, n in hot.items() if cold[g] / max(len(clean), 1) <= RARE * n / len(toxic)}
+    marks = {g for g, x in rare.items() if x >= limit}
+    weak = not marks
+    if weak:
+        marks = set(sorted(rare or {g: surprise(n, cold[g]) for g, n in hot.items()}, key=lambda g: (-rare.get(g, 0), g))[:BEST_RANKED])
     open_units = [{u for u in d if any(u[i:i + n] in marks for n in (4, 5) for i in range(len(u) - n + 1))} for d in toxic]
     suspects, cores = [set(d) for d in open_units], []
-    while len(cores) < MAX_CORES:
+    while True:
         count: Counter = Counter()
         for d in open_units:
             count.update(grams(d) & marks)
@@ -279,7 +296,7 @@ def choose_cores(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str
         core = extended(core, open_units)
         cores.append(core)
         open_units = [{u for u in d if core not in u} for d in open_units]
-    return cores, [{u for u in d if any(c in u for c in cores)} for d in suspects]
+    return cores, [{u for u in d if any(c in u for c in cores)} for d in suspects], weak
 
 
 def _svm(x: np.ndarray, y: np.ndarray, reg: float = 1e-4, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -328,7 +345,7 @@ def fit(texts: list[str | None], labels: list[int]) -> Model | None:
     if not toxic or not clean:
         return None
     rng = np.random.default_rng(5)
-    cores, marked = choose_cores(toxic, clean)
+    cores, marked, weak = choose_cores(toxic, clean)
     if not cores:
         return None
     common = Counter(u for d in clean for u in d)
@@ -354,7 +371,7 @@ def fit(texts: list[str | None], labels: list[int]) -> Model | None:
     gram = kernel(landmarks, landmarks) / (own[:, None] * own)
     value, vector = np.linalg.eigh(gram.astype(np.float64))
     whiten = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    model = Model(cores, landmarks, whiten, np.zeros(len(landmarks)), 0.0, (np.zeros(3), 0.0))
+    model = Model(cores, landmarks, whiten, np.zeros(len(landmarks)), 0.0, (np.zeros(3), 0.0), weak)
     good, bad = ([u for u in x if len(u) >= ORDER] for x in (good, bad))
     x = np.vstack([model.features(good), model.features(bad)]) if bad else model.features(good)
     target = np.concatenate([np.ones(len(good)), -np.ones(len(bad))])
@@ -399,7 +416,7 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
 
     def score(batches):
         judge = Judge(model)
-        for batch in slices(batches):
+        for batch in slices(batches, TEXT_BYTES):
             s = judge.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
@@ -413,7 +430,7 @@ def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text") ->
 
     def keep(batches):
         judge = Judge(model)
-        for batch in slices(batches):
+        for batch in slices(batches, TEXT_BYTES):
             yield batch.filter(pa.array(judge.scores(batch.column(at).to_pylist()) < THRESHOLD))
 
     return docs.mapInArrow(keep, docs.schema)
