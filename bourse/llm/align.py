@@ -16,12 +16,13 @@ one row for each stretch of bytes between ends, which is one link. Group-bys
 leave each document's distinct pairs, then the number of documents of the chunk
 that hold a pair.
 
-The chunks are written down once, with their tokens and these partial counts.
-Spark adds the counts up over the corpus, finds the highest of every A id, and
-joins them back to the chunks' distinct pairs; a cogroup brings each chunk its
-tokens and the corpus-wide counts, which an Acero join on the pair puts on the
-links. What is shuffled is a chunk's distinct pairs, not its links, and a task
-holds one chunk. No pair table is broadcast or collected: it grows with the
+A chunk's documents are written down with their groups and with their distinct
+pairs as numbers among the chunk's pairs, and the chunk's pairs with these
+partial counts. Spark adds the counts up over the corpus, finds the highest of
+every A id, and joins them back to the chunks' pairs; a cogroup brings each
+chunk's documents the corpus-wide counts of its pairs, which they add up over
+their links. What is shuffled is a chunk's distinct pairs, not its links, and a
+task holds one chunk. No pair table is broadcast or collected: it grows with the
 corpus.
 
 Results for odd rows: a null or empty text has no tokens, nor has one whose
@@ -34,20 +35,23 @@ are plain text; an empty table gives an empty table; only id and text are read.
 from __future__ import annotations
 
 import hashlib
-from array import array
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _byte_of, pieces, split_words
-from .common import release_memory, slices, stage, unstage
+from .common import release_memory, slices, stage
 
 #: Bytes of text that a task aligns at a time.
 CHUNK_BYTES = 2_000_000
+#: Pairs in a row of the written table; bits of a byte offset in a key.
+PAIRS, END_BITS = 256, 40
 #: Words that are encoded at a time; bytes that are remembered of either
 #: tokenizer's words, and the longest word that is.
 ENCODED, KNOWN_BYTES, KNOWN_LENGTH = 1024, 40_000_000, 100
@@ -96,15 +100,15 @@ class Known:
             self.ids, self.held = {}, 0
         ids, rare = self.ids, {}
         new = [w for w in words if w not in ids]
-        for w, found in zip(new, self.encode(new)):
-            packed = array("i", found).tobytes()
-            if len(w) <= KNOWN_LENGTH:
-                ids[w] = packed
-                # two strings and their entry take about 200 bytes besides the characters
-                self.held += len(w) + len(packed) + 200
-            else:
-                rare[w] = packed
-        lists = [rare[w] if w in rare else ids[w] for w in words]
+        for k in range(0, len(new), ENCODED):
+            some = new[k:k + ENCODED]
+            found = self.encode(some)
+            ends = list(accumulate(map(len, found), initial=0))
+            flat = np.fromiter(chain.from_iterable(found), np.int32, ends[-1]).tobytes()
+            # two strings and their entry take about 200 bytes besides the characters
+            self.held += sum(map(len, some)) + len(flat) + 200 * len(some)
+            (ids if max(map(len, some)) <= KNOWN_LENGTH else rare).update(zip(some, [flat[4 * x:4 * y] for x, y in pairwise(ends)]))
+        lists = [ids[w] if w in ids else rare[w] for w in words] if rare else list(map(ids.__getitem__, words))
         at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)) // 4)))
         return _lists(at, pa.array(np.frombuffer(b"".join(lists), np.int32)))
 
@@ -122,10 +126,16 @@ class Encoder:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        model, alphabet = Tokenizer.from_file(path_a).model, {b: c for c, b in _byte_of().items()}
-        self.a = Known(lambda words: ([t.id for t in model.tokenize(w.encode().decode("latin1").translate(alphabet))] for w in words))
-        other = SentencePieceProcessor(model_file=path_b)
-        self.b = Known(lambda words: (ids for k in range(0, len(words), ENCODED) for ids in other.encode(words[k:k + ENCODED], num_threads=1)))
+        model, other = Tokenizer.from_file(path_a).model, SentencePieceProcessor(model_file=path_b)
+        # the characters that stand for bytes; byte 255, which no text has, parts the words
+        alphabet = {b: c for c, b in _byte_of().items()} | {255: "\n"}
+
+        def encode(words: list[str]):
+            mapped = "\xff".join(w.encode().decode("latin1") for w in words).translate(alphabet)
+            return [[t.id for t in tokens] for tokens in map(model.tokenize, mapped.split("\n"))]
+
+        self.a = Known(encode)
+        self.b = Known(lambda words: other.encode(words, num_threads=1))
         self.words_apart = not any("▁" in other.id_to_piece(i).lstrip("▁") for i in range(other.get_piece_size()))
         self.bytes_a, self.bytes_b = byte_pieces(path_a), piece_bytes(path_b)
 
@@ -150,7 +160,7 @@ class Encoder:
     def _tokens(known: Known, words: pa.Array, at: np.ndarray) -> pa.ListArray:
         """Each distinct word's tokens, joined back to the words by position."""
         distinct = words.dictionary_encode()
-        lists = known(distinct.dictionary.to_pylist()).take(distinct.indices)
+        lists = known(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()).take(distinct.indices)
         return _lists(_offsets(lists)[at], lists.flatten())
 
     @staticmethod
@@ -161,42 +171,44 @@ class Encoder:
 
 
 def ends(tokens: pa.ListArray, lengths: pa.Array) -> pa.Table:
-    """``doc end id`` for every token: a running sum of lengths, less what was
+    """For every token its document-end key: the document's place and the byte
+    offset of the token's end in it, a running sum of lengths less what was
     there before the document."""
-    ids, doc = tokens.flatten(), pc.list_parent_indices(tokens)
+    ids, doc = tokens.flatten(), pc.list_parent_indices(tokens).cast(pa.int64())
     total = pc.cumulative_sum(lengths.take(ids))
     before = pa.array(np.concatenate(([0], total.to_numpy()))[_offsets(tokens)[:-1]])
-    return pa.table({"doc": doc.cast(pa.int64()), "end": pc.subtract(total, before.take(doc)), "id": ids})
+    end = pc.subtract(total, before.take(doc))
+    return pa.table({"key": pc.bit_wise_or(pc.shift_left(doc, pa.scalar(END_BITS, pa.int64())), end), "id": ids})
 
 
 class Links:
-    """The links of a chunk's documents in order: ``doc``, the tokens' places
-    ``at_a`` and ``at_b`` among all of the chunk, their ids, and ``cut`` where
-    both tokens end."""
+    """The links of a chunk's documents in order: the document's place ``doc``,
+    the tokens' places ``at_a`` and ``at_b`` among all of the chunk, their ids,
+    and ``cut`` where both tokens end."""
 
     def __init__(self, a: pa.ListArray, b: pa.ListArray, lengths_a: pa.Array, lengths_b: pa.Array):
         left, right = ends(a, lengths_a), ends(b, lengths_b)
-        self.a, self.b, self.docs = a, b, len(a)
+        self.starts, self.docs = _offsets(a) + _offsets(b), len(a)
         self.ids_a, self.ids_b = left.column("id").combine_chunks(), right.column("id").combine_chunks()
-        both = left.append_column("a", pa.repeat(True, len(left))).drop_columns("id").join(
-            right.append_column("b", pa.repeat(True, len(right))).drop_columns("id"), ["doc", "end"], join_type="full outer", use_threads=False)
-        doc, end = both.column("doc").to_numpy(), both.column("end").to_numpy()
-        order = np.argsort(doc << 40 | end)
-        ends_a, ends_b = (both.column(c).is_valid().to_numpy()[order] for c in ("a", "b"))
-        self.doc, self.cut = doc[order], ends_a & ends_b
+        left = pa.table({"key": left.column("key"), "a": pa.repeat(True, len(left))})
+        right = pa.table({"key": right.column("key"), "b": pa.repeat(True, len(right))})
+        both = left.join(right, "key", join_type="full outer", use_threads=False)
+        key = both.column("key").to_numpy()
+        order = np.argsort(key)
+        self.ends_a, self.ends_b = (both.column(c).is_valid().to_numpy()[order] for c in ("a", "b"))
+        self.doc, self.cut = key[order] >> END_BITS, self.ends_a & self.ends_b
         # a token covers every stretch after the end before it, up to its own
-        self.at_a, self.at_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
-        self.ends_a, self.ends_b = ends_a, ends_b
+        self.at_a, self.at_b = np.cumsum(self.ends_a) - self.ends_a, np.cumsum(self.ends_b) - self.ends_b
 
     def pairs(self) -> pa.Table:
-        return pa.table({"doc": self.doc, "a": self.ids_a.take(pa.array(self.at_a)), "b": self.ids_b.take(pa.array(self.at_b))})
+        """``doc a b links``: each document's distinct pairs."""
+        pairs = pa.table({"doc": self.doc, "a": self.ids_a.take(pa.array(self.at_a)), "b": self.ids_b.take(pa.array(self.at_b))})
+        return pairs.group_by(["doc", "a", "b"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["doc", "a", "b", "links"])
 
-    def counts(self) -> pa.Table:
-        """``a b n``: how many documents hold a pair."""
-        one = self.pairs().group_by(["doc", "a", "b"], use_threads=False).aggregate([])
-        return one.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["a", "b", "n"])
+    def per_doc(self, weight=None) -> pa.Array:
+        return pa.array(np.bincount(self.doc, weight, minlength=self.docs).astype(np.int64))
 
-    def written(self, words: pa.Array) -> list[bytes]:
+    def written(self, words: pa.Array) -> list[str]:
         """Each document's groups ``a1,a2|b1;a3|b2``; ``words`` has every id
         three times, followed by a comma, a bar and a semicolon."""
         group = np.cumsum(self.cut) - self.cut
@@ -209,59 +221,85 @@ class Links:
         code[place_a] = 3 * self.ids_a.to_numpy().astype(np.int64) + self.cut[self.ends_a]
         code[place_b] = 3 * self.ids_b.to_numpy().astype(np.int64) + 2 * self.cut[self.ends_b]
         where, data = _data(words.take(pa.array(code)))
-        first = where[_offsets(self.a) + _offsets(self.b)]
-        return [bytes(data[x:max(x, y - 1)]) for x, y in zip(first[:-1], first[1:])]
+        first = where[self.starts]
+        return [bytes(data[x:max(x, y - 1)]).decode() for x, y in zip(first[:-1], first[1:])]
 
 
 def id_words(size: int) -> pa.Array:
     return pa.array([f"{i}{c}".encode() for i in range(size) for c in ",|;"], pa.binary())
 
 
-def _per_doc(doc: np.ndarray, weight, docs: int) -> np.ndarray:
-    return np.bincount(doc, weight, minlength=docs).astype(np.int64)
+def _packed(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint32)
+
 
+_DOC = "n_a long, n_b long, n_groups long, n_links long, groups string"
 
-def _chunks(path_a: str, path_b: str):
-    """One row for each chunk: its documents, tokens and partial counts."""
+
+def _chunks(path_a: str, path_b: str, digest: bool):
+    """For each chunk a row for each document, with its groups and its distinct
+    pairs as numbers among the chunk's, and rows of up to PAIRS of the chunk's
+    pairs with the number of documents that hold them."""
     def encode(batches):
         encoder = Encoder(path_a, path_b)
         lengths = [pc.binary_length(x).cast(pa.int64()) for x in (encoder.bytes_a, encoder.bytes_b)]
+        words = id_words(max(len(x) for x in lengths))
         part, n = TaskContext.get().partitionId(), 0
         for some in slices(batches, CHUNK_BYTES):
             a, b = encoder(some.column(1))
-            counts = Links(a, b, *lengths).counts()
-            row = {"doc_id": some.column(0), "a": a, "b": b, **{f"pair_{c}": counts.column(c).combine_chunks() for c in ("a", "b", "n")}}
-            yield pa.RecordBatch.from_arrays([pa.array([part << 32 | n], pa.int64()), *[_lists(np.array([0, len(x)]), x) for x in row.values()]], ["chunk", *row])
+            links = Links(a, b, *lengths)
+            groups = links.written(words)
+            if digest:
+                groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+            pairs = links.pairs()
+            counts = pairs.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
+            numbered = pa.table({"a": counts.column("a"), "b": counts.column("b"), "number": pa.array(np.arange(len(counts), dtype=np.uint32))})
+            pairs = pairs.join(numbered, ["a", "b"], use_threads=False)
+            of = pairs.column("doc").to_numpy()
+            order = np.argsort(of, kind="stable")
+            number, times = pairs.column("number").to_numpy()[order], pairs.column("links").to_numpy()[order].astype(np.uint32)
+            at = np.searchsorted(of[order], np.arange(links.docs + 1))
+            held = [_packed(np.concatenate((number[x:y], times[x:y]))) for x, y in zip(at[:-1], at[1:])]
+            chunk = part << 32 | n
+            docs = {"doc_id": some.column(0), "n_a": pc.list_value_length(a).cast(pa.int64()), "n_b": pc.list_value_length(b).cast(pa.int64()), "n_groups": links.per_doc(links.cut),
+                    "n_links": links.per_doc(), "groups": pa.array(groups, pa.string()), "held": pa.array(held, pa.binary())}
+            lists = {"a": pa.list_(pa.int32()), "b": pa.list_(pa.int32()), "n": pa.list_(pa.int64())}
+            yield _rows(chunk, docs, {c: pa.nulls(links.docs, t) for c, t in lists.items()}, pa.nulls(links.docs, pa.int32()))
+            if len(counts):
+                first = np.arange(0, len(counts), PAIRS)
+                cut = np.append(first, len(counts))
+                found = {"a": counts.column("a"), "b": counts.column("b"), "n": counts.column("count_all")}
+                yield _rows(chunk, {c: pa.nulls(len(first), x.type) for c, x in docs.items()}, {c: _lists(cut, x.combine_chunks().cast(lists[c].value_type)) for c, x in found.items()}, pa.array(first.astype(np.int32)))
             n += 1
+            links = pairs = numbered = docs = groups = held = None
+        release_memory()
     return encode
 
 
-def _joiner(path_a: str, path_b: str):
-    """A chunk's documents, from its tokens and the counts of its pairs."""
-    known: list = []
-
-    def join(key, chunk: pa.Table, counts: pa.Table) -> pa.Table:
-        if not known:
-            tables = byte_pieces(path_a), piece_bytes(path_b)
-            known.append([pc.binary_length(x).cast(pa.int64()) for x in tables])
-            known.append(id_words(max(map(len, tables))))
-        ids, a, b = (chunk.column(c).combine_chunks().flatten() for c in ("doc_id", "a", "b"))
-        links = Links(a, b, *known[0])
-        pairs = links.pairs().join(counts.select(["pair_a", "pair_b", "total", "best"]), ["a", "b"], ["pair_a", "pair_b"], join_type="inner", use_threads=False)
-        if len(pairs) != len(links.doc):
-            raise RuntimeError("a chunk's pairs came back incomplete")
-        sums = pairs.group_by("doc", use_threads=False).aggregate([("total", "sum"), ("best", "sum")])
-        of = sums.column("doc").to_numpy()
-        total, best = np.zeros((2, len(ids)), np.int64)
-        total[of], best[of] = sums.column("total_sum").to_numpy(), sums.column("best_sum").to_numpy()
-        groups = links.written(known[1])
-        out = {"doc_id": ids, "n_a": pc.list_value_length(a).cast(pa.int64()), "n_b": pc.list_value_length(b).cast(pa.int64()),
-               "n_groups": _per_doc(links.doc, links.cut, len(ids)), "n_links": _per_doc(links.doc, None, len(ids)), "n_best": best, "count_sum": total,
-               "groups": pa.array(groups, pa.binary()).cast(pa.string())}
-        links = pairs = None
-        release_memory()
-        return pa.table(out)
-    return join
+def _rows(chunk: int, docs: dict, pairs: dict, first: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([chunk] * len(first), pa.int64()), *docs.values(), *pairs.values(), first],
+                                      ["chunk", *docs, *(f"pair_{c}" for c in pairs), "pair_first"])
+
+
+def _sums(docs: pa.Table, counts: pa.Table) -> pa.Table:
+    """A chunk's documents with the sums over their links."""
+    number = counts.column("number").to_numpy()
+    total, best = np.zeros((2, len(number)), np.int64)
+    if not np.array_equal(np.sort(number), np.arange(len(number))):
+        raise RuntimeError("a chunk's pairs came back incomplete")
+    total[number], best[number] = counts.column("total").to_numpy(), counts.column("best").to_numpy()
+    sums = []
+    for held in docs.column("held").to_pylist():
+        which, times = _unpacked(held).reshape(2, -1).astype(np.int64)
+        sums.append((int(best[which] @ times), int(total[which] @ times)))
+    out = {c: docs.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+    out |= {"n_best": pa.array([x for x, _ in sums], pa.int64()), "count_sum": pa.array([x for _, x in sums], pa.int64()), "groups": docs.column("groups")}
+    release_memory()
+    return pa.table(out)
 
 
 def align(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
@@ -271,22 +309,16 @@ def align(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_
     kind = dict(df.dtypes)[id_col]
     text = F.col(text_col)
     words = F.when(F.length(text) > 0, split_words(F.concat(F.lit(" "), text), [])).otherwise(F.array().cast("array<string>"))
-    ints = "array<int>"
-    chunks = df.select(F.col(id_col).alias("doc_id"), words.alias("words")).mapInArrow(
-        _chunks(path_a, path_b), f"chunk long, doc_id array<{kind}>, a array<{ints}>, b array<{ints}>, pair_a {ints}, pair_b {ints}, pair_n array<long>")
-    chunks = stage(chunks, "align-chunks")
-    pairs = chunks.select(F.col("chunk").alias("of"), F.inline(F.arrays_zip("pair_a", "pair_b", "pair_n")))
+    found = df.select(F.col(id_col).alias("doc_id"), words.alias("words")).mapInArrow(
+        _chunks(path_a, path_b, digest), f"chunk long, doc_id {kind}, {_DOC}, held binary, pair_a array<int>, pair_b array<int>, pair_n array<long>, pair_first int")
+    found = stage(found, "align-chunks")
+    pairs = found.where("pair_first is not null").select(F.col("chunk").alias("of"), "pair_first", F.posexplode(F.arrays_zip("pair_a", "pair_b", "pair_n")).alias("place", "pair"))
+    pairs = pairs.select("of", (F.col("pair_first") + F.col("place")).alias("number"), "pair.*")
     counts = stage(pairs.groupBy("pair_a", "pair_b").agg(F.sum("pair_n").alias("total")), "align-counts")
     highest = counts.groupBy("pair_a").agg(F.max("total").alias("highest"))
     counts = counts.join(highest, "pair_a").select("pair_a", "pair_b", "total", (F.col("total") == F.col("highest")).cast("int").alias("best"))
-    counts = pairs.select("of", "pair_a", "pair_b").join(counts, ["pair_a", "pair_b"])
-    join = _joiner(path_a, path_b)
-    finish = join
-    schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
-    if digest:
-        def finish(key, chunk: pa.Table, counts: pa.Table) -> pa.Table:
-            out = join(key, chunk, counts)
-            hashed = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in out.column("groups").to_pylist()]
-            return out.drop_columns("groups").append_column("groups_sha256", pa.array(hashed, pa.string()))
-        schema = schema.replace("groups string", "groups_sha256 string")
-    return chunks.select("chunk", "doc_id", "a", "b").groupBy("chunk").cogroup(counts.groupBy("of")).applyInArrow(finish, schema)
+    counts = pairs.join(counts, ["pair_a", "pair_b"]).select("of", "number", "total", "best")
+    docs = found.where("held is not null").select("chunk", "doc_id", *(c.split()[0] for c in _DOC.split(", ")), "held")
+    out = docs.groupBy("chunk").cogroup(counts.groupBy("of")).applyInArrow(
+        _sums, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+    return out.withColumnRenamed("groups", "groups_sha256") if digest else out

@@ -68,6 +68,9 @@ CONTEXT = {
 }
 CONTEXT_BONUS, CONTEXT_CHARS, MIN_SCORE = 0.2, 40, 0.5
 
+#: Items of a run that one fold appends to.
+BLOCK = 256
+
 SPAN = "struct<kind:string,start:int,end:int,score:double>"
 
 
@@ -97,11 +100,28 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _blocks(items: Column) -> Column:
+    """The items in runs of BLOCK, in order. A fold that appends copies what it
+    has at every step; over runs, that is a run or the list of runs."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), lambda k: F.slice(items, k * BLOCK + 1, BLOCK))
+
+
+def _fold(items: Column, state: str, start: Column, step) -> Column:
+    """The states after each run of items, where ``step(last state, run)`` is
+    the state after a run; nothing for no items."""
+    last = lambda out: F.coalesce(F.get(out, F.size(out) - 1), start)
+    none = F.array().cast(f"array<{state}>")
+    return F.when(F.size(items) > 0, F.aggregate(_blocks(items), none, lambda out, run: F.array_append(out, step(last(out), run)))).otherwise(none)
+
+
 def _spans(kind: str) -> Column:
     """Spans of one kind from its matches ``_m``, the pieces between them
     ``_p`` and each match's next piece ``_n``; of an IBAN, ``_w`` is all of it."""
     names = [f"_{kind}_{x}" for x in ("pmnw" if kind == "iban" else "pmn")]
-    zero = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def state(pos, last, spans):
+        return F.struct(pos.alias("pos"), last.alias("last"), spans.alias("spans"))
 
     def step(a, x):
         before, m, after = (x[n] for n in names[:3])
@@ -116,12 +136,14 @@ def _spans(kind: str) -> Column:
             keep = keep & (score >= MIN_SCORE)
         if kind == "iban":
             # nothing begins inside a valid one
-            keep = keep & (start >= F.coalesce(F.get(a["spans"], F.size(a["spans"]) - 1)["end"], F.lit(0)))
+            keep = keep & (start >= a["last"])
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"), score.alias("score"))
-        return F.struct((start + F.coalesce(F.length(taken), F.lit(0))).alias("pos"),
-                        F.when(keep, F.array_append(a["spans"], span)).otherwise(a["spans"]).alias("spans"))
+        spans = F.when(keep, F.array_append(a["spans"], span)).otherwise(a["spans"])
+        return state(start + F.coalesce(F.length(taken), F.lit(0)), F.when(keep, start + F.length(m)).otherwise(a["last"]) if kind == "iban" else a["last"], spans)
 
-    return F.aggregate(F.arrays_zip(*names), zero, step, lambda a: a["spans"])
+    begin = state(F.lit(0), F.lit(0), none)
+    runs = _fold(F.arrays_zip(*names), f"struct<pos:int,last:int,spans:array<{SPAN}>>", begin, lambda a, run: F.aggregate(run, state(a["pos"], a["last"], none), step))
+    return F.flatten(F.transform(runs, lambda r: r["spans"]))
 
 
 def find_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -161,13 +183,27 @@ def mask_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
     found = find_pii(df, text_col)
     found = found.withColumn("_all", F.array_sort(F.transform(
         F.concat(*KINDS), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("pos"))
-
-    def step(a, s):
-        new = s["start"] >= a["pos"]
-        piece = F.concat(a["out"], F.substring(F.col("_text"), a["pos"] + 1, s["start"] - a["pos"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.when(new, piece).otherwise(a["out"]).alias("out"), F.greatest(a["pos"], s["end"]).alias("pos"))
 
-    masked = F.aggregate("_all", zero, step, lambda a: F.concat(a["out"], F.substring(F.col("_text"), a["pos"] + 1, F.length("_text"))))
+    def state(pos, pieces):
+        return F.struct(pos.alias("pos"), pieces.alias("pieces"))
+
+    def step(cut):
+        """Adds what lies between the last span and this one, read from the
+        text from ``cut.pos`` on, and the span's kind."""
+        def add(a, s):
+            piece = F.concat(F.substring(cut["text"], a["pos"] - cut["pos"] + 1, s["start"] - a["pos"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return state(F.greatest(a["pos"], s["end"]), F.when(s["start"] >= a["pos"], F.array_append(a["pieces"], piece)).otherwise(a["pieces"]))
+        return add
+
+    def masked_run(a, run):
+        # the run's part of the text, cut once
+        reach = F.array_max(F.transform(run, lambda s: s["start"]))
+        cut = F.struct(a["pos"].alias("pos"), F.substring(F.col("_text"), a["pos"] + 1, F.greatest(reach - a["pos"], F.lit(0))).alias("text"))
+        return F.get(F.transform(F.array(cut), lambda c: F.aggregate(run, state(c["pos"], F.array().cast("array<string>")), step(c))), F.lit(0))
+
+    runs = _fold(F.col("_all"), "struct<pos:int,pieces:array<string>>", state(F.lit(0), F.array().cast("array<string>")), masked_run)
+    found = found.withColumn("_runs", runs)
+    tail = F.substring(F.col("_text"), F.get(F.col("_runs"), F.size("_runs") - 1)["pos"] + 1, F.length("_text"))
+    masked = F.concat(F.array_join(F.flatten(F.transform("_runs", lambda r: r["pieces"])), ""), tail)
     text = F.when(F.col("_row")[text_col].isNull(), None).when(F.size("_all") == 0, F.col("_text")).otherwise(masked)
     return found.select(*[(text if c == text_col else F.col("_row")[c]).alias(c) for c in df.columns])
