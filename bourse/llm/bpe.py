@@ -43,6 +43,8 @@ _SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}++| ?\p{{N}}++| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 #: Bytes of split words in a chunk: what one task holds at a time.
 CHUNK_BYTES = 12_000_000
+#: Bytes of input for each bucket, at most; one is encoded by a worker at a time.
+BUCKET_BYTES = 64_000_000
 #: Rows decoded, and words encoded, at a time.
 DECODED_ROWS, ENCODED_WORDS = 256, 4096
 
@@ -225,6 +227,13 @@ def _joiner(path: str | None):
     return join
 
 
+def _buckets(rows: DataFrame) -> int:
+    """As many as the session's shuffles have, more where the input is larger:
+    a bucket's share of all chunks' words stays the same however many there are."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 def _plain_files(df: DataFrame) -> bool:
     return bool(df.inputFiles()) and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
@@ -239,7 +248,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         rows = stage(rows, "bpe-input")
     kind = dict(rows.dtypes)["doc_id"]
     words = rows.select("doc_id", split_words(F.col("text"), special).alias("words"))
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _buckets(rows)
     distinct = words.mapInArrow(_distinct(buckets), "bucket int, chunk bigint, n int, words binary")
     ids = distinct.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encoder(path), "chunk bigint, bucket int, n int, ids binary")
     docs = words.mapInArrow(_positions(buckets), f"chunk bigint, size int, doc_id {kind}, at binary")

@@ -24,7 +24,8 @@ are never paired with one another.
 Results for odd rows: vectors that are null, zero or hold null or non-finite
 components, rows without a label and rows without an id link with nothing and
 are their own component; vectors of different length never meet; rows that
-repeat an id and a vector are copies; an empty table gives an empty table;
+repeat an id and a vector are copies, and another vector of that id is a vector
+of its own, with its own links and component; an empty table gives an empty table;
 other columns are not read.
 """
 
@@ -140,14 +141,17 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str =
     rows = rows.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0).cast(dict(rows.dtypes)["embedding"][6:-1])))  # -0.0 is 0.0
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("embedding", lambda x: x != 0)
     usable = F.col("embedding").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull() & sound
-    classes = stage(rows.where(usable).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vec-classes")
+    # one class for each vector and label, known by a number that is written down
+    classes = stage(rows.where(usable).groupBy("label", "embedding")
+                    .agg(F.min("vec_id").alias("least"), F.count("*").alias("n")).withColumn("rep", F.monotonically_increasing_id()), "vec-classes")
     links = stage(embedding_links(classes), "vec-links")
     comp = stage(connected_components(links, "a", "b"), "vec-components")
     both = links.union(links.select("b", "a"))
     size = classes.select(F.col("rep").alias("b"), "n")
     linked = stage(both.join(size, "b").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others")), "vec-linked")
     named = classes.join(linked, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    named = stage(named.select("label", "embedding", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("c")), "vec-named")
+    named = stage(named.select("label", "embedding", "least", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("part")), "vec-named")
+    named = named.join(named.groupBy("part").agg(F.min("least").alias("c")), "part").select("label", "embedding", "n_links", "c")
     out = rows.withColumn("_usable", F.coalesce(usable, F.lit(False)))
     out = out.where("_usable").join(named, ["label", "embedding"]).select("vec_id", "n_links", F.col("c").alias("component_id")).union(
         out.where("not _usable").select("vec_id", F.lit(0).cast("long"), "vec_id"))

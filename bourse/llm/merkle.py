@@ -91,10 +91,10 @@ def _h(text: str) -> str:
     return sha256(text.encode()).hexdigest()
 
 
-def _reduce(nodes: list[str], size: int) -> list[list[str]]:
+def _reduce(nodes: list[str], size: int, bits: int) -> list[list[str]]:
     """The levels of a superblock of a tree of ``size`` nodes, from its nodes
     to the one that stands for it."""
-    levels, left = [nodes], LEVELS if size > 1 << LEVELS else (size - 1).bit_length()
+    levels, left = [nodes], bits if size > 1 << bits else (size - 1).bit_length()
     for _ in range(left):
         nodes = [_h("".join(nodes[i:i + 2])) for i in range(0, len(nodes), 2)]
         levels.append(nodes)
@@ -128,51 +128,52 @@ _NODE = "tree long, pos long, size long, digest string"
 _OUTER = "tree long, pos long, path string, subroot string, root string"
 
 
-def _block(df: DataFrame) -> DataFrame:
-    return df.withColumn("block", F.shiftright("pos", LEVELS))
+def _block(df: DataFrame, bits: int) -> DataFrame:
+    return df.withColumn("block", F.shiftright("pos", bits))
 
 
-def _climb(nodes: DataFrame, largest: int) -> list[DataFrame]:
+def _climb(nodes: DataFrame, largest: int, bits: int) -> list[DataFrame]:
     """The nodes (staged), then the superblocks' nodes, and so on until every
     tree has one node."""
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
         tree, pos, size = (int(pdf[c].iat[0]) for c in ("tree", "pos", "size"))
-        top = _reduce(pdf["digest"].tolist(), size)[-1][0]
-        return pd.DataFrame({"tree": [tree], "pos": [pos >> LEVELS], "size": [((size - 1) >> LEVELS) + 1], "digest": [top]})
+        top = _reduce(pdf["digest"].tolist(), size, bits)[-1][0]
+        return pd.DataFrame({"tree": [tree], "pos": [pos >> bits], "size": [((size - 1) >> bits) + 1], "digest": [top]})
 
     levels = [nodes]
     while largest > 1:
-        below = _block(levels[-1].select("tree", "pos", "size", "digest"))
+        below = _block(levels[-1].select("tree", "pos", "size", "digest"), bits)
         levels.append(stage(below.groupBy("tree", "block").applyInPandas(reduce, _NODE), "merkle-level"))
-        largest = ((largest - 1) >> LEVELS) + 1
+        largest = ((largest - 1) >> bits) + 1
     return levels
 
 
-def _meet(below: DataFrame, outer: DataFrame, finish, schema: str) -> DataFrame:
+def _meet(below: DataFrame, outer: DataFrame, finish, schema: str, bits: int) -> DataFrame:
     """Superblocks of nodes cogrouped with their outer nodes; ``finish`` makes
     the rows of one superblock from its nodes, their paths and the outer row."""
     def join(nodes: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         nodes = nodes.sort_values("pos")
         top = above.iloc[0]
-        paths = _paths(_reduce(nodes["digest"].tolist(), int(nodes["size"].iat[0])), top["path"])
+        paths = _paths(_reduce(nodes["digest"].tolist(), int(nodes["size"].iat[0]), bits), top["path"])
         return finish(nodes, paths, top["subroot"], top["root"])
 
     outer = outer.withColumnRenamed("pos", "block")
-    return _block(below).groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInPandas(join, schema)
+    return _block(below, bits).groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInPandas(join, schema)
 
 
-def _descend(levels: list[DataFrame], outer: DataFrame) -> DataFrame:
+def _descend(levels: list[DataFrame], outer: DataFrame, bits: int) -> DataFrame:
     """The outer nodes of every superblock of the lowest level."""
     def ways(nodes, paths, subroot, root):
         return pd.DataFrame({"tree": nodes["tree"], "pos": nodes["pos"], "path": paths, "subroot": subroot, "root": root})
 
     for below in reversed(levels[1:-1]):
-        outer = stage(_meet(below, outer, ways, _OUTER), "merkle-outer")
+        outer = stage(_meet(below, outer, ways, _OUTER, bits), "merkle-outer")
     return outer
 
 
-def manifest(df: DataFrame, fields: Sequence[str] = FIELDS, id_col: str = "doc_id", group_col: str = "lang", observed: dict[str, Column] | None = None) -> DataFrame:
+def manifest(df: DataFrame, fields: Sequence[str] = FIELDS, id_col: str = "doc_id", group_col: str = "lang", observed: dict[str, Column] | None = None,
+             levels: int = LEVELS) -> DataFrame:
     """``doc_id leaf subroot root proof_sha256 folded_root verified`` per row.
 
     ``observed`` gives fields as they are found now: such a row's leaf is
@@ -186,22 +187,22 @@ def manifest(df: DataFrame, fields: Sequence[str] = FIELDS, id_col: str = "doc_i
     nodes = stage(nodes, "merkle-nodes")
     unstage(ordered)
     count, largest = trees.agg(F.count("*"), F.coalesce(F.max("size"), F.lit(0))).first()
-    inner = _climb(nodes, largest)
+    inner = _climb(nodes, largest, levels)
 
     # the groups' roots are the nodes of the tree above
     subroots = inner[-1].select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), F.lit(count).cast("long").alias("size"), "digest")
-    upper = _climb(stage(subroots, "merkle-subroots"), count)
+    upper = _climb(stage(subroots, "merkle-subroots"), count, levels)
     top = upper[-1].select("tree", "pos", F.lit("").alias("path"), F.lit("").alias("subroot"), F.col("digest").alias("root"))
 
     def of_trees(nodes, paths, _, root):
         return pd.DataFrame({"tree": nodes["pos"], "pos": 0, "path": paths, "subroot": nodes["digest"], "root": root})
 
-    outer = stage(_meet(upper[0], _descend(upper, top), of_trees, _OUTER), "merkle-outer")
+    outer = stage(_meet(upper[0], _descend(upper, top, levels), of_trees, _OUTER, levels), "merkle-outer")
 
     def of_leaves(nodes, paths, subroot, root):
         folded = [fold(leaf if seen is None else seen, path) for leaf, seen, path in zip(nodes["digest"], nodes["seen"], paths)]
         return pd.DataFrame({"doc_id": nodes["id"], "leaf": nodes["digest"], "subroot": subroot, "root": root, "proof_sha256": list(map(proof, paths)),
                              "folded_root": folded, "verified": [f == root for f in folded]})
 
-    out = _meet(inner[0], _descend(inner, outer), of_leaves, "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
+    out = _meet(inner[0], _descend(inner, outer, levels), of_leaves, "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean", levels)
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))

@@ -30,12 +30,14 @@ a passage do not, and are never emitted as a pair.
 
 Results for odd rows: a null text is never a copy of another; texts without a
 word link with nothing; fewer than five words are one shingle; rows that
-repeat an id and its text share a class; an empty table gives an empty table;
+repeat an id and its text share a class; another text of that id is another
+class, grouped by its own links, and stays or goes by itself; an empty table gives an empty table;
 only the id and text columns are read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from bisect import bisect_left
 
@@ -263,7 +265,7 @@ def _sketches(batches):
         ids, texts = batch.column(0), batch.column(1)
         digests, found = [], []
         for text in texts.to_pylist():
-            digests.append(None if text is None else xxhash.xxh3_128_digest(text))
+            digests.append(None if text is None else hashlib.md5(text.encode(), usedforsecurity=False).digest())
             s = labelled_shingles(text, hashes) if text else ()
             found.append(bands(s).view(np.int64) if len(s) else None)
         yield pa.RecordBatch.from_arrays([ids, pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "digest", "bands"])
@@ -299,24 +301,36 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(_verify, f"a {kinds['a']}, b {kinds['b']}")
 
 
+def _digest(text: Column) -> Column:
+    """As ``_sketches`` computes it."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id class_id kept`` per row: the least id of the group of linked
     documents, and whether the row is it."""
+    return _grouped(docs, id_col, text_col).drop("digest")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The same with the text's ``digest``."""
     kind = dict(docs.dtypes)[id_col]
     rows = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
                  .mapInArrow(_sketches, f"doc_id {kind}, digest binary, bands array<bigint>"), "omh-rows")
-    # one class for each text: its least id stands for it
-    classes = stage(rows.where("digest is not null and doc_id is not null").groupBy("digest")
-                    .agg(F.min(F.struct("doc_id", "bands")).alias("r")).select("digest", F.col("r.doc_id").alias("rep"), "r.bands"), "omh-classes")
+    # one class for each text, known by a number that is written down; its least
+    # id names it, and another text of that id is another class
+    classes = stage(rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
+                    .select("digest", F.col("r.doc_id").alias("least"), "r.bands", F.monotonically_increasing_id().alias("rep")), "omh-classes")
     exploded = classes.where("bands is not null").select("rep", F.explode("bands").alias("band"))
     crowded = stage(exploded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "omh-bands")
     members = stage(exploded.join(crowded.select("band"), "band"), "omh-members")
 
     # by a sort-merge join at every size: the documents are shuffled once
-    wanted = members.select("rep").distinct().hint("merge")
-    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted, "rep").dropDuplicates(["rep"])
-    texts = stage(texts.mapInArrow(_signed, f"rep {kind}, text string, sign array<bigint>"), "omh-texts")
+    wanted = members.select("rep").distinct().join(classes.select("rep", "least", "digest"), "rep").hint("merge")
+    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
+    texts = texts.withColumn("digest", _digest(F.col("text")))
+    texts = texts.join(wanted, ["least", "digest"]).select("rep", "text").dropDuplicates(["rep"])
+    texts = stage(texts.mapInArrow(_signed, "rep long, text string, sign array<bigint>"), "omh-texts")
     signed = stage(members.join(texts.select("rep", "sign"), "rep"), "omh-signed")
     unstage(members)
 
@@ -352,15 +366,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges = links if comp is None else links.union(comp.select(F.col("component").alias("a"), F.col("node").alias("b")))
         comp = stage(connected_components(edges, "a", "b"), "omh-components")
 
-    named = stage(classes.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-                  .select("digest", F.coalesce("component", "rep").alias("class")), "omh-named")
-    out = rows.select("doc_id", "digest").join(named, "digest", "left")
+    parts = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "least", F.coalesce("component", "rep").alias("part"))
+    parts = stage(parts, "omh-parts")
+    # a group's rows are added up before they are shuffled
+    named = parts.select("digest", "part").join(parts.groupBy("part").agg(F.min("least").alias("class")), "part").select("digest", "class")
+    out = rows.select("doc_id", "digest").join(stage(named, "omh-named"), "digest", "left")
     cls = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("class", "doc_id"))
-    return out.select("doc_id", cls.alias("class_id"), F.coalesce(cls == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "digest", cls.alias("class_id"), F.coalesce(cls == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` but for those that another document of their class
     stands for; rows with a null id or text stay."""
-    gone = stage(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias(id_col)).distinct(), "omh-gone")
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    gone = stage(_grouped(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct(), "omh-gone")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    rows = rows.join(gone, (F.col("row")[id_col] == F.col("gone_id")) & (_digest(F.col("row")[text_col]) == F.col("gone_digest")), "left_anti")
+    return rows.select("row.*")

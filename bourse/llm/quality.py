@@ -15,9 +15,9 @@ text. A text fails with fewer than 20 words, or where more than 30 in a
 hundred words are repeated.
 
 Results for odd rows: a null text is empty: no words, fails; a null id stays;
-rows that repeat an id are judged each; without labels of both classes the
-regression says nothing and only the base rules decide; an empty table gives
-an empty table; other columns are not read.
+rows that repeat an id are judged each, and the least of their texts teaches;
+without labels of both classes the regression says nothing and only the base
+rules decide; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -155,9 +155,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     the driver gets the sample's sparse vectors."""
     one = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).where("_id is not null and _y is not null")
            .groupBy("_id").agg(F.min("_y").alias("_y")))
+    # the sample comes from ids that are among the documents, one row for each
+    there = docs.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
+    one = stage(one.join(there, "_id", "left_semi"), "quality-labels")
     key = F.xxhash64("_id")
     chosen = one.where("_y > 0").orderBy(key, "_id").limit(max_rows).union(one.where("_y <= 0").orderBy(key, "_id").limit(max_rows))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(stage(chosen, "quality-sample"), "_id").select("_id", "_y", "_t")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(stage(chosen, "quality-sample"), "_id").groupBy("_id", "_y").agg(F.min("_t").alias("_t"))
 
     def featurize(batches):
         hashes = WordHashes()

@@ -20,7 +20,7 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     assert set(queries.QUERIES) <= set(entry.queries())
-    assert [n for n in queries.QUERIES if n.startswith("op")] == [n for k in range(1, 11) for n in queries.QUERIES if n.startswith(f"op{k}_")]
+    assert [n for n in queries.QUERIES if n.startswith("op")] == [n for k in range(1, 14) for n in queries.QUERIES if n.startswith(f"op{k}_")]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
