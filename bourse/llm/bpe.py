@@ -230,7 +230,7 @@ def _joiner(path: str | None):
 def _buckets(rows: DataFrame) -> int:
     """As many as the session's shuffles have, more where the input is larger:
     a bucket's share of all chunks' words stays the same however many there are."""
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
 
