@@ -103,15 +103,12 @@ def head_n(df: DataFrame, n: int | None, order: Sequence[tuple[str, str]] = ())
     return (df.orderBy(*sort_keys(order)) if order else df).limit(int(n))
 
 
-class CardinalityError(ValueError):
-    pass
-
-
 def check_cardinality(df: DataFrame, min_rows: int = 0, max_rows: int = 1) -> DataFrame:
     """one / oneOrNone contract: at most ``max_rows`` (and at least
-    ``min_rows``) rows, raised at the action. Only ``max_rows + 1`` rows are
-    ever fetched to decide."""
-    got = df.limit(max_rows + 1).count()
-    if got > max_rows or got < min_rows:
-        raise CardinalityError(f"expected {min_rows}..{max_rows} rows, got {got}{'+' if got > max_rows else ''}")
-    return df
+    ``min_rows``) rows, or the action fails with ``expected a..b rows, got n``.
+    The check is part of the plan: ``max_rows + 1`` rows at most are gathered,
+    counted and given back; nothing runs before the action."""
+    some = df.limit(max_rows + 1).agg(F.collect_list(F.struct(*[F.col(c) for c in df.columns])).alias("rows"))
+    n = F.size("rows")
+    wrong = F.concat(F.lit(f"expected {min_rows}..{max_rows} rows, got "), n.cast("string"), F.when(n > max_rows, "+").otherwise(""))
+    return some.select(F.inline(F.when(n.between(min_rows, max_rows), F.col("rows")).otherwise(F.raise_error(wrong))))

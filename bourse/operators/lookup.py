@@ -7,10 +7,12 @@ is below the session's threshold and shuffles both otherwise.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def mapping_slice(m: DataFrame, product: str | None = None, source: str | None = None,
                   field: str | None = None, active_only: bool = True) -> DataFrame:
     """Rows of the value-mapping table for (product, source, field); each
@@ -107,6 +109,33 @@ def scalar_subquery_agg(parent: DataFrame, child: DataFrame, keys: Sequence[str]
     return parent.join(agg, [*keys], "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("[]")))
 
 
+def child_chunks(child: DataFrame, keys: Sequence[str], fields: Sequence[str], order_by: str, out_col: str, size: int = 1000) -> DataFrame:
+    """The child rows of every key as numbered JSON arrays of up to ``size``
+    rows, in order of ``order_by`` (ties by the fields): ``keys chunk n``
+    and ``out_col``. A parent with a third of all children is many rows, none
+    larger than a chunk.
+
+    Children are numbered by a range partitioning of key and order, not by a
+    window over the key; a key's first number gives the place in its list. Runs
+    the numbering's jobs when it is called (``global_row_index``)."""
+    from .keys import global_row_index
+
+    order = list(dict.fromkeys([*keys, order_by, *fields]))
+    rows = global_row_index(child.select(*order), order, "_i")
+    first = rows.groupBy(*keys).agg(F.min("_i").alias("_first")).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    rows = rows.join(first, same).withColumn("chunk", F.floor((F.col("_i") - F.col("_first")) / size))
+    each = F.array_sort(F.collect_list(F.struct(F.col("_i"), *[F.col(c) for c in fields])))
+    chunks = rows.groupBy(*keys, "chunk").agg(each.alias("_a"))
+    return chunks.select(*keys, "chunk", F.size("_a").cast("bigint").alias("n"), F.to_json(F.transform("_a", lambda x: x.dropFields("_i")), {"ignoreNullFields": "false"}).alias(out_col))
+
+
+def chunks_of(chunks: DataFrame, key: Mapping[str, object]) -> DataFrame:
+    """The chunks of one parent, in order: what a reader of one listing asks
+    for."""
+    return chunks.where(reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in key.items()])).orderBy("chunk")
+
+
 def dual_key_union_join(df: DataFrame, ref: DataFrame, isin_col: str, ticker_col: str,
                         ref_isin: str, ref_ticker: str, ref_cols: Sequence[str], strict: bool = False) -> DataFrame:
     """(left join on ISIN) UNION (left join on ticker), distinct. A row matched

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,45 @@ def _with_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.join(counts, same, "left").drop(*keys.values())
 
 
+def observe_checks(df: DataFrame, name: str, not_null: Sequence[str] = (), unique: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """The rows that pass, and an observation of the pass that reads them:
+    ``rows``, ``nulls_<column>`` and, with ``unique``, ``repeated`` (rows whose
+    key occurs more than once). Its values are there after the first action; no
+    further pass is run for them."""
+    seen = Observation(name)
+    flagged = _with_count(df, unique) if unique else df.withColumn("_n", F.lit(1))
+    metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in not_null]]
+    if unique:
+        metrics.append(F.count_if(F.col("_n") > 1).alias("repeated"))
+    good = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in not_null], F.col("_n") == 1)
+    return flagged.observe(seen, *metrics).where(good).drop("_n"), seen
+
+
+def _required(df: DataFrame, bad: Column, message: Column) -> DataFrame:
+    """The rows of ``df``, or an error at the action where one is bad."""
+    return df.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All rows; the action fails on the first with a NULL in ``cols``."""
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+    return _required(df, bad, F.concat(F.lit("NULL in "), F.concat_ws(", ", *[F.when(F.col(c).isNull(), c) for c in cols])))
+
+
+def require_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All rows; the action fails on a key that occurs more than once."""
+    key = F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
+    return _required(_with_count(df, cols), F.col("_n") > 1, F.concat(F.lit("repeated key "), key)).drop("_n")
+
+
+def require_result_size(requests: DataFrame, responses: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """``check_result_size``; the action fails on a batch whose answers are not
+    as many as its requests."""
+    sizes = check_result_size(requests, responses, batch_col)
+    said = F.concat(F.lit(f"{batch_col} "), F.col(batch_col).cast("string"), F.lit(": "), F.col("n_responses").cast("string"), F.lit(" answers to "), F.col("n_requests").cast("string"), F.lit(" requests"))
+    return _required(sizes, ~F.col("ok"), F.coalesce(said, F.lit(f"{batch_col} without a value")))
+
+
 def violation_report(df: DataFrame, violations: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """length, violation count and distinct violating ids (as a count)."""
     return violations.groupBy("violation").agg(

@@ -7,9 +7,9 @@ Design notes (scale):
   before the shuffle: a key holding a third of all rows costs one partial
   row per map task, not a third of the data in one reducer.
 * Gap filling that must emit every row (``forward_fill``) is a segmented
-  scan: rows are windowed per (key, year) instead of per key, and the value
-  carried into each year comes from a small per-(key, year) summary. A hot key
-  is thus split into as many tasks as it has years.
+  scan: rows are windowed per segment of about equal row counts instead of per
+  key, and the value carried into a segment comes from one summary row for
+  each earlier one. A hot key, month or day is split like any other rows.
 * Calendars are generated per key with ``explode(sequence(...))``; there is no
   Cartesian product in any plan.
 """
@@ -21,8 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.dates import as_date_col, shift_months, shift_years
+from ..session import scratch_path
 
 KEYS = ("security_code", "exchange_code")
 
@@ -136,24 +138,39 @@ def calendar_densify(q: DataFrame, start, end, keys: Sequence[str] = KEYS, date_
 def _segmented_last(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, out_col: str,
                     last_row: int) -> DataFrame:
     """``out_col`` = last non-null value of the key's rows up to ``last_row``
-    (0: this row, -1: the row before), by ``order_col`` (a date).
-
-    Segmented scan so that a hot key does not land in one task: the window
-    runs per (key, month); the value carried into a month is the last non-null
-    value of the key's earlier months, taken from a per-(key, month) summary
-    (one row per key and month) with a small window of its own.
-    """
-    o, v = F.col(order_col), F.col(value_col)
-    base = df.withColumn("_seg", F.trunc(o, "month"))
-    # One row per (key, month) that has rows, with the month's last non-null
-    # value (NULL when it has none).
-    summary = base.groupBy(*keys, "_seg").agg(
-        F.max_by(v, F.when(v.isNotNull(), o)).alias("_seg_last"))
-    carry_w = W.partitionBy(*keys).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
-    grid = summary.select(*keys, "_seg", F.last("_seg_last", ignorenulls=True).over(carry_w).alias("_carry"))
-    in_w = W.partitionBy(*keys, "_seg").orderBy(o).rowsBetween(W.unboundedPreceding, last_row)
-    return base.join(grid, [*keys, "_seg"], "left").withColumn(
-        out_col, F.coalesce(F.last(v, ignorenulls=True).over(in_w), F.col("_carry"))).drop("_seg", "_carry")
+    (0: this row, -1: the row before), by ``order_col``; rows of one key and
+    order follow their value, null first, and then their other columns.
+
+    Segmented scan with segments of about equal row counts, whatever a key or a
+    day holds: rows are range-partitioned by key, order and the columns that
+    break ties, and written down with their segment, so that segments stay
+    the same when an executor is lost. The window runs per segment and key; the
+    value carried into a segment comes from the segments before it that end
+    with the same key, one summary row for each."""
+    spark = df.sparkSession
+    plain = [c for c, t in df.dtypes if not t.startswith(("map<", "variant"))]
+    order = [order_col, *[c for c in (value_col, *plain) if c not in keys and c != order_col]]
+    order = list(dict.fromkeys(order))
+    by = [F.col(c).asc_nulls_first() for c in (*keys, *order)]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "segments")
+    df.repartitionByRange(n, *by).withColumn("_seg", F.spark_partition_id()).write.parquet(path)
+    base = spark.read.schema(StructType([*df.schema.fields, StructField("_seg", IntegerType())])).parquet(path)
+    v, key = F.col(value_col), F.struct(*[F.col(c) for c in keys])
+    last = F.max(F.when(v.isNotNull(), F.struct(key.alias("k"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], v.alias("v")))).alias("last")
+    ends = base.groupBy("_seg").agg(F.min(key).alias("head"), F.max(key).alias("tail"), last)
+    # a segment asks for the value of its first key and gives that of its last
+    asks = ends.select(F.col("head").alias("k"), "_seg", F.lit(0).alias("kind"), F.lit(None).cast(df.schema[value_col].dataType).alias("v"))
+    gives = ends.select(F.col("tail").alias("k"), "_seg", F.lit(1).alias("kind"), F.when(F.col("last.k") == F.col("tail"), F.col("last.v")).alias("v"))
+    before = W.partitionBy("k").orderBy("_seg", "kind").rowsBetween(W.unboundedPreceding, -1)
+    carry = asks.unionByName(gives).withColumn("carry", F.last("v", ignorenulls=True).over(before)).where("kind = 0 and carry is not null")
+    carry = carry.select(F.col("_seg").alias("_s"), *[F.col("k")[c].alias(f"_k{i}") for i, c in enumerate(keys)], F.col("carry").alias("_carry"))
+    same = F.col("_seg") == F.col("_s")
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    inside = W.partitionBy("_seg", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(W.unboundedPreceding, last_row)
+    filled = base.join(carry, same, "left").withColumn(out_col + "__", F.coalesce(F.last(v, ignorenulls=True).over(inside), F.col("_carry")))
+    return filled.select(*[c for c in df.columns if c != out_col], F.col(out_col + "__").alias(out_col))
 
 
 def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,

@@ -218,6 +218,16 @@ def q_scalar_subquery_agg(spark, sf_dir):
     return L.scalar_subquery_agg(keys, quotes, list(ts.KEYS), ["close", "date"], "date", "quotes")
 
 
+@register("scalar_subquery_agg_chunks", with_views("""
+SELECT security_code, exchange_code, chunk, count(*) AS n, CAST(to_json(list({'close': close, 'date': date} ORDER BY date, close)) AS VARCHAR) AS quotes
+FROM (SELECT security_code, exchange_code, CAST(close AS VARCHAR) AS close, date,
+             (row_number() OVER (PARTITION BY security_code, exchange_code ORDER BY date, CAST(close AS VARCHAR)) - 1) // 4 AS chunk FROM v_quote) GROUP BY 1, 2, 3""", "v_quote"))
+def q_scalar_subquery_agg_chunks(spark, sf_dir):
+    """The children of a parent as numbered arrays of four rows."""
+    quotes = v_quote(spark, sf_dir).select(*ts.KEYS, F.col("close").cast("string").alias("close"), "date")
+    return L.child_chunks(quotes, list(ts.KEYS), ["close", "date"], "date", "quotes", size=4)
+
+
 @register("anti_join_missing", with_views("""
 SELECT s.code, s.isin FROM v_security s
 WHERE NOT EXISTS (SELECT 1 FROM v_figi f WHERE f.ticker_source = s.code)""", "v_security", "v_figi"))

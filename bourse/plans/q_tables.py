@@ -15,6 +15,7 @@ from ..operators import aggregates as A
 from ..operators import keys as K
 from ..operators import lookup as L
 from ..operators import quality as Q
+from ..operators.key_registry import KeyRegistry
 from ..session import scratch_path
 from ..sinks import merge as M
 from ..sinks import partitioned as P
@@ -48,6 +49,56 @@ def q_assign_surrogate_keys(spark, sf_dir):
     return out
 
 
+_REGISTRY_SQL = """
+SELECT uid, k FROM known UNION ALL
+SELECT uid, (SELECT max(k) FROM known) + row_number() OVER (ORDER BY substr(md5(uid), 1, 3), uid) AS k
+FROM (SELECT DISTINCT code AS uid FROM v_security WHERE code NOT IN (SELECT uid FROM known))"""
+_REGISTRY_CTE = {"known": "SELECT code AS uid, id * 10 AS k FROM v_security WHERE id % 2 = 0", "keys": _REGISTRY_SQL}
+
+
+def _stored_registry(spark, sf_dir):
+    registry = KeyRegistry(spark, scratch_path(spark, "registry"))
+    registry.commit(_known_keys(spark, sf_dir))
+    return registry
+
+
+@register("key_registry", with_views("SELECT s.code, s.name, keys.k AS security_id FROM v_security s JOIN keys ON s.code = keys.uid", "v_security", extra=_REGISTRY_CTE))
+def q_key_registry(spark, sf_dir):
+    """New uids are numbered from the stored high mark on; no job runs for it
+    while the plan is built."""
+    s = v_security(spark, sf_dir).select("code", "name")
+    return _stored_registry(spark, sf_dir).assign(s, "code", "security_id")[0]
+
+
+@register("key_registry_committed", with_views("SELECT uid, k AS surrogate_key FROM keys", "v_security", extra=_REGISTRY_CTE))
+def q_key_registry_committed(spark, sf_dir):
+    """The registry after two runs over the same securities: the second finds
+    nothing new."""
+    registry = _stored_registry(spark, sf_dir)
+    for _ in range(2):
+        registry.commit(registry.assign(v_security(spark, sf_dir), "code")[1])
+    return registry.keys().select("uid", "surrogate_key")
+
+
+@register("observed_checks", with_views("""
+SELECT count(*) AS rows, count(*) FILTER (WHERE isin IS NULL) AS nulls_isin, count(*) FILTER (WHERE n > 1) AS repeated,
+       count(*) FILTER (WHERE isin IS NOT NULL AND n = 1) AS written
+FROM (SELECT *, count(*) OVER (PARTITION BY name, exchange_code, type) AS n FROM v_security)""", "v_security"))
+def q_observed_checks(spark, sf_dir):
+    """Counts from the pass that writes the valid rows."""
+    path = scratch_path(spark, "checked")
+    valid, seen = Q.observe_checks(v_security(spark, sf_dir), "securities", not_null=["isin"], unique=["name", "exchange_code", "type"])
+    WR.overwrite_table(valid, path)
+    counts = seen.get
+    return spark.read.parquet(path).agg(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("rows", "nulls_isin", "repeated")], F.count(F.lit(1)).alias("written"))
+
+
+@register("require_checks", with_views(f"SELECT {_SEC} FROM v_security", "v_security"))
+def q_require_checks(spark, sf_dir):
+    """All rows, which meet both rules; the action would fail otherwise."""
+    return Q.require_unique(Q.require_not_null(v_security(spark, sf_dir), ["code", "name"]), ["code"])
+
+
 def _key_registry(spark, d):
     s = v_security(spark, d)
     n = table(spark, d, "nation")
@@ -457,6 +508,18 @@ def q_read_csv_inferred(spark, sf_dir):
         "code", "name", "type", "exchange_code", "isin", "country")
 
 
+@register("read_csv_layouts", with_views("""
+SELECT code, name, type, CASE WHEN id % 2 = 0 THEN isin END AS isin FROM v_security""", "v_security"))
+def q_read_csv_layouts(spark, sf_dir):
+    """Many files of two layouts: two scans."""
+    s = v_security(spark, sf_dir)
+    paths = [scratch_path(spark, f"csv-{k}") for k in range(6)]
+    for k, path in enumerate(paths):
+        some = s.where(F.col("id") % 6 == k)
+        WR.write_format(some.select("code", "name", "type", "isin") if k % 2 == 0 else some.select("type", "code", "name"), path, "csv")
+    return R.read_csv_inferred(spark, paths, required=["isin"]).select("code", "name", "type", "isin")
+
+
 @register("read_csv_encoded", """
 SELECT c_custkey AS id, c_name || ' Soci' || chr(233) || 't' || chr(233) AS name FROM customer""")
 def q_read_csv_encoded(spark, sf_dir):

@@ -158,6 +158,16 @@ def q_forward_fill(spark, sf_dir):
     return ts.forward_fill(q, ts.KEYS, "date", "adjusted_close")
 
 
+@register("forward_fill_events", """
+SELECT event_id, event_type, ts, last_value(v IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, v NULLS FIRST, event_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+FROM (SELECT event_id, event_type, ts, CASE WHEN event_id % 5 = 0 THEN user_id END AS v FROM events)""")
+def q_forward_fill_events(spark, sf_dir):
+    """Few keys, many rows a day: a key is spread over all segments."""
+    e = table(spark, sf_dir, "events").select("event_type", "ts", F.when(F.col("event_id") % 5 == 0, F.col("user_id")).alias("v"), "event_id")
+    return ts.forward_fill(e, ["event_type"], "ts", "v").select("event_id", "event_type", "ts", "v")
+
+
 @register("lead_ignore_nulls", with_views("""
 SELECT security_code, exchange_code, date,
        IFNULL(adjusted_close, LEAD(adjusted_close, 1 IGNORE NULLS) OVER (

@@ -23,15 +23,31 @@ def read_csv_typed(spark: SparkSession, path, schema: T.StructType, keep_corrupt
     return r.schema(schema).csv(path)
 
 
+def csv_layouts(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The distinct header lines of the CSV files under ``paths``, with their
+    files: the first line of every file, read in one distributed pass (a file's
+    first split has it; partial aggregation keeps one line of each). The driver
+    gets what it lists anyway, one entry for a file. Empty files have none."""
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                                                F.monotonically_increasing_id().alias("row"), "value")
+    heads = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "row").alias("head")).collect()
+    found: dict[str, list[str]] = {}
+    for path, head in sorted(map(tuple, heads)):
+        found.setdefault(head.lstrip("\ufeff").rstrip("\r"), []).append(path)
+    return found
+
+
 def read_csv_inferred(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
-    """CSV files whose layouts differ (a column may be absent from some):
-    each path is read with its own header (all columns as text, no type
-    guessing) and the frames are unioned BY NAME; a column missing from the
-    whole set is added as NULL text."""
-    frames = [spark.read.option("header", True).option("inferSchema", False).csv(p) for p in paths]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+    """CSV files whose layouts differ (a column may be absent from some): files
+    are grouped by their header, each distinct layout is one scan (all columns
+    as text, no type guessing), and the scans are unioned BY NAME; a column
+    missing from the whole set is added as NULL text."""
+    out = None
+    for files in csv_layouts(spark, paths).values():
+        frame = spark.read.option("header", True).option("inferSchema", False).csv(files)
+        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType([]))
     for c in required:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("string"))

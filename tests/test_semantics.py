@@ -114,10 +114,13 @@ def test_page_zero_and_ordering(spark):
 
 
 def test_check_cardinality(spark):
-    with pytest.raises(FL.CardinalityError):
-        FL.check_cardinality(spark.range(2), 0, 1)
-    with pytest.raises(FL.CardinalityError):
-        FL.check_cardinality(spark.range(0), 1, 1)
+    # nothing runs while the plan is built; the action fails
+    two, none = FL.check_cardinality(spark.range(2), 0, 1), FL.check_cardinality(spark.range(0), 1, 1)
+    with pytest.raises(Exception, match=r"expected 0\.\.1 rows, got 2\+"):
+        two.collect()
+    with pytest.raises(Exception, match=r"expected 1\.\.1 rows, got 0"):
+        none.collect()
+    assert FL.check_cardinality(spark.range(1), 1, 1).collect()[0].id == 0 and FL.check_cardinality(spark.range(0)).collect() == []
 
 
 # ------------------------------------------------------------ search
