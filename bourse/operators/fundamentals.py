@@ -254,6 +254,12 @@ def fund_category(docs: DataFrame, name: str, text_col: str = "doc_text") -> Dat
                                                 full_general=name in _NEEDS_GENERAL))
 
 
+def rejected_documents(docs: DataFrame, text_col: str = "doc_text") -> DataFrame:
+    """The documents that no category is read from because they do not parse
+    or have no ``General`` part; only its header fields are parsed."""
+    return N.parse_documents(docs, text_col, T.StructType([T.StructField("General", _HEADER)]), required="General")[1]
+
+
 def fund_all(docs: DataFrame, text_col: str = "doc_text") -> DataFrame:
     """All categories of all common-stock documents, one frame: the
     documents are parsed once and every category's metric rows are

@@ -184,15 +184,13 @@ def unpivot_struct_members(df: DataFrame, struct_col: str, ids: Sequence[str], k
     return long.where(F.col(value_name).isNotNull())
 
 
-def discover_map_keys(df: DataFrame, map_col: str, max_keys: int = 10_000) -> list[str]:
-    """Distinct keys of a map column, sorted (schema discovery for
-    ``unpivot``). The set is bounded: more than ``max_keys`` distinct keys is
-    an error, since they would become columns."""
-    keys = df.select(F.explode(F.map_keys(F.col(map_col))).alias("k")).distinct().limit(max_keys + 1)
-    out = sorted(r[0] for r in keys.collect())
-    if len(out) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct member keys")
-    return sorted(out, key=lambda k: (len(k), k))
+def unpivot_map_members(df: DataFrame, map_col: str, ids: Sequence[str], key_name: str = "key",
+                        value_name: str = "member") -> DataFrame:
+    """The same for members whose names are data: an object parsed as a map is
+    exploded with its keys, so no set of keys is gathered, however many there
+    are."""
+    long = df.select(*ids, F.explode(F.col(map_col)).alias(key_name, value_name))
+    return long.where(F.col(value_name).isNotNull())
 
 
 def struct_unnest(df: DataFrame, struct_col: str) -> DataFrame:

@@ -112,16 +112,17 @@ def job_quote_performance(quotes: DataFrame, as_of) -> DataFrame:
     return TS.performance_asof(quotes, as_of)
 
 
-def job_fundamental(docs: DataFrame, text_col: str = "doc_text", requested: DataFrame | None = None) -> DataFrame:
-    """Documents -> common stock only -> all metric frames -> one table. The
-    grouped variants take the securities of preset exchange and type lists
-    (``requested``, see ``quote_requests``); their write is a dynamic overwrite
-    by exchange, so that groups do not erase each other."""
+def job_fundamental(docs: DataFrame, text_col: str = "doc_text", requested: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents -> common stock only -> all metric frames -> (one table,
+    documents that do not parse). ``requested`` keeps the listed securities
+    (``quote_requests``): those of one group, or of all groups together, whose
+    documents are then parsed once; the write is a dynamic overwrite by
+    exchange, so that groups do not erase each other."""
     out = FU.fund_all(docs, text_col)
     if requested is not None:
         keys = requested.select("exchange_code", F.col("code").alias("security_code")).distinct()
         out = out.join(keys, ["exchange_code", "security_code"], "left_semi").select(*out.columns)
-    return out
+    return out, FU.rejected_documents(docs, text_col)
 
 
 _MEMBER = T.StructType([T.StructField("Code", T.StringType()), T.StructField("Name", T.StringType()),

@@ -193,7 +193,20 @@ def _fund_union_sql(where: str = "") -> str:
 
 @register("job_fundamental", _fund_union_sql())
 def q_job_fundamental(spark, sf_dir):
-    return J.job_fundamental(v_doc(spark, sf_dir))
+    return J.job_fundamental(v_doc(spark, sf_dir))[0]
+
+
+@register("job_fundamental_rejects", """
+SELECT CAST(o_orderkey AS VARCHAR) AS code, CASE WHEN o_orderkey % 5 = 0 THEN 'cut' ELSE 'no General' END AS fault FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0""")
+def q_job_fundamental_rejects(spark, sf_dir):
+    """Cut-off documents and documents without their General part come back."""
+    key = F.get_json_object("doc_text", "$.General.Code")
+    docs = v_doc(spark, sf_dir).select(key.alias("code"), "doc_text")
+    number = F.col("code").cast("bigint")
+    text = F.when(number % 5 == 0, F.expr("left(doc_text, length(doc_text) - 2)")).when(number % 7 == 0, F.replace("doc_text", F.lit('"General"'), F.lit('"Other"')))
+    docs = docs.withColumn("doc_text", F.coalesce(text, "doc_text"))
+    _, rejects = J.job_fundamental(docs)
+    return rejects.select("code", F.when(F.col("doc_text").contains('"General"'), "cut").otherwise("no General").alias("fault"))
 
 
 _LISTED = """
@@ -206,12 +219,13 @@ _NO_COMPOSITE = "SELECT o_orderpriority AS source_value, o_orderpriority AS mapp
     "WHERE exchange_code IN ('1-URGENT', '3-MEDIUM') AND security_code IN "
     "(SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')"))
 def q_job_fundamental_groups(spark, sf_dir):
-    """Two groups, written one after the other into one partitioned table."""
+    """Two groups: their documents are parsed once, the table is written by
+    exchange."""
     path = scratch_path(spark, "fundamental")
     listed, composite = frame(spark, sf_dir, _LISTED), frame(spark, sf_dir, _NO_COMPOSITE)
-    for group in (["1-URGENT"], ["3-MEDIUM"]):
-        rows = J.job_fundamental(v_doc(spark, sf_dir), requested=J.quote_requests(listed, composite, group, ["common_stock"]))
-        WR.overwrite_table(rows, path, ["exchange_code"], "dynamic")
+    requested = J.quote_requests(listed, composite, ["1-URGENT", "3-MEDIUM"], ["common_stock"])
+    rows, _ = J.job_fundamental(v_doc(spark, sf_dir), requested=requested)
+    WR.overwrite_table(rows, path, ["exchange_code"], "dynamic")
     return spark.read.parquet(path).select(*rows.columns)
 
 

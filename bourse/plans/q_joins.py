@@ -182,6 +182,22 @@ def q_cross_join(spark, sf_dir):
     return keys.select(*ts.KEYS, F.explode(ts._day_seq(F.lit(_MTD), F.lit(QUOTE_AS_OF))).alias("date"))
 
 
+_DECADE = _dt.date(QUOTE_AS_OF.year - 10, QUOTE_AS_OF.month, QUOTE_AS_OF.day)
+
+
+# Every key times every day of ten years, summed up per key and year: the rows
+# themselves are keys times 3,652 days.
+@register("cross_join_ten_years", with_views(f"""
+SELECT k.security_code, k.exchange_code, CAST(year(c.range) AS INTEGER) AS year, count(*) AS n_days,
+       CAST(min(c.range) AS DATE) AS first_day, CAST(max(c.range) AS DATE) AS last_day
+FROM (SELECT DISTINCT security_code, exchange_code FROM v_quote) k
+CROSS JOIN range({lit(_DECADE)}, {lit(QUOTE_AS_OF)}, INTERVAL 1 DAY) c GROUP BY ALL""", "v_quote"))
+def q_cross_join_ten_years(spark, sf_dir):
+    keys = v_quote(spark, sf_dir).select(*ts.KEYS).distinct()
+    days = keys.select(*ts.KEYS, F.explode(ts._day_seq(F.lit(_DECADE), F.lit(QUOTE_AS_OF))).alias("date"))
+    return days.groupBy(*ts.KEYS, F.year("date").alias("year")).agg(F.count("*").alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
 @register("interval_self_join", with_views("""
 SELECT b.security_code, b.exchange_code, b.date, b.adjusted_close,
        CAST(b.date - INTERVAL 1 MONTH AS DATE) AS reference_date, r.adjusted_close AS reference_adjusted_close

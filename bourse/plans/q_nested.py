@@ -144,23 +144,14 @@ def q_map_values_explode(spark, sf_dir):
                     "index_code", "index_name")
 
 
-_MEMBER_T = _COMP_SCHEMA["Components"].dataType.valueType
-
-
 @register("unpivot_struct_members", _MEMBERS_SQL)
 def q_unpivot_struct_members(spark, sf_dir):
     docs = v_doc(spark, sf_dir)
-    # Member keys become struct fields: discover the (small) key set first,
-    # as the SQL engine's struct inference would.
-    keys = N.discover_map_keys(docs.select(F.from_json("doc_text", _COMP_SCHEMA).alias("d")), "d.Components")
-    schema = T.StructType([
-        T.StructField("General", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("Components", T.StructType([T.StructField(k, _MEMBER_T) for k in keys])),
-    ])
-    d = docs.select(F.from_json("doc_text", schema).alias("d")).select(
+    # the members' names are data: no key set becomes columns
+    d = docs.select(F.explode(F.array(F.from_json("doc_text", _COMP_SCHEMA))).alias("d")).select(
         N.map_get(F.col("d.General"), "Code").alias("index_code"),
         N.map_get(F.col("d.General"), "Name").alias("index_name"), F.col("d.Components").alias("Components"))
-    long = N.unpivot_struct_members(d, "Components", ["index_code", "index_name"])
+    long = N.unpivot_map_members(d, "Components", ["index_code", "index_name"])
     return long.select(F.col("member.Code").alias("security_code"), F.col("member.Name").alias("security_name"),
                        F.col("member.Exchange").alias("exchange_code"), F.col("member.Sector").alias("sector"),
                        "index_code", "index_name")

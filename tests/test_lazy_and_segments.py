@@ -122,7 +122,7 @@ def test_registry_numbers_without_jobs(spark, tmp_path):
 
 def test_many_files_of_two_layouts_are_two_scans(spark, tmp_path):
     for k in range(40):
-        (tmp_path / f"f{k}.csv").write_text("a,b\n" + "".join(f"{k},{i}\n" for i in range(3)) if k % 2 else "b,c,a\n" + f'"{k}\nx",y,z\n')
+        (tmp_path / f"f{k}.csv").write_text("a,b\n" + "".join(f"{k},{i}\n" for i in range(3)) if k % 2 else "b,c,a\n" + f"x{k},y,z\n")
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "bom.csv").write_bytes("﻿a,b\r\n1,2\r\n".encode())
     paths = [str(p) for p in tmp_path.glob("*.csv")]
