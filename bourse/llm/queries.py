@@ -107,31 +107,43 @@ SELECT doc_id, copy, copies, md5('{MIX_SEED}:order:' || id || ':' || copy) AS sh
 FROM (SELECT *, unnest(range(1, copies + 1))::INTEGER AS copy FROM counted)
 """
 
-#: Rules by the longest fit, then components over canonical links and refresh
-#: redirects by recursion, allow before block.
+#: Rules by the longest fit, then components over all canonical links and
+#: refresh redirects by recursion, allow before block. Written from what HTML and
+#: RFC 3986 say of tags, attributes and references, on strings where Spark's form
+#: works on arrays and structs.
 OP7_SQL = r"""
 WITH RECURSIVE rules AS (SELECT action, rule, split_part(rule, '/', 1) AS rh, substr(rule, instr(rule, '/')) AS rp FROM (VALUES RULES) v(action, rule)),
-found AS (SELECT url AS f, unnest([
-    regexp_extract(list_filter(regexp_extract_all(html, '(?i)<link\b[^>]*'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b'))[1], '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(list_filter(regexp_extract_all(html, '(?i)<meta\b[^>]*'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b'))[1], '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS t
-  FROM pages WHERE instr(url, '://') > 0),
-whole AS (SELECT f, CASE WHEN instr(t, '://') > 0 THEN t WHEN starts_with(t, '//') THEN regexp_extract(f, '^[^:/?#]+') || ':' || t
-                         WHEN starts_with(t, '/') THEN regexp_extract(f, '^[^:/?#]+') || '://' || regexp_extract(f, '(?s)^.*?://([^/?#]*)', 1) || t END AS t FROM found WHERE t <> ''),
-urls AS (SELECT url FROM pages UNION SELECT f FROM whole WHERE t IS NOT NULL UNION SELECT t FROM whole WHERE t IS NOT NULL),
+tags AS (SELECT url AS f, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*')) AS tag FROM pages WHERE instr(url, '://') > 0),
+attributes AS (SELECT f, lower(regexp_extract(tag, '^<([a-zA-Z]+)', 1)) AS name, lower(ATTR(rel)) AS rel, lower(trim(ATTR(http-equiv))) AS equiv, ATTR(href) AS href, ATTR(content) AS content FROM tags),
+named AS (SELECT f, CASE WHEN name = 'link' AND list_contains(regexp_split_to_array(rel, '\s+'), 'canonical') THEN href
+                         WHEN name = 'meta' AND equiv = 'refresh' THEN regexp_extract(content, '(?i)\burl\s*=\s*["'']?([^"''\s]+)', 1) END AS t FROM attributes),
+targets AS (SELECT f, split_part(regexp_replace(trim(t), '(?i)&(amp|#38|#x26);', '&', 'g'), '#', 1) AS t, regexp_extract(f, '^[^:/?#]+') AS scheme, regexp_extract(f, '(?s)^.*?://([^/?#]*)', 1) AS authority,
+                   regexp_extract(f, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS here FROM named WHERE trim(t) <> ''),
+joined AS (SELECT *, CASE WHEN t LIKE '/%' THEN split_part(t, '?', 1) WHEN t LIKE '?%' THEN here ELSE regexp_replace('/' || here, '(?s)^/(/.*/|/)?.*$', '\1') || split_part(t, '?', 1) END AS p,
+                  CASE WHEN instr(t, '?') > 0 THEN substr(t, instr(t, '?')) ELSE '' END AS q FROM targets),
+whole AS (SELECT f, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN t = '' OR regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN t LIKE '//%' THEN scheme || ':' || t
+    ELSE scheme || '://' || authority || CASE WHEN p = '' THEN '' ELSE list_reduce(string_split(CASE WHEN p LIKE '/%' THEN p ELSE '/' || p END, '/'), lambda a, x: CASE x WHEN '..' THEN regexp_replace(a, '/[^/]*$', '') WHEN '.' THEN a ELSE a || '/' || x END)
+         || CASE WHEN regexp_matches(p, '(^|/)\.\.?$') THEN '/' ELSE '' END END || q END AS t FROM joined),
+links AS (SELECT f, t FROM whole WHERE instr(t, '://') > 0),
+urls AS (SELECT url FROM pages UNION SELECT f FROM links UNION SELECT t FROM links),
 parts AS (SELECT url, CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
-                 CASE WHEN instr(url, '://') > 0 THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM urls),
-address AS (SELECT DISTINCT host, path, host || path AS node FROM parts),
+                 CASE WHEN instr(url, '://') > 0 THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+                 CASE WHEN instr(url, '://') > 0 THEN regexp_extract(url, '(?s)^[^?#]*(\?[^#]*)', 1) ELSE '' END AS query FROM urls),
+address AS (SELECT DISTINCT host, path, host || path || query AS node FROM parts),
 judged AS (SELECT a.*, r.rule, r.action FROM address a LEFT JOIN
-  (SELECT host, path, rule, action FROM address JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+  (SELECT host, path, rule, action FROM (SELECT DISTINCT host, path FROM address) JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
    QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, rule) = 1) r USING (host, path)),
-ends AS (SELECT DISTINCT a.host || a.path AS x, b.host || b.path AS y FROM whole w JOIN parts a ON a.url = w.f JOIN parts b ON b.url = w.t),
+ends AS (SELECT DISTINCT a.host || a.path || a.query AS x, b.host || b.path || b.query AS y FROM links w JOIN parts a ON a.url = w.f JOIN parts b ON b.url = w.t),
 edges AS (SELECT x, y FROM ends UNION SELECT y, x FROM ends),
 reach(x, y) AS (SELECT x, x FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
 says AS (SELECT r.x AS node, bool_or(j.action = 'allow') AS allowed, bool_or(j.action = 'block') AS blocked FROM reach r JOIN judged j ON j.node = r.y WHERE j.action IS NOT NULL GROUP BY 1)
 SELECT page_id, j.host, j.path, j.rule, coalesce(j.action, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict,
        CASE WHEN j.action IS NOT NULL THEN 'rule' WHEN allowed OR blocked THEN 'alias' ELSE 'default' END AS reason
-FROM pages p JOIN parts a ON a.url IS NOT DISTINCT FROM p.url JOIN judged j ON j.host = a.host AND j.path = a.path LEFT JOIN says s ON s.node = j.node
+FROM pages p JOIN parts a ON a.url IS NOT DISTINCT FROM p.url JOIN judged j ON j.node = a.host || a.path || a.query AND j.host = a.host AND j.path = a.path LEFT JOIN says s ON s.node = j.node
 """.replace("RULES", ", ".join(f"('{a}', '{r}')" for a, r in URL_RULES))
+for _name in ("rel", "http-equiv", "href", "content"):
+    _found = rf"""regexp_extract(tag, '(?i)[\s"'']{_name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', %d)"""
+    OP7_SQL = OP7_SQL.replace(f"ATTR({_name})", "(" + " || ".join(_found % k for k in (1, 2, 3)) + ")")
 
 #: Leaves, the levels of every language's tree and of the tree above by
 #: recursion, then each leaf's way up with its siblings. CRC-32 (reflected

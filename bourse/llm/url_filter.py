@@ -8,15 +8,19 @@ edges); an url without a rule of its own takes the decision of its component:
 allowed if any member is allowed by a rule, else blocked if any member is
 blocked, else the default.
 
-Native DataFrame operations only. Rules are a table: every distinct address
-(host and path) is exploded to the suffixes of its host and joined with them,
+Native DataFrame operations only. Rules are a table: every distinct host and
+path is exploded to the suffixes of its host and joined with them,
 so a block list may hold millions of rules. Each distinct address is judged
 once; rows get the verdict by a join on the address, which Spark can split
 where one address holds many rows.
 
-Edges come from ``<link rel="canonical">``, ``<meta http-equiv="refresh">``
-and an optional table of redirects. Targets may be absolute, ``//host/path``
-or ``/path``; others are not followed.
+Edges come from every ``<link rel="canonical">`` and ``<meta
+http-equiv="refresh">`` of a page and an optional table of redirects. Targets
+are resolved against the page's address (``//host/path``, ``/path``, ``next``,
+``../up``, ``?query``; ``&amp;`` is ``&``); other schemes than with ``://`` are
+not followed. A node of the graph is a whole url, its query included, without
+scheme and fragment, so that one of several urls of a path may be an alias; rules
+fit host and path.
 
 Results for odd rows: a null url or one without ``://`` has an empty host and
 path, no rule and the default verdict; null html has no edges; repeated rows
@@ -64,20 +68,54 @@ def judge_by_rules(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     return addresses.join(best, ["host", "path"], "left").select("host", "path", "best.rule", "best.action")
 
 
+def query_of(url: Column) -> Column:
+    """From the first ``?`` up to ``#`` or the end."""
+    found = F.when(F.instr(url, "://") > 0, F.regexp_extract(url, r"(?s)^[^?#]*+(\?[^#]*+)", 1))
+    return F.coalesce(found, F.lit(""))
+
+
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute; empty without one."""
+    pattern = rf"""(?i)[\s"']{name}""" + _VALUE
+    return F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
+
+
 def html_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``from_url to_url`` for canonical links and refresh redirects."""
+    """``from_url to_url`` for all canonical links and refresh redirects."""
     html = F.col(html_col)
-    link = F.regexp_extract(html, r"""(?i)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
-    meta = F.regexp_extract(html, r"""(?i)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    got = pages.where(F.lower(html).rlike("canonical|refresh")).select(F.col(url_col).alias("from_url"), F.explode(F.array(link, meta)).alias("to_url"))
+    tags = F.regexp_extract_all(html, F.lit(r"(?i)<(?:link|meta)\b[^>]*"), F.lit(0))
+    got = pages.where(F.lower(html).rlike("canonical|refresh")).select(F.col(url_col).alias("from_url"), F.explode(tags).alias("tag"))
+    canonical = F.col("tag").rlike("(?i)^<link") & _attribute(F.col("tag"), "rel").rlike(r"(?i)(?:^|\s)canonical(?:\s|$)")
+    refresh = F.col("tag").rlike("(?i)^<meta") & (F.lower(F.trim(_attribute(F.col("tag"), "http-equiv"))) == "refresh")
+    later = F.regexp_extract(_attribute(F.col("tag"), "content"), r"""(?i)\burl\s*=\s*["']?([^"'\s]+)""", 1)
+    target = F.trim(F.when(canonical, _attribute(F.col("tag"), "href")).when(refresh, later).otherwise(F.lit("")))
+    got = got.select("from_url", F.regexp_replace(target, "(?i)&(?:amp|#38|#x26);", "&").alias("to_url"))
     return got.where(F.col("to_url") != "")
 
 
+def _without_dots(path: Column) -> Column:
+    """A path from ``/`` on without ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    last = F.get(parts, F.size(parts) - 1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda a, x: F.when(x == ".", a).when(
+        x == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(1)))).otherwise(F.array_append(a, x)))
+    return F.array_join(F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept), "/")
+
+
 def _absolute(source: Column, target: Column) -> Column:
+    """The url that a page's target names; null where it is not followed."""
+    target = F.regexp_replace(target, "(?s)#.*$", "")
     scheme = F.regexp_extract(source, r"^[^:/?#]+", 0)
-    return (F.when(F.instr(target, "://") > 0, target)
-            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-            .when(target.startswith("/"), F.concat(scheme, F.lit("://"), host_of(source), target)))
+    at = F.substring_index(target, "?", 1)
+    query = F.regexp_extract(target, r"(?s)(\?.*)$", 1)
+    folder = F.regexp_replace(path_of(source), "(?s)[^/]*$", "")
+    path = F.when(at == "", path_of(source)).when(at.startswith("/"), at).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), at))
+    resolved = F.concat(scheme, F.lit("://"), host_of(source), _without_dots(path), query)
+    return (F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target).when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | (target == ""), None)
+            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target)).otherwise(resolved))
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None, default: str = "allow",
@@ -87,20 +125,25 @@ def filter_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None
     edges = html_edges(pages, url_col, html_col)
     if redirects is not None:
         edges = edges.union(redirects.select("from_url", "to_url"))
-    edges = edges.withColumn("to_url", _absolute(F.col("from_url"), F.col("to_url"))).where("instr(from_url, '://') > 0 and to_url is not null")
-    node = lambda c: F.concat(host_of(F.col(c)), path_of(F.col(c)))
-    ends = stage(edges.select(*[f(F.col(c)).alias(f"{n}_{k}") for c, n in (("from_url", "f"), ("to_url", "t")) for f, k in ((host_of, "host"), (path_of, "path"))],
-                              node("from_url").alias("src"), node("to_url").alias("dst")).distinct(), "url-edges")
+    edges = edges.withColumn("to_url", _absolute(F.col("from_url"), F.col("to_url"))).where("instr(from_url, '://') > 0 and instr(to_url, '://') > 0")
+
+    def address(url: Column) -> Column:
+        return F.struct(host_of(url).alias("host"), path_of(url).alias("path"), query_of(url).alias("query"))
+
+    node = lambda a: F.concat(F.col(a)["host"], F.col(a)["path"], F.col(a)["query"])
+    ends = edges.select(address(F.col("from_url")).alias("f"), address(F.col("to_url")).alias("t")).distinct()
+    ends = stage(ends.select("f", "t", node("f").alias("src"), node("t").alias("dst")), "url-edges")
     comps = stage(connected_components(ends), "url-components")
 
-    rows = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    addresses = rows.select("host", "path").union(ends.select("f_host", "f_path")).union(ends.select("t_host", "t_path")).distinct()
-    judged = judge_by_rules(addresses, rules).withColumn("node", F.concat("host", "path"))
-    judged = stage(judged.join(comps, "node", "left"), "url-judged")
+    rows = pages.select(F.col(id_col), address(F.col(url_col)).alias("a"))
+    addresses = rows.select("a").union(ends.select("f")).union(ends.select("t")).distinct().select("a.*", node("a").alias("node"))
+    by_rule = judge_by_rules(addresses.select("host", "path").distinct(), rules)
+    judged = stage(addresses.join(by_rule, ["host", "path"]).join(comps, "node", "left"), "url-judged")
     says = stage(judged.where("component is not null and action is not null").groupBy("component")
                  .agg(F.max(F.col("action") == "allow").alias("allowed"), F.max(F.col("action") == "block").alias("blocked")), "url-says")
     alias = F.when(F.col("allowed"), "allow").when(F.col("blocked"), "block")
     judged = judged.join(says, "component", "left").select(
-        "host", "path", "rule", F.coalesce("action", alias, F.lit(default)).alias("verdict"),
+        "host", "path", "query", "rule", F.coalesce("action", alias, F.lit(default)).alias("verdict"),
         F.when(F.col("action").isNotNull(), "rule").when(alias.isNotNull(), "alias").otherwise("default").alias("reason"))
-    return rows.join(stage(judged, "url-verdicts"), ["host", "path"]).select(id_col, "host", "path", "rule", "verdict", "reason")
+    rows = rows.select(id_col, "a.*")
+    return rows.join(stage(judged, "url-verdicts"), ["host", "path", "query"]).select(id_col, "host", "path", "rule", "verdict", "reason")

@@ -43,6 +43,13 @@ def test_url_sql_follows_links_as_the_query_does(spark, tmp_path):
     rows = [(1, "http://a.org/x", link.format("http://b.net/y")), (2, "http://c.com/z", refresh.format("http://A.org/x?q#f")), (3, "http://d.com/", link.format("/other")),
             (4, "http://d.com/other", None), (5, "http://e.com/1", link.format("//www.example.net/en/2")), (6, "http://e.com/2", link.format("http://e.com/1") + refresh.format("http://b.net/q")),
             (7, None, link.format("http://b.net/y")), (8, "no url", link.format("http://b.net/y")), (9, "http://e.com/2", ""), (None, "http://f.com", '<link rel=stylesheet href="http://b.net/">')]
+    # every link, relative targets, whole urls, entities, other schemes, lists of values
+    rows += [(20, "http://g.com/dir/page.html?x=1", "<link rel='nofollow canonical' href='next.html'>"), (21, "http://g.com/dir/next.html", refresh.format("http://bad.net/")),
+             (22, "http://g.com/dir/page.html?x=2", None), (23, "http://h.com/a/b/c", '<link href="../../up/./x" rel=canonical>'), (24, "http://h.com/up/x", link.format("http://b.net/")),
+             (25, "http://i.com/view?id=1", link.format("http://b.net/")), (26, "http://i.com/view?id=2", "x"), (27, "http://j.com/p", '<link rel="canonical" href="?a=1&amp;b=2">'),
+             (28, "http://j.com/p?a=1&b=2", refresh.format("http://b.net/")), (29, "http://k.com/x", link.format("mailto:a@b.net") + link.format("#top") + '<link rel="canonical" data-href="http://b.net/">'),
+             (30, "http://l.com", '<meta content="5;URL=sub/y" http-equiv="Refresh">' + link.format("other") + link.format("http://www.example.net/en/")), (31, "http://l.com/sub/y", ""), (32, "http://l.com/other", ""),
+             (33, "http://m.com/a?u=http://b.net/", link.format("b?u=http://b.net/")), (34, "http://m.com/b?u=http://b.net/", link.format("/..")), (35, "http://m.com/", link.format("//b.net/")), (36, "http://n.com/a/", link.format(".."))]
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
@@ -50,6 +57,8 @@ def test_url_sql_follows_links_as_the_query_does(spark, tmp_path):
     key = lambda r: tuple((v is None, v) for v in r)
     got = sorted(map(tuple, queries.op7_url_filter(spark, str(tmp_path)).select(cols).collect()), key=key)
     assert got == sorted(con.sql(queries.ORACLE["op7_url_filter"]).project(", ".join(cols)).fetchall(), key=key)
+    assert {r[0]: r[4:] for r in got if r[0] and r[0] >= 20} == {
+        i: ("allow", "alias") if i in (30, 31, 32) else ("block", "alias") if i in (20, 21, 23, 24, 25, 27, 28, 33, 34, 35) else ("allow", "default") for i in range(20, 37)}
     assert {r[0]: r[4:] for r in got if r[0] in (1, 2, 5, 6)} == {1: ("block", "alias"), 2: ("block", "alias"), 5: ("allow", "alias"), 6: ("allow", "alias")}
 
 
