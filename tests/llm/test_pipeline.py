@@ -40,7 +40,7 @@ def test_url_sql_follows_links_as_the_query_does(spark, tmp_path):
     """Chains of canonical links and refreshes, allow before block."""
     link = '<head><link rel="canonical" href="{}"><title>x</title>'
     refresh = "<meta http-equiv=refresh content='0; url={}'>"
-    rows = [(1, "http://a.org/x", link.format("http://b.net/y")), (2, "http://c.com/z", refresh.format("http://A.org/x?q#f")), (3, "http://d.com/", link.format("/other")),
+    rows = [(1, "http://a.org/x", link.format("http://b.net/y")), (2, "http://c.com/z", refresh.format("http://A.org/x#f")), (3, "http://d.com/", link.format("/other")),
             (4, "http://d.com/other", None), (5, "http://e.com/1", link.format("//www.example.net/en/2")), (6, "http://e.com/2", link.format("http://e.com/1") + refresh.format("http://b.net/q")),
             (7, None, link.format("http://b.net/y")), (8, "no url", link.format("http://b.net/y")), (9, "http://e.com/2", ""), (None, "http://f.com", '<link rel=stylesheet href="http://b.net/">')]
     # every link, relative targets, whole urls, entities, other schemes, lists of values
