@@ -63,10 +63,10 @@ def assign_surrogate_keys(df: DataFrame, keys: DataFrame, uid_col: str, id_col:
     if add_missing:
         missing = (df.select(F.col(uid_col).alias("_uid")).where(F.col("_uid").isNotNull()).distinct()
                    .join(known, "_uid", "left_anti"))
-        top = known.agg(F.max("_key")).first()[0]
-        start = (top if top is not None else 0) + 1
+        # the largest key is a scalar subquery of the plan, not a job of its own
+        top = known.agg(F.coalesce(F.max("_key"), F.lit(0)).alias("_top")).scalar()
         new = global_row_index(missing, ["_uid"], "_rn").select(
-            "_uid", (F.col("_rn") + F.lit(start)).cast("bigint").alias("_key"))
+            "_uid", (F.col("_rn") + F.lit(1) + top).cast("bigint").alias("_key"))
     else:
         new = spark.createDataFrame([], known.schema)
     all_keys = known.unionByName(new)

@@ -271,17 +271,23 @@ def job_figi_match(securities: DataFrame, figi: DataFrame, responses: DataFrame
     asked again by ticker; what is found joins the mappings, and all
     securities are matched once more.
 
-    Returns (matched, still missing, new mappings, first requests)."""
+    Returns (matched, still missing, new mappings, first requests). The
+    securities, those without a mapping and the new mappings are stored, so
+    that every branch reads them and none runs the match again: what matches
+    the mappings known before stays, and only new mappings are matched."""
     cols = securities.columns
-    match = lambda known: L.dual_key_matches(securities, known, "isin", "ticker", "isin_source", "ticker_source", FIGI_COLUMNS)
-    _matched, missing = match(figi)
+    ensure_checkpoint_dir(securities.sparkSession)
+    securities = securities.checkpoint()
+    match = lambda rows, known: L.dual_key_matches(rows, known, "isin", "ticker", "isin_source", "ticker_source", FIGI_COLUMNS)
+    matched, missing = match(securities, figi)
+    missing = missing.checkpoint()
     requests = PR.case_id_type(missing)
     first, unanswered = _answered(requests, responses, cols)
     second, _none = _answered(PR.case_id_type_second_attempt(unanswered), responses, cols)
     found = first.unionByName(second).where(F.col("figi").isNotNull()).select(
-        F.col("isin").alias("isin_source"), F.col("ticker").alias("ticker_source"), *FIGI_COLUMNS).distinct()
-    matched, missing = match(figi.select("isin_source", "ticker_source", *FIGI_COLUMNS).unionByName(found))
-    return matched, missing, found, requests
+        F.col("isin").alias("isin_source"), F.col("ticker").alias("ticker_source"), *FIGI_COLUMNS).distinct().checkpoint()
+    matched = matched.unionByName(match(securities, found)[0]).distinct()
+    return matched, match(missing, found)[1], found, requests
 
 
 class SecurityMaster(NamedTuple):
@@ -310,7 +316,8 @@ def security_pre_figi(raw: DataFrame, type_map: DataFrame, country_map: DataFram
 
 def security_post_figi(matched: DataFrame, figi_exchange_map: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Matches with a share class -> uid of the security and of its ticker,
-    exchange, quote source and currency; (rows with an exchange, rows without)."""
+    exchange, quote source and currency; (rows with an exchange, rows without).
+    The rows are stored, as keys, tables and rejects all start from them."""
     m = L.lookup_join(matched.where(F.col("share_class_figi").isNotNull()), figi_exchange_map, "exchange_code_figi",
                       "listed_on", keep_unmapped=False)
     quote_source, currency = C.reference_quote_source(
@@ -320,6 +327,8 @@ def security_post_figi(matched: DataFrame, figi_exchange_map: DataFrame) -> tupl
                  "exchange_code_figi", F.col("share_class_figi").alias("security_uid"),
                  F.concat_ws("_", F.col("share_class_figi"), F.col("ticker_figi")).alias("security_ticker_uid"),
                  F.col("listed_on").alias("exchange_uid"), quote_source.alias("quote_source"), currency.alias("currency"))
+    ensure_checkpoint_dir(matched.sparkSession)
+    p = p.checkpoint()
     placed = F.col("exchange_uid").isNotNull()
     return p.where(placed), p.where(~placed)
 
@@ -338,8 +347,7 @@ def job_security_master(raw: DataFrame, maps: Mapping[str, DataFrame], figi: Dat
     matched = job_figi_match(pre, figi, responses)[0]
     post, no_exchange = security_post_figi(matched, maps["figi_exchange"])
     keyed, _ = K.assign_surrogate_keys(post, keys["security"], "security_uid", "security_id")
-    # the three tables start from one stored frame, not from three runs of the match
-    ensure_checkpoint_dir(raw.sparkSession)
+    # the three tables start from one stored frame
     keyed = keyed.checkpoint()
 
     security = A.collect_aliases(keyed, "security_id", name_col="name_figi", type_col="security_type_id",
