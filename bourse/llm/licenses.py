@@ -1,7 +1,7 @@
 """License scans by conditional compression.
 
-Sentences that speak of licences, and what stands between two of them that are
-close, make a candidate block. Windows of each block are compressed alone and
+Sentences that speak of licences, what stands between two of them that are
+close, and a few that follow make a candidate block. Windows of each block are compressed alone and
 with each template as a raw zstandard dictionary. Every template that saves
 MIN_SAVING of its own compressed size in some window is aligned word by word
 with the whole block, wherever it stands and however often, with its exact
@@ -51,6 +51,26 @@ _BSD_THREE = (
     " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior "
     "written permission.")
 
+_BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_MIT_LIABILITY = (
+    " IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF "
+    "OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of "
+    "the License, or (at your option) any later version.")
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+    "permission notice appear in all copies.")
+_UNLICENSE = "This is free and unencumbered software released into the public domain."
+#: Identifiers of the SPDX licence list for which a tag is a template.
+SPDX = ("0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only "
+        "GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib").split()
+
 #: Public licence texts and notices, fixed values.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -69,19 +89,51 @@ TEMPLATES = {
     "GPL-notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version."),
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
-        "permission notice appear in all copies."),
+    "AGPL-notice": _GNU.format(what="program", name="Affero General Public License", version="3"),
+    "BSD-2-Clause-text": _BSD_HEAD + _BSD_TWO + _BSD_DISCLAIMER,
+    "BSD-3-Clause-text": _BSD_HEAD + _BSD_TWO + _BSD_THREE + _BSD_DISCLAIMER,
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "
+        "\"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+        "Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this "
+        "restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or "
+        "derivative works are solely in the form of machine-executable object code generated by a source language processor."),
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "EPL-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/"),
+    "GPL-2.0-notice": _GNU.format(what="program", name="General Public License", version="2").replace("is free software:", "is free software;"),
+    "ISC": _ISC_GRANT,
+    "ISC-text": _ISC_GRANT + (
+        " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO "
+        "EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+        "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "LGPL-2.1-notice": _GNU.format(what="library", name="Lesser General Public License", version="2.1").replace("is free software:", "is free software;"),
+    "LGPL-3.0-notice": _GNU.format(what="program", name="Lesser General Public License", version="3"),
+    "MIT-full": _MIT_GRANT + _MIT_LIABILITY,
     "MIT": "Released under the MIT License.",
     "MIT-text": _MIT_GRANT,
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
         "http://mozilla.org/MPL/2.0/."),
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Unlicense": _UNLICENSE,
+    "Unlicense-text": _UNLICENSE + (
+        " Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software "
+        "to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt "
+        "act of relinquishment in perpetuity of all present and future rights to this software under copyright law."),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an "
+        "acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented "
+        "as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    **{f"{i}-tag": f"SPDX-License-Identifier: {i}" for i in SPDX},
 }
 
-#: Words that propose a sentence, and how many sentences may lie between two.
-TRIGGER = r"(?i)licen[sc]e|copyright|spdx|redistribut|permission|public domain|free software|warrant(?:y|ies)"
+#: Words that propose a sentence, and how many sentences may lie between two or
+#: follow the last one.
+TRIGGER = r"(?i)licen[sc]e|copyright|spdx|redistribut|permission|public domain|free software|warrant(?:y|ies)|liab(?:le|ility)|disclaim|misrepresent|mozilla"
 GAP = 2
 #: Least share of a template's compressed size saved, least share of its words found.
 MIN_SAVING, MATCH = 0.2, 0.85
@@ -96,17 +148,20 @@ _WORD = re.compile(r"\w+(?:[.-]\w+)*")
 _AFTER = re.compile(r"[^\w\s]*")
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Candidate blocks as (start, end)."""
+def blocks(text: str) -> list[tuple[int, int, int]]:
+    """Candidate blocks as (start, end, reach): ``end`` after the last sentence
+    that speaks of licences, ``reach`` after those that follow."""
     out: list[list[int]] = []
     for i, m in enumerate(_SENTENCE.finditer(text)):
         if _TRIGGER.search(m[0]):
             start = m.start() + len(m[0]) - len(m[0].lstrip())
-            if out and i - out[-1][2] <= GAP + 1:
-                out[-1][1:] = [m.end(), i]
+            if out and i - out[-1][3] <= GAP + 1:
+                out[-1][1:] = [m.end(), m.end(), i]
             else:
-                out.append([start, m.end(), i])
-    return [(a, b) for a, b, _ in out]
+                out.append([start, m.end(), m.end(), i])
+        elif out and i - out[-1][3] <= GAP:
+            out[-1][2] = m.end()
+    return [(a, b, c) for a, b, c, _ in out]
 
 
 def words(text: str) -> list[str]:
@@ -188,15 +243,17 @@ class Scanner:
             taken[matched[0][1]:matched[-1][1] + 1] = True
             yield matched[0][1], matched[-1][1], matched
 
-    def scan(self, block: str) -> list[tuple]:
-        """Rows of the licences in a block, in text order."""
+    def scan(self, block: str, end: int | None = None) -> list[tuple]:
+        """Rows of the licences in a block, in text order; what follows ``end``
+        is read where a licence is aligned, but not compressed."""
         at = [m.span() for m in _WORD.finditer(block)]
-        if not at:
+        core = [x for x in at if end is None or x[1] <= end]
+        if not core:
             return []
         plain = [block[a:b].lower() for a, b in at]
         got = np.array([self.number.get(w, -1) for w in plain], np.int32)
         found = []
-        for name, (saving, alone, given) in self.savings(block, at).items():
+        for name, (saving, alone, given) in self.savings(block, core).items():
             if saving < MIN_SAVING:
                 continue
             want = self.words[name]
@@ -206,8 +263,8 @@ class Scanner:
                 besides = [plain[k] for k in range(first, last + 1) if k not in in_got]
                 # the most words found less the differences, then the larger saving
                 rank = (len(lacks) + len(besides) - len(matched), -saving, name, first)
-                end = _AFTER.match(block, at[last][1]).end()
-                found.append((rank, first, last, (at[first][0], end, name, "modified" if lacks or besides else "exact", alone, given, round(saving, 6), " ".join(lacks), " ".join(besides))))
+                close = _AFTER.match(block, at[last][1]).end()
+                found.append((rank, first, last, (at[first][0], close, name, "modified" if lacks or besides else "exact", alone, given, round(saving, 6), " ".join(lacks), " ".join(besides))))
         taken, out = np.zeros(len(got), bool), []
         for _, first, last, row in sorted(found):
             if not taken[first:last + 1].any():
@@ -228,8 +285,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
         for batch in slices(batches):
             at, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                for start, end in blocks(text):
-                    for first, last, *found in scanner.scan(text[start:end]):
+                for start, end, reach in blocks(text):
+                    for first, last, *found in scanner.scan(text[start:reach], end - start):
                         at.append(i)
                         rows.append((start + first, start + last, *found))
             cols = list(zip(*rows)) or [()] * len(FIELDS)

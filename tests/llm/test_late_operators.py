@@ -302,3 +302,44 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows if i % 2 == 0 or i % 5 == 0], "doc_id long, toxic int")
     kept = {r.doc_id for r in toxicity.keep_clean(docs, toxicity.train(docs, labels)).collect()}
     assert not [i for i, _ in rows if i % 4 == 0 and i in kept] and len([i for i, _ in rows if i % 4 and i not in kept]) <= 4
+
+
+# ---- 5
+
+def test_every_template_is_found_at_every_place(spark):
+    """Exact, and with a word in forty changed: name, span and differences
+    against a plain word-by-word search."""
+    import re
+
+    from bourse.llm import licenses
+
+    rng = random.Random(5)
+    noise = lambda n: " ".join("".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    texts, want, i = [], {}, 0
+    for name, template in licenses.TEMPLATES.items():
+        for before, after in ((0, 12), (9, 0), (30, 30)):
+            head, tail = noise(before), noise(after)
+            texts.append((i, (head + ".\n" if head else "") + template + ("\n" + tail if tail else "")))
+            want[i] = (name, "exact", template)
+            i += 1
+        words = template.split(" ")
+        if len(words) >= 40:
+            plain = [k for k, w in enumerate(words) if re.fullmatch(r"[a-z]+", w)]
+            changed = [("zzword" if k in plain[10::40] else w) for k, w in enumerate(words)]
+            texts.append((i, noise(10) + ".\n" + " ".join(changed) + "\n" + noise(10)))
+            want[i] = (name, "modified", " ".join(changed))
+            i += 1
+    found = defaultdict(list)
+    for r in licenses.scan_licenses(docs_frame(spark, texts)).collect():
+        found[r.doc_id].append(r)
+    for i, text in texts:
+        name, status, written = want[i]
+        rows = [r for r in found[i] if r.license == name]
+        assert len(rows) == 1 and rows[0].status == status, (name, status, [(r.license, r.status) for r in found[i]])
+        at = text.index(written)
+        first = re.search(r"\w", written).start()
+        assert rows[0].start == at + first and text[rows[0].start:rows[0].end].split() == written[first:].split(), name
+        if status == "modified":
+            plain = licenses.words(licenses.TEMPLATES[name])
+            assert rows[0].lacks.split() == [p for p, w in zip(plain, licenses.words(written)) if p != w]
+            assert set(rows[0].besides.split()) == {"zzword"}
