@@ -70,15 +70,23 @@ def collect_aliases(df: DataFrame, key: str, name_col: str = "name", isin_col: s
         F.min(type_col).alias("type"),
         F.min(name_col).alias("name"),
         F.array_sort(F.collect_set(name_col)).alias("_names"),
-        F.array_sort(F.collect_set(isin_col)).alias("_isins"),
+        F.min(isin_col).alias("isin"),
     )
     return g.select(
         key, *extra_keys, "type", "name",
         F.filter("_names", lambda x: x != F.col("name")).alias("aliases"),
-        F.get(F.col("_isins"), 0).alias("isin"),
+        "isin",
     )
 
 
+def alias_rows(df: DataFrame, key: str, name_col: str = "name") -> DataFrame:
+    """The same aliases as rows ``(key, name, alias)``: for keys that may have
+    any number of names, of which no list is gathered."""
+    names = df.select(key, F.col(name_col).alias("alias")).where(F.col("alias").isNotNull()).distinct()
+    first = df.groupBy(key).agg(F.min(name_col).alias("name"))
+    return names.join(first, key).where("alias <> name").select(key, "name", "alias")
+
+
 def group_to_batches(df: DataFrame, group_cols: Sequence[str], item_cols: Sequence[str],
                      max_items: int) -> DataFrame:
     """Request fan-out lists: per group, its items as sorted lists of at most

@@ -177,19 +177,25 @@ ENTITY_COLUMNS = {
     "Registration.RegistrationStatus": "registration_status"}
 
 
-def job_entity(spark: SparkSession, zip_dir: str) -> DataFrame:
-    """Legal-entity archives -> the entity table's columns; empty text is NULL."""
-    raw = R.read_zip_csv(spark, zip_dir, list(ENTITY_COLUMNS))
-    return PR.project_rename(C.sentinel_to_null(raw, ("",)), ENTITY_COLUMNS)
+def _landed_csv(spark: SparkSession, csv_dir: str, columns: Sequence[str], multi_line: bool) -> DataFrame:
+    """Landed CSV text with a header, as text columns; empty text is NULL.
+    Archives are unpacked where they land."""
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(csv_dir)
+    return C.sentinel_to_null(raw.select(*[F.col(f"`{c}`").alias(c) for c in columns]), ("",))
 
 
-def job_entity_isin(spark: SparkSession, zip_dir: str, isin_keys: DataFrame, entity_keys: DataFrame,
+def job_entity(spark: SparkSession, csv_dir: str, multi_line: bool = False) -> DataFrame:
+    """Legal-entity files -> the entity table's columns; empty text is NULL.
+    ``multi_line``: values may hold line breaks (a file is then one task)."""
+    return PR.project_rename(_landed_csv(spark, csv_dir, list(ENTITY_COLUMNS), multi_line), ENTITY_COLUMNS)
+
+
+def job_entity_isin(spark: SparkSession, csv_dir: str, isin_keys: DataFrame, entity_keys: DataFrame,
                     at: _dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    """(LEI, ISIN) archives -> surrogate id of the ISIN (new ones are assigned)
+    """(LEI, ISIN) files -> surrogate id of the ISIN (new ones are assigned)
     and of the entity (rows of unknown entities go), overwrite stamps.
     Returns (table, new ISIN keys)."""
-    raw = R.read_zip_csv(spark, zip_dir, ["LEI", "ISIN"])
-    pairs = PR.project_rename(C.sentinel_to_null(raw, ("",)), {"LEI": "lei", "ISIN": "isin"}).distinct()
+    pairs = PR.project_rename(_landed_csv(spark, csv_dir, ["LEI", "ISIN"], False), {"LEI": "lei", "ISIN": "isin"}).distinct()
     keyed, new = K.assign_surrogate_keys(pairs, isin_keys, "isin", "id")
     keyed, _ = K.assign_surrogate_keys(keyed, entity_keys, "lei", "entity_id", add_missing=False)
     return WR.stamp_overwrite(keyed, at), new

@@ -11,7 +11,6 @@ from ..functions.dates import ntz_lit
 from ..operators import filters as FL
 from ..session import scratch_path
 from ..sinks import writers as WR
-from ..sources import readers as R
 from . import jobs as J
 from .both import ctes, frame, key_cte
 from .docs import v_doc
@@ -272,8 +271,8 @@ _ENTITY = ("SELECT " + ", ".join(f"{v} AS {k}" for k, v in _ENTITY_VALUES.items(
 def q_job_entity(spark, sf_dir):
     e = frame(spark, sf_dir, _ENTITY)
     e = e.select(*[F.col(dst).alias(src) for src, dst in J.ENTITY_COLUMNS.items()])
-    folder = scratch_path(spark, "lei-zip")
-    R.write_zip_csv(e, folder, list(J.ENTITY_COLUMNS), rows_per_archive=400).collect()
+    folder = scratch_path(spark, "lei")
+    WR.write_format(e, folder, "csv")
     return J.job_entity(spark, folder)
 
 
@@ -290,8 +289,8 @@ FROM p JOIN keys k ON k.uid = p.isin JOIN e ON e.uid = p.lei""", extra=ctes(p=_P
     | {"keys": key_cte("known", "p", "isin")}))
 def q_job_entity_isin(spark, sf_dir):
     pairs = frame(spark, sf_dir, _PAIRS).select(F.col("lei").alias("LEI"), F.col("isin").alias("ISIN"))
-    folder = scratch_path(spark, "lei-isin-zip")
-    R.write_zip_csv(pairs, folder, ["LEI", "ISIN"], rows_per_archive=5000).collect()
+    folder = scratch_path(spark, "lei-isin")
+    WR.write_format(pairs, folder, "csv")
     out, _new = J.job_entity_isin(spark, folder, frame(spark, sf_dir, _ISIN_KEYS), frame(spark, sf_dir, _ENTITY_KEYS), _AT)
     return out
 

@@ -349,6 +349,15 @@ def q_collect_aliases(spark, sf_dir):
     return out.select("figi", "type", "name", F.array_join("aliases", "|").alias("aliases"), "isin")
 
 
+@register("collect_aliases_rows", with_views("""
+SELECT DISTINCT figi, name, alias FROM (SELECT 'F' || exchange_code AS figi, name AS alias, min(name) OVER (PARTITION BY exchange_code) AS name FROM v_security)
+WHERE alias <> name""", "v_security"))
+def q_collect_aliases_rows(spark, sf_dir):
+    """A venue has as many names as the table: one row for each."""
+    s = _sec(spark, sf_dir).withColumn("figi", F.concat(F.lit("F"), F.col("exchange_code")))
+    return A.alias_rows(s, "figi")
+
+
 @register("group_to_batches", with_views("""
 SELECT exchange_code, type, batch, count(*) AS n_items, array_to_string(list_sort(list(code)), ',') AS codes
 FROM (SELECT exchange_code, type, code,
