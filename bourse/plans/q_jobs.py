@@ -272,7 +272,7 @@ def q_job_entity(spark, sf_dir):
     e = frame(spark, sf_dir, _ENTITY)
     e = e.select(*[F.col(dst).alias(src) for src, dst in J.ENTITY_COLUMNS.items()])
     folder = scratch_path(spark, "lei")
-    WR.write_format(e, folder, "csv")
+    e.write.option("header", True).option("escape", '"').csv(folder)   # quotes doubled, as vendors write them
     return J.job_entity(spark, folder)
 
 
