@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from bourse.llm import bpe, mixing, order_minhash, pii, toxicity
-from bourse.llm.common import stage, table
+from bourse.llm.common import stage, table, unstage
 from bourse.llm.queries import MIX_ALPHA, MIX_SEED, MIX_WEIGHTS
 
 
@@ -56,8 +56,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; what a stage
+    read goes when the next one is written."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        done = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        unstage(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
