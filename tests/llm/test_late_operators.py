@@ -1,7 +1,6 @@
 """Merkle manifest, language identification and token alignment against plain
 versions; repeated ids with different content; time in proportion to length."""
 
-import hashlib
 import random
 import time
 import zlib
