@@ -9,7 +9,8 @@ the driver meets only the matrix of log probabilities. It is trained on about MA
 chosen by a hash of id and text (all texts where a language has no more). The
 matrix has one row for each bucket and one column for each language; the number
 of buckets is the largest power of two that keeps it within MATRIX_BYTES, so
-what is broadcast has that bound however many languages there are.
+what is broadcast has that bound for up to 60,000 languages (256 buckets, the
+least, grow with the languages beyond).
 
 Scoring is one pass over whole texts in Arrow batches: the rows of a text's
 n-grams are gathered and added up, a bounded number at a time, and the language
