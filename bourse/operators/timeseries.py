@@ -127,12 +127,23 @@ def _day_seq(start: Column, end_excl: Column) -> Column:
 def calendar_densify(q: DataFrame, start, end, keys: Sequence[str] = KEYS, date_col: str = "date",
                      value_cols: Sequence[str] = ("adjusted_close",)) -> DataFrame:
     """Every key of ``q`` times every day of [start, end), left-joined to the
-    quotes of that day. The calendar is generated per key (explode of a
-    sequence), so no Cartesian product is planned."""
+    quotes of that day. Only the quotes are shuffled, by key: each gives its own
+    day and the days without a quote up to the next one of its key (the first
+    also those before it), so the dense rows are made where they are used and
+    stay partitioned by key. A key with a NULL part has days but no quotes, and
+    one without quotes in the window has its days."""
     s, e = as_date_col(start), as_date_col(end)
-    dense = q.select(*keys).distinct().select(*keys, F.explode(_day_seq(s, e)).alias(date_col))
-    qq = q.select(*keys, date_col, *value_cols).where((F.col(date_col) >= s) & (F.col(date_col) < e))
-    return dense.join(qq, [*keys, date_col], "left")
+    d = F.col(date_col)
+    held = (d >= s) & (d < e)
+    for k in keys:
+        held = held & F.col(k).isNotNull()
+    # quotes outside the window stand on the day before it: they only name their key
+    at = q.select(*keys, F.when(held, d).otherwise(F.date_sub(s, 1)).alias("_at"), *value_cols)
+    w = W.partitionBy(*keys).orderBy("_at")
+    at = at.withColumn("_from", F.when(F.lag("_at").over(w).isNull(), s).otherwise(F.greatest("_at", s)))
+    at = at.withColumn("_to", F.greatest(F.coalesce(F.lead("_at").over(w), e), F.date_add("_at", 1)))
+    days = at.select(*keys, "_at", *value_cols, F.explode(_day_seq(F.col("_from"), F.col("_to"))).alias(date_col))
+    return days.select(*keys, date_col, *[F.when(d == F.col("_at"), F.col(c)).alias(c) for c in value_cols])
 
 
 def _segmented_last(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, out_col: str,

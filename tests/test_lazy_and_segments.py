@@ -150,3 +150,23 @@ def test_written_layouts_read_back(spark, tmp_path):
     a = str(tmp_path / "a")
     WR.write_format(spark.createDataFrame([("1", "x")], "a string, b string"), a, "csv")
     assert R.read_csv_inferred(spark, [a]).collect()[0].asDict() == {"a": "1", "b": "x"}
+
+
+def test_dense_rows_are_not_shuffled(spark):
+    """A key's days are made after its quotes were dealt out, for hot keys, keys without quotes in the window and NULL keys."""
+    import datetime as dt
+    day = lambda n: dt.date(2001, 1, 1) + dt.timedelta(days=n)
+    rows = [("a", "X", day(2), 1.0), ("a", "X", day(2), 2.0), ("a", "X", day(5), None), ("a", "X", day(-3), 9.0), ("a", "X", day(40), 9.0),
+            ("b", "X", day(0), 3.0), ("b", "X", day(9), 4.0), ("c", "X", day(-1), 5.0), ("c", "X", day(-1), 5.0), ("d", "X", None, 6.0),
+            (None, "X", day(3), 7.0), (None, "X", day(3), 8.0), ("e", None, day(3), 7.0)]
+    q = spark.createDataFrame(rows, "security_code string, exchange_code string, date date, adjusted_close double")
+    dense = TS.calendar_densify(q, day(0), day(10))
+    keys = ["security_code", "exchange_code"]
+    days = spark.createDataFrame([(day(n),) for n in range(10)], "date date")
+    want = q.select(*keys).distinct().crossJoin(days).join(q, [*keys, "date"], "left").select(*dense.columns)
+    assert dense.columns == [*keys, "date", "adjusted_close"]
+    assert sorted(map(repr, dense.collect())) == sorted(map(repr, want.collect()))
+    assert TS.calendar_densify(q, day(3), day(3)).count() == 0
+    summed = dense.groupBy(*keys, F.year("date")).agg(F.count("*"))
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1, plan
