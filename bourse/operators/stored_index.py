@@ -151,9 +151,10 @@ class StoredIndex:
 
 def word_postings(df: DataFrame, id_col: str, text_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Postings of a text's words, positions from 1 on, and the rows with their
-    number of words. Rows without words are rows."""
+    number of words. Rows without words are rows. The texts are dealt by id, so
+    that their words are grouped where they are split and are not shuffled."""
     text = F.concat_ws(" ", *[F.col(c) for c in text_cols])
-    words = spread(df).select(F.col(id_col).alias("id"), tokens_col(text).alias("_t"))
+    words = df.select(F.col(id_col).alias("id"), text.alias("_x")).repartition("id").select("id", tokens_col(F.col("_x")).alias("_t"))
     each = words.select("id", F.posexplode("_t").alias("_p", "term"), F.size("_t").cast("bigint").alias("size"))
     postings = each.groupBy("id", "term", "size").agg(F.array_sort(F.collect_list((F.col("_p") + 1).cast("int"))).alias("positions"))
     return postings, words.select("id", F.size("_t").cast("bigint").alias("size"))

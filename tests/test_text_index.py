@@ -87,3 +87,14 @@ def test_gram_index_gives_the_row_wise_rows(spark, tmp_path, threshold):
         assert 903 not in {r.id for r in index.postings(q, 3, 40).collect()}
     with pytest.raises(ValueError):
         index.similar("x", 0)
+
+
+def test_words_are_grouped_where_texts_are_split(spark):
+    """Texts are dealt out by id; their words are not shuffled once more."""
+    docs = spark.createDataFrame([(1, "one two one"), (2, ""), (3, None), (4, "two")], "doc_id long, text string")
+    postings, rows = SI.word_postings(docs, "doc_id", ["text"])
+    got = {(r["id"], r["term"], tuple(r["positions"]), r["size"]) for r in postings.collect()}
+    assert got == {(1, "one", (1, 3), 3), (1, "two", (2,), 3), (4, "two", (1,), 1)}
+    assert sorted((r["id"], r["size"]) for r in rows.collect()) == [(1, 3), (2, 0), (3, 0), (4, 1)]
+    plan = SI.word_postings(docs, "doc_id", ["text"])[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan
