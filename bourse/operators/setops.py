@@ -13,15 +13,19 @@ from ..functions.dates import as_date_col
 
 def union_all_periods(q: DataFrame, periods: Sequence[tuple[str, object]], as_of,
                       keys: Sequence[str] = ("security_code", "exchange_code"), date_col: str = "date") -> DataFrame:
-    """One UNION ALL branch per period, computed in a single scan: each quote
-    row is exploded into the periods whose window [start, as_of] holds it,
-    then one aggregation counts per (key, period). Replaces N scans of the
-    same input by one."""
+    """One UNION ALL branch per period, computed in a single scan: the quotes of
+    a key that each period's window [start, as_of] holds are counted side by
+    side, and the counts above zero become rows. Replaces N scans of the same
+    input by one; an aggregation holds one row per key, not one per period."""
     a = as_date_col(as_of)
     d = F.col(date_col)
-    tagged = F.array(*[F.when((d >= as_date_col(s)) & (d <= a), F.lit(name)) for name, s in periods])
-    ex = q.select(*keys, F.explode(F.array_compact(tagged)).alias("period"))
-    return ex.groupBy(*keys, "period").agg(F.count(F.lit(1)).alias("n_quotes"))
+    starts: dict[str, list] = {}
+    for name, s in periods:
+        starts.setdefault(name, []).append(as_date_col(s))
+    held = [reduce(lambda x, y: x + y, [F.count_if((d >= s) & (d <= a)) for s in of]) for of in starts.values()]
+    counts = q.groupBy(*keys).agg(*[n.alias(f"_n{i}") for i, n in enumerate(held)])
+    per = F.array(*[F.struct(F.lit(name).alias("period"), F.col(f"_n{i}").alias("n_quotes")) for i, name in enumerate(starts)])
+    return counts.select(*keys, F.inline(per)).where(F.col("n_quotes") > 0)
 
 
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:

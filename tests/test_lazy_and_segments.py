@@ -170,3 +170,17 @@ def test_dense_rows_are_not_shuffled(spark):
     summed = dense.groupBy(*keys, F.year("date")).agg(F.count("*"))
     plan = summed._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") == 1, plan
+
+
+def test_periods_are_counted_side_by_side(spark):
+    """One row per key is aggregated, not one per key and period; empty periods have no row."""
+    import datetime as dt
+    from bourse.operators import setops as S
+    day = lambda n: dt.date(2001, 1, 1) + dt.timedelta(days=n)
+    rows = [("a", "X", day(1)), ("a", "X", day(8)), ("a", "X", day(11)), ("b", "X", day(1)), ("c", None, day(9)), ("d", "X", None)]
+    q = spark.createDataFrame(rows, "security_code string, exchange_code string, date date")
+    out = S.union_all_periods(q, [("ALL", day(0)), ("LAST", day(5))], day(10))
+    assert out.columns == ["security_code", "exchange_code", "period", "n_quotes"]
+    assert {tuple(r) for r in out.collect()} == {("a", "X", "ALL", 2), ("a", "X", "LAST", 1), ("b", "X", "ALL", 1), ("c", None, "ALL", 1), ("c", None, "LAST", 1)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("HashAggregate"), plan
