@@ -3,8 +3,12 @@ round 3)."""
 
 import datetime as dt
 import json
+import re
 
+from bourse.functions.dates import try_parse_date
+from bourse.operators import fundamentals as FU
 from bourse.plans.docs import v_doc
+from pyspark.sql import functions as F
 
 
 def _tables(spark, path, lines, orders):
@@ -39,3 +43,35 @@ def test_documents_shuffle_plain_values_and_keep_their_text(spark, tmp_path):
     bare = got[(2, None)]
     assert bare["outstandingShares"] == bare["Earnings"] == bare["Highlights"] == {} and "Components" not in bare
     assert bare["Financials"]["Cash_Flow"] == {"currency_symbol": "USD"} and "Officers" not in bare["General"]
+
+
+def test_only_possible_common_stock_is_parsed(spark):
+    texts = ['{"General":{"Code":"A","Type":"Common Stock","Exchange":"X"},"Valuation":{"TrailingPE":1}}',
+             '{"General":{"Code":"B","Type":"Common\\u0020Stock","Exchange":"X"},"Valuation":{"TrailingPE":2}}',
+             '{"General":{"Code":"C","Type":"ETF","Exchange":"X"},"Valuation":{"TrailingPE":3}}', "Common Stock", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "doc_text string")
+    rows = FU.fund_category(docs, "fund_valuation")
+    assert re.search(r"from_json\(.*CASE WHEN .*contains", _plan(rows), re.I)
+    got = {(r.security_code, r.value) for r in rows.where("metric = 'TrailingPE'").collect()}
+    assert got == {("A", "1"), ("B", "2")} and rows.count() == 2 * len(FU.VALUATION_FIELDS)
+
+
+def test_a_sub_object_is_parsed_once_for_its_fields(spark):
+    docs = spark.createDataFrame([('{"General":{"Code":"A","Type":"Common Stock","AddressData":{"Street":"S","ZIP":"1"}}}',)], "doc_text string")
+    rows = FU.fund_category(docs, "fund_general")
+    generate = [g for g in _plan(rows).splitlines() if "Generate inline" in g]
+    assert len(generate) == 1 and generate[0].count("AddressData") == 1
+    got = [(r.metric, r.value) for r in rows.collect()]
+    names = [f for g in FU.GENERAL_FIELDS for f in (FU.ADDRESS_FIELDS if g == "AddressData" else [g])]
+    assert [m for m, _ in got] == names
+    assert {m: v for m, v in got if v} == {"Code": "A", "Type": "Common Stock", "Street": "S", "ZIP": "1"}
+
+
+def test_usual_dates_are_cast_and_others_parsed(spark):
+    texts = ["2001-02-28", "2001-02-30", "0000-01-01", "0001-01-01", "2001-2-3", " 2001-02-03", "2001-02-03\n", "2001-02-03T00:00:00", "+12345-01-01", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", try_parse_date(F.col("t"), "yyyy-MM-dd").cast("string").alias("a"),
+                    F.to_date(F.try_to_timestamp("t", F.lit("yyyy-MM-dd"))).cast("string").alias("b"))
+    assert "cast(t" in _plan(got).lower()
+    for r in got.collect():
+        assert r.a == r.b, r
