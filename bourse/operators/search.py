@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
 from ..functions.predicates import filter_set_predicate
 from .filters import paginate
 
@@ -234,9 +235,11 @@ def trigrams_col(text: Column) -> Column:
     ("  w1   w2 ... wn ") and all overlapping 3-grams are read in one regex
     pass; the pattern skips the substrings that straddle two words."""
     words = F.array_distinct(tokens_col(text))
+    # each value is used once, as nothing here is computed once for two uses;
+    # without words there are three spaces, which hold no gram
     padded = F.concat(F.lit("  "), F.array_join(words, "   "), F.lit(" "))
     grams = F.regexp_extract_all(padded, F.lit(_GRAM_PATTERN), F.lit(1))
-    return F.when(F.size(words) > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.array_distinct(grams), F.array().cast("array<string>"))
 
 
 def query_trigrams(q: str) -> list[str]:
@@ -254,10 +257,13 @@ def similarity_col(text: Column, query: str) -> Column:
     """Shared / union of trigram sets (0 when both are empty)."""
     q = query_trigrams(query)
     qa = F.array(*[F.lit(g) for g in q]) if q else F.array().cast("array<string>")
-    g = trigrams_col(text)
-    inter = F.size(F.array_intersect(g, qa))
-    union = F.size(g) + F.lit(len(q)) - inter          # both sets are distinct
-    return F.when(union > 0, inter / union).otherwise(F.lit(0.0))
+
+    def similarity(c: Column) -> Column:
+        union = c["size"] + F.lit(len(q)) - c["shared"]          # both sets are distinct
+        return F.when(union > 0, c["shared"] / union).otherwise(F.lit(0.0))
+
+    counts = let(trigrams_col(text), lambda g: F.struct(F.size(g).alias("size"), F.size(F.array_intersect(g, qa)).alias("shared")))
+    return let(counts, similarity)
 
 
 def trigram_similarity(df: DataFrame, id_col: str, text_col: str, query: str,

@@ -7,6 +7,7 @@ import re
 
 from bourse.functions.dates import try_parse_date
 from bourse.operators import fundamentals as FU
+from bourse.operators import search as SE
 from bourse.plans.docs import v_doc
 from pyspark.sql import functions as F
 
@@ -75,3 +76,11 @@ def test_usual_dates_are_cast_and_others_parsed(spark):
     assert "cast(t" in _plan(got).lower()
     for r in got.collect():
         assert r.a == r.b, r
+
+
+def test_a_text_is_split_once_for_its_similarity(spark):
+    df = spark.createDataFrame([(1, "Ab ab, cd"), (2, "..."), (3, ""), (4, None)], "id long, t string")
+    out = SE.trigram_similarity(df, "id", "t", "ab ce", threshold=0.0)
+    assert _plan(out).count("regexp_extract_all(") == _plan(out).count("split(lower(") == 1
+    # '  a' ' ab' 'ab ' are shared, '  c' too; 'ce ' and ' ce' against 'cd ' and ' cd'
+    assert {r.id: r.similarity for r in out.collect()} == {1: 4 / 8, 2: 0.0, 3: 0.0, 4: 0.0}
