@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def mapping_slice(m: DataFrame, product: str | None = None, source: str | None = None,
                   field: str | None = None, active_only: bool = True) -> DataFrame:
@@ -219,3 +221,22 @@ def interval_self_join(q: DataFrame, keys: Sequence[str], date_col: str, value_c
     j = b.join(r, cond, "left")
     return j.select(*keys, date_col, value_col, F.col("_ref").alias(out_prefix + date_col),
                     out_prefix + value_col)
+
+
+def cross_join_agg(left: DataFrame, right: DataFrame, by: Sequence[str], aggs: Sequence[Column],
+                   keys_per_task: int = 4096) -> DataFrame:
+    """The distinct rows of ``left`` times all rows of ``right``, aggregated per
+    row of ``left`` and the ``by`` columns of ``right``.
+
+    The product is grouped by a number of the left row instead of its columns:
+    hashing those again for every row of the product costs more than the
+    product. The numbers are staged, so that both sides of the join that brings
+    the columns back see the same ones; a task holds the groups of about
+    ``keys_per_task`` left rows, however many there are."""
+    spark = left.sparkSession
+    path = scratch_path(spark, "keys")
+    left.distinct().withColumn("_key", F.monotonically_increasing_id()).write.parquet(path)
+    keys = spark.read.parquet(path)
+    keys = keys.repartition(keys.count() // keys_per_task + 1, "_key")
+    groups = keys.select("_key").crossJoin(right).groupBy("_key", *by).agg(*aggs)
+    return groups.join(keys.hint("shuffle_hash"), "_key").select(*left.columns, *[c for c in groups.columns if c != "_key"])

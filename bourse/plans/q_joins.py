@@ -193,9 +193,9 @@ SELECT k.security_code, k.exchange_code, CAST(year(c.range) AS INTEGER) AS year,
 FROM (SELECT DISTINCT security_code, exchange_code FROM v_quote) k
 CROSS JOIN range({lit(_DECADE)}, {lit(QUOTE_AS_OF)}, INTERVAL 1 DAY) c GROUP BY ALL""", "v_quote"))
 def q_cross_join_ten_years(spark, sf_dir):
-    keys = v_quote(spark, sf_dir).select(*ts.KEYS).distinct()
-    days = keys.select(*ts.KEYS, F.explode(ts._day_seq(F.lit(_DECADE), F.lit(QUOTE_AS_OF))).alias("date"))
-    return days.groupBy(*ts.KEYS, F.year("date").alias("year")).agg(F.count("*").alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    days = spark.range(1).select(F.explode(ts._day_seq(F.lit(_DECADE), F.lit(QUOTE_AS_OF))).alias("date"))
+    return L.cross_join_agg(v_quote(spark, sf_dir).select(*ts.KEYS), days.select("date", F.year("date").alias("year")), ["year"],
+                            [F.count("*").alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day")])
 
 
 @register("interval_self_join", with_views("""

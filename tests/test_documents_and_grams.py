@@ -7,8 +7,10 @@ import re
 
 from bourse.functions.dates import try_parse_date
 from bourse.operators import fundamentals as FU
+from bourse.operators import lookup as L
 from bourse.operators import search as SE
 from bourse.plans.docs import v_doc
+from bourse.plans.q_joins import q_cross_join_ten_years
 from pyspark.sql import functions as F
 
 
@@ -84,3 +86,26 @@ def test_a_text_is_split_once_for_its_similarity(spark):
     assert _plan(out).count("regexp_extract_all(") == _plan(out).count("split(lower(") == 1
     # '  a' ' ab' 'ab ' are shared, '  c' too; 'ce ' and ' ce' against 'cd ' and ' cd'
     assert {r.id: r.similarity for r in out.collect()} == {1: 4 / 8, 2: 0.0, 3: 0.0, 4: 0.0}
+
+
+def test_ten_years_of_days_are_grouped_by_a_number_of_their_key(spark, tmp_path):
+    t = dt.datetime(1999, 2, 28, 7)
+    _tables(spark, str(tmp_path), [(1, part, 6, n, 3.0, 1.5, 0.1, 0.02, "N", status, t)
+                                   for n, (part, status) in enumerate([(5, "F"), (5, "F"), (5, None), (None, "O"), (None, None)])], [])
+    out = q_cross_join_ten_years(spark, str(tmp_path))
+    groups = re.findall(r"Aggregate \[([^\]]*)\]", _plan(out))
+    assert groups and not any("security_code" in g for g in groups)
+    rows = out.collect()
+    assert {(r.security_code, r.exchange_code) for r in rows} == {("5", "F"), ("5", None), (None, "O"), (None, None)}
+    assert len(rows) == 4 * 11 and sum(r.n_days for r in rows) == 4 * 3653
+    assert {(r.n_days, r.first_day, r.last_day) for r in rows if r.year == 1996} == {(366, dt.date(1996, 1, 1), dt.date(1996, 12, 31))}
+
+
+def test_a_cross_join_is_dealt_to_tasks_by_its_keys(spark):
+    left = spark.range(10).selectExpr("if(id = 3, null, string(id)) k").union(spark.createDataFrame([("1",), (None,)], "k string"))
+    right = spark.createDataFrame([(7, "a"), (9, "a"), (1, "b")], "v int, g string")
+    out = L.cross_join_agg(left, right, ["g"], [F.sum("v").alias("s")], keys_per_task=2)
+    assert out.columns == ["k", "g", "s"]
+    keys = [str(i) if i != 3 else None for i in range(10)]
+    assert sorted(map(str, out.collect())) == sorted(str(r) for r in spark.createDataFrame([(k, g, s) for k in keys for g, s in (("a", 16), ("b", 1))], "k string, g string, s long").collect())
+    assert "RepartitionByExpression [_key" in _plan(out) and re.search(r"RepartitionByExpression \[_key#\d+L\], 6", _plan(out))
