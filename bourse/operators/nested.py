@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +44,12 @@ def parse_documents(df: DataFrame, text_col: str, schema, out_col: str = "doc",
 
 
 def deep_get(text_col: Column, path: Sequence[str]) -> Column:
-    """Nested lookup by key path on JSON text; missing -> NULL."""
+    """Nested lookup by key path on JSON text; missing -> NULL. A text without
+    one of the keys is not parsed, unless it may hold the key with escapes."""
     p = "$" + "".join(f"['{k}']" for k in path)
-    return F.get_json_object(text_col, p)
+    names = [text_col.contains(k) for k in path if k != "*"]    # ['*'] stands for any key
+    value = F.get_json_object(text_col, p)
+    return F.when(reduce(and_, names) | text_col.contains("\\"), value) if names else value
 
 
 def map_get(m: Column, key: str) -> Column:

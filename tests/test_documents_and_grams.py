@@ -8,6 +8,7 @@ import re
 from bourse.functions.dates import try_parse_date
 from bourse.operators import fundamentals as FU
 from bourse.operators import lookup as L
+from bourse.operators import nested as N
 from bourse.operators import search as SE
 from bourse.plans.docs import v_doc
 from bourse.plans.q_joins import q_cross_join_ten_years
@@ -109,3 +110,13 @@ def test_a_cross_join_is_dealt_to_tasks_by_its_keys(spark):
     keys = [str(i) if i != 3 else None for i in range(10)]
     assert sorted(map(str, out.collect())) == sorted(str(r) for r in spark.createDataFrame([(k, g, s) for k in keys for g, s in (("a", 16), ("b", 1))], "k string, g string, s long").collect())
     assert "RepartitionByExpression [_key" in _plan(out) and re.search(r"RepartitionByExpression \[_key#\d+L\], 6", _plan(out))
+
+
+def test_a_text_without_a_key_is_not_parsed_for_it(spark):
+    texts = ['{"a":{"b":1.50}}', '{"a":{"c":2}}', '{"a":{"\\u0062":3}}', '{"a":{"b":null}}', "{'a':{'b':'x'}}", '{"b":{"a":5}}', '{"a":{"b":6}', "", "b a", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for path in (["a", "b"], ["a"], ["a", "*"], ["*"], []):
+        plain = F.get_json_object("t", "$" + "".join(f"['{k}']" for k in path))
+        got = df.select("i", N.deep_get(F.col("t"), path).alias("v"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.select("i", plain).collect())), path
+    assert "Contains(t#" in _plan(df.select(N.deep_get(F.col("t"), ["a", "b"])))
