@@ -10,7 +10,8 @@ from bourse.operators import fundamentals as FU
 from bourse.operators import lookup as L
 from bourse.operators import nested as N
 from bourse.operators import search as SE
-from bourse.plans.docs import v_doc
+from bourse.plans.docs import _cents, v_doc
+from bourse.plans.q_jobs import q_job_fundamental_rejects
 from bourse.plans.q_joins import q_cross_join_ten_years
 from pyspark.sql import functions as F
 
@@ -120,3 +121,40 @@ def test_a_text_without_a_key_is_not_parsed_for_it(spark):
         got = df.select("i", N.deep_get(F.col("t"), path).alias("v"))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.select("i", plain).collect())), path
     assert "Contains(t#" in _plan(df.select(N.deep_get(F.col("t"), ["a", "b"])))
+
+
+def test_documents_are_dealt_to_all_partitions_and_few_lines_go_through_to_json(spark, tmp_path):
+    t = dt.datetime(1999, 12, 31, 7)
+    _tables(spark, str(tmp_path), [(1, None, None, None, None, None, None, None, None, None, None), (2, 5, 6, 2, 3.0, -1.005, 0.285, 0.02, "\u00e9", "F", t)],
+            [(1, 10, "F", 9.99, t, "x"), (2, 10, "F", 9.99, t, "\u00e9}")])
+    docs = v_doc(spark, str(tmp_path))
+    plan = _plan(docs)
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    assert re.search(rf"RepartitionByExpression \[l_orderkey#\d+L\], {n}\b", plan)
+    # the members, whose text may need escapes, and twice each (text and its length) General and the flat sections
+    assert plan.count("StructsToJsonEvaluator(") == 1 + 2 * 2
+    one, two = [json.loads(r.doc_text) for r in docs.orderBy("doc_id").collect()]
+    assert one["Components"] == one["General"]["Officers"] == one["Earnings"]["Annual"] == {"0": {}}
+    assert one["Financials"]["Cash_Flow"]["yearly"] == {"0": {"currency_symbol": "USD"}}
+    assert one["Earnings"]["Trend"] == {"0": {"period": "0q"}} and one["Earnings"]["History"] == {"0": {"currency": "USD"}}
+    assert two["Components"]["0"]["Sector"] == "\u00e9" and two["General"]["Exchange"] == "\u00e9}"
+    assert two["Financials"]["Income_Statement"]["yearly"]["0"] == {
+        "date": "1999-12-31", "filing_date": "2000-01-30", "currency_symbol": "USD", "totalRevenue": -100, "netIncome": 28}
+
+
+def test_cents_are_rounded_as_by_round(spark):
+    values = [0.0, -0.0, 0.005, -0.005, 0.015, 0.285, -0.285, 1.005, 2.675, 0.49999999999999994 / 100, 104949.5, -0.125, 0.375, 45035996273704.97,
+              -45035996273704.955, 90071992547409.93, 123456789012.345, None]
+    df = spark.createDataFrame([(v,) for v in values + [i / 1000 for i in range(-3000, 3000, 5)]], "v double")
+    for r in df.select("v", _cents(F.col("v")).alias("a"), F.round(F.col("v") * 100).cast("bigint").alias("b")).collect():
+        assert r.a == r.b, r
+
+
+def test_the_code_of_rejected_documents_only_is_read(spark, tmp_path):
+    t = dt.datetime(1999, 12, 31, 7)
+    _tables(spark, str(tmp_path), [(5, 5, 6, 2, 3.0, 1.0, 0.1, 0.02, "N", "F", t)],
+            [(k, 10, "F", 9.99, t, "x") for k in (1, 5, 7, 35, 36, 5, -7)] + [(None, 10, "F", 9.99, t, "x")])
+    out = q_job_fundamental_rejects(spark, str(tmp_path))
+    plan = _plan(out)
+    assert "get_json_object" in plan.splitlines()[0] and plan.count("get_json_object") == 1
+    assert sorted(map(tuple, out.collect())) == [("-7", "no General"), ("35", "cut"), ("5", "cut"), ("5", "cut"), ("7", "no General")]
