@@ -11,6 +11,7 @@ from bourse.operators import lookup as L
 from bourse.operators import nested as N
 from bourse.operators import search as SE
 from bourse.plans.docs import _cents, v_doc
+from bourse.plans.jobs import job_index_member
 from bourse.plans.q_jobs import q_job_fundamental_rejects
 from bourse.plans.q_joins import q_cross_join_ten_years
 from pyspark.sql import functions as F
@@ -158,3 +159,12 @@ def test_the_code_of_rejected_documents_only_is_read(spark, tmp_path):
     plan = _plan(out)
     assert "get_json_object" in plan.splitlines()[0] and plan.count("get_json_object") == 1
     assert sorted(map(tuple, out.collect())) == [("-7", "no General"), ("35", "cut"), ("5", "cut"), ("5", "cut"), ("7", "no General")]
+
+
+def test_index_members_carry_only_what_the_job_reads(spark):
+    doc = '{"General":{"Code":"I","Name":"Index","CurrencyCode":"USD","CountryISO":"U"},"Components":{"0":{"Code":"A","Name":"a","Exchange":"X","Sector":{"s":[1]}},"1":{}}}'
+    docs = spark.createDataFrame([(doc,), (doc.replace('"I"', '"J"'),), (doc[:-1],)], "doc_text string")
+    members, rejects = job_index_member(docs, spark.createDataFrame([("I",)], "code string"))
+    assert "Sector" not in _plan(members)
+    assert sorted(map(tuple, members.collect()), key=str) == [("A", "a", "X", "U", "USD", "I", "Index"), (None, None, None, "U", "USD", "I", "Index")]
+    assert [r.doc_text for r in rejects.collect()] == [doc[:-1]]
