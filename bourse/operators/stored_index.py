@@ -6,7 +6,8 @@ the rows' sizes. Adding rows writes a segment; rows that were there before are
 superseded from then on, deleting writes the ids alone. A manifest, replaced as
 one file, names the live segments, so a reader sees all of a change or nothing,
 and a job that dies leaves files that no manifest names. ``compact`` rewrites
-the live rows as one segment. There may be one writer at a time.
+the live rows as one segment, folder by folder, without a shuffle. There may be
+one writer at a time.
 
 A query reads the folders of its terms' hashes (``PartitionFilters``), there the
 row groups that may hold a term (rows are sorted by term), and drops superseded
@@ -20,6 +21,7 @@ import json
 import math
 import zlib
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,11 @@ from .partitioning import spread
 from .search import DEFAULT_SIMILARITY_THRESHOLD, WebQuery, fts_match, fts_rank, parse_websearch, query_trigrams, tokens_col, trigrams_col
 
 BUCKETS = 64
+# Bytes of a file of a compacted segment, about, and of a task that writes it.
+FILE_BYTES = 16 << 20
+# So many superseded ids are sent to all tasks rather than that all postings are
+# shuffled to meet them (about 60 bytes each, by Spark's map of a bigint).
+SENT_IDS = 2_000_000
 
 
 class StoredIndex:
@@ -74,19 +81,24 @@ class StoredIndex:
     def _bucket(self, term: Column) -> Column:
         return (F.crc32(term.cast("binary")) % self.buckets).cast("int")
 
-    def _write(self, number: int, postings: DataFrame | None, rows: DataFrame | None, gone: DataFrame | None) -> None:
+    def _write(self, number: int, postings: DataFrame | None, rows: DataFrame | None, gone: DataFrame | None, by_bucket: bool = False) -> None:
+        """``by_bucket``: the postings' tasks hold whole folders already."""
         if postings is not None:
             out = postings.select("id", "term", "positions", "size", self._bucket(F.col("term")).alias("bucket"))
-            out.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/segment={number}")
+            out = out if by_bucket else out.hint("rebalance", "bucket")
+            out.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/segment={number}")
         if rows is not None:
             rows.select("id", "size").write.mode("overwrite").parquet(f"{self.path}/rows/segment={number}")
         if gone is not None:
             gone.select("id").write.mode("overwrite").parquet(f"{self.path}/gone/segment={number}")
 
-    def _change(self, postings, rows, gone, drop_older: bool = False) -> None:
+    def _change(self, postings, rows, gone, drop_older: bool = False, by_bucket: bool = False) -> None:
         now = self._manifest() or {"version": -1, "segments": []}
         number = now["version"] + 1
-        self._write(number, postings, rows, gone)
+        if gone is not None:
+            # only ids that are there: what no earlier segment holds supersedes nothing
+            gone = gone.join(self.rows().select(F.col("id").alias("_there")), F.col("id") == F.col("_there"), "left_semi") if now["segments"] else None
+        self._write(number, postings, rows, gone, by_bucket)
         self._publish([number] if drop_older else [*now["segments"], number], number)
 
     def add(self, postings: DataFrame, rows: DataFrame) -> None:
@@ -100,9 +112,10 @@ class StoredIndex:
 
     def compact(self) -> None:
         """The live rows as one segment; folders of others go."""
-        postings, rows = self.postings(), self.rows()
-        old = self.segments()
-        self._change(postings, rows, None, drop_older=True)
+        old, gone = self.segments(), self._superseded()
+        whole = None if gone is not None and gone[1] > SENT_IDS else self._by_bucket()
+        postings = self.postings() if whole is None else self._live(whole.select("id", "term", "positions", "size", "segment"))
+        self._change(postings, self.rows(), None, drop_older=True, by_bucket=whole is not None)
         for n in old:
             for kind in ("postings", "rows", "gone"):
                 fs, p = self._fs(kind, f"segment={n}")
@@ -118,11 +131,45 @@ class StoredIndex:
         paths = [f"{self.path}/{kind}/segment={n}" for n in there]
         return self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths)
 
-    def _live(self, df: DataFrame) -> DataFrame:
+    def _by_bucket(self) -> DataFrame | None:
+        """The postings of all segments, read in tasks of one folder's bytes or
+        of some whole folders', so that rows are where they are written."""
+        whole = self._read("postings")
+        if whole is None:
+            return None
+        folders: dict[str, list[str]] = {}
+        sizes: dict[str, int] = {}
+        for n in self.segments():
+            fs, segment = self._fs("postings", f"segment={n}")
+            for folder in fs.listStatus(segment) if fs.exists(segment) else []:
+                name = folder.getPath().getName()
+                if folder.isDirectory() and name.startswith("bucket="):
+                    folders.setdefault(name, []).append(f"{self.path}/postings/segment={n}/{name}")
+                    sizes[name] = sizes.get(name, 0) + sum(f.getLen() for f in fs.listStatus(folder.getPath()))
+        parts: list[tuple[list[str], int]] = []
+        for name in sorted(folders):
+            if parts and parts[-1][1] + sizes[name] <= 2 * FILE_BYTES:
+                parts[-1] = (parts[-1][0] + folders[name], parts[-1][1] + sizes[name])
+            else:
+                parts.append((folders[name], sizes[name]))
+        reader = self.spark.read.option("basePath", f"{self.path}/postings").schema(whole.schema)
+        # two tasks at least: Spark runs a union of single partitions as one task
+        read = [reader.parquet(*paths).coalesce(max(2, math.ceil(size / FILE_BYTES))) for paths, size in parts]
+        return reduce(DataFrame.union, read) if read else None
+
+    def _superseded(self) -> tuple[DataFrame, int] | None:
+        """The segments' superseded ids, and how many the files hold (read from
+        their footers)."""
         gone = self._read("gone")
-        if gone is None or len(self.segments()) < 2:
+        return None if gone is None or len(self.segments()) < 2 else (gone, gone.count())
+
+    def _live(self, df: DataFrame) -> DataFrame:
+        found = self._superseded()
+        if found is None:
             return df.drop("segment")
+        gone, n = found
         last = gone.groupBy(F.col("id").alias("_id")).agg(F.max("segment").alias("_last"))
+        last = F.broadcast(last) if n <= SENT_IDS else last
         return df.join(last, (F.col("id") == F.col("_id")) & (F.col("segment") < F.col("_last")), "left_anti").drop("segment")
 
     def rows(self) -> DataFrame:
@@ -152,12 +199,14 @@ class StoredIndex:
 def word_postings(df: DataFrame, id_col: str, text_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Postings of a text's words, positions from 1 on, and the rows with their
     number of words. Rows without words are rows. The texts are dealt by id, so
-    that their words are grouped where they are split and are not shuffled."""
+    that their words are grouped where they are split and are not shuffled; the
+    rows are made where the texts are read."""
     text = F.concat_ws(" ", *[F.col(c) for c in text_cols])
-    words = df.select(F.col(id_col).alias("id"), text.alias("_x")).repartition("id").select("id", tokens_col(F.col("_x")).alias("_t"))
+    texts = df.select(F.col(id_col).alias("id"), text.alias("_x"))
+    words = texts.repartition("id").select("id", tokens_col(F.col("_x")).alias("_t"))
     each = words.select("id", F.posexplode("_t").alias("_p", "term"), F.size("_t").cast("bigint").alias("size"))
-    postings = each.groupBy("id", "term", "size").agg(F.array_sort(F.collect_list((F.col("_p") + 1).cast("int"))).alias("positions"))
-    return postings, words.select("id", F.size("_t").cast("bigint").alias("size"))
+    postings = each.groupBy("id", "term", "size").agg(F.sort_array(F.collect_list((F.col("_p") + 1).cast("int"))).alias("positions"))
+    return postings, spread(texts).select("id", F.size(tokens_col(F.col("_x"))).cast("bigint").alias("size"))
 
 
 class TextIndex(StoredIndex):
