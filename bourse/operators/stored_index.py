@@ -82,16 +82,29 @@ class StoredIndex:
         return (F.crc32(term.cast("binary")) % self.buckets).cast("int")
 
     def _write(self, number: int, postings: DataFrame | None, rows: DataFrame | None, gone: DataFrame | None, by_bucket: bool = False) -> None:
-        """``by_bucket``: the postings' tasks hold whole folders already."""
+        """Postings are written twice unless their tasks hold whole folders
+        (``by_bucket``): as they come, in files of their task, and from these
+        folder by folder. Parquet files of sorted terms are a third of the bytes
+        that a shuffle would leave, and go at once."""
         if postings is not None:
             out = postings.select("id", "term", "positions", "size", self._bucket(F.col("term")).alias("bucket"))
-            out = out if by_bucket else out.hint("rebalance", "bucket")
-            out.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/segment={number}")
+            if not by_bucket:
+                self._write_folders(out, f"{self.path}/_runs")
+                fs, runs = self._fs("_runs")
+                out = self._by_bucket(f"{self.path}/_runs", [runs], out.schema)
+            if out is not None:
+                self._write_folders(out, f"{self.path}/postings/segment={number}")
+            if not by_bucket:
+                fs.delete(runs, True)
         if rows is not None:
             rows.select("id", "size").write.mode("overwrite").parquet(f"{self.path}/rows/segment={number}")
         if gone is not None:
             gone.select("id").write.mode("overwrite").parquet(f"{self.path}/gone/segment={number}")
 
+    def _write_folders(self, postings: DataFrame, path: str) -> None:
+        whole = postings.sortWithinPartitions("bucket", "term").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        whole.partitionBy("bucket").parquet(path)
+
     def _change(self, postings, rows, gone, drop_older: bool = False, by_bucket: bool = False) -> None:
         now = self._manifest() or {"version": -1, "segments": []}
         number = now["version"] + 1
@@ -113,7 +126,9 @@ class StoredIndex:
     def compact(self) -> None:
         """The live rows as one segment; folders of others go."""
         old, gone = self.segments(), self._superseded()
-        whole = None if gone is not None and gone[1] > SENT_IDS else self._by_bucket()
+        found, whole = self._read("postings"), None
+        if found is not None and (gone is None or gone[1] <= SENT_IDS):
+            whole = self._by_bucket(f"{self.path}/postings", [self._fs("postings", f"segment={n}")[1] for n in old], found.schema)
         postings = self.postings() if whole is None else self._live(whole.select("id", "term", "positions", "size", "segment"))
         self._change(postings, self.rows(), None, drop_older=True, by_bucket=whole is not None)
         for n in old:
@@ -125,26 +140,29 @@ class StoredIndex:
 
     def _read(self, kind: str) -> DataFrame | None:
         fs, _ = self._fs()
-        there = [n for n in self.segments() if fs.exists(self._fs(kind, f"segment={n}")[1])]
+
+        def holds_rows(p) -> bool:
+            # of postings none may be left: a folder with a mark of success only
+            return fs.exists(p) and any(f.getPath().getName()[0] not in "_." for f in fs.listStatus(p))
+
+        there = [n for n in self.segments() if holds_rows(self._fs(kind, f"segment={n}")[1])]
         if not there:
             return None
         paths = [f"{self.path}/{kind}/segment={n}" for n in there]
         return self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths)
 
-    def _by_bucket(self) -> DataFrame | None:
-        """The postings of all segments, read in tasks of one folder's bytes or
-        of some whole folders', so that rows are where they are written."""
-        whole = self._read("postings")
-        if whole is None:
-            return None
+    def _by_bucket(self, base: str, roots: list, schema) -> DataFrame | None:
+        """The postings in the folders of these paths, read in tasks of one
+        folder's bytes or of some whole folders', so that rows are where they
+        are written."""
+        fs, _ = self._fs()
         folders: dict[str, list[str]] = {}
         sizes: dict[str, int] = {}
-        for n in self.segments():
-            fs, segment = self._fs("postings", f"segment={n}")
-            for folder in fs.listStatus(segment) if fs.exists(segment) else []:
+        for root in roots:
+            for folder in fs.listStatus(root) if fs.exists(root) else []:
                 name = folder.getPath().getName()
                 if folder.isDirectory() and name.startswith("bucket="):
-                    folders.setdefault(name, []).append(f"{self.path}/postings/segment={n}/{name}")
+                    folders.setdefault(name, []).append(folder.getPath().toString())
                     sizes[name] = sizes.get(name, 0) + sum(f.getLen() for f in fs.listStatus(folder.getPath()))
         parts: list[tuple[list[str], int]] = []
         for name in sorted(folders):
@@ -152,7 +170,7 @@ class StoredIndex:
                 parts[-1] = (parts[-1][0] + folders[name], parts[-1][1] + sizes[name])
             else:
                 parts.append((folders[name], sizes[name]))
-        reader = self.spark.read.option("basePath", f"{self.path}/postings").schema(whole.schema)
+        reader = self.spark.read.option("basePath", base).schema(schema)
         # two tasks at least: Spark runs a union of single partitions as one task
         read = [reader.parquet(*paths).coalesce(max(2, math.ceil(size / FILE_BYTES))) for paths, size in parts]
         return reduce(DataFrame.union, read) if read else None

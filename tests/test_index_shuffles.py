@@ -49,7 +49,12 @@ def test_changes_shuffle_few_ids_and_no_postings(unasked, tmp_path, monkeypatch,
     same()
     written = []
     write = SI.StoredIndex._write
-    monkeypatch.setattr(SI.StoredIndex, "_write", lambda self, number, postings, *rest, **named: (written.append((_plan(postings), postings.rdd.getNumPartitions())), write(self, number, postings, *rest, **named))[1])
+
+    def watched(self, number, postings, *rest):
+        written.append((_plan(postings), postings.rdd.getNumPartitions()))
+        write(self, number, postings, *rest)
+
+    monkeypatch.setattr(SI.StoredIndex, "_write", watched)
     assert ("SortMergeJoin" in _plan(index.postings())) == (not sent)
     index.compact()
     same()
@@ -62,6 +67,29 @@ def test_changes_shuffle_few_ids_and_no_postings(unasked, tmp_path, monkeypatch,
     assert terms.where("n > 1").count() == 0 and index.segments() == [4]
 
 
+def test_postings_are_written_without_a_shuffle_and_leave_whole_folders(spark, tmp_path, monkeypatch):
+    plans = []
+    folders = SI.StoredIndex._write_folders
+
+    def watched(self, postings, path):
+        plans.append(_plan(postings))
+        folders(self, postings, path)
+
+    monkeypatch.setattr(SI.StoredIndex, "_write_folders", watched)
+    index = SI.TextIndex(spark, str(tmp_path / "i"), buckets=4)
+    index.put(_frame(spark, {i: f"common x{i}" for i in range(200)}), "id", ["text"])
+    # the texts are dealt by id, postings are not shuffled; what the tasks wrote is gone
+    assert [p.count("Exchange") for p in plans] == [1, 0] and not (tmp_path / "i" / "_runs").exists()
+    for bucket in (tmp_path / "i" / "postings" / "segment=0").glob("bucket=*"):
+        assert len(list(bucket.glob("*.parquet"))) <= 2
+    assert index.tokens().count() == 400
+    # an index of texts without words has rows
+    index.put(_frame(spark, {i: "" for i in range(200)}), "id", ["text"])
+    assert index.tokens().count() == 0 and index.rows().count() == 200
+    index.compact()
+    assert index.tokens().count() == 0 and index.rows().count() == 200
+
+
 def test_the_rows_of_an_index_are_made_without_a_shuffle(spark):
     docs = spark.range(100).selectExpr("id doc_id", "concat('one two ', id) text").repartition(16)
     rows = SI.word_postings(docs, "doc_id", ["text"])[1]
