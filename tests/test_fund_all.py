@@ -3,7 +3,10 @@ of round 4)."""
 
 from functools import reduce
 
+import pytest
+
 from bourse.operators import fundamentals as FU
+from bourse.plans.jobs import job_fundamental
 
 TYPE = '"Type":"Common Stock"'
 DOCS = [
@@ -42,8 +45,9 @@ def test_all_categories_are_those_of_each(spark):
                    ("earning_history", "epsActual", "1.5", None, "2001-10-01", "quarterly", "2001-12-31"), ("earning_history", "filing_date", "f", None, "2001-10-01", "quarterly", "2001-12-31")}
 
 
-def test_metric_rows_are_made_by_compiled_code(spark):
-    rows = FU.fund_all(spark.createDataFrame([(DOCS[0].replace("%s", TYPE),)], "doc_text string"))
+@pytest.mark.parametrize("rows_of", [FU.fund_all, lambda docs: job_fundamental(docs)[0]], ids=["fund_all", "job_fundamental"])
+def test_metric_rows_are_made_by_compiled_code(spark, rows_of):
+    rows = rows_of(spark.createDataFrame([(DOCS[0].replace("%s", TYPE),)], "doc_text string"))
     execution = rows._jdf.queryExecution()
     generators = [line for line in execution.optimizedPlan().toString().splitlines() if "Generate inline" in line]
     assert generators and not any("lambdafunction" in g for g in generators)
